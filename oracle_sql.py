@@ -1,0 +1,197 @@
+"""DuckDB oracle SQL for every hash-checked query in ``ratewise.plans.catalog``.
+
+Each statement is independent ANSI SQL over the driver's pre-registered
+tables (``lineitem orders part customer events ...``).  The logical views of
+``ratewise.sources.testdata`` are restated here as CTEs, written from their
+definitions, not from the Spark code.  Doubles are rounded to 6 digits and
+``+ 0.0`` removes ``-0.0``; integer aggregates are cast to BIGINT.
+"""
+
+from __future__ import annotations
+
+_REQ = ("((user_id * 31 + business_id * 17) % 10 = 0 OR user_id % 50 = 7 "
+        "OR business_id % 40 = 9)")
+
+VIEWS = {
+    "ratings": """
+  SELECT o_custkey AS user_id, l_partkey AS business_id,
+         max(CAST(floor((l_quantity - 1) / 10) + 1 AS DOUBLE)) AS stars
+  FROM lineitem JOIN orders ON l_orderkey = o_orderkey
+  GROUP BY o_custkey, l_partkey""",
+    "train": f"SELECT * FROM ratings WHERE NOT {_REQ}",
+    "requests": f"SELECT * FROM ratings WHERE {_REQ}",
+    "planted": """
+  SELECT user_id, business_id,
+         CAST(1 + ((user_id % 5) + (business_id % 5)) / 2.0 AS DOUBLE) AS stars
+  FROM ratings""",
+    "items": """
+  SELECT p_partkey AS business_id,
+         CAST(1 + (p_partkey * 7 % 9) / 2.0 AS DOUBLE) AS stars,
+         CAST(coalesce(lc.n_lines, 0) AS BIGINT) AS review_count,
+         p_retailprice AS latitude,
+         p_partkey % 7 <> 0 AS has_attributes,
+         CASE WHEN p_partkey % 7 <> 0 THEN p_type END AS a_type,
+         CASE WHEN p_partkey % 7 <> 0 THEN split_part(p_name, ' ', 1) END AS a_colour,
+         CASE WHEN p_partkey % 7 <> 0 THEN split_part(p_name, ' ', 2) END AS a_noun,
+         CASE WHEN p_partkey % 7 <> 0 THEN p_brand END AS a_brand,
+         CASE WHEN p_partkey % 7 <> 0 THEN CAST(p_size AS VARCHAR) END AS a_size,
+         CASE WHEN p_partkey % 7 <> 0 AND p_partkey % 10 = 1 THEN 'yes' END AS a_rare
+  FROM part LEFT JOIN (SELECT l_partkey, count(*) AS n_lines FROM lineitem GROUP BY l_partkey) lc
+    ON lc.l_partkey = p_partkey""",
+    "attr_long": """
+  SELECT business_id, k AS attr_key, v AS attr_value FROM (
+    SELECT business_id, 'type' AS k, a_type AS v FROM items UNION ALL
+    SELECT business_id, 'colour', a_colour FROM items UNION ALL
+    SELECT business_id, 'noun', a_noun FROM items UNION ALL
+    SELECT business_id, 'brand', a_brand FROM items UNION ALL
+    SELECT business_id, 'size', a_size FROM items UNION ALL
+    SELECT business_id, 'rare', a_rare FROM items) t
+  WHERE v IS NOT NULL""",
+    "users": """
+  SELECT c_custkey AS user_id,
+         CAST(coalesce(oc.n_orders, 0) AS DOUBLE) AS review_count,
+         CAST(c_nationkey AS DOUBLE) AS useful,
+         CAST(c_custkey % 7 AS DOUBLE) AS funny,
+         CAST(c_custkey % 11 AS DOUBLE) AS cool,
+         CASE WHEN c_custkey % 5 = 0 THEN 'None' WHEN c_custkey % 5 = 1 THEN ''
+              ELSE coalesce(oc.years, 'None') END AS elite,
+         CASE WHEN c_custkey % 6 = 0 THEN 'None'
+              ELSE substr('1,2,3,4,5', 1, CAST(2 * (c_custkey % 6) - 1 AS INTEGER)) END AS friends,
+         CAST(c_custkey % 5 AS DOUBLE) AS fans,
+         CAST(1 + (c_custkey * 13 % 9) / 2.0 AS DOUBLE) AS average_stars,
+         CAST(c_custkey % 3 AS DOUBLE) AS compliment_list,
+         CAST(c_custkey % 4 AS DOUBLE) AS compliment_note
+  FROM customer LEFT JOIN (
+    SELECT o_custkey, count(*) AS n_orders,
+           string_agg(DISTINCT CAST(year(o_orderdate) AS VARCHAR), ','
+                      ORDER BY CAST(year(o_orderdate) AS VARCHAR)) AS years
+    FROM orders GROUP BY o_custkey) oc ON oc.o_custkey = c_custkey""",
+    "reviews": """
+  SELECT l_partkey AS business_id, CAST(l_quantity AS DOUBLE) AS useful,
+         l_discount * 100 AS funny, l_tax * 100 AS cool FROM lineitem""",
+    "ev": """
+  SELECT ts, event_type, CAST(json_extract_string(props, '$.k') AS BIGINT) AS business_id
+  FROM events""",
+    "tips": "SELECT business_id FROM ev WHERE event_type = 'signup'",
+    "photos": "SELECT business_id, event_type AS label FROM ev WHERE event_type = 'view'",
+    "checkin_slots_long": """
+  SELECT business_id, CAST(dayofweek(ts) + 1 AS VARCHAR) || '-' || CAST(hour(ts) AS VARCHAR) AS slot,
+         count(*) AS n
+  FROM ev WHERE event_type = 'click' GROUP BY 1, 2""",
+    # item-CF building blocks
+    "um": "SELECT user_id, avg(stars) AS user_mean, count(*) AS user_n FROM train GROUP BY user_id",
+    "im": "SELECT business_id, avg(stars) AS item_mean, count(*) AS item_n FROM train GROUP BY business_id",
+    "status": """
+  SELECT r.user_id, r.business_id, um.user_mean, im.item_mean
+  FROM requests r LEFT JOIN um ON um.user_id = r.user_id
+                  LEFT JOIN im ON im.business_id = r.business_id""",
+    "warm": """
+  SELECT DISTINCT user_id, business_id FROM status
+  WHERE user_mean IS NOT NULL AND item_mean IS NOT NULL""",
+    "cand": """
+  SELECT w.user_id, w.business_id, t.business_id AS neighbour, t.stars AS rating
+  FROM warm w JOIN train t ON t.user_id = w.user_id""",
+    "pairs": """
+  SELECT DISTINCT least(business_id, neighbour) AS item_i,
+                  greatest(business_id, neighbour) AS item_j FROM cand""",
+    "corate": """
+  SELECT p.item_i, p.item_j, a.user_id, a.stars AS x, b.stars AS y
+  FROM pairs p JOIN train a ON a.business_id = p.item_i
+               JOIN train b ON b.business_id = p.item_j AND b.user_id = a.user_id""",
+    "pstats": """
+  SELECT item_i, item_j, count(*) AS n, sum(x) AS sx, sum(y) AS sy, sum(x * y) AS sxy,
+         sum(x * x) AS sxx, sum(y * y) AS syy, sum(abs(x - y)) AS sad
+  FROM corate GROUP BY item_i, item_j""",
+    "sim": """
+  SELECT p.item_i, p.item_j, CAST(coalesce(s.n, 0) AS BIGINT) AS n,
+         CASE WHEN coalesce(s.n, 0) >= 3 THEN 'pearson' WHEN s.n = 2 THEN 'agreement'
+              ELSE 'mean_gap' END AS rule,
+         CASE WHEN coalesce(s.n, 0) >= 3 THEN
+                CASE WHEN (s.n * s.sxx - s.sx * s.sx) * (s.n * s.syy - s.sy * s.sy) <= 0 THEN 0.0
+                     ELSE (s.n * s.sxy - s.sx * s.sy)
+                          / sqrt((s.n * s.sxx - s.sx * s.sx) * (s.n * s.syy - s.sy * s.sy)) END
+              WHEN s.n = 2 THEN (10.0 - s.sad) / 10.0
+              ELSE (5.0 - abs(mi.item_mean - mj.item_mean)) / 5.0 END AS weight
+  FROM pairs p LEFT JOIN pstats s ON s.item_i = p.item_i AND s.item_j = p.item_j
+       JOIN im mi ON mi.business_id = p.item_i JOIN im mj ON mj.business_id = p.item_j""",
+    "wcand": """
+  SELECT c.user_id, c.business_id, c.neighbour, c.rating, CAST(s.weight AS DOUBLE) AS weight
+  FROM cand c JOIN sim s ON s.item_i = least(c.business_id, c.neighbour)
+                        AND s.item_j = greatest(c.business_id, c.neighbour)""",
+    "ranked": """
+  SELECT *, row_number() OVER (PARTITION BY user_id, business_id
+                               ORDER BY round(weight, 9) DESC, neighbour ASC) AS rank
+  FROM wcand""",
+    "cfs": """
+  SELECT user_id, business_id,
+         CASE WHEN sum(abs(weight)) = 0 THEN 3.75
+              ELSE sum(weight * rating) / sum(abs(weight)) END AS cf_score
+  FROM ranked WHERE rank <= 15 GROUP BY user_id, business_id""",
+    "cfpred": """
+  SELECT s.user_id, s.business_id,
+         CAST(CASE WHEN s.user_mean IS NULL THEN 3.75 WHEN s.item_mean IS NULL THEN s.user_mean
+                   ELSE coalesce(c.cf_score, 3.75) END AS DOUBLE) AS prediction,
+         CASE WHEN s.user_mean IS NULL THEN 'cold_user' WHEN s.item_mean IS NULL THEN 'cold_item'
+              ELSE 'cf' END AS source
+  FROM status s LEFT JOIN cfs c ON c.user_id = s.user_id AND c.business_id = s.business_id""",
+}
+
+# dependency order of the CTEs above
+_ORDER = list(VIEWS)
+
+
+def _deps(body: str) -> set[str]:
+    import re
+    words = set(re.findall(r"[A-Za-z_][A-Za-z_0-9]*", body))
+    return {v for v in VIEWS if v in words}
+
+
+def with_views(select: str) -> str:
+    """``WITH <needed views> <select>``: only the views the query reaches."""
+    need: set[str] = set()
+    todo = list(_deps(select))
+    while todo:
+        v = todo.pop()
+        if v in need:
+            continue
+        need.add(v)
+        todo.extend(_deps(VIEWS[v]) - need)
+    ctes = [f"{v} AS ({VIEWS[v]}\n)" for v in _ORDER if v in need]
+    return ("WITH " + ",\n".join(ctes) + "\n" + select) if ctes else select
+
+
+def r6(expr: str) -> str:
+    return f"CAST(round(CAST({expr} AS DOUBLE), 6) + 0.0 AS DOUBLE)"
+
+
+QUERIES: dict[str, str] = {}
+
+
+def q(name: str, select: str) -> None:
+    QUERIES[name] = with_views(select)
+
+
+q("ratings_scan", "SELECT user_id, business_id, stars FROM ratings")
+q("train_scan", "SELECT user_id, business_id, stars FROM train")
+q("requests_scan", "SELECT user_id, business_id, stars FROM requests")
+q("item_means", f"SELECT business_id, {r6('item_mean')} AS item_mean, CAST(item_n AS BIGINT) AS item_n FROM im")
+q("user_means", f"SELECT user_id, {r6('user_mean')} AS user_mean, CAST(user_n AS BIGINT) AS user_n FROM um")
+q("rater_sets", "SELECT DISTINCT business_id, user_id FROM train")
+q("item_degrees", """SELECT business_id, CAST(count(DISTINCT user_id) AS BIGINT) AS n_raters
+                     FROM train GROUP BY business_id""")
+q("cold_requests", """SELECT user_id, business_id,
+        CASE WHEN user_mean IS NULL THEN 'cold_user' ELSE 'cold_item' END AS reason
+        FROM status WHERE user_mean IS NULL OR item_mean IS NULL""")
+q("cf_candidates", "SELECT user_id, business_id, neighbour, rating FROM cand")
+q("item_pairs_needed", "SELECT item_i, item_j FROM pairs")
+q("co_raters", "SELECT item_i, item_j, user_id, x, y FROM corate")
+q("pair_stats", """SELECT item_i, item_j, CAST(n AS BIGINT) AS n, sx, sy, sxy, sxx, syy, sad
+                   FROM pstats""")
+q("sim_mean_gap", f"SELECT item_i, item_j, {r6('weight')} AS weight FROM sim WHERE rule = 'mean_gap'")
+q("sim_agreement", f"SELECT item_i, item_j, {r6('weight')} AS weight FROM sim WHERE rule = 'agreement'")
+q("sim_pearson", f"SELECT item_i, item_j, {r6('weight')} AS weight FROM sim WHERE rule = 'pearson'")
+q("item_similarity", f"SELECT item_i, item_j, n, rule, {r6('weight')} AS weight FROM sim")
+q("top_neighbours", f"""SELECT user_id, business_id, neighbour, rating, {r6('weight')} AS weight,
+                        CAST(rank AS INTEGER) AS rank FROM ranked WHERE rank <= 15""")
+q("cf_weighted_mean", f"SELECT user_id, business_id, {r6('cf_score')} AS cf_score FROM cfs")
+q("item_cf_predict", f"SELECT user_id, business_id, {r6('prediction')} AS prediction, source FROM cfpred")
