@@ -109,15 +109,24 @@ def pair_stats(pairs: DataFrame, train: DataFrame, stats: DataFrame | None = Non
 
     drive = train.select(F.col(ITEM).alias("drive"), USER, F.col(STARS).alias("x_drive"))
     other = train.select(F.col(ITEM).alias("other"), USER, F.col(STARS).alias("x_other"))
-    probe = (p.select("item_i", "item_j", "mean_i", "mean_j", "drive", "other")
-             .join(drive, "drive").join(other, ["other", USER]))
-    i_is_drive = F.col("drive") == F.col("item_i")
-    rows = probe.select("item_i", "item_j", "mean_i", "mean_j",
+    # Probe rows are kept narrow (the pair key is re-derived after the join):
+    # they are the largest intermediate of the whole job.  The second lookup
+    # hashes on (item, user), which spreads even a hot item evenly, so its
+    # build side (the rating table) is balanced and a shuffled hash join
+    # avoids sorting the probe rows.
+    probe = (p.select("drive", "other").join(drive, "drive")
+             .join(other.hint("shuffle_hash"), ["other", USER]))
+    i, j = pair_key("drive", "other")
+    i_is_drive = F.col("drive") <= F.col("other")
+    rows = probe.select(i.alias("item_i"), j.alias("item_j"),
+                        F.lit(None).cast("double").alias("mean_i"),
+                        F.lit(None).cast("double").alias("mean_j"),
                         F.when(i_is_drive, F.col("x_drive")).otherwise(F.col("x_other")).alias("x"),
                         F.when(i_is_drive, F.col("x_other")).otherwise(F.col("x_drive")).alias("y"),
                         F.lit(1).alias("c"))
     if keep_all:
-        # one marker row per pair, so pairs with no co-rater still appear
+        # one marker row per pair (carrying the item means), so pairs with
+        # no co-rater still appear, without an outer join
         rows = rows.unionByName(
             p.select("item_i", "item_j", "mean_i", "mean_j",
                      F.lit(None).cast("double").alias("x"), F.lit(None).cast("double").alias("y"),
@@ -131,7 +140,7 @@ def pair_stats(pairs: DataFrame, train: DataFrame, stats: DataFrame | None = Non
             F.coalesce(F.sum(y * y), zero).alias("syy"),
             F.coalesce(F.sum(F.abs(x - y)), zero).alias("sad")]
     if keep_all:
-        aggs += [F.first("mean_i").alias("mean_i"), F.first("mean_j").alias("mean_j")]
+        aggs += [F.max("mean_i").alias("mean_i"), F.max("mean_j").alias("mean_j")]
     return rows.groupBy("item_i", "item_j").agg(*aggs)
 
 
