@@ -195,3 +195,101 @@ q("top_neighbours", f"""SELECT user_id, business_id, neighbour, rating, {r6('wei
                         CAST(rank AS INTEGER) AS rank FROM ranked WHERE rank <= 15""")
 q("cf_weighted_mean", f"SELECT user_id, business_id, {r6('cf_score')} AS cf_score FROM cfs")
 q("item_cf_predict", f"SELECT user_id, business_id, {r6('prediction')} AS prediction, source FROM cfpred")
+
+
+# ---------------------------------------------------------------- profiles
+_STATS = ("avg", "std", "kurt", "skew", "max", "min")
+
+
+def _sums_sql(col: str) -> str:
+    """Count, power sums, max and min of ``col`` (exact for rating values)."""
+    return (f"count({col}) AS cnt, sum({col}) AS s1, sum({col} * {col}) AS s2, "
+            f"sum({col} * {col} * {col}) AS s3, sum({col} * {col} * {col} * {col}) AS s4, "
+            f"max({col}) AS mx, min({col}) AS mn")
+
+
+def _moments_sql(sums: str, keys: str, p: str) -> str:
+    """Six statistics from a relation of power sums (pandas rules: NULL
+    std below 2 values, NULL skew below 3, NULL kurt below 4, 0 skew/kurt at
+    zero variance).  The closed forms are written operation for operation
+    as the engine evaluates them, so that exact halves round the same."""
+    k = f"{keys}, " if keys else ""
+    return f"""
+  SELECT {k}
+         s1 / n AS {p}_avg,
+         CASE WHEN n >= 2 THEN sqrt(greatest(m2, 0.0) / (n - 1)) END AS {p}_std,
+         CASE WHEN n < 4 THEN NULL WHEN nm2 <= 0 THEN 0.0
+              ELSE n * (n + 1) * (n - 1) * m4 / ((n - 2) * (n - 3) * m2 * m2)
+                   - CAST(3.0 AS DOUBLE) * (n - 1) * (n - 1) / ((n - 2) * (n - 3)) END AS {p}_kurt,
+         CASE WHEN n < 3 THEN NULL WHEN nm2 <= 0 THEN 0.0
+              ELSE (n * sqrt(n - 1) / (n - 2)) * (m3 / (m2 * sqrt(m2))) END AS {p}_skew,
+         CASE WHEN n > 0 THEN mx END AS {p}_max, CASE WHEN n > 0 THEN mn END AS {p}_min, cnt
+  FROM (SELECT *, nm2 / n AS m2,
+               s3 - CAST(3.0 AS DOUBLE) * s1 * s2 / n + CAST(2.0 AS DOUBLE) * s1 * s1 * s1 / (n * n) AS m3,
+               s4 - CAST(4.0 AS DOUBLE) * s1 * s3 / n + CAST(6.0 AS DOUBLE) * s1 * s1 * s2 / (n * n)
+                  - CAST(3.0 AS DOUBLE) * s1 * s1 * s1 * s1 / (n * n * n) AS m4
+        FROM (SELECT *, n * s2 - s1 * s1 AS nm2
+              FROM (SELECT *, CASE WHEN cnt > 0 THEN CAST(cnt AS DOUBLE) END AS n
+                    FROM ({sums}) z0) z1) z2) z3"""
+
+
+def _r6_stats(p: str, src: str = "") -> str:
+    return ", ".join(f"{r6(src + p + '_' + s)} AS {p}_{s}" for s in _STATS)
+
+
+def _fallback_stats(p: str, side: str) -> str:
+    return ", ".join(f"{r6(f'CASE WHEN {side}.cnt = 0 THEN gp.{p}_{s} ELSE {side}.{p}_{s} END')} AS {p}_{s}"
+                     for s in _STATS)
+
+
+def _global_sql(col: str, table: str, p: str) -> str:
+    m = _moments_sql(f"SELECT {_sums_sql(col)} FROM {table}", "", p)
+    return (f"SELECT {p}_avg, {p}_std, {p}_kurt, {p}_skew, CAST(5.0 AS DOUBLE) AS {p}_max, "
+            f"CAST(1.0 AS DOUBLE) AS {p}_min FROM ({m}) g")
+
+
+VIEWS.update({
+    "gp": f"""
+  SELECT u.*, b.* FROM ({_global_sql('average_stars', 'users', 'usr')}) u,
+                       ({_global_sql('stars', 'items', 'bns')}) b""",
+    # leave-one-out by definition: the statistics of the *other* rows
+    "loo_u": _moments_sql(f"""
+  SELECT t.user_id, t.business_id, {_sums_sql('o.stars')}
+  FROM train t LEFT JOIN train o ON o.user_id = t.user_id AND o.business_id <> t.business_id
+  GROUP BY t.user_id, t.business_id""", "user_id, business_id", "usr"),
+    "loo_b": _moments_sql(f"""
+  SELECT t.user_id, t.business_id, {_sums_sql('o.stars')}
+  FROM train t LEFT JOIN train o ON o.business_id = t.business_id AND o.user_id <> t.user_id
+  GROUP BY t.user_id, t.business_id""", "user_id, business_id", "bns"),
+    "req_u": _moments_sql(f"""
+  SELECT r.user_id, r.business_id, {_sums_sql('o.stars')}
+  FROM (SELECT DISTINCT user_id, business_id FROM requests) r
+  LEFT JOIN train o ON o.user_id = r.user_id AND o.business_id <> r.business_id
+  GROUP BY r.user_id, r.business_id""", "user_id, business_id", "usr"),
+    "req_b": _moments_sql(f"""
+  SELECT r.user_id, r.business_id, {_sums_sql('o.stars')}
+  FROM (SELECT DISTINCT user_id, business_id FROM requests) r
+  LEFT JOIN train o ON o.business_id = r.business_id AND o.user_id <> r.user_id
+  GROUP BY r.user_id, r.business_id""", "user_id, business_id", "bns"),
+    "loo_train": f"""
+  SELECT t.user_id, t.business_id, t.stars AS y,
+         {_fallback_stats('usr', 'lu')}, {_fallback_stats('bns', 'lb')}
+  FROM train t JOIN loo_u lu ON lu.user_id = t.user_id AND lu.business_id = t.business_id
+               JOIN loo_b lb ON lb.user_id = t.user_id AND lb.business_id = t.business_id
+               CROSS JOIN gp""",
+    "loo_req": f"""
+  SELECT r.user_id, r.business_id,
+         {_fallback_stats('usr', 'lu')}, {_fallback_stats('bns', 'lb')}
+  FROM requests r JOIN req_u lu ON lu.user_id = r.user_id AND lu.business_id = r.business_id
+                  JOIN req_b lb ON lb.user_id = r.user_id AND lb.business_id = r.business_id
+                  CROSS JOIN gp""",
+})
+_ORDER[:] = list(VIEWS)
+
+q("user_profile", f"""SELECT user_id, {_r6_stats('usr')} FROM ({_moments_sql(
+    f"SELECT user_id, {_sums_sql('stars')} FROM train GROUP BY user_id", "user_id", "usr")}) s""")
+q("item_profile", f"""SELECT business_id, {_r6_stats('bns')} FROM ({_moments_sql(
+    f"SELECT business_id, {_sums_sql('stars')} FROM train GROUP BY business_id", "business_id", "bns")}) s""")
+q("global_profile", f"SELECT {_r6_stats('usr')}, {_r6_stats('bns')} FROM gp")
+q("loo_train_features", "SELECT * FROM loo_train")
+q("loo_request_features", "SELECT * FROM loo_req")

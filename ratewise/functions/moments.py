@@ -51,26 +51,31 @@ def _central(n: Column, s1: Column, s2: Column, s3: Column, s4: Column):
     return n, nm2, m2, m3, m4
 
 
-def moment_columns(n: Column, s1: Column, s2: Column, s3: Column, s4: Column,
-                   names: dict[str, str]) -> list[Column]:
-    """Mean, std, skew and kurt columns from count and power sums.
+def moments(n: Column, s1: Column, s2: Column, s3: Column, s4: Column) -> dict[str, Column]:
+    """``{"avg", "std", "skew", "kurt"}`` from count and power sums (unaliased).
 
-    ``names`` maps ``avg/std/skew/kurt`` to output names; rows with
-    ``n = 0`` give NULL everywhere (callers substitute fallbacks).
+    Rows with ``n = 0`` give NULL everywhere (callers substitute fallbacks).
     """
     nd, nm2, m2, m3, m4 = _central(n, s1, s2, s3, s4)
     zero_var = nm2 <= F.lit(0.0)
     safe_m2 = F.when(zero_var, F.lit(1.0)).otherwise(m2)
     mean = s1 / nd
     std = F.when(nd >= 2, F.sqrt(F.greatest(m2, F.lit(0.0)) / F.when(nd >= 2, nd - 1)))
-    skew_val = (nd * F.sqrt(nd - 1) / F.when(nd >= 3, nd - 2)) * (m3 / F.pow(safe_m2, 1.5))
+    skew_val = (nd * F.sqrt(nd - 1) / F.when(nd >= 3, nd - 2)) * (m3 / (safe_m2 * F.sqrt(safe_m2)))
     skew = F.when(nd < 3, F.lit(None).cast("double")).when(zero_var, F.lit(0.0)).otherwise(skew_val)
     den = F.when(nd >= 4, (nd - 2) * (nd - 3))
     kurt_val = (nd * (nd + 1) * (nd - 1) * m4 / (den * safe_m2 * safe_m2)
                 - F.lit(3.0) * (nd - 1) * (nd - 1) / den)
     kurt = F.when(nd < 4, F.lit(None).cast("double")).when(zero_var, F.lit(0.0)).otherwise(kurt_val)
-    out = {"avg": mean, "std": std, "skew": skew, "kurt": kurt}
-    return [out[k].cast("double").alias(v) for k, v in names.items() if k in out]
+    return {"avg": mean.cast("double"), "std": std.cast("double"),
+            "skew": skew.cast("double"), "kurt": kurt.cast("double")}
+
+
+def moment_columns(n: Column, s1: Column, s2: Column, s3: Column, s4: Column,
+                   names: dict[str, str]) -> list[Column]:
+    """The moments of ``moments`` aliased by ``names`` (``avg -> usr_avg`` ...)."""
+    m = moments(n, s1, s2, s3, s4)
+    return [m[k].alias(v) for k, v in names.items() if k in m]
 
 
 def prefixed(prefix: str) -> dict[str, str]:

@@ -159,3 +159,47 @@ def item_cf_predict(spark, d):
     """Flagship: item-CF prediction for every request."""
     pred = cf.predict(T.train(spark, d), T.requests(spark, d))
     return pred.select("user_id", "business_id", rounded("prediction").alias("prediction"), "source")
+
+
+# ---------------------------------------------------------------- profiles
+from ratewise.operators import profiles as P  # noqa: E402
+
+
+def _round_stats(df: DataFrame, keep: list[str]) -> DataFrame:
+    stats = [c for c in df.columns if c.startswith(("usr_", "bns_"))]
+    return df.select(*keep, *[rounded(c).alias(c) for c in stats])
+
+
+def _fallback(spark, d):
+    return P.global_profile(T.users(spark, d), T.items(spark, d))
+
+
+@register("user_profile")
+def user_profile(spark, d):
+    return _round_stats(P.user_profile(T.train(spark, d)), ["user_id"])
+
+
+@register("item_profile")
+def item_profile(spark, d):
+    return _round_stats(P.item_profile(T.train(spark, d)), ["business_id"])
+
+
+@register("global_profile")
+def global_profile(spark, d):
+    return _round_stats(_fallback(spark, d), [])
+
+
+@register("loo_train_features")
+def loo_train_features(spark, d):
+    train = T.train(spark, d)
+    pairs = train.select("user_id", "business_id", "stars", F.col("stars").alias("y"))
+    out = P.loo_features(pairs, train, _fallback(spark, d), own_value="stars", keep=("y",))
+    return _round_stats(out, ["user_id", "business_id", "y"])
+
+
+@register("loo_request_features")
+def loo_request_features(spark, d):
+    train = T.train(spark, d)
+    out = P.loo_features(T.requests(spark, d).select("user_id", "business_id"), train,
+                         _fallback(spark, d), own_value=None)
+    return _round_stats(out, ["user_id", "business_id"])
