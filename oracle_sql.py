@@ -293,3 +293,96 @@ q("item_profile", f"""SELECT business_id, {_r6_stats('bns')} FROM ({_moments_sql
 q("global_profile", f"SELECT {_r6_stats('usr')}, {_r6_stats('bns')} FROM gp")
 q("loo_train_features", "SELECT * FROM loo_train")
 q("loo_request_features", "SELECT * FROM loo_req")
+
+
+# ---------------------------------------------------------------- features
+def _len_sql(c: str) -> str:
+    return f"CAST(CASE WHEN {c} = 'None' THEN 0 ELSE len(string_split({c}, ',')) END AS DOUBLE)"
+
+
+VIEWS.update({
+    "rel_users": """
+  SELECT * FROM users WHERE user_id IN (SELECT user_id FROM train UNION SELECT user_id FROM requests)""",
+    "ufeat": f"""
+  SELECT user_id, useful, funny, cool, {_len_sql('elite')} AS elite, {_len_sql('friends')} AS friends,
+         fans, average_stars, compliment_list, compliment_note, review_count FROM rel_users""",
+    "ifeat": """
+  SELECT i.business_id, i.stars AS bus_stars, CAST(i.review_count AS DOUBLE) AS review_cnt, i.latitude,
+         tc.likes, pc.labels, cs.customers
+  FROM items i
+  LEFT JOIN (SELECT business_id, CAST(count(*) AS BIGINT) AS likes FROM tips GROUP BY 1) tc
+         ON tc.business_id = i.business_id
+  LEFT JOIN (SELECT business_id, CAST(count(*) AS BIGINT) AS labels FROM photos GROUP BY 1) pc
+         ON pc.business_id = i.business_id
+  LEFT JOIN (SELECT business_id, CAST(count(*) AS BIGINT) AS customers FROM checkin_slots_long GROUP BY 1) cs
+         ON cs.business_id = i.business_id""",
+    "merged": """
+  SELECT l.*, f.bus_stars, f.review_cnt, f.latitude, f.likes, f.labels, f.customers,
+         u.useful, u.funny, u.cool, u.elite, u.friends, u.fans, u.average_stars,
+         u.compliment_list, u.compliment_note, u.review_count
+  FROM loo_train l LEFT JOIN ifeat f ON f.business_id = l.business_id
+                   LEFT JOIN ufeat u ON u.user_id = l.user_id""",
+    "attr_prof": """
+  SELECT attr_key, CAST(count(DISTINCT attr_value) AS BIGINT) AS n_values,
+         CAST(count(DISTINCT business_id) AS BIGINT) AS n_items,
+         (SELECT CAST(count(*) AS BIGINT) FROM items) AS total_items
+  FROM attr_long GROUP BY attr_key""",
+    "attr_sel": "SELECT * FROM attr_prof WHERE n_values <= 10 AND n_items * 5 >= total_items * 1",
+    "tv": """
+  SELECT t.user_id, t.business_id, s.attr_key, coalesce(a.attr_value, 'unk') AS v
+  FROM train t CROSS JOIN (SELECT attr_key FROM attr_sel) s
+  LEFT JOIN attr_long a ON a.business_id = t.business_id AND a.attr_key = s.attr_key""",
+    "rv": """
+  SELECT r.user_id, r.business_id, s.attr_key, coalesce(a.attr_value, 'unk') AS v
+  FROM requests r CROSS JOIN (SELECT attr_key FROM attr_sel) s
+  LEFT JOIN attr_long a ON a.business_id = r.business_id AND a.attr_key = s.attr_key""",
+    "first_cat": "SELECT attr_key, min(v) AS v0 FROM tv GROUP BY attr_key",
+})
+_ORDER[:] = list(VIEWS)
+
+_MERGED_DOUBLES = ["y"] + [f"{p}_{s}" for p in ("usr", "bns") for s in _STATS] + [
+    "bus_stars", "review_cnt", "latitude", "useful", "funny", "cool", "elite", "friends", "fans",
+    "average_stars", "compliment_list", "compliment_note", "review_count"]
+_MERGED_LONGS = ["likes", "labels", "customers"]
+
+q("review_means", f"""SELECT business_id, {r6('avg(useful)')} AS review_useful,
+    {r6('avg(funny)')} AS review_funny, {r6('avg(cool)')} AS review_cool FROM reviews GROUP BY business_id""")
+q("tip_counts", "SELECT business_id, CAST(count(*) AS BIGINT) AS likes FROM tips GROUP BY business_id")
+q("photo_counts", "SELECT business_id, CAST(count(*) AS BIGINT) AS labels FROM photos GROUP BY business_id")
+q("checkin_slots", """SELECT business_id, CAST(count(*) AS BIGINT) AS customers
+                      FROM checkin_slots_long GROUP BY business_id""")
+q("packed_list_len", f"""SELECT user_id, elite, friends, {_len_sql('elite')} AS elite_len,
+                         {_len_sql('friends')} AS friends_len FROM users""")
+q("json_props", """SELECT event_id, event_type, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k
+                   FROM events""")
+q("relevant_users", "SELECT user_id FROM rel_users")
+q("user_features", "SELECT * FROM ufeat")
+q("feature_vector8", f"""
+  SELECT t.user_id, t.business_id, t.stars AS y,
+         {r6('rv.review_useful')} AS review_useful, {r6('rv.review_funny')} AS review_funny,
+         {r6('rv.review_cool')} AS review_cool, u.average_stars AS user_avg_stars,
+         u.review_count AS user_review_count, u.fans AS user_fans,
+         i.stars AS item_stars, CAST(i.review_count AS DOUBLE) AS item_review_count
+  FROM train t
+  LEFT JOIN (SELECT business_id, avg(useful) AS review_useful, avg(funny) AS review_funny,
+                    avg(cool) AS review_cool FROM reviews GROUP BY business_id) rv
+         ON rv.business_id = t.business_id
+  LEFT JOIN users u ON u.user_id = t.user_id
+  LEFT JOIN items i ON i.business_id = t.business_id""")
+q("attribute_profile", f"""SELECT attr_key, n_values, n_items, total_items,
+    {r6('n_items / total_items')} AS coverage FROM attr_prof""")
+q("selected_attributes", f"""SELECT attr_key, n_values, n_items, total_items,
+    {r6('n_items / total_items')} AS coverage FROM attr_sel""")
+q("item_attributes_wide", """SELECT business_id, attr_key, attr_value FROM attr_long
+                             WHERE attr_key IN (SELECT attr_key FROM attr_sel)""")
+q("feature_merge", "SELECT user_id, business_id, " + ", ".join(
+    [f"{r6(c)} AS {c}" for c in _MERGED_DOUBLES] + _MERGED_LONGS) + " FROM merged")
+q("fill_missing", "SELECT m.user_id, m.business_id, " + ", ".join(
+    [f"{r6(f'coalesce(m.{c}, gp.{c})' if c.startswith('bns_') else ('m.y' if c == 'y' else f'coalesce(m.{c}, 0.0)'))} AS {c}"
+     for c in _MERGED_DOUBLES]
+    + [f"{r6(f'coalesce(m.{c}, 0)')} AS {c}" for c in _MERGED_LONGS]) + " FROM merged m CROSS JOIN gp")
+q("onehot_train", """SELECT user_id, business_id, attr_key || v AS feature
+                     FROM tv JOIN first_cat USING (attr_key) WHERE v <> v0""")
+q("onehot_requests", """SELECT user_id, business_id, attr_key || v AS feature
+                        FROM rv JOIN first_cat USING (attr_key)
+                        WHERE v <> v0 AND EXISTS (SELECT 1 FROM tv WHERE tv.attr_key = rv.attr_key AND tv.v = rv.v)""")

@@ -203,3 +203,123 @@ def loo_request_features(spark, d):
     out = P.loo_features(T.requests(spark, d).select("user_id", "business_id"), train,
                          _fallback(spark, d), own_value=None)
     return _round_stats(out, ["user_id", "business_id"])
+
+
+# ---------------------------------------------------------------- features
+from ratewise.functions.scalars import json_field, packed_list_len  # noqa: E402
+from ratewise.operators import encode as E  # noqa: E402
+from ratewise.operators import features as FT  # noqa: E402
+from ratewise.plans import feature_frames as FF  # noqa: E402
+
+
+def _round_doubles(df: DataFrame) -> DataFrame:
+    return df.select(*[rounded(f.name).alias(f.name) if f.dataType.typeName() in ("double", "float")
+                       else F.col(f.name) for f in df.schema.fields])
+
+
+def _inputs(spark, d) -> FF.Inputs:
+    return FF.Inputs(T.train(spark, d), T.requests(spark, d), T.items(spark, d), T.users(spark, d),
+                     T.tips(spark, d), T.photos(spark, d), T.checkins(spark, d))
+
+
+@register("review_means")
+def review_means(spark, d):
+    return _round_doubles(FT.review_means(T.reviews(spark, d)))
+
+
+@register("tip_counts")
+def tip_counts(spark, d):
+    return FT.tip_counts(T.tips(spark, d))
+
+
+@register("photo_counts")
+def photo_counts(spark, d):
+    return FT.photo_counts(T.photos(spark, d))
+
+
+@register("checkin_slots")
+def checkin_slots(spark, d):
+    return FT.checkin_slots(T.checkins(spark, d))
+
+
+@register("packed_list_len")
+def packed_list_len_q(spark, d):
+    u = T.users(spark, d)
+    return u.select("user_id", "elite", "friends", packed_list_len("elite").alias("elite_len"),
+                    packed_list_len("friends").alias("friends_len"))
+
+
+@register("json_props")
+def json_props(spark, d):
+    ev = T.table(spark, d, "events").select("event_id", "event_type", "props")
+    return ev.select("event_id", "event_type", json_field("props", "k", "bigint").alias("k"))
+
+
+@register("relevant_users")
+def relevant_users(spark, d):
+    return FT.relevant_users(T.users(spark, d), T.train(spark, d), T.requests(spark, d)).select("user_id")
+
+
+@register("user_features")
+def user_features(spark, d):
+    inp = _inputs(spark, d)
+    return FT.user_features(FT.relevant_users(inp.users, inp.train, inp.requests))
+
+
+@register("feature_vector8")
+def feature_vector8(spark, d):
+    tr = T.train(spark, d).select("user_id", "business_id", F.col("stars").alias("y"))
+    return _round_doubles(FT.feature_vector8(tr, T.reviews(spark, d), T.users(spark, d), T.items(spark, d)))
+
+
+@register("attribute_profile")
+def attribute_profile(spark, d):
+    return _round_doubles(E.attribute_profile(T.items(spark, d)))
+
+
+@register("selected_attributes")
+def selected_attributes(spark, d):
+    return _round_doubles(E.selected_attributes(T.items(spark, d)))
+
+
+@register("item_attributes_wide")
+def item_attributes_wide(spark, d):
+    """The selected attributes of each item, in long form
+    ``(business_id, attr_key, attr_value)``."""
+    return E.item_attributes_long(T.items(spark, d))
+
+
+@register("feature_merge")
+def feature_merge(spark, d):
+    """Merged training frame (before encoding and filling), attributes aside."""
+    inp = _inputs(spark, d)
+    return _round_doubles(FF.merged_training(inp, FF.fallback_profile(inp), []))
+
+
+@register("fill_missing")
+def fill_missing(spark, d):
+    inp = _inputs(spark, d)
+    fb = FF.fallback_profile(inp)
+    return _round_doubles(FT.fill_missing(FF.merged_training(inp, fb, []), fb))
+
+
+def _onehot(spark, d, side):
+    inp = _inputs(spark, d)
+    fb = FF.fallback_profile(inp)
+    keys = E.selected_keys(inp.items)
+    tr = FF.merged_training(inp, fb, keys)
+    vocab = E.fit_vocabulary(tr, keys)
+    frame = tr if side == "train" else FF.merged_requests(inp, fb, keys)
+    return E.onehot_long(frame, vocab, ["user_id", "business_id"])
+
+
+@register("onehot_train")
+def onehot_train(spark, d):
+    """Non-zero cells of the training one-hot matrix."""
+    return _onehot(spark, d, "train")
+
+
+@register("onehot_requests")
+def onehot_requests(spark, d):
+    """Non-zero cells of the request one-hot matrix (training vocabulary)."""
+    return _onehot(spark, d, "requests")
