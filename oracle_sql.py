@@ -386,3 +386,46 @@ q("onehot_train", """SELECT user_id, business_id, attr_key || v AS feature
 q("onehot_requests", """SELECT user_id, business_id, attr_key || v AS feature
                         FROM rv JOIN first_cat USING (attr_key)
                         WHERE v <> v0 AND EXISTS (SELECT 1 FROM tv WHERE tv.attr_key = rv.attr_key AND tv.v = rv.v)""")
+
+
+# ---------------------------------------------------------------- evaluation
+VIEWS.update({
+    "cf_truth": """
+  SELECT p.prediction, r.stars AS truth FROM cfpred p
+  JOIN requests r ON r.user_id = p.user_id AND r.business_id = p.business_id""",
+})
+_ORDER[:] = list(VIEWS)
+
+q("rmse_eval", f"""SELECT CAST(count(*) AS BIGINT) AS n,
+    {r6('sqrt(avg((prediction - truth) * (prediction - truth)))')} AS rmse FROM cf_truth""")
+q("error_bands", """
+  SELECT b.band, CAST(coalesce(c.n, 0) AS BIGINT) AS n
+  FROM (SELECT CAST(range AS INTEGER) AS band FROM range(5)) b
+  LEFT JOIN (SELECT CAST(least(floor(abs(prediction - truth)), 4) AS INTEGER) AS band, count(*) AS n
+             FROM cf_truth GROUP BY 1) c ON c.band = b.band""")
+q("hybrid_blend", f"""
+  SELECT p.user_id, p.business_id,
+         {r6('0.1 * p.prediction + (1.0 - 0.1) * coalesce(s.item_mean, s.user_mean, 3.75)')} AS prediction
+  FROM cfpred p JOIN status s ON s.user_id = p.user_id AND s.business_id = p.business_id""")
+
+
+# ---------------------------------------------------------------- sources and sinks
+VIEWS.update({
+    "items_text": """
+  SELECT i.business_id, i.stars, i.review_count, i.latitude, a.attributes FROM items i
+  LEFT JOIN (SELECT business_id, string_agg(attr_key || '=' || attr_value, ';'
+                                            ORDER BY attr_key || '=' || attr_value) AS attributes
+             FROM attr_long GROUP BY business_id) a ON a.business_id = i.business_id""",
+})
+_ORDER[:] = list(VIEWS)
+
+q("items_scan", "SELECT * FROM items_text")
+q("users_scan", "SELECT * FROM users")
+q("ratings_csv_roundtrip", """SELECT CAST(user_id AS VARCHAR) AS user_id,
+    CAST(business_id AS VARCHAR) AS business_id, stars FROM train""")
+q("items_json_roundtrip", """SELECT CAST(business_id AS VARCHAR) AS business_id, stars, review_count,
+    latitude, attributes FROM items_text""")
+q("users_json_roundtrip", """SELECT CAST(user_id AS VARCHAR) AS user_id, review_count, useful, funny, cool,
+    elite, friends, fans, average_stars, compliment_list, compliment_note FROM users""")
+q("predictions_sink", f"SELECT user_id, business_id, {r6('prediction')} AS prediction FROM cfpred")
+q("fallback_roundtrip", f"SELECT {_r6_stats('usr')}, {_r6_stats('bns')} FROM gp")

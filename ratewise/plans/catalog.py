@@ -323,3 +323,149 @@ def onehot_train(spark, d):
 def onehot_requests(spark, d):
     """Non-zero cells of the request one-hot matrix (training vocabulary)."""
     return _onehot(spark, d, "requests")
+
+
+# ---------------------------------------------------------------- models, blend, evaluation
+from ratewise.operators import evaluate as EV  # noqa: E402
+from ratewise.operators import model as M  # noqa: E402
+from ratewise.plans import jobs as J  # noqa: E402
+
+
+def _cf_pred(spark, d):
+    return cf.predict(T.train(spark, d), T.requests(spark, d))
+
+
+@register("rmse_eval")
+def rmse_eval(spark, d):
+    """RMSE of the item-CF predictions against the held-out ratings."""
+    r = EV.rmse(_cf_pred(spark, d), T.requests(spark, d))
+    return r.select("n", rounded("rmse").alias("rmse"))
+
+
+@register("error_bands")
+def error_bands(spark, d):
+    return EV.error_bands(_cf_pred(spark, d), T.requests(spark, d))
+
+
+@register("hybrid_blend")
+def hybrid_blend(spark, d):
+    """0.1 * item-CF + 0.9 * a second score that SQL can restate: the item's
+    training mean (user mean for a cold item, 3.75 for a cold user)."""
+    train, req = T.train(spark, d), T.requests(spark, d)
+    st = cf.request_status(req, train)
+    second = st.select("user_id", "business_id",
+                       F.coalesce("item_mean", "user_mean", F.lit(cf.COLD_USER_VALUE)).alias("prediction"))
+    out = EV.blend(cf.predict(train, req), second)
+    return out.select("user_id", "business_id", rounded("prediction").alias("prediction"))
+
+
+@register("model_a_predict")
+def model_a_predict(spark, d):
+    """Model A (8 looked-up features, trees of depth 10)."""
+    return J.model_a(T.train(spark, d), T.requests(spark, d), T.reviews(spark, d),
+                     T.users(spark, d), T.items(spark, d), params=M.MODEL_A_QUICK)
+
+
+@register("hybrid_blend_model")
+def hybrid_blend_model(spark, d):
+    """The hybrid job: 0.1 * item-CF + 0.9 * model A."""
+    return J.hybrid(T.train(spark, d), T.requests(spark, d), T.reviews(spark, d),
+                    T.users(spark, d), T.items(spark, d), params=M.MODEL_A_QUICK)
+
+
+@register("model_b_predict")
+def model_b_predict(spark, d):
+    """Model B on the full feature frame (trees of depth 5)."""
+    return J.feature_model(_inputs(spark, d), params=M.MODEL_B_QUICK)
+
+
+@register("model_a_rmse")
+def model_a_rmse(spark, d):
+    pred = J.model_a(T.train(spark, d), T.requests(spark, d), T.reviews(spark, d),
+                     T.users(spark, d), T.items(spark, d), params=M.MODEL_A_QUICK)
+    return EV.rmse(pred, T.requests(spark, d))
+
+
+@register("model_b_rmse")
+def model_b_rmse(spark, d):
+    return EV.rmse(J.feature_model(_inputs(spark, d), params=M.MODEL_B_QUICK), T.requests(spark, d))
+
+
+# ---------------------------------------------------------------- file sources and sinks
+import uuid  # noqa: E402
+
+from pyspark.sql import types as TY  # noqa: E402
+
+from ratewise.session import checkpoint_dir  # noqa: E402
+from ratewise.sources import files as FS  # noqa: E402
+
+
+def _scratch(spark, name: str) -> str:
+    """A fresh folder under the session's shared checkpoint folder."""
+    return f"{checkpoint_dir(spark).rstrip('/')}/ratewise-io/{name}-{uuid.uuid4().hex}"
+
+
+def _attributes_text(col: str = "attributes"):
+    """A map as sorted ``key=value`` entries joined by ``;`` (NULL stays NULL)."""
+    return F.array_join(F.array_sort(F.transform(F.map_entries(col),
+                                                 lambda e: F.concat(e["key"], F.lit("="), e["value"]))), ";")
+
+
+@register("items_scan")
+def items_scan(spark, d):
+    it = T.items(spark, d)
+    return it.select("business_id", "stars", "review_count", "latitude",
+                     _attributes_text().alias("attributes"))
+
+
+@register("users_scan")
+def users_scan(spark, d):
+    return T.users(spark, d)
+
+
+@register("ratings_csv_roundtrip")
+def ratings_csv_roundtrip(spark, d):
+    """Training ratings written as CSV and read back with the ratings schema
+    (ids as strings, as in the original CSV files)."""
+    path = _scratch(spark, "ratings")
+    FS.write_csv(T.train(spark, d).select("user_id", "business_id", "stars"), path)
+    return FS.read_ratings(spark, path)
+
+
+@register("items_json_roundtrip")
+def items_json_roundtrip(spark, d):
+    """Item records written as JSON lines and read back with the item schema."""
+    path = _scratch(spark, "items")
+    FS.write_json_lines(T.items(spark, d), path)
+    it = FS.read_items(spark, path)
+    return it.select("business_id", "stars", "review_count", "latitude",
+                     _attributes_text().alias("attributes"))
+
+
+@register("users_json_roundtrip")
+def users_json_roundtrip(spark, d):
+    path = _scratch(spark, "users")
+    FS.write_json_lines(T.users(spark, d), path)
+    return FS.read_users(spark, path)
+
+
+@register("predictions_sink")
+def predictions_sink(spark, d):
+    """Item-CF predictions written as CSV (header ``user_id,business_id,
+    prediction``) and read back."""
+    path = _scratch(spark, "predictions")
+    pred = cf.predict(T.train(spark, d), T.requests(spark, d))
+    FS.write_predictions(pred.select("user_id", "business_id", rounded("prediction").alias("prediction")),
+                         path)
+    schema = TY.StructType([TY.StructField("user_id", TY.LongType()),
+                            TY.StructField("business_id", TY.LongType()),
+                            TY.StructField("prediction", TY.DoubleType())])
+    return FS.read_predictions(spark, path, schema)
+
+
+@register("fallback_roundtrip")
+def fallback_roundtrip(spark, d):
+    """The fallback profile written as a named one-row CSV and read back."""
+    path = _scratch(spark, "fallback")
+    FS.write_fallback(_fallback(spark, d), path)
+    return _round_stats(FS.read_fallback(spark, path), [])
