@@ -97,6 +97,10 @@ def pair_stats(pairs: DataFrame, train: DataFrame, stats: DataFrame | None = Non
     (``n = 0``) and the item means ``mean_i``, ``mean_j`` are carried along.
     """
     stats = _item_stats(train) if stats is None else stats
+    # pairs must be unique as unordered pairs; they are put in canonical
+    # order here (a projection, no shuffle)
+    ci, cj = pair_key("item_i", "item_j")
+    pairs = pairs.select(ci.alias("item_i"), cj.alias("item_j"))
     si = stats.select(F.col(ITEM).alias("item_i"), F.col("item_mean").alias("mean_i"),
                       F.col("deg").alias("deg_i"))
     sj = stats.select(F.col(ITEM).alias("item_j"), F.col("item_mean").alias("mean_j"),
