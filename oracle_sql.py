@@ -429,3 +429,4 @@ q("users_json_roundtrip", """SELECT CAST(user_id AS VARCHAR) AS user_id, review_
     elite, friends, fans, average_stars, compliment_list, compliment_note FROM users""")
 q("predictions_sink", f"SELECT user_id, business_id, {r6('prediction')} AS prediction FROM cfpred")
 q("fallback_roundtrip", f"SELECT {_r6_stats('usr')}, {_r6_stats('bns')} FROM gp")
+q("item_cf_stream", f"SELECT user_id, business_id, {r6('prediction')} AS prediction, source FROM cfpred")

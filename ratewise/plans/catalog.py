@@ -469,3 +469,24 @@ def fallback_roundtrip(spark, d):
     path = _scratch(spark, "fallback")
     FS.write_fallback(_fallback(spark, d), path)
     return _round_stats(FS.read_fallback(spark, path), [])
+
+
+# ---------------------------------------------------------------- streaming
+from ratewise.streaming import scoring as ST  # noqa: E402
+
+
+@register("item_cf_stream")
+def item_cf_stream(spark, d):
+    """The requests written as CSV files and scored by the streaming job
+    (one file per micro-batch); the result must equal the batch flagship."""
+    src, sink = _scratch(spark, "stream-src"), _scratch(spark, "stream-sink")
+    req = T.requests(spark, d).select("user_id", "business_id", "stars")
+    FS.write_csv(req.repartition(4, "user_id"), src)
+    schema = TY.StructType([TY.StructField("user_id", TY.LongType()),
+                            TY.StructField("business_id", TY.LongType()),
+                            TY.StructField("stars", TY.DoubleType())])
+    train = ST.materialize(T.train(spark, d))
+    q = ST.score_stream(train, ST.request_stream(spark, src, schema, files_per_batch=1), sink)
+    q.awaitTermination()
+    out = ST.read_scored(spark, sink)
+    return out.select("user_id", "business_id", rounded("prediction").alias("prediction"), "source")

@@ -114,3 +114,24 @@ def test_model_quality_on_planted_signal(spark):
     mean = train.agg(F.avg("stars")).first()[0]
     const = EV.rmse(req.select("user_id", "business_id", F.lit(mean).alias("prediction")), req).first().rmse
     assert model_rmse < 0.8 * const, (model_rmse, const)
+
+
+def test_streaming_scoring_equals_batch(spark):
+    from ratewise.operators import cf
+    from ratewise.streaming import scoring as ST
+    d = tempfile.mkdtemp(prefix="ratewise-test-")
+    train = spark.createDataFrame([("u1", "A", 5.0), ("u1", "B", 4.0), ("u2", "A", 3.0), ("u2", "B", 2.0),
+                                   ("u3", "A", 1.0), ("u3", "C", 2.0)],
+                                  "user_id string, business_id string, stars double")
+    os.makedirs(f"{d}/in")
+    for n, lines in enumerate([["u1,C,4", "u9,A,2"], ["u2,C,3", "u3,B,1"]]):
+        with open(f"{d}/in/part-{n}.csv", "w") as f:
+            f.write("user_id,business_id,stars\n" + "\n".join(lines) + "\n")
+    q = ST.score_stream(train, ST.request_stream(spark, f"{d}/in", files_per_batch=1), f"{d}/out",
+                        checkpoint=f"{d}/ckpt")
+    q.awaitTermination()
+    got = sorted(map(tuple, ST.read_scored(spark, f"{d}/out").select("user_id", "business_id", "prediction").collect()))
+    req = spark.read.schema(FS.RATINGS_SCHEMA).option("header", True).csv(f"{d}/in")
+    exp = sorted(map(tuple, cf.predict(train, req).select("user_id", "business_id", "prediction").collect()))
+    assert got == exp and len(got) == 4
+    assert len([p for p in os.listdir(f"{d}/out") if p.startswith("batch_id=")]) == 2
