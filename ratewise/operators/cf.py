@@ -33,6 +33,11 @@ Plan shape (no collect, no Python):
 
 Skewed keys (a hot item or a hot user) are left to AQE's skew-join split,
 which the session enables.
+
+When the rating table is measured to be small (``sizing.fits_broadcast``),
+every join against it is a broadcast hash join: the probe rows of step 4 are
+then generated and looked up inside one map task, and only the co-rater hits
+are shuffled.  Above the bound the same plan runs with shuffle joins.
 """
 
 from __future__ import annotations
@@ -41,6 +46,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ratewise.operators import ratings as R
+from ratewise.operators.sizing import fits_broadcast
 
 USER, ITEM, STARS = R.USER, R.ITEM, R.STARS
 
@@ -62,11 +68,21 @@ def request_status(requests: DataFrame, train: DataFrame) -> DataFrame:
             .join(im, ITEM, "left"))
 
 
-def candidates(warm: DataFrame, train: DataFrame, exclude_self: bool = False) -> DataFrame:
+def _maybe_broadcast(df: DataFrame, broadcast: bool) -> DataFrame:
+    return F.broadcast(df) if broadcast else df
+
+
+def candidates(warm: DataFrame, train: DataFrame, exclude_self: bool = False,
+               broadcast: bool = False) -> DataFrame:
     """``(user_id, business_id, neighbour, rating)``: one row per item the
     requesting user rated."""
-    rated = train.select(USER, F.col(ITEM).alias("neighbour"), F.col(STARS).alias("rating"))
-    out = warm.select(USER, ITEM).join(rated, USER)
+    # joined on the plain (item, user, stars) projection, renamed afterwards,
+    # so every join against the rating table shares one broadcast
+    rated = _maybe_broadcast(train.select(ITEM, USER, STARS), broadcast).alias("r")
+    w = warm.select(USER, ITEM).alias("w")
+    out = w.join(rated, F.col("w." + USER) == F.col("r." + USER)).select(
+        F.col("w." + USER).alias(USER), F.col("w." + ITEM).alias(ITEM),
+        F.col("r." + ITEM).alias("neighbour"), F.col("r." + STARS).alias("rating"))
     if exclude_self:
         out = out.where(F.col("neighbour") != F.col(ITEM))
     return out
@@ -89,7 +105,7 @@ def _item_stats(train: DataFrame) -> DataFrame:
 
 
 def pair_stats(pairs: DataFrame, train: DataFrame, stats: DataFrame | None = None,
-               keep_all: bool = False) -> DataFrame:
+               keep_all: bool = False, broadcast: bool = False) -> DataFrame:
     """Co-rating sums per pair: ``n, sx, sy, sxy, sxx, syy, sad``.
 
     ``x`` is the rating of ``item_i``, ``y`` of ``item_j``; ``sad`` is
@@ -111,15 +127,23 @@ def pair_stats(pairs: DataFrame, train: DataFrame, stats: DataFrame | None = Non
     p = (p.withColumn("drive", F.when(i_first, F.col("item_i")).otherwise(F.col("item_j")))
          .withColumn("other", F.when(i_first, F.col("item_j")).otherwise(F.col("item_i"))))
 
-    drive = train.select(F.col(ITEM).alias("drive"), USER, F.col(STARS).alias("x_drive"))
-    other = train.select(F.col(ITEM).alias("other"), USER, F.col(STARS).alias("x_other"))
+    lk = train.select(ITEM, USER, STARS)
+    if broadcast:
+        lk = F.broadcast(lk)
+    drive = lk.alias("d").select(F.col("d." + ITEM).alias("drive"), F.col("d." + USER).alias(USER),
+                                 F.col("d." + STARS).alias("x_drive"))
+    other = lk.alias("o").select(F.col("o." + ITEM).alias("other"), F.col("o." + USER).alias(USER),
+                                 F.col("o." + STARS).alias("x_other"))
     # Probe rows are kept narrow (the pair key is re-derived after the join):
     # they are the largest intermediate of the whole job.  The second lookup
     # hashes on (item, user), which spreads even a hot item evenly, so its
     # build side (the rating table) is balanced and a shuffled hash join
     # avoids sorting the probe rows.
-    probe = (p.select("drive", "other").join(drive, "drive")
-             .join(other.hint("shuffle_hash"), ["other", USER]))
+    if broadcast:
+        probe = p.select("drive", "other").join(drive, "drive").join(other, ["other", USER])
+    else:
+        probe = (p.select("drive", "other").join(drive, "drive")
+                 .join(other.hint("shuffle_hash"), ["other", USER]))
     i, j = pair_key("drive", "other")
     i_is_drive = F.col("drive") <= F.col("other")
     rows = probe.select(i.alias("item_i"), j.alias("item_j"),
@@ -183,7 +207,8 @@ def weight_expr() -> Column:
             .otherwise(mean_gap(F.col("mean_i"), F.col("mean_j"))))
 
 
-def item_similarity(pairs: DataFrame, train: DataFrame, raw: DataFrame | None = None) -> DataFrame:
+def item_similarity(pairs: DataFrame, train: DataFrame, raw: DataFrame | None = None,
+                    broadcast: bool = False) -> DataFrame:
     """``(item_i, item_j, n, rule, weight)`` for every given canonical pair
     whose items both have training ratings.
 
@@ -191,7 +216,7 @@ def item_similarity(pairs: DataFrame, train: DataFrame, raw: DataFrame | None =
     mean-gap rule come from ``raw`` (all rows, duplicates included) when given.
     """
     stats = _item_stats(train if raw is None else raw)
-    st = pair_stats(pairs, train, stats=stats, keep_all=True)
+    st = pair_stats(pairs, train, stats=stats, keep_all=True, broadcast=broadcast)
     return st.select("item_i", "item_j", "n", similarity_rule(F.col("n")).alias("rule"),
                      weight_expr().cast("double").alias("weight"))
 
@@ -199,8 +224,11 @@ def item_similarity(pairs: DataFrame, train: DataFrame, raw: DataFrame | None =
 def weighted_candidates(cands: DataFrame, weights: DataFrame) -> DataFrame:
     i, j = pair_key(ITEM, "neighbour")
     c = cands.withColumn("item_i", i).withColumn("item_j", j)
-    return c.join(weights.select("item_i", "item_j", "weight"), ["item_i", "item_j"]) \
-        .drop("item_i", "item_j")
+    # weights hold one row per pair, so hash partitions of them are balanced
+    # even when a pair is needed by many requests: build a hash table on
+    # them instead of sorting both sides
+    w = weights.select("item_i", "item_j", "weight").hint("shuffle_hash")
+    return c.join(w, ["item_i", "item_j"]).drop("item_i", "item_j")
 
 
 def top_neighbours(wc: DataFrame, k: int = TOP_K) -> DataFrame:
@@ -225,20 +253,24 @@ def weighted_mean(top: DataFrame, empty_value: float = COLD_USER_VALUE) -> DataF
 
 def predict(train: DataFrame, requests: DataFrame, k: int = TOP_K,
             cold_user_value: float = COLD_USER_VALUE, exclude_self: bool = False,
-            dedupe: bool = True, clip: bool = False) -> DataFrame:
+            dedupe: bool = True, clip: bool = False,
+            broadcast_ratings: bool | None = None) -> DataFrame:
     """Item-CF prediction for every request row.
 
     Returns ``(user_id, business_id, prediction, source)`` with ``source`` in
     ``cold_user`` / ``cold_item`` / ``cf``.  Means are taken over the raw
     training rows; the neighbour ratings over the de-duplicated ones
-    (``max`` per pair) unless ``dedupe`` is False.
+    (``max`` per pair) unless ``dedupe`` is False.  ``broadcast_ratings``
+    (default: measured) broadcasts the rating table in every join against it.
     """
     lookup = R.dedupe(train) if dedupe else train
+    if broadcast_ratings is None:
+        broadcast_ratings = fits_broadcast(train)
     status = request_status(requests, train)
     warm = (status.where(F.col("user_mean").isNotNull() & F.col("item_mean").isNotNull())
             .select(USER, ITEM).distinct())
-    cands = candidates(warm, lookup, exclude_self=exclude_self)
-    weights = item_similarity(needed_pairs(cands), lookup, raw=train)
+    cands = candidates(warm, lookup, exclude_self=exclude_self, broadcast=broadcast_ratings)
+    weights = item_similarity(needed_pairs(cands), lookup, raw=train, broadcast=broadcast_ratings)
     scores = weighted_mean(top_neighbours(weighted_candidates(cands, weights), k), cold_user_value)
     out = status.join(scores, [USER, ITEM], "left")
     um, im = F.col("user_mean"), F.col("item_mean")

@@ -1,0 +1,26 @@
+"""Size checks that gate broadcast joins.
+
+A side is broadcast only after its row count has been *measured* to be at
+most a bound; ``limit(bound + 1).count()`` stops reading as soon as the
+bound is exceeded, so the check stays cheap on large inputs.  The bound is
+read from the session (``ratewise.broadcast.maxRows``), default 2 M rows
+(about 50-100 MB as a hash relation on every executor).
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+
+CONF_KEY = "ratewise.broadcast.maxRows"
+DEFAULT_MAX_ROWS = 2_000_000
+
+
+def max_broadcast_rows(df: DataFrame) -> int:
+    return int(df.sparkSession.conf.get(CONF_KEY, str(DEFAULT_MAX_ROWS)))
+
+
+def fits_broadcast(df: DataFrame, max_rows: int | None = None) -> bool:
+    bound = max_broadcast_rows(df) if max_rows is None else max_rows
+    if bound <= 0:
+        return False
+    return df.limit(bound + 1).count() <= bound

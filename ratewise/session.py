@@ -21,6 +21,10 @@ DEFAULTS = {
     "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
     "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64MB",
     "spark.sql.adaptive.localShuffleReader.enabled": "true",
+    # AQE sizes coalesced partitions by their *input* bytes; joins here often
+    # expand a small input many times (requests -> candidates -> probes), so
+    # small partitions are kept apart instead of being folded into one task.
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64KB",
     "spark.sql.session.timeZone": "UTC",
 }
 
