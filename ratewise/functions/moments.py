@@ -57,6 +57,10 @@ def moments(n: Column, s1: Column, s2: Column, s3: Column, s4: Column) -> dict[s
     Rows with ``n = 0`` give NULL everywhere (callers substitute fallbacks).
     """
     nd, nm2, m2, m3, m4 = _central(n, s1, s2, s3, s4)
+    return _finish(nd, s1, nm2, m2, m3, m4)
+
+
+def _finish(nd: Column, s1: Column, nm2: Column, m2: Column, m3: Column, m4: Column) -> dict[str, Column]:
     zero_var = nm2 <= F.lit(0.0)
     safe_m2 = F.when(zero_var, F.lit(1.0)).otherwise(m2)
     mean = s1 / nd
@@ -71,6 +75,23 @@ def moments(n: Column, s1: Column, s2: Column, s3: Column, s4: Column) -> dict[s
             "skew": skew.cast("double"), "kurt": kurt.cast("double")}
 
 
+def central_columns(n: Column, s1: Column, s2: Column, s3: Column, s4: Column,
+                    tag: str) -> list[Column]:
+    """Step 1 of the staged form: ``<tag>_nd, _s1, _nm2, _m2, _m3, _m4``
+    as plain columns, so the statistics of step 2 reference them instead of
+    re-expanding the sums (keeps each projection small enough for
+    whole-stage code generation)."""
+    nd, nm2, m2, m3, m4 = _central(n, s1, s2, s3, s4)
+    return [nd.alias(f"{tag}_nd"), s1.alias(f"{tag}_s1"), nm2.alias(f"{tag}_nm2"),
+            m2.alias(f"{tag}_m2"), m3.alias(f"{tag}_m3"), m4.alias(f"{tag}_m4")]
+
+
+def stats_from_central(tag: str) -> dict[str, Column]:
+    """Step 2: ``avg/std/skew/kurt`` from the columns of ``central_columns``."""
+    c = lambda name: F.col(f"{tag}_{name}")
+    return _finish(c("nd"), c("s1"), c("nm2"), c("m2"), c("m3"), c("m4"))
+
+
 def moment_columns(n: Column, s1: Column, s2: Column, s3: Column, s4: Column,
                    names: dict[str, str]) -> list[Column]:
     """The moments of ``moments`` aliased by ``names`` (``avg -> usr_avg`` ...)."""

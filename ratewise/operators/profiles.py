@@ -17,7 +17,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ratewise.functions.moments import moment_columns, moments, power_sum_aggs, prefixed
+from ratewise.functions.moments import (central_columns, moment_columns, moments, power_sum_aggs,
+                                       prefixed, stats_from_central)
 
 USER, ITEM, STARS = "user_id", "business_id", "stars"
 USER_PREFIX, ITEM_PREFIX = "usr", "bns"
@@ -59,11 +60,39 @@ def _stats_from(n: Column, s1, s2, s3, s4, mn: Column, mx: Column, prefix: str)
     return [m[s].alias(f"{prefix}_{s}") for s in STAT_NAMES]
 
 
+def _staged_stats(df: DataFrame, keep: list[str], sides: list[tuple[str, str]],
+                  fallback: bool = False) -> DataFrame:
+    """Statistics in two small projections per side.
+
+    ``sides`` lists ``(tag, prefix)``; ``df`` holds ``<tag>_n, _s1.._s4,
+    _mn, _mx`` (and ``fb_<prefix>_*`` when ``fallback``).
+    """
+    c = lambda tag, name: F.col(f"{tag}_{name}")
+    central = [col for tag, _ in sides
+               for col in central_columns(c(tag, "n"), c(tag, "s1"), c(tag, "s2"), c(tag, "s3"),
+                                          c(tag, "s4"), f"{tag}_c")]
+    carry = [f"{tag}_{x}" for tag, _ in sides for x in ("n", "mn", "mx")]
+    fb = [x for x in df.columns if x.startswith("fb_")] if fallback else []
+    step = df.select(*keep, *carry, *fb, *central)
+    out = []
+    for tag, prefix in sides:
+        m = stats_from_central(f"{tag}_c")
+        n = c(tag, "n")
+        m["max"] = F.when(n > 0, c(tag, "mx")).cast("double")
+        m["min"] = F.when(n > 0, c(tag, "mn")).cast("double")
+        for stat in STAT_NAMES:
+            v = m[stat]
+            if fallback:
+                v = F.when(n > 0, v).otherwise(F.col(f"fb_{prefix}_{stat}"))
+            out.append(v.cast("double").alias(f"{prefix}_{stat}"))
+    return step.select(*keep, *out)
+
+
 def profile(ratings: DataFrame, key: str, prefix: str) -> DataFrame:
     """Full profile per group: ``key, <prefix>_avg ... <prefix>_min``."""
     s = summarize(ratings, key)
-    return s.select(key, *_stats_from(F.col("n"), F.col("s1"), F.col("s2"), F.col("s3"), F.col("s4"),
-                                      F.col("mn"), F.col("mx"), prefix))
+    s = s.select(key, *[F.col(x).alias(f"g_{x}") for x in ("n", "s1", "s2", "s3", "s4", "mn", "mx")])
+    return _staged_stats(s, [key], [("g", prefix)])
 
 
 def user_profile(ratings: DataFrame) -> DataFrame:
@@ -141,10 +170,13 @@ def loo_features(pairs: DataFrame, ratings: DataFrame, fallback: DataFrame,
         v = F.col(own_value).cast("double")
     # the fallback is a single row: a broadcast nested-loop join of 1 row
     p = p.join(us, USER, "left").join(bs, ITEM, "left").crossJoin(F.broadcast(fb))
-    out = []
-    for s, prefix in (("us", USER_PREFIX), ("bs", ITEM_PREFIX)):
+    adjusted = []
+    for s, tag in (("us", "ua"), ("bs", "ba")):
         n, s1, s2, s3, s4, mn, mx = _without(s, v, k)
-        n = F.coalesce(n, F.lit(0))
-        stats = _stats_from(n, s1, s2, s3, s4, mn, mx, prefix)
-        out += _with_fallback(stats, n, prefix, prefix)
-    return p.select(USER, ITEM, *keep, *out)
+        adjusted += [F.coalesce(n, F.lit(0)).alias(f"{tag}_n"), s1.alias(f"{tag}_s1"),
+                     s2.alias(f"{tag}_s2"), s3.alias(f"{tag}_s3"), s4.alias(f"{tag}_s4"),
+                     mn.alias(f"{tag}_mn"), mx.alias(f"{tag}_mx")]
+    keep_cols = [USER, ITEM, *keep]
+    fb_cols = [x for x in p.columns if x.startswith("fb_")]
+    p = p.select(*keep_cols, *fb_cols, *adjusted)
+    return _staged_stats(p, keep_cols, [("ua", USER_PREFIX), ("ba", ITEM_PREFIX)], fallback=True)
