@@ -16,6 +16,7 @@ from ratewise.functions.scalars import rounded
 from ratewise.operators import cf
 from ratewise.operators import ratings as R
 from ratewise.sources import testdata as T
+from ratewise.plans import jobs as J
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -157,7 +158,7 @@ def cf_weighted_mean(spark, d):
 @register("item_cf_predict")
 def item_cf_predict(spark, d):
     """Flagship: item-CF prediction for every request."""
-    pred = cf.predict(T.train(spark, d), T.requests(spark, d))
+    pred = J.item_cf(T.train(spark, d), T.requests(spark, d))
     return pred.select("user_id", "business_id", rounded("prediction").alias("prediction"), "source")
 
 
@@ -328,11 +329,10 @@ def onehot_requests(spark, d):
 # ---------------------------------------------------------------- models, blend, evaluation
 from ratewise.operators import evaluate as EV  # noqa: E402
 from ratewise.operators import model as M  # noqa: E402
-from ratewise.plans import jobs as J  # noqa: E402
 
 
 def _cf_pred(spark, d):
-    return cf.predict(T.train(spark, d), T.requests(spark, d))
+    return J.item_cf(T.train(spark, d), T.requests(spark, d))
 
 
 @register("rmse_eval")
@@ -351,7 +351,7 @@ def error_bands(spark, d):
 def hybrid_blend(spark, d):
     """0.1 * item-CF + 0.9 * a second score that SQL can restate: the item's
     training mean (user mean for a cold item, 3.75 for a cold user)."""
-    train, req = T.train(spark, d), T.requests(spark, d)
+    train, req = J.materialize(T.train(spark, d)), T.requests(spark, d)
     st = cf.request_status(req, train)
     second = st.select("user_id", "business_id",
                        F.coalesce("item_mean", "user_mean", F.lit(cf.COLD_USER_VALUE)).alias("prediction"))
@@ -454,7 +454,7 @@ def predictions_sink(spark, d):
     """Item-CF predictions written as CSV (header ``user_id,business_id,
     prediction``) and read back."""
     path = _scratch(spark, "predictions")
-    pred = cf.predict(T.train(spark, d), T.requests(spark, d))
+    pred = J.item_cf(T.train(spark, d), T.requests(spark, d))
     FS.write_predictions(pred.select("user_id", "business_id", rounded("prediction").alias("prediction")),
                          path)
     schema = TY.StructType([TY.StructField("user_id", TY.LongType()),

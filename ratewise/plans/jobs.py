@@ -20,12 +20,24 @@ from ratewise.operators import evaluate as EV
 from ratewise.operators import features as FT
 from ratewise.operators import model as M
 from ratewise.plans import feature_frames as FF
+from ratewise.session import checkpoint_dir
 from ratewise.sources import files
 
 KEYS = ["user_id", "business_id"]
 
 
-def item_cf(train: DataFrame, requests: DataFrame, **kw) -> DataFrame:
+def materialize(df: DataFrame) -> DataFrame:
+    """Write ``df`` to the shared checkpoint folder and cut its lineage: the
+    table is computed once, read by every branch of the plan that follows,
+    and survives the loss of the executors that computed it."""
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
+def item_cf(train: DataFrame, requests: DataFrame, materialize_train: bool = True,
+            **kw) -> DataFrame:
+    if materialize_train:
+        train = materialize(train)
     return cf.predict(train, requests, **kw)
 
 
