@@ -53,6 +53,9 @@ def model_a_frames(train, requests, reviews, users, items):
 def model_a(train, requests, reviews, users, items, params: dict | None = None) -> DataFrame:
     """One prediction per distinct request pair."""
     tr, rq, feats = model_a_frames(train, requests, reviews, users, items)
+    # the fit makes one pass per tree level: read a written table, not the
+    # whole feature lineage, and survive executor loss without recomputing it
+    tr = materialize(tr.select("y", *feats))
     model = M.fit_gbt(tr, feats, "y", params or M.MODEL_A_PARAMS)
     return M.predict_gbt(model, rq, feats)
 
@@ -66,7 +69,8 @@ def hybrid(train, requests, reviews, users, items, alpha: float = EV.ALPHA,
 
 def feature_model(inp: FF.Inputs, params: dict | None = None) -> DataFrame:
     frames = FF.build(inp)
-    model = M.fit_gbt(frames.train, frames.features, "y", params or M.MODEL_B_PARAMS)
+    tr = materialize(frames.train.select("y", *frames.features))
+    model = M.fit_gbt(tr, frames.features, "y", params or M.MODEL_B_PARAMS)
     rq = frames.requests.select(*KEYS, *frames.features).dropDuplicates(KEYS)
     return M.predict_gbt(model, rq, frames.features)
 
