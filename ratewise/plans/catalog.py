@@ -29,6 +29,13 @@ def register(name: str):
     return deco
 
 
+def _train(spark, d):
+    """The training table written once to the shared checkpoint folder, for
+    queries whose plans read it more than once (each read would otherwise
+    re-derive it from the line items and orders)."""
+    return J.materialize(T.train(spark, d))
+
+
 # ---------------------------------------------------------------- sources
 @register("ratings_scan")
 def ratings_scan(spark, d):
@@ -70,7 +77,7 @@ def item_degrees(spark, d):
 
 # ---------------------------------------------------------------- item-CF pieces
 def _cf_inputs(spark, d):
-    train = T.train(spark, d)
+    train = _train(spark, d)
     status = cf.request_status(T.requests(spark, d), train)
     warm = (status.where(F.col("user_mean").isNotNull() & F.col("item_mean").isNotNull())
             .select("user_id", "business_id").distinct())
@@ -192,7 +199,7 @@ def global_profile(spark, d):
 
 @register("loo_train_features")
 def loo_train_features(spark, d):
-    train = T.train(spark, d)
+    train = _train(spark, d)
     pairs = train.select("user_id", "business_id", "stars", F.col("stars").alias("y"))
     out = P.loo_features(pairs, train, _fallback(spark, d), own_value="stars", keep=("y",))
     return _round_stats(out, ["user_id", "business_id", "y"])
@@ -200,7 +207,7 @@ def loo_train_features(spark, d):
 
 @register("loo_request_features")
 def loo_request_features(spark, d):
-    train = T.train(spark, d)
+    train = _train(spark, d)
     out = P.loo_features(T.requests(spark, d).select("user_id", "business_id"), train,
                          _fallback(spark, d), own_value=None)
     return _round_stats(out, ["user_id", "business_id"])
@@ -219,7 +226,7 @@ def _round_doubles(df: DataFrame) -> DataFrame:
 
 
 def _inputs(spark, d) -> FF.Inputs:
-    return FF.Inputs(T.train(spark, d), T.requests(spark, d), T.items(spark, d), T.users(spark, d),
+    return FF.Inputs(_train(spark, d), T.requests(spark, d), T.items(spark, d), T.users(spark, d),
                      T.tips(spark, d), T.photos(spark, d), T.checkins(spark, d))
 
 
@@ -351,7 +358,7 @@ def error_bands(spark, d):
 def hybrid_blend(spark, d):
     """0.1 * item-CF + 0.9 * a second score that SQL can restate: the item's
     training mean (user mean for a cold item, 3.75 for a cold user)."""
-    train, req = J.materialize(T.train(spark, d)), T.requests(spark, d)
+    train, req = _train(spark, d), T.requests(spark, d)
     st = cf.request_status(req, train)
     second = st.select("user_id", "business_id",
                        F.coalesce("item_mean", "user_mean", F.lit(cf.COLD_USER_VALUE)).alias("prediction"))
