@@ -313,11 +313,12 @@ def fill_missing(spark, d):
 
 def _onehot(spark, d, side):
     inp = _inputs(spark, d)
-    fb = FF.fallback_profile(inp)
     keys = E.selected_keys(inp.items)
-    tr = FF.merged_training(inp, fb, keys)
-    vocab = E.fit_vocabulary(tr, keys)
-    frame = tr if side == "train" else FF.merged_requests(inp, fb, keys)
+    vocab = FF.training_vocabulary(inp, keys)
+    # the encoded cells depend only on the attribute columns of the frame:
+    # the pairs left-joined to the selected attributes of their items
+    pairs = (inp.train if side == "train" else inp.requests).select("user_id", "business_id")
+    frame = pairs.join(E.item_attributes_wide(inp.items, keys), "business_id", "left")
     return E.onehot_long(frame, vocab, ["user_id", "business_id"])
 
 
