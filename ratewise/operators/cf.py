@@ -31,8 +31,12 @@ Plan shape (no collect, no Python):
    request and map task to the final ranking;
 6. weighted mean per request, joined back to the request status.
 
-Skewed keys (a hot item or a hot user) are left to AQE's skew-join split,
-which the session enables.
+Hot keys: on the shuffle path a user or item holding more than
+``ratewise.skew.hotRows`` ratings is salted (``ratewise.operators.skew``):
+its rating rows are spread over several tasks by a hash of the other id and
+the matching request / pair rows are replicated once per salt, which keeps
+the result exact.  AQE's skew-join split, enabled in the session, covers
+the remaining joins.
 
 When the rating table is measured to be small (``sizing.fits_broadcast``),
 every join against it is a broadcast hash join: the probe rows of step 4 are
@@ -46,6 +50,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ratewise.operators import ratings as R
+from ratewise.operators import skew
 from ratewise.operators.sizing import fits_broadcast
 
 USER, ITEM, STARS = R.USER, R.ITEM, R.STARS
@@ -73,14 +78,21 @@ def _maybe_broadcast(df: DataFrame, broadcast: bool) -> DataFrame:
 
 
 def candidates(warm: DataFrame, train: DataFrame, exclude_self: bool = False,
-               broadcast: bool = False) -> DataFrame:
+               broadcast: bool = False, hot_users: DataFrame | None = None) -> DataFrame:
     """``(user_id, business_id, neighbour, rating)``: one row per item the
-    requesting user rated."""
-    # joined on the plain (item, user, stars) projection, renamed afterwards,
-    # so every join against the rating table shares one broadcast
-    rated = _maybe_broadcast(train.select(ITEM, USER, STARS), broadcast).alias("r")
-    w = warm.select(USER, ITEM).alias("w")
-    out = w.join(rated, F.col("w." + USER) == F.col("r." + USER)).select(
+    requesting user rated.  ``hot_users`` (``skew.hot_keys``) salts the
+    shuffle join for users with very many ratings."""
+    if hot_users is not None and not broadcast:
+        rated = skew.salt_big(train.select(ITEM, USER, STARS), USER, ITEM, hot_users).alias("r")
+        w = skew.replicate_small(warm.select(USER, ITEM), USER, hot_users).alias("w")
+        cond = (F.col("w." + USER) == F.col("r." + USER)) & (F.col("w._salt") == F.col("r._salt"))
+    else:
+        # joined on the plain (item, user, stars) projection, renamed
+        # afterwards, so every join against the rating table shares one broadcast
+        rated = _maybe_broadcast(train.select(ITEM, USER, STARS), broadcast).alias("r")
+        w = warm.select(USER, ITEM).alias("w")
+        cond = F.col("w." + USER) == F.col("r." + USER)
+    out = w.join(rated, cond).select(
         F.col("w." + USER).alias(USER), F.col("w." + ITEM).alias(ITEM),
         F.col("r." + ITEM).alias("neighbour"), F.col("r." + STARS).alias("rating"))
     if exclude_self:
@@ -142,7 +154,12 @@ def pair_stats(pairs: DataFrame, train: DataFrame, stats: DataFrame | None = Non
     if broadcast:
         probe = p.select("drive", "other").join(drive, "drive").join(other, ["other", USER])
     else:
-        probe = (p.select("drive", "other").join(drive, "drive")
+        # a hot driving item is salted: its raters spread over several
+        # tasks, its pairs replicated once per salt
+        hot = skew.hot_keys(stats, ITEM, "deg")
+        pairs_s = skew.replicate_small(p.select("drive", "other"), "drive", hot)
+        drive_s = skew.salt_big(drive, "drive", USER, hot)
+        probe = (pairs_s.join(drive_s, ["drive", "_salt"]).drop("_salt")
                  .join(other.hint("shuffle_hash"), ["other", USER]))
     i, j = pair_key("drive", "other")
     i_is_drive = F.col("drive") <= F.col("other")
@@ -269,7 +286,9 @@ def predict(train: DataFrame, requests: DataFrame, k: int = TOP_K,
     status = request_status(requests, train)
     warm = (status.where(F.col("user_mean").isNotNull() & F.col("item_mean").isNotNull())
             .select(USER, ITEM).distinct())
-    cands = candidates(warm, lookup, exclude_self=exclude_self, broadcast=broadcast_ratings)
+    hot_users = None if broadcast_ratings else skew.hot_keys(R.user_degrees(lookup), USER, "n_items")
+    cands = candidates(warm, lookup, exclude_self=exclude_self, broadcast=broadcast_ratings,
+                       hot_users=hot_users)
     weights = item_similarity(needed_pairs(cands), lookup, raw=train, broadcast=broadcast_ratings)
     scores = weighted_mean(top_neighbours(weighted_candidates(cands, weights), k), cold_user_value)
     out = status.join(scores, [USER, ITEM], "left")
