@@ -17,8 +17,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ratewise.functions.moments import (central_columns, moment_columns, moments, power_sum_aggs,
-                                       prefixed, stats_from_central)
+from ratewise.functions.moments import (central_columns, moment_columns, power_sum_aggs, prefixed,
+                                       stats_from_central)
 
 USER, ITEM, STARS = "user_id", "business_id", "stars"
 USER_PREFIX, ITEM_PREFIX = "usr", "bns"
@@ -53,13 +53,6 @@ def summarize(ratings: DataFrame, key: str, value: str = STARS) -> DataFrame:
     return base.join(ext, key)
 
 
-def _stats_from(n: Column, s1, s2, s3, s4, mn: Column, mx: Column, prefix: str) -> list[Column]:
-    m = moments(n, s1, s2, s3, s4)
-    m["max"] = F.when(n > 0, mx).cast("double")
-    m["min"] = F.when(n > 0, mn).cast("double")
-    return [m[s].alias(f"{prefix}_{s}") for s in STAT_NAMES]
-
-
 def _staged_stats(df: DataFrame, keep: list[str], sides: list[tuple[str, str]],
                   fallback: bool = False) -> DataFrame:
     """Statistics in two small projections per side.
@@ -139,12 +132,6 @@ def _without(s: str, v: Column, k: Column) -> list[Column]:
     return [n, s1, s2, s3, s4, mn, mx]
 
 
-def _with_fallback(stats: list[Column], n: Column, fallback_prefix: str, prefix: str) -> list[Column]:
-    names = stat_columns(prefix)
-    return [F.when(n > 0, st).otherwise(F.col(f"fb_{fallback_prefix}_{name.split('_', 1)[1]}"))
-            .cast("double").alias(name) for st, name in zip(stats, names)]
-
-
 def loo_features(pairs: DataFrame, ratings: DataFrame, fallback: DataFrame,
                  own_value: str | None = STARS, keep: tuple[str, ...] = ()) -> DataFrame:
     """Leave-one-out profiles of each pair's user and item.
