@@ -56,7 +56,9 @@ def selected_attributes(items: DataFrame) -> DataFrame:
 
 
 def selected_keys(items: DataFrame) -> list[str]:
-    """The selected keys, sorted (a bounded vocabulary: driver-side)."""
+    """The selected keys, sorted.  Driver-side, because the set is bounded:
+    every selected key covers >= 1/5 of the items, so there are at most
+    5 x (average attributes per item) of them."""
     return sorted(r["attr_key"] for r in selected_attributes(items).select("attr_key").collect())
 
 
@@ -64,8 +66,10 @@ def item_attributes_long(items: DataFrame, keys: list[str] | None = None) -> Dat
     """``(business_id, attr_key, attr_value)`` restricted to selected keys."""
     pairs = attribute_pairs(items)
     if keys is None:
+        # each selected key is on >= 1/5 of the items, so there are at most
+        # 5 x (attributes per item) of them: a bounded broadcast
         sel = selected_attributes(items).select("attr_key")
-        return pairs.join(F.broadcast(sel), "attr_key", "left_semi")  # a few keys
+        return pairs.join(F.broadcast(sel), "attr_key", "left_semi")
     return pairs.where(F.col("attr_key").isin(keys))
 
 
