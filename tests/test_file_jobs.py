@@ -68,3 +68,12 @@ def test_item_cf_job_matches_parquet_path(spark, folder):
     exp = {(r.user_id, r.business_id): r.prediction for r in J.item_cf(tr, rq).collect()}
     assert got.keys() == exp.keys()
     assert all(abs(got[k] - exp[k]) < 1e-9 for k in exp)
+
+
+def test_command_line(spark, folder, capsys):
+    from ratewise.__main__ import main
+    out = f"{folder}/cli_out"
+    main(["item-cf", f"{folder}/yelp_train.csv", f"{folder}/val.csv", out])
+    assert "Duration" in capsys.readouterr().out
+    n_req = FS.read_requests(spark, f"{folder}/val.csv").count()
+    assert FS.read_predictions(spark, out).count() == n_req
