@@ -76,6 +76,12 @@ def feature_model(inp: FF.Inputs, params: dict | None = None) -> DataFrame:
 
 
 # ------------------------------------------------------------------ file jobs
+def per_request_row(requests: DataFrame, pred: DataFrame) -> DataFrame:
+    """One output row per request row (duplicates kept), from predictions
+    made once per distinct pair."""
+    return requests.select(*KEYS).join(pred.select(*KEYS, "prediction"), KEYS, "left")
+
+
 def _folder_inputs(spark: SparkSession, folder: str, requests_path: str) -> FF.Inputs:
     f = folder.rstrip("/")
     return FF.Inputs(
@@ -97,13 +103,15 @@ def run_item_cf(spark: SparkSession, train_path: str, requests_path: str, out_pa
 def run_model_a(spark: SparkSession, folder: str, requests_path: str, out_path: str) -> None:
     inp = _folder_inputs(spark, folder, requests_path)
     reviews = files.read_reviews(spark, f"{folder.rstrip('/')}/review_train.json")
-    files.write_predictions(model_a(inp.train, inp.requests, reviews, inp.users, inp.items), out_path)
+    pred = model_a(inp.train, inp.requests, reviews, inp.users, inp.items)
+    files.write_predictions(per_request_row(inp.requests, pred), out_path)
 
 
 def run_hybrid(spark: SparkSession, folder: str, requests_path: str, out_path: str) -> None:
     inp = _folder_inputs(spark, folder, requests_path)
     reviews = files.read_reviews(spark, f"{folder.rstrip('/')}/review_train.json")
-    files.write_predictions(hybrid(inp.train, inp.requests, reviews, inp.users, inp.items), out_path)
+    pred = hybrid(inp.train, inp.requests, reviews, inp.users, inp.items)
+    files.write_predictions(per_request_row(inp.requests, pred), out_path)
 
 
 def run_feature_model(spark: SparkSession, folder: str, requests_path: str, out_path: str,
@@ -111,7 +119,7 @@ def run_feature_model(spark: SparkSession, folder: str, requests_path: str, out_
     """Writes the predictions and returns the one-row RMSE against the
     requests' ``stars`` (when the request file carries them)."""
     inp = _folder_inputs(spark, folder, requests_path)
-    pred = feature_model(inp, params)
+    pred = per_request_row(inp.requests, feature_model(inp, params))
     files.write_predictions(pred, out_path)
     written = files.read_predictions(spark, out_path)
     truth = inp.requests.where(F.col("stars").isNotNull())
