@@ -40,8 +40,9 @@ def configure(spark: SparkSession) -> SparkSession:
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder named by the cluster.
 
-    Read from ``spark.checkpoint.dir``; only when it is unset (local tests)
-    a scratch folder is created and registered.
+    Read from ``spark.checkpoint.dir``.  Only in local mode, when it is unset
+    (tests), a scratch folder is created and registered; on a cluster an
+    unset folder is an error.
     """
     sc = spark.sparkContext
     path = sc.getCheckpointDir()
@@ -49,7 +50,10 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return path
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
-        path = tempfile.mkdtemp(prefix="ratewise-ckpt-")
+        if not sc.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir is not set: name a folder shared by all "
+                               "executors (a machine-local folder cannot hold checkpoints)")
+        path = tempfile.mkdtemp(prefix="ratewise-ckpt-")   # local mode only (tests)
     sc.setCheckpointDir(path)
     return sc.getCheckpointDir() or path
 
