@@ -1,22 +1,35 @@
 """Registered queries: one per operator, each ``(spark, sf_dir) -> DataFrame``.
 
 Every query reads the whole driver tables through ``ratewise.sources.testdata``
-and returns a lazy DataFrame; doubles are rounded to 6 digits only here, at
+and returns a DataFrame.  Queries whose plans read the training table more
+than once materialize it first; file round trips and model fits run their
+writes and fits when called.  Doubles are rounded to 6 digits only here, at
 the edge, so that the SQL oracle can compare values.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as TY
 
-from ratewise.functions.scalars import rounded
+from ratewise.functions.scalars import json_field, packed_list_len, rounded
 from ratewise.operators import cf
+from ratewise.operators import encode as E
+from ratewise.operators import evaluate as EV
+from ratewise.operators import features as FT
+from ratewise.operators import model as M
+from ratewise.operators import profiles as P
 from ratewise.operators import ratings as R
-from ratewise.sources import testdata as T
+from ratewise.plans import feature_frames as FF
 from ratewise.plans import jobs as J
+from ratewise.session import checkpoint_dir
+from ratewise.sources import files as FS
+from ratewise.sources import testdata as T
+from ratewise.streaming import scoring as ST
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -170,7 +183,6 @@ def item_cf_predict(spark, d):
 
 
 # ---------------------------------------------------------------- profiles
-from ratewise.operators import profiles as P  # noqa: E402
 
 
 def _round_stats(df: DataFrame, keep: list[str]) -> DataFrame:
@@ -214,10 +226,6 @@ def loo_request_features(spark, d):
 
 
 # ---------------------------------------------------------------- features
-from ratewise.functions.scalars import json_field, packed_list_len  # noqa: E402
-from ratewise.operators import encode as E  # noqa: E402
-from ratewise.operators import features as FT  # noqa: E402
-from ratewise.plans import feature_frames as FF  # noqa: E402
 
 
 def _round_doubles(df: DataFrame) -> DataFrame:
@@ -335,8 +343,6 @@ def onehot_requests(spark, d):
 
 
 # ---------------------------------------------------------------- models, blend, evaluation
-from ratewise.operators import evaluate as EV  # noqa: E402
-from ratewise.operators import model as M  # noqa: E402
 
 
 def _cf_pred(spark, d):
@@ -400,12 +406,6 @@ def model_b_rmse(spark, d):
 
 
 # ---------------------------------------------------------------- file sources and sinks
-import uuid  # noqa: E402
-
-from pyspark.sql import types as TY  # noqa: E402
-
-from ratewise.session import checkpoint_dir  # noqa: E402
-from ratewise.sources import files as FS  # noqa: E402
 
 
 def _scratch(spark, name: str) -> str:
@@ -480,7 +480,6 @@ def fallback_roundtrip(spark, d):
 
 
 # ---------------------------------------------------------------- streaming
-from ratewise.streaming import scoring as ST  # noqa: E402
 
 
 @register("item_cf_stream")
