@@ -1,8 +1,10 @@
 """Size checks that gate broadcast joins.
 
 A side is broadcast only after its row count has been *measured* to be at
-most a bound; ``limit(bound + 1).count()`` stops reading as soon as the
-bound is exceeded, so the check stays cheap on large inputs.  The bound is
+most a bound.  ``select().offset(bound).isEmpty()`` runs as an incremental
+take of zero-column rows: partitions are scanned a few at a time and the
+scan stops as soon as row ``bound + 1`` is seen, so on a large input the
+check reads a handful of partitions, not the table.  The bound is
 read from the session (``ratewise.broadcast.maxRows``), default 2 M rows
 (about 50-100 MB as a hash relation on every executor).
 """
@@ -23,4 +25,4 @@ def fits_broadcast(df: DataFrame, max_rows: int | None = None) -> bool:
     bound = max_broadcast_rows(df) if max_rows is None else max_rows
     if bound <= 0:
         return False
-    return df.limit(bound + 1).count() <= bound
+    return df.select().offset(bound).isEmpty()

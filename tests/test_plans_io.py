@@ -135,3 +135,11 @@ def test_streaming_scoring_equals_batch(spark):
     exp = sorted(map(tuple, cf.predict(train, req).select("user_id", "business_id", "prediction").collect()))
     assert got == exp and len(got) == 4
     assert len([p for p in os.listdir(f"{d}/out") if p.startswith("batch_id=")]) == 2
+
+
+def test_broadcast_size_check(spark):
+    from ratewise.operators.sizing import fits_broadcast
+    df = spark.range(0, 1000, numPartitions=7)
+    assert fits_broadcast(df, 1000) and fits_broadcast(df, 5000)
+    assert not fits_broadcast(df, 999) and not fits_broadcast(df, 0)
+    assert fits_broadcast(df.where("id < 0"), 1)
