@@ -41,10 +41,21 @@ def item_cf(train: DataFrame, requests: DataFrame, materialize_train: bool = Tru
     return cf.predict(train, requests, **kw)
 
 
-def model_a_frames(train, requests, reviews, users, items):
+def _narrow(df: DataFrame, cols) -> DataFrame:
+    """Round values to single precision (as the original model job fed its
+    learner float32 arrays); NULLs stay NULL."""
+    cols = set(cols)
+    return df.select(*[F.col(c).cast("float").cast("double").alias(c) if c in cols else F.col(c)
+                       for c in df.columns])
+
+
+def model_a_frames(train, requests, reviews, users, items, float32: bool = True):
     tr = FT.feature_vector8(train.select(*KEYS, F.col("stars").cast("double").alias("y")),
                             reviews, users, items)
     rq = FT.feature_vector8(requests.select(*KEYS).distinct(), reviews, users, items)
+    if float32:
+        tr = _narrow(tr, list(FT.VECTOR8) + ["y"])
+        rq = _narrow(rq, FT.VECTOR8)
     tr, feats = M.impute_with_indicators(tr, list(FT.VECTOR8))
     rq, _ = M.impute_with_indicators(rq, list(FT.VECTOR8))
     return tr, rq, feats

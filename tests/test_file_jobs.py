@@ -77,3 +77,12 @@ def test_command_line(spark, folder, capsys):
     assert "Duration" in capsys.readouterr().out
     n_req = FS.read_requests(spark, f"{folder}/val.csv").count()
     assert FS.read_predictions(spark, out).count() == n_req
+
+
+def test_model_a_frames_are_single_precision(spark):
+    import numpy as np
+    tr, rq, feats = J.model_a_frames(T.train(spark, SF_SMALL), T.requests(spark, SF_SMALL),
+                                     T.reviews(spark, SF_SMALL), T.users(spark, SF_SMALL),
+                                     T.items(spark, SF_SMALL))
+    vals = [v for r in tr.select("review_funny", "review_cool").limit(200).collect() for v in r]
+    assert all(v == float(np.float32(v)) for v in vals if v is not None)
