@@ -1,8 +1,9 @@
 """Registered queries of the training-data operators and their DuckDB SQL."""
 
-from ratewise.llm import sentencepiece_bpe
+from ratewise.llm import sentencepiece_bpe, simhash
 
 QUERIES = {
+    "op3_simhash": simhash.op3_simhash,
     "op5_sentencepiece": sentencepiece_bpe.op5_sentencepiece,
 }
 

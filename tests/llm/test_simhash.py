@@ -1,0 +1,115 @@
+import random
+
+import numpy as np
+import pytest
+import xxhash
+from pyspark.sql import functions as F
+
+from ratewise.llm import simhash
+from ratewise.llm.components import components
+
+SF = "/root/testdata/sf0.001"
+
+
+def brute_fingerprint(text):
+    words = (text or "").encode().lower().split()
+    if not words:
+        return 0
+    grams = [b" ".join(words[i:i + 3]) for i in range(max(1, len(words) - 2))]
+    hashes = [xxhash.xxh64_intdigest(g, 42) for g in grams]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+
+def brute(rows):
+    prints = [brute_fingerprint(t) for _, t in rows]
+    up = list(range(len(rows)))
+
+    def find(x):
+        while up[x] != x:
+            x = up[x]
+        return x
+
+    for i in range(len(rows)):
+        for j in range(i):
+            if (prints[i] ^ prints[j]).bit_count() <= 3:
+                up[find(i)] = find(j)
+    least = {}
+    for i, (d, _) in enumerate(rows):
+        least.setdefault(find(i), []).append(d)
+    return sorted(((d, f"{p:016x}", min((x for x in least[find(i)] if x is not None), default=None))
+                   for i, ((d, _), p) in enumerate(zip(rows, prints))), key=str)
+
+
+def run(spark, rows):
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").withColumn("fp", F.lit("clash"))
+    return sorted((tuple(r) for r in simhash.near_duplicates(df).collect()), key=str)
+
+
+def test_same_hash_as_spark(spark):
+    df = spark.createDataFrame([("Ab c d",), ("é ü ß",)], "t string")
+    for r in df.select("t", F.xxhash64("t").alias("h")).collect():
+        assert xxhash.xxh64_intdigest(r.t.encode(), 42) == r.h % (1 << 64)
+
+
+def test_documents_match_brute_force(spark):
+    rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{SF}/documents.parquet").collect()]
+    assert run(spark, rows) == brute(rows)
+
+
+def test_edges_nulls_repeats_long(spark):
+    long = " ".join(f"w{i % 977}" for i in range(60_000))
+    rows = [(5, None), (3, ""), (4, " \t\n"), (None, "a b c d"), (9, "A b C d"), (9, "A b C d"),
+            (1, "one"), (2, "one two"), (7, long), (8, long.upper()), (6, "é É x y")]
+    assert run(spark, rows) == brute(rows)
+
+
+def test_empty_table(spark):
+    assert run(spark, []) == []
+
+
+@pytest.mark.parametrize("block", [8, 4096])
+def test_links_connect_like_brute_force(spark, monkeypatch, block):
+    """Planted balls of fingerprints around a few centres, dense and skewed."""
+    monkeypatch.setattr(simhash, "BLOCK", block)
+    rng = random.Random(7)
+    fps = {0, -1}
+    for centre in [rng.getrandbits(64) for _ in range(4)]:
+        for _ in range(120):
+            x = centre
+            for _ in range(rng.randrange(7)):
+                x ^= 1 << rng.randrange(64)
+            fps.add(x - (1 << 64) if x >> 63 else x)
+    fps = sorted(fps)
+    arr = np.array(fps).view(np.uint64)
+    near = np.bitwise_count(arr[:, None] ^ arr[None, :]) <= 3
+    label = np.arange(len(fps))
+    while True:
+        new = np.array([label[near[i]].min() for i in range(len(fps))])
+        if (new == label).all():
+            break
+        label = new
+    df = spark.createDataFrame([(x,) for x in fps], "fp bigint")
+    got = {r.node: r.root for r in components(simhash.links(df)).collect()}
+    assert [got.get(x, x) for x in fps] == [fps[k] for k in label]
+
+
+def test_thresholds_cover_the_distance():
+    together = np.full((64, 64), 250.0)
+    np.fill_diagonal(together, 500.0)
+    for n in (1000, 10 ** 7, 10 ** 11):
+        parts = simhash.plan(n, together * n / 1000)
+        assert sum(t + 1 for _, t in parts) == 4
+        assert len({b for bits, _ in parts for b in bits}) == sum(len(bits) for bits, _ in parts)
+
+
+def test_keep_one(spark):
+    df = spark.createDataFrame([(2, "a b c"), (1, "A b c"), (1, "A b c"), (3, "other words here now")],
+                               "doc_id bigint, text string")
+    assert sorted(r.doc_id for r in simhash.keep_one(df).collect()) == [1, 3]
+
+
+def test_chain_of_components(spark):
+    edges = [(i, i + 1) for i in range(300)] + [(1000 + i, 1000) for i in range(1, 200)] + [(5, 5)]
+    df = spark.createDataFrame(edges, "a bigint, b bigint").repartition(6)
+    got = {r.node: r.root for r in components(df).collect()}
+    assert got == {i: 0 for i in range(1, 301)} | {1000 + i: 1000 for i in range(1, 200)}
