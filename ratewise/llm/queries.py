@@ -1,10 +1,13 @@
 """Registered queries of the training-data operators and their DuckDB SQL."""
 
-from ratewise.llm import sentencepiece_bpe, simhash
+from ratewise.llm import sentencepiece_bpe, simhash, winnow
 
 QUERIES = {
     "op3_simhash": simhash.op3_simhash,
     "op5_sentencepiece": sentencepiece_bpe.op5_sentencepiece,
+    "op8_winnow": winnow.op8_winnow,
 }
 
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {
+    "op8_winnow": winnow.SQL,
+}
