@@ -1,7 +1,7 @@
 """Buckets of candidates, cut into pairs of blocks of bounded size.
 
-A bucket is all ids under one key.  Buckets of one id are dropped.  A bucket of
-more than ``block`` ids is split by a hash of the id into blocks, and every pair
+A bucket is all ids under one key; those of one id are of no use.  A bucket of
+more than ``block`` ids (or other units of size) is split by a hash of the id into blocks, and every pair
 of blocks becomes a group of its own, so no pair of ids is lost, no group holds
 more than about two blocks, and one hot key spreads over many tasks.
 """
@@ -16,20 +16,26 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def groups(rows: DataFrame, block: int) -> DataFrame:
-    """``rows(key, id, ...)``, distinct -> the rows of buckets with two or more
-    rows, with ``grp`` (bigint) naming the group; rows of split buckets appear
+def split(rows: DataFrame, sizes: DataFrame, block: int) -> DataFrame:
+    """``rows(key, id, ...)`` of the buckets in ``sizes(key, n)`` with ``grp``
+    (bigint) naming the group; rows of buckets with ``n`` over ``block`` appear
     once per group they belong to."""
-    many = rows.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
-    hit = rows.join(many, "key")
+    hit = rows.join(sizes, "key")
     blocks = F.ceil(F.col("n") / block)
-    blk = F.pmod(F.xxhash64(F.lit("block"), F.col("id")), blocks)
     keep = [F.col(c) for c in rows.columns]
     small = hit.where(F.col("n") <= block).select(*keep, F.col("key").alias("grp"))
-    split = (hit.where(F.col("n") > block)
-             .withColumn("_me", blk).withColumn("_other", F.explode(F.sequence(F.lit(0).cast("bigint"), blocks - 1)))
+    large = (hit.where(F.col("n") > block)
+             .withColumn("_me", F.pmod(F.xxhash64(F.lit("block"), F.col("id")), blocks))
+             .withColumn("_other", F.explode(F.sequence(F.lit(0).cast("bigint"), blocks - 1)))
              .select(*keep, F.xxhash64("key", F.least("_me", "_other"), F.greatest("_me", "_other")).alias("grp")))
-    return small.unionAll(split)
+    return small.unionAll(large)
+
+
+def shared(rows: DataFrame) -> DataFrame:
+    """``(key, n)`` of the keys of ``rows(key, id)`` that two or more ids have;
+    n counts the rows."""
+    return (rows.groupBy("key").agg(F.count("*").alias("n"), F.min("id").alias("lo"), F.max("id").alias("hi"))
+            .where("lo <> hi").select("key", "n"))
 
 
 def stream(rows: DataFrame, fn: Callable, schema: str) -> DataFrame:

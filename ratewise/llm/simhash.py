@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ratewise.llm.buckets import groups, stream
+from ratewise.llm.buckets import shared, split, stream
 from ratewise.llm.common import by_document, store, table
 from ratewise.llm.components import components
 
@@ -218,7 +218,7 @@ def links(fps: DataFrame, distance: int = DISTANCE) -> DataFrame:
     n, together = bit_statistics(fps)
     parts = plan(n, together, distance)
     rows = fps.select("fp").mapInArrow(partial(_probe, parts=parts), "key bigint, id bigint, own boolean")
-    return stream(groups(rows, BLOCK), partial(_verify, distance=distance), "a bigint, b bigint")
+    return stream(split(rows, shared(rows), BLOCK), partial(_verify, distance=distance), "a bigint, b bigint")
 
 
 def near_duplicates(docs: DataFrame, words: int = WORDS, distance: int = DISTANCE) -> DataFrame:
