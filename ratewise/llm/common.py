@@ -8,12 +8,11 @@ from collections.abc import Callable, Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
+from pyspark.sql.types import StructType
 
 from ratewise.session import checkpoint_dir
 
-#: Rows of one Arrow batch sent back to Spark.
-OUT_ROWS = 200_000
-
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -58,27 +57,48 @@ def sampled(df: DataFrame, key: str, rows: int, total: int, seed: str) -> DataFr
     return df.where(F.pmod(F.xxhash64(F.lit(seed), F.col(key)), F.lit(1 << 30)) < cut)
 
 
+def keep_documents(df: DataFrame, fn: Callable, setup: Callable | None = None) -> DataFrame:
+    """The rows of ``df`` whose ``fn(text, state)`` is true, all columns kept."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        state = setup() if setup else None
+        for batch in batches:
+            texts = batch.column(batch.schema.get_field_index("text"))
+            yield batch.filter(pa.array([bool(fn(x.as_py(), state)) for x in texts], pa.bool_()))
+
+    return df.mapInArrow(run, df.schema)
+
+
+def fit_in_one_task(sample: DataFrame, order: list[str], fit: Callable) -> bytes | None:
+    """``fit(table)`` over a bounded sample in one task, which a lost executor
+    only repeats; the bytes it returns, or None for an empty sample."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts = [b for b in batches if b.num_rows]
+        if parts:
+            yield pa.RecordBatch.from_arrays([pa.array([fit(pa.Table.from_batches(parts))], pa.binary())],
+                                             names=["model"])
+
+    rows = sample.coalesce(1).sortWithinPartitions(*order).mapInArrow(run, "model binary").collect()
+    return bytes(rows[0].model) if rows else None
+
+
 def by_document(df: DataFrame, fn: Callable, schema: str, setup: Callable | None = None) -> DataFrame:
     """``fn(text, state)`` for each row of ``df(key columns..., text)``; the
     result's values follow the key columns.  One text is held at a time besides
     the Arrow batch, and values leave in small batches."""
     keys = [c for c in df.columns if c != "text"]
     kept = [df.schema[c] for c in keys]
+    values = [(f.name, to_arrow_type(f.dataType)) for f in StructType.fromDDL(schema)]
     out = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept) + ", " + schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         state = setup() if setup else None
-        names = None
         for batch in batches:
             texts = batch.column(batch.schema.get_field_index("text"))
             for lo in range(0, batch.num_rows, 2000):
                 part = texts.slice(lo, 2000)
                 rows = [fn(x.as_py(), state) for x in part]
-                if names is None:
-                    names = [s.split()[0].strip("`") for s in schema.split(", ")]
                 arrays = [batch.column(batch.schema.get_field_index(c)).slice(lo, 2000) for c in keys]
-                cols = list(zip(*rows, strict=True))
-                arrays += [pa.array(c) for c in cols]
-                yield pa.RecordBatch.from_arrays(arrays, names=keys + names)
+                arrays += [pa.array(c, kind) for c, (_, kind) in zip(zip(*rows, strict=True), values, strict=True)]
+                yield pa.RecordBatch.from_arrays(arrays, names=keys + [n for n, _ in values])
 
     return df.mapInArrow(run, out)

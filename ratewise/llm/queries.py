@@ -1,8 +1,9 @@
 """Registered queries of the training-data operators and their DuckDB SQL."""
 
-from ratewise.llm import fuzzy_lines, sentencepiece_bpe, simhash, winnow
+from ratewise.llm import fuzzy_lines, language, sentencepiece_bpe, simhash, winnow
 
 QUERIES = {
+    "op1_language": language.op1_language,
     "op3_simhash": simhash.op3_simhash,
     "op5_sentencepiece": sentencepiece_bpe.op5_sentencepiece,
     "op6_fuzzy_lines": fuzzy_lines.op6_fuzzy_lines,
