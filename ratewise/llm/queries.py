@@ -1,9 +1,10 @@
 """Registered queries of the training-data operators and their DuckDB SQL."""
 
-from ratewise.llm import fuzzy_lines, language, sentencepiece_bpe, simhash, winnow
+from ratewise.llm import fuzzy_lines, language, quality, sentencepiece_bpe, simhash, winnow
 
 QUERIES = {
     "op1_language": language.op1_language,
+    "op2_quality": quality.op2_quality,
     "op3_simhash": simhash.op3_simhash,
     "op5_sentencepiece": sentencepiece_bpe.op5_sentencepiece,
     "op6_fuzzy_lines": fuzzy_lines.op6_fuzzy_lines,
