@@ -1,6 +1,6 @@
 """Registered queries of the training-data operators and their DuckDB SQL."""
 
-from ratewise.llm import fuzzy_lines, language, quality, sentencepiece_bpe, simhash, winnow
+from ratewise.llm import fuzzy_lines, language, quality, sentencepiece_bpe, simhash, token_counts, winnow
 
 QUERIES = {
     "op1_language": language.op1_language,
@@ -9,6 +9,7 @@ QUERIES = {
     "op5_sentencepiece": sentencepiece_bpe.op5_sentencepiece,
     "op6_fuzzy_lines": fuzzy_lines.op6_fuzzy_lines,
     "op8_winnow": winnow.op8_winnow,
+    "op10_token_counts": token_counts.op10_token_counts,
 }
 
 SQL: dict[str, str] = {
