@@ -1,11 +1,12 @@
 """Registered queries of the training-data operators and their DuckDB SQL."""
 
-from ratewise.llm import fuzzy_lines, language, quality, sentencepiece_bpe, simhash, token_counts, winnow
+from ratewise.llm import chat, fuzzy_lines, language, quality, sentencepiece_bpe, simhash, token_counts, winnow
 
 QUERIES = {
     "op1_language": language.op1_language,
     "op2_quality": quality.op2_quality,
     "op3_simhash": simhash.op3_simhash,
+    "op4_chat": chat.op4_chat,
     "op5_sentencepiece": sentencepiece_bpe.op5_sentencepiece,
     "op6_fuzzy_lines": fuzzy_lines.op6_fuzzy_lines,
     "op8_winnow": winnow.op8_winnow,
@@ -13,5 +14,6 @@ QUERIES = {
 }
 
 SQL: dict[str, str] = {
+    "op4_chat": chat.SQL,
     "op8_winnow": winnow.SQL,
 }
