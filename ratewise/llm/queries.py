@@ -1,6 +1,6 @@
 """Registered queries of the training-data operators and their DuckDB SQL."""
 
-from ratewise.llm import chat, fuzzy_lines, language, line_rules, quality, sentencepiece_bpe, simhash, token_counts, winnow
+from ratewise.llm import chat, fuzzy_lines, language, line_rules, pii, quality, sentencepiece_bpe, simhash, token_counts, winnow
 
 QUERIES = {
     "op1_language": language.op1_language,
@@ -11,6 +11,7 @@ QUERIES = {
     "op6_fuzzy_lines": fuzzy_lines.op6_fuzzy_lines,
     "op7_line_rules": line_rules.op7_line_rules,
     "op8_winnow": winnow.op8_winnow,
+    "op9_pii": pii.op9_pii,
     "op10_token_counts": token_counts.op10_token_counts,
 }
 
