@@ -1,18 +1,47 @@
-"""Corpus pipeline: each stage's rows are written and read by the next one."""
+"""Corpus pipeline: each stage's rows are written and read by the next one.
+
+Documents whose language is not recognised go, then lines that repeat or nearly
+repeat, then near-copies of documents, then documents with benchmark passages;
+what is left is encoded.  NULLs, empty texts and repeated rows are handled as the
+operators' docstrings say; an empty table gives an empty result.
+"""
 
 from __future__ import annotations
 
-from ratewise.llm import sentencepiece_bpe
+from ratewise.llm import fuzzy_lines, language, sentencepiece_bpe, simhash, winnow
 from ratewise.llm.common import scratch, table
 
 
+def language_id(spark, docs, sf_dir):
+    return language.keep(docs, language.fit(docs))
+
+
+def line_dedup(spark, docs, sf_dir):
+    return fuzzy_lines.dedup_lines(docs)
+
+
+def simhash_dedup(spark, docs, sf_dir):
+    return simhash.keep_one(docs)
+
+
+def decontamination(spark, docs, sf_dir):
+    return winnow.clean(docs, table(spark, sf_dir, "benchmark"))
+
+
 def sentencepiece(spark, docs, sf_dir):
     return sentencepiece_bpe.digests(docs)
 
 
-STAGES = [("sentencepiece", sentencepiece)]
+STAGES = [
+    ("language_id", language_id),
+    ("line_dedup", line_dedup),
+    ("simhash_dedup", simhash_dedup),
+    ("decontamination", decontamination),
+    ("sentencepiece", sentencepiece),
+]
 
-#: The stages train a model and hash shingles, which SQL cannot express.
+#: A trained model, hashed shingles and a tokenizer cannot be expressed in SQL;
+#: tests/llm/test_pipeline.py holds the stages against brute force.
 ORACLE_SQL = None
 
 

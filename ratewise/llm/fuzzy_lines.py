@@ -9,9 +9,9 @@ Jaccard similarity of their shingle sets, and a distributed union-find joins
 the verified links to classes.  The first line of a class, by doc_id and line
 number, stays; all others go.
 
-Copies of a line are one candidate.  Buckets with the same lines are verified
-once; a large one is cut into pairs of blocks, and each group returns a
-spanning forest of its links.  Line ids are 64-bit hashes of the stripped line.
+Copies of a line are one candidate.  Buckets with the same least line id are
+verified together, as the bands of a class mostly are; a large one is cut into
+pairs of blocks, and each group returns a spanning forest of its links.  Line ids are 64-bit hashes of the stripped line.
 
 Results: a document is a distinct (doc_id, text); repeated rows are the same
 document and keep the same lines.  A NULL doc_id sorts first and is a document
@@ -187,10 +187,8 @@ def line_links(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
     spark = docs.sparkSession
     rows = _line_texts(docs).select("id", "line").mapInArrow(_sign, "key bigint, id bigint")
     hit = store(rows.join(shared(rows).select("key"), "key").distinct(), "line-candidates")
-    once = (hit.groupBy("key").agg(F.count("*").alias("n"), F.min("id").alias("lo"),
-                                   F.bit_xor(F.xxhash64("id")).alias("x"))
-            .groupBy("n", "lo", "x").agg(F.min("key").alias("key")).select("key"))
-    wanted = store(hit.join(once, "key"), "line-buckets")
+    least_id = hit.groupBy("key").agg(F.min("id").alias("lo"))
+    wanted = store(hit.join(least_id, "key").select(F.col("lo").alias("key"), "id").distinct(), "line-buckets")
     set_bits = wanted.select(F.col("id").bitwiseAND(TABLE_BITS - 1).alias("bit")).distinct().toPandas()  # bounded
     flags = np.zeros(TABLE_BITS, bool)
     flags[set_bits["bit"].to_numpy(np.int64)] = True

@@ -63,10 +63,6 @@ def fingerprint(text: str | None, words: int = WORDS) -> int:
     return int.from_bytes(np.packbits(counts * 2 > n).tobytes(), "big", signed=True)
 
 
-def fingerprints(docs: DataFrame, words: int = WORDS) -> DataFrame:
-    return by_document(docs.select("doc_id", "text"), lambda text, _: (fingerprint(text, words),), "fp bigint")
-
-
 def _bits(fp: np.ndarray) -> np.ndarray:
     """One column per bit, the lowest first."""
     return np.unpackbits(fp.astype("<i8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
@@ -221,25 +217,31 @@ def links(fps: DataFrame, distance: int = DISTANCE) -> DataFrame:
     return stream(split(rows, shared(rows), BLOCK), partial(_verify, distance=distance), "a bigint, b bigint")
 
 
+def _components(docs: DataFrame, words: int, distance: int) -> DataFrame:
+    """(doc_id, key, fp, root) of every row; key stands for doc_id and text."""
+    rows = docs.select("doc_id", F.xxhash64("doc_id", "text").alias("key"), "text")
+    fps = store(by_document(rows, lambda text, _: (fingerprint(text, words),), "fp bigint"), "fingerprints")
+    distinct = store(fps.select("fp").distinct(), "distinct")
+    joined = components(links(distinct, distance)).withColumnRenamed("node", "fp")
+    return fps.join(joined, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+
+
 def near_duplicates(docs: DataFrame, words: int = WORDS, distance: int = DISTANCE) -> DataFrame:
     """One row per row of ``docs``: doc_id, fingerprint, component_id."""
-    fps = store(fingerprints(docs, words), "fingerprints")
-    reps = store(fps.groupBy("fp").agg(F.min("doc_id").alias("rep")), "distinct")
-    joined = components(links(reps, distance))
-    roots = reps.join(joined.withColumnRenamed("node", "fp"), "fp", "left") \
-        .select("fp", "rep", F.coalesce("root", "fp").alias("root"))
-    least = roots.groupBy("root").agg(F.min("rep").alias("component_id"))
-    ids = roots.join(least, "root").select("fp", "component_id")
-    return fps.join(ids, "fp").select(
+    found = _components(docs, words, distance)
+    least = found.groupBy("root").agg(F.min("doc_id").alias("component_id"))
+    return found.join(least, "root").select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
 def keep_one(docs: DataFrame, words: int = WORDS, distance: int = DISTANCE) -> DataFrame:
-    """``docs`` with one row of each component: that of the component's
-    smallest doc_id."""
-    found = near_duplicates(docs, words, distance)
-    keep = found.where("doc_id = component_id").select("doc_id").distinct()
-    return docs.join(keep, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    """``docs`` with one row of each component: that of the smallest doc_id, or
+    any row where all ids are NULL."""
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "key"))
+    keep = _components(docs, words, distance).groupBy("root").agg(first.alias("first")).select(
+        F.col("first.key").alias("_key"))
+    return docs.withColumn("_key", F.xxhash64("doc_id", "text")).join(keep, "_key", "left_semi") \
+        .dropDuplicates(["_key"]).drop("_key")
 
 
 def op3_simhash(spark, sf_dir: str) -> DataFrame:

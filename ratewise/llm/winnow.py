@@ -224,9 +224,11 @@ def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 
 def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """``docs`` without the contaminated ones."""
-    bad = contamination(docs, benchmark).where("contaminated").select("doc_id").distinct()
-    return docs.join(bad, "doc_id", "left_anti")
+    """``docs`` without the contaminated ones, whatever their doc_id."""
+    texts = docs.select(F.xxhash64("text").alias("doc_id"), "text")
+    bad = contamination(texts, benchmark).where("contaminated").select(F.col("doc_id").alias("_text")).distinct()
+    return docs.withColumn("_text", F.xxhash64("text")).join(bad, "_text", "left_anti").drop("_text") \
+        .select(*docs.columns)
 
 
 def op8_winnow(spark, sf_dir: str) -> DataFrame:

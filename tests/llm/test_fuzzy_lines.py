@@ -1,4 +1,5 @@
 import random
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -31,14 +32,15 @@ def brute(docs):
             x = up[x]
         return x
 
-    close = 0
-    for i in range(len(lines)):
-        for j in range(i):
-            if min(len(sets[i]), len(sets[j])) >= 0.8 * max(len(sets[i]), len(sets[j])):
-                both = len(sets[i] & sets[j])
-                if both >= 0.8 * (len(sets[i]) + len(sets[j]) - both):
-                    up[find(i)] = find(j)
-                    close += 1
+    close, having = 0, {}
+    for i, mine in enumerate(sets):
+        both = Counter(j for g in mine for j in having.get(g, ()))
+        for j, n in both.items():
+            if n >= 0.8 * (len(mine) + len(sets[j]) - n):
+                up[find(i)] = find(j)
+                close += 1
+        for g in mine:
+            having.setdefault(g, []).append(i)
     classes = {}
     for i, line in enumerate(lines):
         classes.setdefault(find(i), []).extend(spots[line])

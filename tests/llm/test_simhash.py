@@ -106,6 +106,12 @@ def test_keep_one(spark):
     df = spark.createDataFrame([(2, "a b c"), (1, "A b c"), (1, "A b c"), (3, "other words here now")],
                                "doc_id bigint, text string")
     assert sorted(r.doc_id for r in simhash.keep_one(df).collect()) == [1, 3]
+    nulls = spark.createDataFrame([(None, "a b c", 1), (None, "A B c", 2), (None, "x y z w", 3), (5, "x y z w", 4)],
+                                  "doc_id bigint, text string, n_chars bigint")
+    got = simhash.keep_one(nulls)
+    assert got.columns == nulls.columns
+    assert sorted(r.text.lower() for r in got.collect()) == ["a b c", "x y z w"]
+    assert 5 in {r.doc_id for r in got.collect()}
 
 
 def test_chain_of_components(spark):

@@ -88,7 +88,7 @@ def test_hash_depends_on_the_word_alone(monkeypatch):
 
 
 def test_clean_keeps_columns(spark):
-    d = spark.createDataFrame([(1, "one two three", "s"), (2, "other", None), (None, "x y", "t")],
+    d = spark.createDataFrame([(1, "one two three", "s"), (2, "other", None), (None, "x y", "t"), (None, "a two three", "t")],
                               "doc_id bigint, text string, source string")
     b = spark.createDataFrame([(1, "two three")], "item_id bigint, text string")
     got = winnow.clean(d, b)
