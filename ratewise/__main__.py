@@ -7,8 +7,8 @@
 
 ``FOLDER`` holds ``yelp_train.csv``, ``user.json``, ``business.json``,
 ``review_train.json``, ``tip.json``, ``photo.json`` and ``checkin.json``.
-The session is taken from ``spark-submit`` when there is one; otherwise a
-local session is started.  Predictions are written as CSV part files with
+The session, its master and its memory come from the submit tool's settings (or
+Spark's own defaults).  Predictions are written as CSV part files with
 the header ``user_id,business_id,prediction``.
 """
 
@@ -33,12 +33,7 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--trees", type=int, default=None, help="number of boosted trees")
     args = ap.parse_args(argv)
 
-    active = SparkSession.getActiveSession()
-    if active is None:
-        from ratewise.session import local_session
-        spark = local_session()
-    else:
-        spark = configure(active)
+    spark = configure(SparkSession.builder.appName(f"ratewise {args.job}").getOrCreate())
     t0 = time.time()
     if args.job == "item-cf":
         jobs.run_item_cf(spark, args.inputs, args.requests, args.out)

@@ -20,38 +20,35 @@ Plan shape (no collect, no Python):
 2. candidates: warm requests joined to the user's training rows;
 3. needed pairs: the distinct canonical ``(least, greatest)`` item pairs of
    the candidates, i.e. only the pairs some request needs;
-4. co-rating statistics per needed pair: each pair is driven from its item
-   with *fewer* raters and probes the other item on ``(item, user)``, so the
-   work per pair is ``min(deg_i, deg_j)`` -- no per-user all-pairs expansion;
-   the pair row itself is unioned in so that pairs with no co-rater survive
-   the single aggregation without an extra outer join;
+4. co-rating rows of the needed pairs: a user of at most
+   ``ratewise.cf.expandItems`` rated items lists the item pairs of their own
+   list, and those lists are matched with the needed pairs; the ratings of
+   heavier users are looked up from the pairs instead, so the work is linear
+   in the ratings either way.  A marker row per pair is unioned in, so pairs
+   with no co-rater survive the single aggregation without an outer join;
 5. top-k neighbours per request with ``row_number`` over a window filtered to
    ``<= k``; Spark plans this with a partial ``WindowGroupLimit`` before the
    shuffle, so even a user with millions of ratings sends at most k rows per
    request and map task to the final ranking;
 6. weighted mean per request, joined back to the request status.
 
-Hot keys: on the shuffle path a user or item holding more than
-``ratewise.skew.hotRows`` ratings is salted (``ratewise.operators.skew``):
-its rating rows are spread over several tasks by a hash of the other id and
-the matching request / pair rows are replicated once per salt, which keeps
-the result exact.  AQE's skew-join split, enabled in the session, covers
-the remaining joins.
-
-When the rating table is measured to be small (``sizing.fits_broadcast``),
-every join against it is a broadcast hash join: the probe rows of step 4 are
-then generated and looked up inside one map task, and only the co-rater hits
-are shuffled.  Above the bound the same plan runs with shuffle joins.
+There is one plan for every size.  Joins whose rows per key multiply
+(requests x ratings of a user, pairs x heavy raters of an item) are salted by
+that product (``ratewise.operators.skew``); all others have one row per key on
+one side and are left to AQE, which broadcasts by measured size and splits
+skewed partitions.  ``prepare`` computes what depends on the training table
+alone, for callers that score many batches.
 """
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ratewise.operators import ratings as R
-from ratewise.operators import skew
-from ratewise.operators.sizing import fits_broadcast
+from ratewise.operators.skew import salted_join
 
 USER, ITEM, STARS = R.USER, R.ITEM, R.STARS
 
@@ -60,41 +57,42 @@ COLD_USER_VALUE = 3.75   # score of a user with no training rating
 TOP_K = 15               # neighbours kept per request
 MAX_STARS = 5.0          # scale constant of the mean-gap / agreement rules
 
+EXPAND_CONF, DEFAULT_EXPAND_ITEMS = "ratewise.cf.expandItems", 500
+
+
+@dataclass
+class Prepared:
+    """What predictions need of the training table."""
+    user_means: DataFrame     # user_id, user_mean (all rows)
+    item_means: DataFrame     # business_id, item_mean (all rows)
+    lookup: DataFrame         # user_id, business_id, stars: one row per pair
+
+
+def prepare(train: DataFrame, dedupe: bool = True) -> Prepared:
+    """Rows without a rating are left out."""
+    rated = train.where(F.col(STARS).isNotNull())
+    lookup = R.dedupe(rated) if dedupe else rated.select(USER, ITEM, F.col(STARS).cast("double").alias(STARS))
+    return Prepared(R.user_means(rated).select(USER, "user_mean"),
+                    R.item_means(rated).select(ITEM, "item_mean"), lookup)
 
-def request_status(requests: DataFrame, train: DataFrame) -> DataFrame:
+
+def request_status(requests: DataFrame, train: DataFrame | Prepared) -> DataFrame:
     """Requests with ``user_mean`` / ``item_mean`` (NULL when cold).
 
     Every request row is kept, duplicates included.
     """
-    um = R.user_means(train).select(USER, "user_mean")
-    im = R.item_means(train).select(ITEM, "item_mean")
+    prep = train if isinstance(train, Prepared) else prepare(train, dedupe=False)
     return (requests.select(USER, ITEM)
-            .join(um, USER, "left")
-            .join(im, ITEM, "left"))
-
-
-def _maybe_broadcast(df: DataFrame, broadcast: bool) -> DataFrame:
-    return F.broadcast(df) if broadcast else df
+            .join(prep.user_means, USER, "left")
+            .join(prep.item_means, ITEM, "left"))
 
 
-def candidates(warm: DataFrame, train: DataFrame, exclude_self: bool = False,
-               broadcast: bool = False, hot_users: DataFrame | None = None) -> DataFrame:
+def candidates(warm: DataFrame, train: DataFrame, exclude_self: bool = False) -> DataFrame:
     """``(user_id, business_id, neighbour, rating)``: one row per item the
-    requesting user rated.  ``hot_users`` (``skew.hot_keys``) salts the
-    shuffle join for users with very many ratings."""
-    if hot_users is not None and not broadcast:
-        rated = skew.salt_big(train.select(ITEM, USER, STARS), USER, ITEM, hot_users).alias("r")
-        w = skew.replicate_small(warm.select(USER, ITEM), USER, hot_users).alias("w")
-        cond = (F.col("w." + USER) == F.col("r." + USER)) & (F.col("w._salt") == F.col("r._salt"))
-    else:
-        # joined on the plain (item, user, stars) projection, renamed
-        # afterwards, so every join against the rating table shares one broadcast
-        rated = _maybe_broadcast(train.select(ITEM, USER, STARS), broadcast).alias("r")
-        w = warm.select(USER, ITEM).alias("w")
-        cond = F.col("w." + USER) == F.col("r." + USER)
-    out = w.join(rated, cond).select(
-        F.col("w." + USER).alias(USER), F.col("w." + ITEM).alias(ITEM),
-        F.col("r." + ITEM).alias("neighbour"), F.col("r." + STARS).alias("rating"))
+    requesting user rated."""
+    rated = train.where(F.col(STARS).isNotNull()).select(
+        USER, F.col(ITEM).alias("neighbour"), F.col(STARS).alias("rating"))
+    out = salted_join(warm.select(USER, ITEM), rated, USER).select(USER, ITEM, "neighbour", "rating")
     if exclude_self:
         out = out.where(F.col("neighbour") != F.col(ITEM))
     return out
@@ -112,70 +110,52 @@ def needed_pairs(cands: DataFrame) -> DataFrame:
     return cands.select(i.alias("item_i"), j.alias("item_j")).distinct()
 
 
-def _item_stats(train: DataFrame) -> DataFrame:
-    return R.item_means(train).select(ITEM, "item_mean", F.col("item_n").alias("deg"))
-
-
-def pair_stats(pairs: DataFrame, train: DataFrame, stats: DataFrame | None = None,
-               keep_all: bool = False, broadcast: bool = False) -> DataFrame:
+def co_rating_rows(pairs: DataFrame, train: DataFrame) -> DataFrame:
+    """``(item_i, item_j, user_id, x, y)``: the ratings of every user who rated
+    both items of a pair.  ``pairs`` are distinct and canonical, ``train`` holds
+    one rating per (user, item)."""
+    limit = int(train.sparkSession.conf.get(EXPAND_CONF, str(DEFAULT_EXPAND_ITEMS)))
+    rated = train.where(F.col(STARS).isNotNull()).select(USER, ITEM, F.col(STARS).cast("double").alias(STARS))
+    degree = rated.groupBy(USER).agg(F.count(F.lit(1)).alias("_deg"))
+
+    def side(df, item, value):
+        return df.select(USER, F.col(ITEM).alias(item), F.col(STARS).alias(value))
+
+    light = rated.join(degree.where(F.col("_deg") <= limit).select(USER), USER, "left_semi")
+    own = side(light, "item_i", "x").join(side(light, "item_j", "y"), USER).where("item_i <= item_j")
+    # the needed pairs are one row per key, so a hash table on them is
+    # balanced and the longer list of own pairs needs no sort
+    rows = own.join(pairs.hint("shuffle_hash"), ["item_i", "item_j"]).select("item_i", "item_j", USER, "x", "y")
+    heavy_users = degree.where(F.col("_deg") > limit).select(USER)
+    if heavy_users.isEmpty():
+        return rows
+    heavy = rated.join(heavy_users, USER, "left_semi")
+    probe = salted_join(pairs, side(heavy, "item_i", "x"), "item_i").join(
+        side(heavy, "item_j", "y"), ["item_j", USER])
+    return rows.unionByName(probe.select("item_i", "item_j", USER, "x", "y"))
+
+
+def pair_stats(pairs: DataFrame, train: DataFrame, item_means: DataFrame | None = None) -> DataFrame:
     """Co-rating sums per pair: ``n, sx, sy, sxy, sxx, syy, sad``.
 
     ``x`` is the rating of ``item_i``, ``y`` of ``item_j``; ``sad`` is
-    ``sum(|x - y|)``.  With ``keep_all`` pairs without co-raters are kept
-    (``n = 0``) and the item means ``mean_i``, ``mean_j`` are carried along.
+    ``sum(|x - y|)``.  With ``item_means`` the pairs of items that both have a
+    mean are kept even without co-raters (``n = 0``), and ``mean_i``,
+    ``mean_j`` are carried along; without, only co-rated pairs appear.
     """
-    stats = _item_stats(train) if stats is None else stats
     # pairs must be unique as unordered pairs; they are put in canonical
     # order here (a projection, no shuffle)
     ci, cj = pair_key("item_i", "item_j")
     pairs = pairs.select(ci.alias("item_i"), cj.alias("item_j"))
-    si = stats.select(F.col(ITEM).alias("item_i"), F.col("item_mean").alias("mean_i"),
-                      F.col("deg").alias("deg_i"))
-    sj = stats.select(F.col(ITEM).alias("item_j"), F.col("item_mean").alias("mean_j"),
-                      F.col("deg").alias("deg_j"))
-    p = pairs.join(si, "item_i").join(sj, "item_j")
-    i_first = (F.col("deg_i") < F.col("deg_j")) | (
-        (F.col("deg_i") == F.col("deg_j")) & (F.col("item_i") <= F.col("item_j")))
-    p = (p.withColumn("drive", F.when(i_first, F.col("item_i")).otherwise(F.col("item_j")))
-         .withColumn("other", F.when(i_first, F.col("item_j")).otherwise(F.col("item_i"))))
-
-    lk = train.select(ITEM, USER, STARS)
-    if broadcast:
-        lk = F.broadcast(lk)
-    drive = lk.alias("d").select(F.col("d." + ITEM).alias("drive"), F.col("d." + USER).alias(USER),
-                                 F.col("d." + STARS).alias("x_drive"))
-    other = lk.alias("o").select(F.col("o." + ITEM).alias("other"), F.col("o." + USER).alias(USER),
-                                 F.col("o." + STARS).alias("x_other"))
-    # Probe rows are kept narrow (the pair key is re-derived after the join):
-    # they are the largest intermediate of the whole job.  The second lookup
-    # hashes on (item, user), which spreads even a hot item evenly, so its
-    # build side (the rating table) is balanced and a shuffled hash join
-    # avoids sorting the probe rows.
-    if broadcast:
-        probe = p.select("drive", "other").join(drive, "drive").join(other, ["other", USER])
-    else:
-        # a hot driving item is salted: its raters spread over several
-        # tasks, its pairs replicated once per salt
-        hot = skew.hot_keys(stats, ITEM, "deg")
-        pairs_s = skew.replicate_small(p.select("drive", "other"), "drive", hot)
-        drive_s = skew.salt_big(drive, "drive", USER, hot)
-        probe = (pairs_s.join(drive_s, ["drive", "_salt"]).drop("_salt")
-                 .join(other.hint("shuffle_hash"), ["other", USER]))
-    i, j = pair_key("drive", "other")
-    i_is_drive = F.col("drive") <= F.col("other")
-    rows = probe.select(i.alias("item_i"), j.alias("item_j"),
-                        F.lit(None).cast("double").alias("mean_i"),
-                        F.lit(None).cast("double").alias("mean_j"),
-                        F.when(i_is_drive, F.col("x_drive")).otherwise(F.col("x_other")).alias("x"),
-                        F.when(i_is_drive, F.col("x_other")).otherwise(F.col("x_drive")).alias("y"),
-                        F.lit(1).alias("c"))
-    if keep_all:
-        # one marker row per pair (carrying the item means), so pairs with
-        # no co-rater still appear, without an outer join
-        rows = rows.unionByName(
-            p.select("item_i", "item_j", "mean_i", "mean_j",
-                     F.lit(None).cast("double").alias("x"), F.lit(None).cast("double").alias("y"),
-                     F.lit(0).alias("c")))
+    none = F.lit(None).cast("double")
+    rows = co_rating_rows(pairs, train).select("item_i", "item_j", "x", "y", F.lit(1).alias("c"))
+    if item_means is not None:
+        means = [item_means.select(F.col(ITEM).alias(f"item_{s}"), F.col("item_mean").alias(f"mean_{s}"))
+                 for s in "ij"]
+        marker = pairs.join(means[0], "item_i").join(means[1], "item_j")
+        rows = rows.select("*", none.alias("mean_i"), none.alias("mean_j")).unionByName(
+            marker.select("item_i", "item_j", none.alias("x"), none.alias("y"), F.lit(0).alias("c"),
+                          "mean_i", "mean_j"))
     x, y = F.col("x"), F.col("y")
     zero = F.lit(0.0)
     aggs = [F.sum("c").cast("long").alias("n"),
@@ -184,9 +164,10 @@ def pair_stats(pairs: DataFrame, train: DataFrame, stats: DataFrame | None = Non
             F.coalesce(F.sum(x * x), zero).alias("sxx"),
             F.coalesce(F.sum(y * y), zero).alias("syy"),
             F.coalesce(F.sum(F.abs(x - y)), zero).alias("sad")]
-    if keep_all:
+    if item_means is not None:
         aggs += [F.max("mean_i").alias("mean_i"), F.max("mean_j").alias("mean_j")]
-    return rows.groupBy("item_i", "item_j").agg(*aggs)
+    out = rows.groupBy("item_i", "item_j").agg(*aggs)
+    return out if item_means is None else out.where("mean_i is not null and mean_j is not null")
 
 
 def pearson(n: Column, sx: Column, sy: Column, sxy: Column, sxx: Column, syy: Column) -> Column:
@@ -224,16 +205,16 @@ def weight_expr() -> Column:
             .otherwise(mean_gap(F.col("mean_i"), F.col("mean_j"))))
 
 
-def item_similarity(pairs: DataFrame, train: DataFrame, raw: DataFrame | None = None,
-                    broadcast: bool = False) -> DataFrame:
+def item_similarity(pairs: DataFrame, train: DataFrame, item_means: DataFrame | None = None) -> DataFrame:
     """``(item_i, item_j, n, rule, weight)`` for every given canonical pair
     whose items both have training ratings.
 
-    ``train`` holds one rating per (user, item); the item means of the
-    mean-gap rule come from ``raw`` (all rows, duplicates included) when given.
+    ``train`` holds one rating per (user, item); ``item_means`` of the mean-gap
+    rule are those of ``train`` unless given (those of all rows, duplicates
+    included, in ``predict``).
     """
-    stats = _item_stats(train if raw is None else raw)
-    st = pair_stats(pairs, train, stats=stats, keep_all=True, broadcast=broadcast)
+    means = R.item_means(train) if item_means is None else item_means
+    st = pair_stats(pairs, train, item_means=means)
     return st.select("item_i", "item_j", "n", similarity_rule(F.col("n")).alias("rule"),
                      weight_expr().cast("double").alias("weight"))
 
@@ -268,28 +249,22 @@ def weighted_mean(top: DataFrame, empty_value: float = COLD_USER_VALUE) -> DataF
                       .alias("cf_score"))
 
 
-def predict(train: DataFrame, requests: DataFrame, k: int = TOP_K,
+def predict(train: DataFrame | Prepared, requests: DataFrame, k: int = TOP_K,
             cold_user_value: float = COLD_USER_VALUE, exclude_self: bool = False,
-            dedupe: bool = True, clip: bool = False,
-            broadcast_ratings: bool | None = None) -> DataFrame:
+            dedupe: bool = True, clip: bool = False) -> DataFrame:
     """Item-CF prediction for every request row.
 
     Returns ``(user_id, business_id, prediction, source)`` with ``source`` in
     ``cold_user`` / ``cold_item`` / ``cf``.  Means are taken over the raw
     training rows; the neighbour ratings over the de-duplicated ones
-    (``max`` per pair) unless ``dedupe`` is False.  ``broadcast_ratings``
-    (default: measured) broadcasts the rating table in every join against it.
+    (``max`` per pair) unless ``dedupe`` is False.
     """
-    lookup = R.dedupe(train) if dedupe else train
-    if broadcast_ratings is None:
-        broadcast_ratings = fits_broadcast(train)
-    status = request_status(requests, train)
+    prep = train if isinstance(train, Prepared) else prepare(train, dedupe)
+    status = request_status(requests, prep)
     warm = (status.where(F.col("user_mean").isNotNull() & F.col("item_mean").isNotNull())
             .select(USER, ITEM).distinct())
-    hot_users = None if broadcast_ratings else skew.hot_keys(R.user_degrees(lookup), USER, "n_items")
-    cands = candidates(warm, lookup, exclude_self=exclude_self, broadcast=broadcast_ratings,
-                       hot_users=hot_users)
-    weights = item_similarity(needed_pairs(cands), lookup, raw=train, broadcast=broadcast_ratings)
+    cands = candidates(warm, prep.lookup, exclude_self=exclude_self)
+    weights = item_similarity(needed_pairs(cands), prep.lookup, item_means=prep.item_means)
     scores = weighted_mean(top_neighbours(weighted_candidates(cands, weights), k), cold_user_value)
     out = status.join(scores, [USER, ITEM], "left")
     um, im = F.col("user_mean"), F.col("item_mean")

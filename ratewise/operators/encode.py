@@ -62,17 +62,6 @@ def selected_keys(items: DataFrame) -> list[str]:
     return sorted(r["attr_key"] for r in selected_attributes(items).select("attr_key").collect())
 
 
-def item_attributes_long(items: DataFrame, keys: list[str] | None = None) -> DataFrame:
-    """``(business_id, attr_key, attr_value)`` restricted to selected keys."""
-    pairs = attribute_pairs(items)
-    if keys is None:
-        # each selected key is on >= 1/5 of the items, so there are at most
-        # 5 x (attributes per item) of them: a bounded broadcast
-        sel = selected_attributes(items).select("attr_key")
-        return pairs.join(F.broadcast(sel), "attr_key", "left_semi")
-    return pairs.where(F.col("attr_key").isin(keys))
-
-
 def item_attributes_wide(items: DataFrame, keys: list[str]) -> DataFrame:
     """One column per selected key, only for items that have attributes."""
     has = items.where(F.col("attributes").isNotNull() & (F.size("attributes") > 0))
@@ -110,14 +99,3 @@ def onehot_transform(frame: DataFrame, vocab: dict[str, list[str]]) -> DataFrame
     """Replace each encoded column by its dummy columns (training names)."""
     keep = [c for c in frame.columns if c not in vocab]
     return frame.select(*keep, *onehot_columns(vocab))
-
-
-def onehot_long(frame: DataFrame, vocab: dict[str, list[str]], keys: list[str]) -> DataFrame:
-    """The non-zero cells of the one-hot matrix: ``(*keys, feature)``."""
-    cols = onehot_names(vocab)
-    if not cols:
-        return frame.select(*keys, F.lit(None).cast("string").alias("feature")).where(F.lit(False))
-    feats = F.array(*[F.when(F.coalesce(F.col(c), F.lit(MISSING)) == F.lit(v), F.lit(name))
-                      for c, v, name in cols])
-    return (frame.select(*keys, F.explode(feats).alias("feature"))
-            .where(F.col("feature").isNotNull()))

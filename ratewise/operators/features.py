@@ -102,11 +102,23 @@ def merge_features(base: DataFrame, item_table: DataFrame, user_table: DataFrame
     return base.join(item_table, ITEM, "left").join(user_table, USER, "left")
 
 
-def fill_missing(df: DataFrame, fallback: DataFrame, fallback_prefix: str = "bns",
+def assert_unique(df: DataFrame, key: str, what: str) -> DataFrame:
+    """``df`` itself; an error if a key occurs twice, which would multiply the
+    pairs it is merged to."""
+    twice = df.groupBy(key).agg(F.count(F.lit(1)).alias("n")).where("n > 1").first()
+    if twice is not None:
+        raise ValueError(f"{what}: {key} {twice[key]!r} occurs {twice['n']} times")
+    return df
+
+
+def fill_missing(df: DataFrame, fallback: DataFrame, user_fallback: bool = False,
                  exclude: tuple[str, ...] = (USER, ITEM, "y")) -> DataFrame:
-    """Missing values: ``<prefix>_*`` columns take the one-row fallback
-    profile, every other numeric column takes 0."""
-    fb_cols = [c for c in fallback.columns if c.startswith(fallback_prefix + "_")]
+    """Missing values: ``bns_*`` columns (and ``usr_*`` ones with
+    ``user_fallback``) take the one-row fallback profile, every other numeric
+    column takes 0.  Without ``user_fallback`` missing user statistics are 0, as
+    in the original."""
+    prefixes = ("bns_", "usr_") if user_fallback else ("bns_",)
+    fb_cols = [c for c in fallback.columns if c.startswith(prefixes)]
     fb = fallback.select(*[F.col(c).alias(f"_fb_{c}") for c in fb_cols])
     joined = df.crossJoin(F.broadcast(fb))  # one row
     numeric = {f.name for f in df.schema.fields
@@ -116,7 +128,7 @@ def fill_missing(df: DataFrame, fallback: DataFrame, fallback_prefix: str = "bns
         if c in exclude or c not in numeric:
             out.append(F.col(c))
         elif c in fb_cols:
-            out.append(F.coalesce(F.col(c).cast("double"), F.col(f"_fb_{c}")).alias(c))
+            out.append(F.coalesce(F.col(c).cast("double"), F.col(f"_fb_{c}"), F.lit(0.0)).alias(c))
         else:
             out.append(F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(c))
     return joined.select(*out)

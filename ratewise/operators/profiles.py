@@ -32,24 +32,32 @@ def stat_columns(prefix: str) -> list[str]:
     return [f"{prefix}_{s}" for s in STAT_NAMES]
 
 
-def summarize(ratings: DataFrame, key: str, value: str = STARS) -> DataFrame:
-    """``key, n, s1..s4, mn, mn_n, mn_next, mx, mx_n, mx_next`` per group.
+def _value_counts(ratings: DataFrame, *keys: str, value: str = STARS) -> DataFrame:
+    """``(*keys, v, c)``: how often each value occurs; NULL values are left out."""
+    v = F.col(value).cast("double")
+    return ratings.where(v.isNotNull()).groupBy(*keys, v.alias("v")).agg(F.count(F.lit(1)).alias("c"))
+
+
+def _power_sums() -> list[Column]:
+    c, x = F.col("c"), F.col("v")
+    return [F.sum(c).cast("long").alias("n"), F.sum(c * x).alias("s1"), F.sum(c * x * x).alias("s2"),
+            F.sum(c * x * x * x).alias("s3"), F.sum(c * x * x * x * x).alias("s4")]
 
-    ``mn_n`` is the multiplicity of the minimum and ``mn_next`` the next
-    larger distinct value (NULL if none); likewise for the maximum.
+
+def summarize(ratings: DataFrame, key: str, value: str = STARS, neighbours: bool = False) -> DataFrame:
+    """``key, n, s1..s4, mn, mx`` per group; with ``neighbours`` also ``mn_n``,
+    the multiplicity of the minimum, and ``mn_next``, the next larger distinct
+    value (NULL if none), and the same for the maximum.
     """
-    v = F.col(value).cast("double")
-    vc = ratings.where(v.isNotNull()).groupBy(key, v.alias("v")).agg(F.count(F.lit(1)).alias("c"))
+    vc = _value_counts(ratings, key, value=value)
     c, x = F.col("c"), F.col("v")
-    base = vc.groupBy(key).agg(
-        F.sum(c).cast("long").alias("n"), F.sum(c * x).alias("s1"), F.sum(c * x * x).alias("s2"),
-        F.sum(c * x * x * x).alias("s3"), F.sum(c * x * x * x * x).alias("s4"),
-        F.min(x).alias("mn"), F.max(x).alias("mx"))
-    ext = (vc.join(base.select(key, "mn", "mx"), key).groupBy(key).agg(
-        F.sum(F.when(x == F.col("mn"), c)).cast("long").alias("mn_n"),
+    base = vc.groupBy(key).agg(*_power_sums(), F.min(x).alias("mn"), F.max(x).alias("mx"),
+                               F.min_by(c, x).alias("mn_n"), F.max_by(c, x).alias("mx_n"))
+    if not neighbours:
+        return base.drop("mn_n", "mx_n")
+    ext = vc.join(base.select(key, "mn", "mx"), key).groupBy(key).agg(
         F.min(F.when(x > F.col("mn"), x)).alias("mn_next"),
-        F.sum(F.when(x == F.col("mx"), c)).cast("long").alias("mx_n"),
-        F.max(F.when(x < F.col("mx"), x)).alias("mx_next")))
+        F.max(F.when(x < F.col("mx"), x)).alias("mx_next"))
     return base.join(ext, key)
 
 
@@ -110,26 +118,18 @@ def global_profile(users: DataFrame, items: DataFrame) -> DataFrame:
     return u.crossJoin(b).select(*stat_columns(USER_PREFIX), *stat_columns(ITEM_PREFIX))
 
 
-def _prefixed_summary(ratings: DataFrame, key: str, tag: str) -> DataFrame:
-    s = summarize(ratings, key)
+def _prefixed_summary(ratings: DataFrame, key: str, tag: str, neighbours: bool) -> DataFrame:
+    s = summarize(ratings, key, neighbours=neighbours)
     return s.select(F.col(key), *[F.col(c).alias(f"{tag}_{c}") for c in s.columns if c != key])
 
 
-def _without(s: str, v: Column, k: Column) -> list[Column]:
-    """Summary columns of group summary ``s`` after removing ``k`` copies of
-    value ``v`` (``k`` is 1 for a training row, the pair's row count for a
-    request; the min/max update is exact when the removed rows share ``v``)."""
-    c = lambda name: F.col(f"{s}_{name}")
-    k = k.cast("long")
-    n = c("n") - k
-    kd = k.cast("double")
-    s1 = c("s1") - kd * v
-    s2 = c("s2") - kd * v * v
-    s3 = c("s3") - kd * v * v * v
-    s4 = c("s4") - kd * v * v * v * v
-    mn = F.when((k > 0) & (v == c("mn")) & (c("mn_n") <= k), c("mn_next")).otherwise(c("mn"))
-    mx = F.when((k > 0) & (v == c("mx")) & (c("mx_n") <= k), c("mx_next")).otherwise(c("mx"))
-    return [n, s1, s2, s3, s4, mn, mx]
+def _rest_bounds(own: DataFrame, ratings: DataFrame, key: str, tag: str) -> DataFrame:
+    """``(user, item, <tag>_rest_mn, <tag>_rest_mx)`` of the key's values
+    without the pair's own rows, for the pairs that have some."""
+    rest = (own.select(USER, ITEM).distinct().join(_value_counts(ratings, key), key)
+            .join(own.select(USER, ITEM, "v", F.col("c").alias("_k")), [USER, ITEM, "v"], "left")
+            .where(F.col("c") > F.coalesce(F.col("_k"), F.lit(0))))
+    return rest.groupBy(USER, ITEM).agg(F.min("v").alias(f"{tag}_rest_mn"), F.max("v").alias(f"{tag}_rest_mx"))
 
 
 def loo_features(pairs: DataFrame, ratings: DataFrame, fallback: DataFrame,
@@ -137,32 +137,48 @@ def loo_features(pairs: DataFrame, ratings: DataFrame, fallback: DataFrame,
     """Leave-one-out profiles of each pair's user and item.
 
     For a training pair (``own_value`` given) one occurrence of its own rating
-    is removed from both its user's and its item's list.  For a request
-    (``own_value=None``) the pair's own training rows, if any, are removed.
-    An empty remainder takes the fallback profile (one row, broadcast).
+    is removed from both its user's and its item's list (none if it is NULL).
+    For a request (``own_value=None``) all training rows of the pair, whatever
+    their values, are removed.  An empty remainder takes the fallback profile
+    (one row, broadcast).
     Output: ``user_id, business_id, *keep, usr_* (6), bns_* (6)``.
     """
-    us = _prefixed_summary(ratings, USER, "us")
-    bs = _prefixed_summary(ratings, ITEM, "bs")
+    sides = (("us", USER, "ua"), ("bs", ITEM, "ba"))
     fb = fallback.select(*[F.col(c).alias(f"fb_{c}") for c in fallback.columns])
     p = pairs
     if own_value is None:
-        own = (ratings.groupBy(USER, ITEM)
-               .agg(F.count(F.lit(1)).alias("_own_k"), F.max(F.col(STARS).cast("double")).alias("_own_v")))
-        p = p.join(own, [USER, ITEM], "left")
-        k = F.coalesce(F.col("_own_k"), F.lit(0))
-        v = F.coalesce(F.col("_own_v"), F.lit(0.0))
+        wanted = pairs.select(USER, ITEM).distinct()
+        own = _value_counts(ratings, USER, ITEM).join(wanted, [USER, ITEM], "left_semi")
+        sums = own.groupBy(USER, ITEM).agg(*_power_sums())
+        p = p.join(sums.select(USER, ITEM, *[F.col(c).alias(f"_own_{c}") for c in ("n", "s1", "s2", "s3", "s4")]),
+                   [USER, ITEM], "left")
+        for tag, key, _ in sides:
+            p = p.join(_rest_bounds(own, ratings, key, tag), [USER, ITEM], "left")
+        gone = {c: F.coalesce(F.col(f"_own_{c}"), F.lit(0)) for c in ("n", "s1", "s2", "s3", "s4")}
     else:
-        k = F.lit(1)
         v = F.col(own_value).cast("double")
+        power = F.lit(1.0)
+        gone = {"n": F.when(v.isNull(), 0).otherwise(1).cast("long")}
+        for k in range(1, 5):
+            power = power * v
+            gone[f"s{k}"] = F.coalesce(power, F.lit(0.0))
+    for tag, key, _ in sides:
+        p = p.join(_prefixed_summary(ratings, key, tag, own_value is not None), key, "left")
     # the fallback is a single row: a broadcast nested-loop join of 1 row
-    p = p.join(us, USER, "left").join(bs, ITEM, "left").crossJoin(F.broadcast(fb))
+    p = p.crossJoin(F.broadcast(fb))
     adjusted = []
-    for s, tag in (("us", "ua"), ("bs", "ba")):
-        n, s1, s2, s3, s4, mn, mx = _without(s, v, k)
-        adjusted += [F.coalesce(n, F.lit(0)).alias(f"{tag}_n"), s1.alias(f"{tag}_s1"),
-                     s2.alias(f"{tag}_s2"), s3.alias(f"{tag}_s3"), s4.alias(f"{tag}_s4"),
-                     mn.alias(f"{tag}_mn"), mx.alias(f"{tag}_mx")]
+    for s, _, tag in sides:
+        c = lambda name: F.col(f"{s}_{name}")  # noqa: E731, B023
+        adjusted += [F.coalesce(c("n") - gone["n"], F.lit(0)).alias(f"{tag}_n")]
+        adjusted += [(c(x) - gone[x]).alias(f"{tag}_{x}") for x in ("s1", "s2", "s3", "s4")]
+        if own_value is None:
+            has_own = F.col("_own_n").isNotNull()
+            mn = F.when(has_own, c("rest_mn")).otherwise(c("mn"))
+            mx = F.when(has_own, c("rest_mx")).otherwise(c("mx"))
+        else:
+            mn = F.when((v == c("mn")) & (c("mn_n") == 1), c("mn_next")).otherwise(c("mn"))
+            mx = F.when((v == c("mx")) & (c("mx_n") == 1), c("mx_next")).otherwise(c("mx"))
+        adjusted += [mn.alias(f"{tag}_mn"), mx.alias(f"{tag}_mx")]
     keep_cols = [USER, ITEM, *keep]
     fb_cols = [x for x in p.columns if x.startswith("fb_")]
     p = p.select(*keep_cols, *fb_cols, *adjusted)

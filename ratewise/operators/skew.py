@@ -1,49 +1,46 @@
-"""Explicit salting of hot keys for shuffle joins.
-
-A key is *hot* when it holds more than ``ratewise.skew.hotRows`` rows
-(default 1 M) of the large side.  Its rows are spread over
-``S = min(ceil(rows / hotRows), maxSalts)`` salts by a hash of a second
-column, and each matching row of the other side is replicated S times, one
-per salt; every (row, row) combination of the join still meets exactly once,
-so results are exact.  Cold keys keep salt 0 and are not replicated.
-
-The hot-key table has at most ``total_rows / hotRows`` entries, a bound
-that follows from its definition, so it is broadcast.
+"""Equi-joins whose work per key is bounded: salting by the product of rows.
+
+A key with ``l`` rows on one side and ``r`` on the other makes ``l * r`` output
+rows in one task, however few input bytes it has, so neither a row count of one
+side nor AQE's split by input bytes sees it.  ``salted_join`` counts both sides
+per key (partial aggregation); a key whose product exceeds
+``ratewise.skew.hotWork`` is split into ``ceil(l * r / hotWork)`` salts, without
+an upper limit: the rows of its larger side are dealt out by a hash of their
+other columns, the rows of its smaller side are copied to every salt.  Every
+pair of rows still meets exactly once.  Other keys keep salt 0 and one copy.
+
+The table of hot keys is joined like any other (AQE broadcasts it only when
+its measured size is small).
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-HOT_CONF, MAX_SALT_CONF = "ratewise.skew.hotRows", "ratewise.skew.maxSalts"
-DEFAULT_HOT_ROWS, DEFAULT_MAX_SALTS = 1_000_000, 64
-
-
-def _conf(df: DataFrame, key: str, default: int) -> int:
-    return int(df.sparkSession.conf.get(key, str(default)))
+WORK_CONF, DEFAULT_HOT_WORK = "ratewise.skew.hotWork", 20_000_000
 
 
-def hot_keys(counts: DataFrame, key: str, count_col: str) -> DataFrame:
-    """``(key, n_salt)`` for the keys whose row count exceeds the bound."""
-    hot = _conf(counts, HOT_CONF, DEFAULT_HOT_ROWS)
-    cap = _conf(counts, MAX_SALT_CONF, DEFAULT_MAX_SALTS)
-    return (counts.where(F.col(count_col) > hot)
-            .select(F.col(key).alias("_hot_key"),
-                    F.least(F.ceil(F.col(count_col) / F.lit(hot)), F.lit(cap)).cast("int").alias("_n_salt")))
+def hot_keys(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
+    """``(key, _salts, _left_big)`` of the keys whose product is over the bound."""
+    bound = int(left.sparkSession.conf.get(WORK_CONF, str(DEFAULT_HOT_WORK)))
+    count = lambda df, name: df.groupBy(key).agg(F.count(F.lit(1)).alias(name))
+    both = count(left, "_l").join(count(right, "_r"), key)
+    work = F.col("_l").cast("double") * F.col("_r")
+    return both.where(work > bound).select(
+        key, F.ceil(work / bound).cast("long").alias("_salts"), (F.col("_l") >= F.col("_r")).alias("_left_big"))
 
 
-def salt_big(big: DataFrame, key: str, spread_by: Column | str, hot: DataFrame) -> DataFrame:
-    """Add ``_salt`` to the large side: ``hash(spread_by) mod n_salt`` on hot keys, 0 elsewhere."""
-    spread = F.col(spread_by) if isinstance(spread_by, str) else spread_by
-    j = big.join(F.broadcast(hot), F.col(key) == F.col("_hot_key"), "left")
-    salt = F.when(F.col("_n_salt").isNull(), F.lit(0)).otherwise(
-        F.pmod(F.xxhash64(spread), F.col("_n_salt")).cast("int"))
-    return j.withColumn("_salt", salt).drop("_hot_key", "_n_salt")
+def _salt(df: DataFrame, hot: DataFrame, key: str, left: bool) -> DataFrame:
+    joined = df.join(hot, key, "left")
+    spread = F.pmod(F.xxhash64(*[c for c in df.columns if c != key]), F.col("_salts"))
+    big = F.col("_left_big") if left else ~F.col("_left_big")
+    salts = (F.when(F.col("_salts").isNull(), F.array(F.lit(0).cast("long")))
+             .when(big, F.array(spread)).otherwise(F.sequence(F.lit(0).cast("long"), F.col("_salts") - 1)))
+    return joined.withColumn("_salt", F.explode(salts)).drop("_salts", "_left_big")
 
 
-def replicate_small(small: DataFrame, key: str, hot: DataFrame) -> DataFrame:
-    """Add ``_salt`` to the other side: one copy per salt of a hot key."""
-    j = small.join(F.broadcast(hot), F.col(key) == F.col("_hot_key"), "left")
-    salts = F.sequence(F.lit(0), F.coalesce(F.col("_n_salt"), F.lit(1)) - 1)
-    return j.withColumn("_salt", F.explode(salts)).drop("_hot_key", "_n_salt")
+def salted_join(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
+    """Inner join on ``key`` (the other columns have different names)."""
+    hot = hot_keys(left, right, key)
+    return _salt(left, hot, key, True).join(_salt(right, hot, key, False), [key, "_salt"]).drop("_salt")

@@ -12,7 +12,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as TY
 
@@ -21,12 +21,11 @@ from ratewise.operators import cf
 from ratewise.operators import encode as E
 from ratewise.operators import evaluate as EV
 from ratewise.operators import features as FT
-from ratewise.operators import model as M
 from ratewise.operators import profiles as P
 from ratewise.operators import ratings as R
 from ratewise.plans import feature_frames as FF
 from ratewise.plans import jobs as J
-from ratewise.session import checkpoint_dir
+from ratewise.session import checkpoint_dir, store
 from ratewise.sources import files as FS
 from ratewise.sources import testdata as T
 from ratewise.streaming import scoring as ST
@@ -43,10 +42,10 @@ def register(name: str):
 
 
 def _train(spark, d):
-    """The training table written once to the shared checkpoint folder, for
-    queries whose plans read it more than once (each read would otherwise
-    re-derive it from the line items and orders)."""
-    return J.materialize(T.train(spark, d))
+    """The training table written once to the shared folder, for queries whose
+    plans read it more than once (each read would otherwise re-derive it from
+    the line items and orders)."""
+    return store(T.train(spark, d).select("user_id", "business_id", "stars"), "train")
 
 
 # ---------------------------------------------------------------- sources
@@ -120,11 +119,7 @@ def item_pairs_needed(spark, d):
 @register("co_raters")
 def co_raters(spark, d):
     train, _, cands = _cf_inputs(spark, d)
-    pairs = cf.needed_pairs(cands)
-    a = train.select(F.col("business_id").alias("item_i"), "user_id", F.col("stars").alias("x"))
-    b = train.select(F.col("business_id").alias("item_j"), "user_id", F.col("stars").alias("y"))
-    return pairs.join(a, "item_i").join(b, ["item_j", "user_id"]).select(
-        "item_i", "item_j", "user_id", "x", "y")
+    return cf.co_rating_rows(cf.needed_pairs(cands), train)
 
 
 @register("pair_stats")
@@ -175,6 +170,20 @@ def cf_weighted_mean(spark, d):
         "user_id", "business_id", rounded("cf_score").alias("cf_score"))
 
 
+@register("item_cf_predict_raw")
+def item_cf_predict_raw(spark, d):
+    """Item-CF on training rows with repeated pairs: means count every row, the
+    neighbour ratings are the highest of a pair."""
+    pred = J.item_cf(T.train_raw(spark, d), T.requests_raw(spark, d))
+    return pred.select("user_id", "business_id", rounded("prediction").alias("prediction"), "source")
+
+
+@register("item_means_raw")
+def item_means_raw(spark, d):
+    return R.item_means(T.train_raw(spark, d)).select(
+        "business_id", rounded("item_mean").alias("item_mean"), F.col("item_n").cast("long"))
+
+
 @register("item_cf_predict")
 def item_cf_predict(spark, d):
     """Flagship: item-CF prediction for every request."""
@@ -185,9 +194,9 @@ def item_cf_predict(spark, d):
 # ---------------------------------------------------------------- profiles
 
 
-def _round_stats(df: DataFrame, keep: list[str]) -> DataFrame:
+def _round_stats(df: DataFrame, keep: list[str], digits: int = 6) -> DataFrame:
     stats = [c for c in df.columns if c.startswith(("usr_", "bns_"))]
-    return df.select(*keep, *[rounded(c).alias(c) for c in stats])
+    return df.select(*keep, *[rounded(c, digits).alias(c) for c in stats])
 
 
 def _fallback(spark, d):
@@ -196,12 +205,12 @@ def _fallback(spark, d):
 
 @register("user_profile")
 def user_profile(spark, d):
-    return _round_stats(P.user_profile(T.train(spark, d)), ["user_id"])
+    return _round_stats(P.user_profile(T.train(spark, d)), ["user_id"], 9)
 
 
 @register("item_profile")
 def item_profile(spark, d):
-    return _round_stats(P.item_profile(T.train(spark, d)), ["business_id"])
+    return _round_stats(P.item_profile(T.train(spark, d)), ["business_id"], 9)
 
 
 @register("global_profile")
@@ -225,6 +234,23 @@ def loo_request_features(spark, d):
     return _round_stats(out, ["user_id", "business_id"])
 
 
+@register("loo_train_features_raw")
+def loo_train_features_raw(spark, d):
+    """Repeated pairs: each training row leaves out one copy of its own rating."""
+    train = store(T.train_raw(spark, d), "train-raw")
+    pairs = train.select("user_id", "business_id", "stars", F.col("stars").alias("y"))
+    out = P.loo_features(pairs, train, _fallback(spark, d), own_value="stars", keep=("y",))
+    return _round_stats(out, ["user_id", "business_id", "y"])
+
+
+@register("loo_request_features_raw")
+def loo_request_features_raw(spark, d):
+    """Repeated pairs: a request leaves out all training rows of its pair."""
+    train = store(T.train_raw(spark, d), "train-raw")
+    out = P.loo_features(T.requests_raw(spark, d), train, _fallback(spark, d), own_value=None)
+    return _round_stats(out, ["user_id", "business_id"])
+
+
 # ---------------------------------------------------------------- features
 
 
@@ -298,28 +324,55 @@ def selected_attributes(spark, d):
     return _round_doubles(E.selected_attributes(T.items(spark, d)))
 
 
+def _cells(df: DataFrame, keys: list[str], columns: list[str], key: str, value: str) -> DataFrame:
+    """The non-NULL cells of some columns as rows: the wide tables have
+    data-dependent columns, which a fixed statement cannot name."""
+    entries = F.array(*[F.struct(F.lit(c).alias(key), F.col(f"`{c}`").cast("string").alias(value))
+                        for c in columns]) if columns else \
+        F.array().cast(f"array<struct<{key}:string,{value}:string>>")
+    return df.select(*keys, F.inline(entries)).where(F.col(value).isNotNull())
+
+
+def _cell_text(columns: list[str], cell) -> Column:
+    """The non-NULL texts of ``cell(column)``, joined by ``;`` in column order."""
+    return F.concat_ws(";", *[cell(c) for c in sorted(columns)])
+
+
 @register("item_attributes_wide")
 def item_attributes_wide(spark, d):
-    """The selected attributes of each item, in long form
-    ``(business_id, attr_key, attr_value)``."""
-    return E.item_attributes_long(T.items(spark, d))
+    """The selected attributes of each item: the cells of the wide table."""
+    items = T.items(spark, d)
+    keys = E.selected_keys(items)
+    return _cells(E.item_attributes_wide(items, keys), ["business_id"], keys, "attr_key", "attr_value")
+
+
+def _merged(spark, d):
+    inp = _inputs(spark, d)
+    fb, keys = FF.fallback_profile(inp), E.selected_keys(inp.items)
+    return FF.merged_training(inp, fb, keys), fb, keys
+
+
+def _with_attributes(df: DataFrame, keys: list[str]) -> DataFrame:
+    text = _cell_text(keys, lambda k: F.concat(F.lit(f"{k}="), F.col(f"`{k}`")))
+    return _round_doubles(df.withColumn("attributes", text).drop(*keys))
 
 
 @register("feature_merge")
 def feature_merge(spark, d):
-    """Merged training frame (before encoding and filling), attributes aside."""
-    inp = _inputs(spark, d)
-    return _round_doubles(FF.merged_training(inp, FF.fallback_profile(inp), []))
+    """Merged training frame of all item tables and the user table, before
+    encoding and filling; the attribute columns as one text."""
+    merged, _, keys = _merged(spark, d)
+    return _with_attributes(merged, keys)
 
 
 @register("fill_missing")
 def fill_missing(spark, d):
-    inp = _inputs(spark, d)
-    fb = FF.fallback_profile(inp)
-    return _round_doubles(FT.fill_missing(FF.merged_training(inp, fb, []), fb))
+    merged, fb, keys = _merged(spark, d)
+    return _with_attributes(FT.fill_missing(merged, fb), keys)
 
 
 def _onehot(spark, d, side):
+    """Non-zero cells of the encoded matrix, training vocabulary."""
     inp = _inputs(spark, d)
     keys = E.selected_keys(inp.items)
     vocab = FF.training_vocabulary(inp, keys)
@@ -327,21 +380,48 @@ def _onehot(spark, d, side):
     # the pairs left-joined to the selected attributes of their items
     pairs = (inp.train if side == "train" else inp.requests).select("user_id", "business_id")
     frame = pairs.join(E.item_attributes_wide(inp.items, keys), "business_id", "left")
-    return E.onehot_long(frame, vocab, ["user_id", "business_id"])
+    names = [name for _, _, name in E.onehot_names(vocab)]
+    cells = _cells(E.onehot_transform(frame, vocab), ["user_id", "business_id"], names, "feature", "cell")
+    return cells.where("cell <> '0'").select("user_id", "business_id", "feature")
 
 
 @register("onehot_train")
 def onehot_train(spark, d):
-    """Non-zero cells of the training one-hot matrix."""
     return _onehot(spark, d, "train")
 
 
 @register("onehot_requests")
 def onehot_requests(spark, d):
-    """Non-zero cells of the request one-hot matrix (training vocabulary)."""
     return _onehot(spark, d, "requests")
 
 
+def _without_cells(df: DataFrame, vocab: dict) -> DataFrame:
+    names = [name for _, _, name in E.onehot_names(vocab)]
+    text = _cell_text(names, lambda n: F.when(F.col(f"`{n}`") != 0, F.lit(n)))
+    return _round_doubles(df.withColumn("onehot", text).drop(*names))
+
+
+@register("model_a_frame")
+def model_a_frame(spark, d):
+    """The matrix model A is fitted on: single precision, sentinel, indicators."""
+    tr, _, feats = J.model_a_frames(T.train(spark, d), T.requests(spark, d), T.reviews(spark, d),
+                                    T.users(spark, d), T.items(spark, d))
+    return _round_doubles(tr.select("user_id", "business_id", "y", *feats))
+
+
+@register("model_b_frame")
+def model_b_frame(spark, d):
+    """The matrix model B is fitted on; its indicator columns as one text."""
+    frames = FF.build(_inputs(spark, d))
+    return _without_cells(frames.train.select("user_id", "business_id", "y", *frames.features), frames.vocab)
+
+
+@register("model_b_request_frame")
+def model_b_request_frame(spark, d):
+    frames = FF.build(_inputs(spark, d))
+    return _without_cells(frames.requests.select("user_id", "business_id", *frames.features), frames.vocab)
+
+
 # ---------------------------------------------------------------- models, blend, evaluation
 
 
@@ -373,36 +453,49 @@ def hybrid_blend(spark, d):
     return out.select("user_id", "business_id", rounded("prediction").alias("prediction"))
 
 
+_SCORED: dict[tuple[str, str, str], DataFrame] = {}
+
+
+def _scored(spark, d, which: str) -> DataFrame:
+    """Predictions of model A or B at the original settings, fitted once in an
+    application and written to the shared folder."""
+    key = (spark.sparkContext.applicationId, d, which)
+    if key not in _SCORED:
+        if which == "a":
+            pred = J.model_a(T.train(spark, d), T.requests(spark, d), T.reviews(spark, d),
+                             T.users(spark, d), T.items(spark, d))
+        else:
+            pred = J.feature_model(_inputs(spark, d))
+        _SCORED[key] = store(pred, f"model-{which}")
+    return _SCORED[key]
+
+
 @register("model_a_predict")
 def model_a_predict(spark, d):
-    """Model A (8 looked-up features, trees of depth 10)."""
-    return J.model_a(T.train(spark, d), T.requests(spark, d), T.reviews(spark, d),
-                     T.users(spark, d), T.items(spark, d), params=M.MODEL_A_QUICK)
+    """Model A (8 looked-up features, 50 trees of depth 10)."""
+    return _scored(spark, d, "a")
+
+
+@register("model_a_rmse")
+def model_a_rmse(spark, d):
+    return EV.rmse(_scored(spark, d, "a"), T.requests(spark, d))
 
 
 @register("hybrid_blend_model")
 def hybrid_blend_model(spark, d):
     """The hybrid job: 0.1 * item-CF + 0.9 * model A."""
-    return J.hybrid(T.train(spark, d), T.requests(spark, d), T.reviews(spark, d),
-                    T.users(spark, d), T.items(spark, d), params=M.MODEL_A_QUICK)
+    return EV.blend(_cf_pred(spark, d), _scored(spark, d, "a"))
 
 
 @register("model_b_predict")
 def model_b_predict(spark, d):
-    """Model B on the full feature frame (trees of depth 5)."""
-    return J.feature_model(_inputs(spark, d), params=M.MODEL_B_QUICK)
-
-
-@register("model_a_rmse")
-def model_a_rmse(spark, d):
-    pred = J.model_a(T.train(spark, d), T.requests(spark, d), T.reviews(spark, d),
-                     T.users(spark, d), T.items(spark, d), params=M.MODEL_A_QUICK)
-    return EV.rmse(pred, T.requests(spark, d))
+    """Model B on the full feature frame (400 trees of depth 5)."""
+    return _scored(spark, d, "b")
 
 
 @register("model_b_rmse")
 def model_b_rmse(spark, d):
-    return EV.rmse(J.feature_model(_inputs(spark, d), params=M.MODEL_B_QUICK), T.requests(spark, d))
+    return EV.rmse(_scored(spark, d, "b"), T.requests(spark, d))
 
 
 # ---------------------------------------------------------------- file sources and sinks
@@ -457,6 +550,34 @@ def users_json_roundtrip(spark, d):
     return FS.read_users(spark, path)
 
 
+def _json_roundtrip(spark, df: DataFrame, name: str, read) -> DataFrame:
+    path = _scratch(spark, name)
+    FS.write_json_lines(df, path)
+    return read(spark, path)
+
+
+@register("reviews_json_roundtrip")
+def reviews_json_roundtrip(spark, d):
+    return _round_doubles(_json_roundtrip(spark, T.reviews(spark, d), "reviews", FS.read_reviews))
+
+
+@register("tips_json_roundtrip")
+def tips_json_roundtrip(spark, d):
+    return _json_roundtrip(spark, T.tips(spark, d), "tips", FS.read_tips)
+
+
+@register("photos_json_roundtrip")
+def photos_json_roundtrip(spark, d):
+    return _json_roundtrip(spark, T.photos(spark, d), "photos", FS.read_photos)
+
+
+@register("checkins_json_roundtrip")
+def checkins_json_roundtrip(spark, d):
+    """Check-in maps read back, one row per slot."""
+    back = _json_roundtrip(spark, T.checkins(spark, d), "checkins", FS.read_checkins)
+    return back.select("business_id", F.explode("time").alias("slot", "n"))
+
+
 @register("predictions_sink")
 def predictions_sink(spark, d):
     """Item-CF predictions written as CSV (header ``user_id,business_id,
@@ -485,15 +606,15 @@ def fallback_roundtrip(spark, d):
 @register("item_cf_stream")
 def item_cf_stream(spark, d):
     """The requests written as CSV files and scored by the streaming job
-    (one file per micro-batch); the result must equal the batch flagship."""
+    (some files per micro-batch); the result must equal the batch flagship."""
     src, sink = _scratch(spark, "stream-src"), _scratch(spark, "stream-sink")
     req = T.requests(spark, d).select("user_id", "business_id", "stars")
-    FS.write_csv(req.repartition(4, "user_id"), src)
+    FS.write_csv(req, src)
     schema = TY.StructType([TY.StructField("user_id", TY.LongType()),
                             TY.StructField("business_id", TY.LongType()),
                             TY.StructField("stars", TY.DoubleType())])
-    train = ST.materialize(T.train(spark, d))
-    q = ST.score_stream(train, ST.request_stream(spark, src, schema, files_per_batch=1), sink)
+    prepared = J.prepare_cf(T.train(spark, d))
+    q = ST.score_stream(prepared, ST.request_stream(spark, src, schema, files_per_batch=4), sink)
     q.awaitTermination()
     out = ST.read_scored(spark, sink)
     return out.select("user_id", "business_id", rounded("prediction").alias("prediction"), "source")

@@ -20,25 +20,22 @@ from ratewise.operators import evaluate as EV
 from ratewise.operators import features as FT
 from ratewise.operators import model as M
 from ratewise.plans import feature_frames as FF
-from ratewise.session import checkpoint_dir
+from ratewise.session import release, store
 from ratewise.sources import files
 
 KEYS = ["user_id", "business_id"]
 
 
-def materialize(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the shared checkpoint folder and cut its lineage: the
-    table is computed once, read by every branch of the plan that follows,
-    and survives the loss of the executors that computed it."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+def item_cf(train: DataFrame, requests: DataFrame, **kw) -> DataFrame:
+    """Predictions from a training table that is written once, with its means,
+    so that every branch of the plan reads the written tables."""
+    return cf.predict(prepare_cf(train, dedupe=kw.get("dedupe", True)), requests, **kw)
 
 
-def item_cf(train: DataFrame, requests: DataFrame, materialize_train: bool = True,
-            **kw) -> DataFrame:
-    if materialize_train:
-        train = materialize(train)
-    return cf.predict(train, requests, **kw)
+def prepare_cf(train: DataFrame, dedupe: bool = True) -> cf.Prepared:
+    prep = cf.prepare(store(train.select(*KEYS, "stars"), "train"), dedupe)
+    return cf.Prepared(store(prep.user_means, "user-means"), store(prep.item_means, "item-means"),
+                       store(prep.lookup, "lookup"))
 
 
 def _narrow(df: DataFrame, cols) -> DataFrame:
@@ -50,6 +47,8 @@ def _narrow(df: DataFrame, cols) -> DataFrame:
 
 
 def model_a_frames(train, requests, reviews, users, items, float32: bool = True):
+    FT.assert_unique(items, "business_id", "items")
+    FT.assert_unique(users, "user_id", "users")
     tr = FT.feature_vector8(train.select(*KEYS, F.col("stars").cast("double").alias("y")),
                             reviews, users, items)
     rq = FT.feature_vector8(requests.select(*KEYS).distinct(), reviews, users, items)
@@ -66,24 +65,24 @@ def model_a(train, requests, reviews, users, items, params: dict | None = None)
     tr, rq, feats = model_a_frames(train, requests, reviews, users, items)
     # the fit makes one pass per tree level: read a written table, not the
     # whole feature lineage, and survive executor loss without recomputing it
-    tr = materialize(tr.select("y", *feats))
+    tr = store(tr.select("y", *feats), "model-a-frame")
     model = M.fit_gbt(tr, feats, "y", params or M.MODEL_A_PARAMS)
     return M.predict_gbt(model, rq, feats)
 
 
 def hybrid(train, requests, reviews, users, items, alpha: float = EV.ALPHA,
            params: dict | None = None) -> DataFrame:
+    train = store(train.select(*KEYS, "stars"), "train")
     cf_pred = item_cf(train, requests.select(*KEYS).distinct())
     model_pred = model_a(train, requests, reviews, users, items, params)
     return EV.blend(cf_pred, model_pred, alpha)
 
 
 def feature_model(inp: FF.Inputs, params: dict | None = None) -> DataFrame:
-    frames = FF.build(inp)
-    tr = materialize(frames.train.select("y", *frames.features))
+    frames = FF.build(inp)     # one request row per distinct pair
+    tr = store(frames.train.select("y", *frames.features), "model-b-frame")
     model = M.fit_gbt(tr, frames.features, "y", params or M.MODEL_B_PARAMS)
-    rq = frames.requests.select(*KEYS, *frames.features).dropDuplicates(KEYS)
-    return M.predict_gbt(model, rq, frames.features)
+    return M.predict_gbt(model, frames.requests.select(*KEYS, *frames.features), frames.features)
 
 
 # ------------------------------------------------------------------ file jobs
@@ -109,6 +108,7 @@ def _folder_inputs(spark: SparkSession, folder: str, requests_path: str) -> FF.I
 def run_item_cf(spark: SparkSession, train_path: str, requests_path: str, out_path: str) -> None:
     pred = item_cf(files.read_ratings(spark, train_path), files.read_requests(spark, requests_path))
     files.write_predictions(pred, out_path)
+    release(spark)
 
 
 def run_model_a(spark: SparkSession, folder: str, requests_path: str, out_path: str) -> None:
@@ -116,6 +116,7 @@ def run_model_a(spark: SparkSession, folder: str, requests_path: str, out_path:
     reviews = files.read_reviews(spark, f"{folder.rstrip('/')}/review_train.json")
     pred = model_a(inp.train, inp.requests, reviews, inp.users, inp.items)
     files.write_predictions(per_request_row(inp.requests, pred), out_path)
+    release(spark)
 
 
 def run_hybrid(spark: SparkSession, folder: str, requests_path: str, out_path: str) -> None:
@@ -123,6 +124,7 @@ def run_hybrid(spark: SparkSession, folder: str, requests_path: str, out_path: s
     reviews = files.read_reviews(spark, f"{folder.rstrip('/')}/review_train.json")
     pred = hybrid(inp.train, inp.requests, reviews, inp.users, inp.items)
     files.write_predictions(per_request_row(inp.requests, pred), out_path)
+    release(spark)
 
 
 def run_feature_model(spark: SparkSession, folder: str, requests_path: str, out_path: str,
@@ -132,6 +134,7 @@ def run_feature_model(spark: SparkSession, folder: str, requests_path: str, out_
     inp = _folder_inputs(spark, folder, requests_path)
     pred = per_request_row(inp.requests, feature_model(inp, params))
     files.write_predictions(pred, out_path)
+    release(spark)
     written = files.read_predictions(spark, out_path)
     truth = inp.requests.where(F.col("stars").isNotNull())
     return EV.rmse(written, truth)

@@ -6,10 +6,13 @@ settings that are unset.  ``local_session`` is for tests and the bench.
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every job relies on.  AQE re-plans joins at run time (coalescing
 # small shuffle partitions, splitting skewed ones); ANSI mode stays on so bad
@@ -41,8 +44,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder named by the cluster.
 
     Read from ``spark.checkpoint.dir``.  Only in local mode, when it is unset
-    (tests), a scratch folder is created and registered; on a cluster an
-    unset folder is an error.
+    (tests), a scratch folder is created, registered, and removed when the
+    program ends; on a cluster an unset folder is an error.
     """
     sc = spark.sparkContext
     path = sc.getCheckpointDir()
@@ -54,10 +57,31 @@ def checkpoint_dir(spark: SparkSession) -> str:
             raise RuntimeError("spark.checkpoint.dir is not set: name a folder shared by all "
                                "executors (a machine-local folder cannot hold checkpoints)")
         path = tempfile.mkdtemp(prefix="ratewise-ckpt-")   # local mode only (tests)
+        atexit.register(shutil.rmtree, path, ignore_errors=True)
     sc.setCheckpointDir(path)
     return sc.getCheckpointDir() or path
 
 
+def _folder(spark: SparkSession) -> str:
+    return f"{checkpoint_dir(spark).rstrip('/')}/ratewise-{spark.sparkContext.applicationId}"
+
+
+def store(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written as Parquet to the shared folder and read back: computed
+    once, read (and pruned) by every branch of the plan that follows, and safe
+    against the loss of the executors that computed it."""
+    path = f"{_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def release(spark: SparkSession) -> None:
+    """Remove what ``store`` wrote in this application, once the results that
+    read it are written."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_folder(spark))
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
                   app: str = "ratewise") -> SparkSession:
     builder = (
@@ -66,7 +90,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
-        .config("spark.driver.memory", os.environ.get("RATEWISE_DRIVER_MEM", "16g"))
+        .config("spark.driver.memory", os.environ.get("RATEWISE_DRIVER_MEM", "8g"))
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
     )
     for key, value in DEFAULTS.items():

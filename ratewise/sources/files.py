@@ -65,15 +65,48 @@ FALLBACK_COLUMNS = [f"{p}_{s}" for p in ("usr", "bns")
 FALLBACK_SCHEMA = T.StructType([T.StructField(c, T.DoubleType()) for c in FALLBACK_COLUMNS])
 
 
-def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+def _parsed(spark: SparkSession, path: str, schema: T.StructType):
+    """Raw text columns, the typed column of each field, and whether a row has
+    a value that its type cannot read."""
+    names = [f.name for f in schema.fields]
+    raw = (spark.read.schema(T.StructType([T.StructField(n, T.StringType()) for n in names]))
+           .option("header", True).option("mode", "PERMISSIVE").csv(path))
+    typed = {f.name: F.col(f.name).try_cast(f.dataType) for f in schema.fields}
+    bad = F.lit(False)
+    for n in names:
+        bad = bad | (F.col(n).isNotNull() & typed[n].isNull())
+    return raw, typed, bad
+
+
+def read_csv(spark: SparkSession, path: str, schema: T.StructType, on_bad_rows: str = "fail") -> DataFrame:
     """CSV with a header line; columns are taken by position, extra columns
-    are ignored and missing trailing ones are NULL."""
-    return (spark.read.schema(schema).option("header", True).option("mode", "PERMISSIVE")
-            .csv(path))
+    are ignored and missing trailing ones are NULL.
 
+    A value that its type cannot read stops the job (``on_bad_rows="fail"``) or
+    takes its row out (``"drop"``; ``count_bad_rows`` tells how many)."""
+    if on_bad_rows not in ("fail", "drop"):
+        raise ValueError(f"on_bad_rows must be 'fail' or 'drop', not {on_bad_rows!r}")
+    raw, typed, bad = _parsed(spark, path, schema)
+    if on_bad_rows == "drop":
+        return raw.where(~bad).select(*[c.alias(n) for n, c in typed.items()])
 
-def read_ratings(spark: SparkSession, path: str, schema: T.StructType = RATINGS_SCHEMA) -> DataFrame:
-    return read_csv(spark, path, schema).select("user_id", "business_id", "stars")
+    def checked(name, col):
+        broken = F.col(name).isNotNull() & col.isNull()
+        message = F.concat(F.lit(f"{path}: bad {name}: "), F.col(name))
+        return F.when(broken, F.raise_error(message).cast(schema[name].dataType)).otherwise(col).alias(name)
+
+    return raw.select(*[checked(n, c) for n, c in typed.items()])
+
+
+def count_bad_rows(spark: SparkSession, path: str, schema: T.StructType) -> int:
+    """Rows that ``read_csv(..., on_bad_rows="drop")`` leaves out."""
+    raw, _, bad = _parsed(spark, path, schema)
+    return raw.where(bad).count()
+
+
+def read_ratings(spark: SparkSession, path: str, schema: T.StructType = RATINGS_SCHEMA,
+                 on_bad_rows: str = "fail") -> DataFrame:
+    return read_csv(spark, path, schema, on_bad_rows).select("user_id", "business_id", "stars")
 
 
 def read_requests(spark: SparkSession, path: str, schema: T.StructType = RATINGS_SCHEMA) -> DataFrame:

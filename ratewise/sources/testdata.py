@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 HOLDOUT_BUCKETS = 10          # (user*31 + item*17) % 10 = 0 -> held out
 COLD_USER_MOD, COLD_USER_REM = 50, 7   # these users have no training rows
 COLD_ITEM_MOD, COLD_ITEM_REM = 40, 9   # these items have no training rows
+RAW_ITEMS = 97                # items of the raw view: part key modulo this, so pairs repeat
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -59,6 +60,27 @@ def requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ratings(spark, sf_dir).where(is_request())
 
 
+def _raw_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One rating per line item, repeated pairs included; ``held`` marks a
+    tenth of the lines, whatever their pair."""
+    li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_quantity")
+    od = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+    return li.join(od, li.l_orderkey == od.o_orderkey).select(
+        F.col("o_custkey").alias("user_id"), (F.col("l_partkey") % RAW_ITEMS).alias("business_id"),
+        (F.floor((F.col("l_quantity") - 1) / 10) + 1).cast("double").alias("stars"),
+        ((F.col("l_orderkey") * 7 + F.col("l_linenumber")) % 10 == 0).alias("held"))
+
+
+def train_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Training rows with repeated (user, item) pairs of different values."""
+    return _raw_lines(spark, sf_dir).where("not held").drop("held")
+
+
+def requests_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distinct pairs, many of which also have training rows."""
+    return _raw_lines(spark, sf_dir).where("held").select("user_id", "business_id").distinct()
+
+
 def planted(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The rating pairs with a learnable star value (model-quality tests)."""
     r = ratings(spark, sf_dir).select("user_id", "business_id")

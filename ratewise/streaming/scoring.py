@@ -7,8 +7,9 @@ engine re-runs the last uncommitted epoch) overwrites its own folder, so the
 output is exactly once; progress is tracked in the checkpoint location,
 which defaults to the session's shared checkpoint folder.
 
-The training table should be materialised (``materialize``) before the
-stream starts, so each micro-batch reads it instead of recomputing it.
+What depends on the training table alone (means, one rating per pair) is
+computed and written once, before the stream starts (``jobs.prepare_cf``); each
+micro-batch reads those tables.
 """
 
 from __future__ import annotations
@@ -24,24 +25,18 @@ from ratewise.session import checkpoint_dir
 from ratewise.sources.files import RATINGS_SCHEMA
 
 
-def materialize(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the shared checkpoint folder and cut its lineage."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
 def request_stream(spark: SparkSession, source_dir: str, schema: T.StructType = RATINGS_SCHEMA,
                    files_per_batch: int | None = None) -> DataFrame:
-    reader = spark.readStream.schema(schema).option("header", True)
+    reader = spark.readStream.schema(schema).option("header", True).option("mode", "FAILFAST")
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
     return reader.csv(source_dir)
 
 
-def score_stream(train: DataFrame, requests: DataFrame, sink_dir: str,
+def score_stream(train: cf.Prepared, requests: DataFrame, sink_dir: str,
                  checkpoint: str | None = None, available_now: bool = True,
                  processing_time: str | None = None, **predict_kw) -> StreamingQuery:
-    spark = train.sparkSession
+    spark = requests.sparkSession
     checkpoint = checkpoint or f"{checkpoint_dir(spark).rstrip('/')}/stream-{uuid.uuid4().hex}"
     sink = sink_dir.rstrip("/")
 

@@ -20,6 +20,13 @@ VIEWS = {
   GROUP BY o_custkey, l_partkey""",
     "train": f"SELECT * FROM ratings WHERE NOT {_REQ}",
     "requests": f"SELECT * FROM ratings WHERE {_REQ}",
+    "raw_lines": """
+  SELECT o_custkey AS user_id, l_partkey % 97 AS business_id,
+         CAST(floor((l_quantity - 1) / 10) + 1 AS DOUBLE) AS stars,
+         (l_orderkey * 7 + l_linenumber) % 10 = 0 AS held
+  FROM lineitem JOIN orders ON l_orderkey = o_orderkey""",
+    "train_raw": "SELECT user_id, business_id, stars FROM raw_lines WHERE NOT held",
+    "requests_raw": "SELECT DISTINCT user_id, business_id FROM raw_lines WHERE held",
     "planted": """
   SELECT user_id, business_id,
          CAST(1 + ((user_id % 5) + (business_id % 5)) / 2.0 AS DOUBLE) AS stars
@@ -164,6 +171,11 @@ def r6(expr: str) -> str:
     return f"CAST(round(CAST({expr} AS DOUBLE), 6) + 0.0 AS DOUBLE)"
 
 
+def r9(expr: str) -> str:
+    """Nine digits: exact ties at six are then equal for any formula."""
+    return f"CAST(round(CAST({expr} AS DOUBLE), 9) + 0.0 AS DOUBLE)"
+
+
 QUERIES: dict[str, str] = {}
 
 
@@ -194,6 +206,24 @@ q("item_similarity", f"SELECT item_i, item_j, n, rule, {r6('weight')} AS weight
 q("top_neighbours", f"""SELECT user_id, business_id, neighbour, rating, {r6('weight')} AS weight,
                         CAST(rank AS INTEGER) AS rank FROM ranked WHERE rank <= 15""")
 q("cf_weighted_mean", f"SELECT user_id, business_id, {r6('cf_score')} AS cf_score FROM cfs")
+def _on_raw(select: str) -> str:
+    """The same statement over the raw views: means of all rows, neighbour
+    ratings of the highest row of a pair."""
+    import re
+    views = {v: VIEWS[v] for v in ("um", "im", "status", "warm", "cand", "pairs", "corate", "pstats", "sim",
+                                   "wcand", "ranked", "cfs", "cfpred")}
+    for v in ("um", "im"):
+        views[v] = re.sub(r"\btrain\b", "train_raw", views[v])
+    views = {v: re.sub(r"\brequests\b", "requests_raw", body) for v, body in views.items()}
+    base = {v: VIEWS[v] for v in ("raw_lines", "train_raw", "requests_raw")}
+    base["train"] = "SELECT user_id, business_id, max(stars) AS stars FROM train_raw GROUP BY 1, 2"
+    return "WITH " + ",\n".join(f"{v} AS ({body}\n)" for v, body in (base | views).items()) + "\n" + select
+
+
+QUERIES["item_cf_predict_raw"] = _on_raw(
+    f"SELECT user_id, business_id, {r6('prediction')} AS prediction, source FROM cfpred")
+q("item_means_raw", f"""SELECT business_id, {r6('avg(stars)')} AS item_mean, CAST(count(*) AS BIGINT) AS item_n
+                        FROM train_raw GROUP BY business_id""")
 q("item_cf_predict", f"SELECT user_id, business_id, {r6('prediction')} AS prediction, source FROM cfpred")
 
 
@@ -248,6 +278,16 @@ def _global_sql(col: str, table: str, p: str) -> str:
             f"CAST(1.0 AS DOUBLE) AS {p}_min FROM ({m}) g")
 
 
+def _copies_sql(key: str) -> str:
+    w = ("(o.c - CASE WHEN o.user_id = t.user_id AND o.business_id = t.business_id AND o.stars = t.stars "
+         "THEN 1 ELSE 0 END)")
+    powers = ", ".join(f"sum({w} * {' * '.join(['o.stars'] * k)}) AS s{k}" for k in range(1, 5))
+    return f"""SELECT t.user_id, t.business_id, t.stars, sum({w}) AS cnt, {powers},
+      max(CASE WHEN {w} > 0 THEN o.stars END) AS mx, min(CASE WHEN {w} > 0 THEN o.stars END) AS mn
+      FROM train_counts t JOIN train_counts o ON o.{key} = t.{key}
+      GROUP BY t.user_id, t.business_id, t.stars"""
+
+
 VIEWS.update({
     "gp": f"""
   SELECT u.*, b.* FROM ({_global_sql('average_stars', 'users', 'usr')}) u,
@@ -270,6 +310,18 @@ VIEWS.update({
   SELECT r.user_id, r.business_id, {_sums_sql('o.stars')}
   FROM (SELECT DISTINCT user_id, business_id FROM requests) r
   LEFT JOIN train o ON o.business_id = r.business_id AND o.user_id <> r.user_id
+  GROUP BY r.user_id, r.business_id""", "user_id, business_id", "bns"),
+    # repeated rows as counts; a row leaves out one copy of itself
+    "train_counts": "SELECT user_id, business_id, stars, count(*) AS c FROM train_raw GROUP BY ALL",
+    "raw_u": _moments_sql(_copies_sql("user_id"), "user_id, business_id, stars", "usr"),
+    "raw_b": _moments_sql(_copies_sql("business_id"), "user_id, business_id, stars", "bns"),
+    "raw_req_u": _moments_sql(f"""
+  SELECT r.user_id, r.business_id, {_sums_sql('o.stars')}
+  FROM requests_raw r LEFT JOIN train_raw o ON o.user_id = r.user_id AND o.business_id <> r.business_id
+  GROUP BY r.user_id, r.business_id""", "user_id, business_id", "usr"),
+    "raw_req_b": _moments_sql(f"""
+  SELECT r.user_id, r.business_id, {_sums_sql('o.stars')}
+  FROM requests_raw r LEFT JOIN train_raw o ON o.business_id = r.business_id AND o.user_id <> r.user_id
   GROUP BY r.user_id, r.business_id""", "user_id, business_id", "bns"),
     "loo_train": f"""
   SELECT t.user_id, t.business_id, t.stars AS y,
@@ -286,13 +338,30 @@ VIEWS.update({
 })
 _ORDER[:] = list(VIEWS)
 
-q("user_profile", f"""SELECT user_id, {_r6_stats('usr')} FROM ({_moments_sql(
-    f"SELECT user_id, {_sums_sql('stars')} FROM train GROUP BY user_id", "user_id", "usr")}) s""")
-q("item_profile", f"""SELECT business_id, {_r6_stats('bns')} FROM ({_moments_sql(
-    f"SELECT business_id, {_sums_sql('stars')} FROM train GROUP BY business_id", "business_id", "bns")}) s""")
+def _builtin_sql(key: str, p: str) -> str:
+    """The six statistics by DuckDB's own aggregates, which share nothing with
+    the engine's closed forms; only the cases they leave undefined are stated."""
+    return f"""SELECT {key}, {r9('avg(stars)')} AS {p}_avg, {r9('stddev_samp(stars)')} AS {p}_std,
+      CASE WHEN count(*) < 4 THEN NULL WHEN min(stars) = max(stars) THEN CAST(0 AS DOUBLE)
+           ELSE {r9('kurtosis(stars)')} END AS {p}_kurt,
+      CASE WHEN count(*) < 3 THEN NULL WHEN min(stars) = max(stars) THEN CAST(0 AS DOUBLE)
+           ELSE {r9('skewness(stars)')} END AS {p}_skew,
+      {r9('max(stars)')} AS {p}_max, {r9('min(stars)')} AS {p}_min FROM train GROUP BY {key}"""
+
+
+q("user_profile", _builtin_sql("user_id", "usr"))
+q("item_profile", _builtin_sql("business_id", "bns"))
 q("global_profile", f"SELECT {_r6_stats('usr')}, {_r6_stats('bns')} FROM gp")
 q("loo_train_features", "SELECT * FROM loo_train")
 q("loo_request_features", "SELECT * FROM loo_req")
+q("loo_train_features_raw", f"""
+  SELECT t.user_id, t.business_id, t.stars AS y, {_fallback_stats('usr', 'lu')}, {_fallback_stats('bns', 'lb')}
+  FROM train_raw t JOIN raw_u lu USING (user_id, business_id, stars)
+  JOIN raw_b lb USING (user_id, business_id, stars) CROSS JOIN gp""")
+q("loo_request_features_raw", f"""
+  SELECT lu.user_id, lu.business_id, {_fallback_stats('usr', 'lu')}, {_fallback_stats('bns', 'lb')}
+  FROM raw_req_u lu JOIN raw_req_b lb ON lb.user_id = lu.user_id AND lb.business_id = lu.business_id
+  CROSS JOIN gp""")
 
 
 # ---------------------------------------------------------------- features
@@ -336,6 +405,9 @@ VIEWS.update({
   SELECT r.user_id, r.business_id, s.attr_key, coalesce(a.attr_value, 'unk') AS v
   FROM requests r CROSS JOIN (SELECT attr_key FROM attr_sel) s
   LEFT JOIN attr_long a ON a.business_id = r.business_id AND a.attr_key = s.attr_key""",
+    "attr_text": """
+  SELECT business_id, string_agg(attr_key || '=' || attr_value, ';' ORDER BY attr_key) AS attributes
+  FROM attr_long WHERE attr_key IN (SELECT attr_key FROM attr_sel) GROUP BY business_id""",
     "first_cat": "SELECT attr_key, min(v) AS v0 FROM tv GROUP BY attr_key",
 })
 _ORDER[:] = list(VIEWS)
@@ -375,12 +447,54 @@ q("selected_attributes", f"""SELECT attr_key, n_values, n_items, total_items,
     {r6('n_items / total_items')} AS coverage FROM attr_sel""")
 q("item_attributes_wide", """SELECT business_id, attr_key, attr_value FROM attr_long
                              WHERE attr_key IN (SELECT attr_key FROM attr_sel)""")
-q("feature_merge", "SELECT user_id, business_id, " + ", ".join(
-    [f"{r6(c)} AS {c}" for c in _MERGED_DOUBLES] + _MERGED_LONGS) + " FROM merged")
-q("fill_missing", "SELECT m.user_id, m.business_id, " + ", ".join(
+_FILLED = ", ".join(
     [f"{r6(f'coalesce(m.{c}, gp.{c})' if c.startswith('bns_') else ('m.y' if c == 'y' else f'coalesce(m.{c}, 0.0)'))} AS {c}"
      for c in _MERGED_DOUBLES]
-    + [f"{r6(f'coalesce(m.{c}, 0)')} AS {c}" for c in _MERGED_LONGS]) + " FROM merged m CROSS JOIN gp")
+    + [f"{r6(f'coalesce(m.{c}, 0)')} AS {c}" for c in _MERGED_LONGS])
+_ATTRIBUTES = "coalesce(a.attributes, '') AS attributes"
+_ATTR_JOIN = "LEFT JOIN attr_text a ON a.business_id = m.business_id"
+
+q("feature_merge", "SELECT m.user_id, m.business_id, " + ", ".join(
+    [f"{r6('m.' + c)} AS {c}" for c in _MERGED_DOUBLES] + [f"m.{c}" for c in _MERGED_LONGS])
+  + f", {_ATTRIBUTES} FROM merged m {_ATTR_JOIN}")
+q("fill_missing", f"SELECT m.user_id, m.business_id, {_FILLED}, {_ATTRIBUTES} FROM merged m {_ATTR_JOIN} CROSS JOIN gp")
+
+_F32 = "CAST(CAST({0} AS FLOAT) AS DOUBLE)"
+_V8 = {"review_useful": "rv.review_useful", "review_funny": "rv.review_funny", "review_cool": "rv.review_cool",
+       "user_avg_stars": "u.average_stars", "user_review_count": "u.review_count", "user_fans": "u.fans",
+       "item_stars": "i.stars", "item_review_count": "CAST(i.review_count AS DOUBLE)"}
+q("model_a_frame", f"SELECT t.user_id, t.business_id, {r6(_F32.format('t.stars'))} AS y, " + ", ".join(
+    f"{r6(f'coalesce({_F32.format(e)}, -1.0e9)')} AS {c}, CAST(CASE WHEN {e} IS NULL THEN 1 ELSE 0 END AS DOUBLE) "
+    f"AS {c}_is_missing" for c, e in _V8.items()) + """
+  FROM train t
+  LEFT JOIN (SELECT business_id, avg(useful) AS review_useful, avg(funny) AS review_funny,
+                    avg(cool) AS review_cool FROM reviews GROUP BY business_id) rv
+         ON rv.business_id = t.business_id
+  LEFT JOIN users u ON u.user_id = t.user_id
+  LEFT JOIN items i ON i.business_id = t.business_id""")
+
+VIEWS.update({
+    "merged_req": """
+  SELECT l.*, f.bus_stars, f.review_cnt, f.latitude, f.likes, f.labels, f.customers,
+         u.useful, u.funny, u.cool, u.elite, u.friends, u.fans, u.average_stars,
+         u.compliment_list, u.compliment_note, u.review_count
+  FROM (SELECT DISTINCT * FROM loo_req) l LEFT JOIN ifeat f ON f.business_id = l.business_id
+                   LEFT JOIN ufeat u ON u.user_id = l.user_id""",
+    "hot_train": """
+  SELECT user_id, business_id, string_agg(attr_key || v, ';' ORDER BY attr_key || v) AS onehot
+  FROM tv JOIN first_cat USING (attr_key) WHERE v <> v0 GROUP BY user_id, business_id""",
+    "hot_req": """
+  SELECT user_id, business_id, string_agg(attr_key || v, ';' ORDER BY attr_key || v) AS onehot
+  FROM (SELECT DISTINCT * FROM rv) rv JOIN first_cat USING (attr_key)
+  WHERE v <> v0 AND EXISTS (SELECT 1 FROM tv WHERE tv.attr_key = rv.attr_key AND tv.v = rv.v)
+  GROUP BY user_id, business_id""",
+})
+_ORDER[:] = list(VIEWS)
+_HOT_JOIN = "ON h.user_id = m.user_id AND h.business_id = m.business_id CROSS JOIN gp"
+q("model_b_frame", f"""SELECT m.user_id, m.business_id, {_FILLED}, coalesce(h.onehot, '') AS onehot
+  FROM merged m LEFT JOIN hot_train h {_HOT_JOIN}""")
+q("model_b_request_frame", f"""SELECT m.user_id, m.business_id, {_FILLED.split(' AS y, ', 1)[1]},
+  coalesce(h.onehot, '') AS onehot FROM merged_req m LEFT JOIN hot_req h {_HOT_JOIN}""")
 q("onehot_train", """SELECT user_id, business_id, attr_key || v AS feature
                      FROM tv JOIN first_cat USING (attr_key) WHERE v <> v0""")
 q("onehot_requests", """SELECT user_id, business_id, attr_key || v AS feature
@@ -427,6 +541,12 @@ q("items_json_roundtrip", """SELECT CAST(business_id AS VARCHAR) AS business_id,
     latitude, attributes FROM items_text""")
 q("users_json_roundtrip", """SELECT CAST(user_id AS VARCHAR) AS user_id, review_count, useful, funny, cool,
     elite, friends, fans, average_stars, compliment_list, compliment_note FROM users""")
+q("reviews_json_roundtrip", f"""SELECT CAST(business_id AS VARCHAR) AS business_id, useful,
+    {r6('funny')} AS funny, {r6('cool')} AS cool FROM reviews""")
+q("tips_json_roundtrip", "SELECT CAST(business_id AS VARCHAR) AS business_id FROM tips")
+q("photos_json_roundtrip", "SELECT CAST(business_id AS VARCHAR) AS business_id, label FROM photos")
+q("checkins_json_roundtrip", """SELECT CAST(business_id AS VARCHAR) AS business_id, slot,
+    CAST(n AS INTEGER) AS n FROM checkin_slots_long""")
 q("predictions_sink", f"SELECT user_id, business_id, {r6('prediction')} AS prediction FROM cfpred")
 q("fallback_roundtrip", f"SELECT {_r6_stats('usr')}, {_r6_stats('bns')} FROM gp")
 q("item_cf_stream", f"SELECT user_id, business_id, {r6('prediction')} AS prediction, source FROM cfpred")

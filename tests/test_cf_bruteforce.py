@@ -79,9 +79,9 @@ def _compare(spark, train, req, **kw):
     return len(got)
 
 
-def test_hot_user_broadcast_path(spark, hot_fixture):
+def test_hot_user(spark, hot_fixture):
     train, req = hot_fixture
-    assert _compare(spark, train, req, broadcast_ratings=True) > 50
+    assert _compare(spark, train, req) > 50
 
 
 def test_hot_user_shuffle_path_with_skew_split(spark, hot_fixture):
@@ -95,7 +95,7 @@ def test_hot_user_shuffle_path_with_skew_split(spark, hot_fixture):
     for k, v in conf.items():
         spark.conf.set(k, v)
     try:
-        assert _compare(spark, train, req, broadcast_ratings=False) > 50
+        assert _compare(spark, train, req) > 50
     finally:
         for k, v in old.items():
             if v is None:
@@ -109,22 +109,23 @@ def test_real_views_against_brute_force(spark):
     _compare(spark, train, req)
 
 
-def test_hot_user_and_items_salted(spark, hot_fixture):
-    """Shuffle path with a tiny hot-key bound: the hot user and every busy
-    item are salted; results must stay exact."""
+def test_hot_products_salted(spark, hot_fixture):
+    """Each side alone is under the bound, their product is not: the hot user
+    is salted, every user above three items is looked up instead of expanded,
+    and results stay exact."""
     train, req = hot_fixture
-    conf = {"ratewise.skew.hotRows": "20", "ratewise.skew.maxSalts": "5",
+    conf = {"ratewise.skew.hotWork": "1000", "ratewise.cf.expandItems": "3",
             "spark.sql.autoBroadcastJoinThreshold": "-1",
             "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1"}
     old = {k: spark.conf.get(k, None) for k in conf}
     for k, v in conf.items():
         spark.conf.set(k, v)
     try:
-        from ratewise.operators import ratings as R
         from ratewise.operators import skew
-        hot = skew.hot_keys(R.user_degrees(train), "user_id", "n_items").collect()
-        assert any(r._hot_key == -1 and r._n_salt >= 2 for r in hot)
-        assert _compare(spark, train, req, broadcast_ratings=False) > 50
+        hot = skew.hot_keys(req.select("user_id", "business_id"), train, "user_id").collect()
+        sides = [df.groupBy("user_id").count().agg({"count": "max"}).first()[0] for df in (req, train)]
+        assert max(sides) <= 1000 and any(r._salts >= 2 for r in hot), (sides, hot)
+        assert _compare(spark, train, req) > 50
     finally:
         for k, v in old.items():
             if v is None:

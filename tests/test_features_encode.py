@@ -52,6 +52,15 @@ def test_fill_missing(spark):
                                "user_id string, business_id string, bns_avg double, usr_avg double, likes long")
     (r,) = FT.fill_missing(df, fb).collect()
     assert (r.bns_avg, r.usr_avg, r.likes) == (9.0, 0.0, 0.0)
+    (r,) = FT.fill_missing(df, fb, user_fallback=True).collect()
+    assert (r.bns_avg, r.usr_avg, r.likes) == (9.0, 8.0, 0.0)
+
+
+def test_unique_keys(spark):
+    df = spark.createDataFrame([("a",), ("b",), ("a",)], "business_id string")
+    with pytest.raises(ValueError, match="occurs 2 times"):
+        FT.assert_unique(df, "business_id", "items")
+    assert FT.assert_unique(df.distinct(), "business_id", "items").count() == 2
 
 
 def test_error_bands(spark):

@@ -83,6 +83,24 @@ def test_leave_one_out_request_side(spark, fallback):
     assert got[("z", "i1")] == (100.0, 3.0)    # unknown user -> user fallback
 
 
+def test_request_side_with_repeated_pairs(spark, fallback):
+    """All rows of the pair go, whatever their values."""
+    data = [("u1", "A", 5.0), ("u1", "A", 1.0), ("u1", "B", 3.0), ("u2", "A", 4.0)]
+    r = spark.createDataFrame(data, "user_id string, business_id string, stars double")
+    req = spark.createDataFrame([("u1", "A")], "user_id string, business_id string")
+    (row,) = P.loo_features(req, r, fallback, own_value=None).collect()
+    assert (row.usr_avg, row.usr_min, row.usr_max) == (3.0, 3.0, 3.0)
+    assert (row.bns_avg, row.bns_min, row.bns_max) == (4.0, 4.0, 4.0)
+
+
+def test_null_ratings_are_left_out(spark, fallback):
+    data = [("u1", "A", 5.0), ("u1", "B", None), ("u1", "C", 2.0)]
+    r = spark.createDataFrame(data, "user_id string, business_id string, stars double")
+    out = P.loo_features(r, r, fallback, own_value="stars")
+    got = {b: v for b, v in rows(out, "business_id", "usr_avg")}
+    assert got == {"A": 2.0, "B": 3.5, "C": 5.0}
+
+
 def test_global_profile(spark):
     users = spark.createDataFrame([(float(v),) for v in [1, 4, 5, 5]], "average_stars double")
     items = spark.createDataFrame([(float(v),) for v in [3, 3, 3]], "stars double")
