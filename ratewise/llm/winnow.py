@@ -33,7 +33,7 @@ from ratewise.llm.common import store, table
 SIZE, GRAM = 13, 5
 LEAD = SIZE - GRAM
 TABLE_BITS = 1 << 22
-CHUNK = 1 << 20          # bytes hashed at a time
+CHUNK = 1 << 18          # bytes hashed at a time
 
 _A = np.arange(256)
 #: Byte -> lower-cased byte of a word, or 0.
@@ -216,7 +216,10 @@ def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
                  F.count("*").alias("n_items"),
                  F.concat_ws(",", F.array_sort(F.collect_list("id"))).alias("items")))
     facts = n_hit.join(items, "text_key", "left")
-    return found.join(facts, "text_key", "left").select(
+    # texts without a candidate have no key and need no join
+    rows = found.where("text_key is not null").join(facts, "text_key", "left").unionByName(
+        found.where("text_key is null"), allowMissingColumns=True)
+    return rows.select(
         F.col("id").alias("doc_id"), "n_words", F.coalesce("n_hit", F.lit(0)).cast("bigint").alias("n_hit"),
         F.coalesce("n_items", F.lit(0)).cast("bigint").alias("n_items"),
         F.sha2(F.coalesce("items", F.lit("")), 256).alias("items_sha256"),
