@@ -165,21 +165,64 @@ def similar(sets: list[np.ndarray], least: float) -> list[tuple[int, int]]:
     return edges
 
 
+def alike(h: np.ndarray, begin: np.ndarray, left: np.ndarray, right: np.ndarray, least: float) -> np.ndarray:
+    """Whether the Jaccard similarity of the shingle sets of lines ``left[k]``
+    and ``right[k]`` is at least ``least``, for all pairs in one sort.  Sorting
+    uses 43 bits of each hash; pairs within two shingles of the limit are
+    decided again by all 64."""
+    ends = np.r_[begin[1:], len(h)]
+    n = ends - begin
+    pair = np.repeat(np.arange(len(left), dtype=np.uint64), n[left] + n[right])
+    start = np.stack([begin[left], begin[right]], 1).ravel()
+    size = np.stack([n[left], n[right]], 1).ravel()
+    side = np.repeat(np.arange(len(size), dtype=np.uint64) & np.uint64(1), size)
+    at = np.arange(size.sum()) + np.repeat(start - (np.cumsum(size) - size), size)
+    x = np.sort(pair << np.uint64(44) | (h[at] & np.uint64((1 << 43) - 1)) << np.uint64(1) | side)
+    x = x[np.r_[True, x[1:] != x[:-1]]]
+    both = (x[1:] >> np.uint64(1)) == (x[:-1] >> np.uint64(1))
+    shared = np.bincount((x[1:][both] >> np.uint64(44)).astype(np.int64), minlength=len(left))
+    union = np.bincount((x >> np.uint64(44)).astype(np.int64), minlength=len(left)) - shared
+    over = shared - least * union
+    out = over >= -1e-9
+    for k in np.flatnonzero(np.abs(over) < 2):
+        a, b = (np.unique(h[begin[i]:ends[i]]) for i in (left[k], right[k]))
+        common = len(np.intersect1d(a, b, assume_unique=True))
+        out[k] = common >= least * (len(a) + len(b) - common) - 1e-9
+    return out
+
+
 def _verify(cols, starts, least):
-    ids = cols["id"].to_numpy()
+    """Every line is held against the first of its group; only groups in which
+    some are not alike it are searched whole."""
+    ids, lines = cols["id"].to_numpy(), cols["line"]
+    length = np.cumsum(pc.utf8_length(lines).to_numpy().astype(np.int64))
     ends = np.r_[starts[1:], len(ids)]
     a, b = [], []
-    for s, e in zip(starts.tolist(), ends.tolist(), strict=True):
-        own, where = np.unique(ids[s:e], return_index=True)
-        if len(own) < 2:
-            continue
-        lines = cols["line"].take(pa.array(where + s)).to_pylist()
-        h, begin = shingles(lines)
-        sets = [np.unique(x) for x in np.split(h, begin[1:])]
-        for i, j in similar(sets, least):
-            a.append(own[i])
-            b.append(own[j])
-    yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+    g = 0
+    while g < len(starts):                    # some groups at a time
+        done = length[starts[g] - 1] if starts[g] else 0
+        stop = max(g + 1, int(np.searchsorted(length[ends - 1], done + 4 * CHUNK, "right")))
+        lo, hi = starts[g], ends[stop - 1]
+        h, begin = shingles(lines.slice(lo, hi - lo).to_pylist())
+        first = np.repeat(starts[g:stop], ends[g:stop] - starts[g:stop]) - lo
+        other = np.flatnonzero(np.arange(hi - lo) != first)
+        close = np.zeros(len(other), bool)
+        step = max(1, (1 << 19) // max(1, int(np.diff(np.r_[begin, len(h)]).max())))
+        for k in range(0, len(other), step):
+            close[k:k + step] = alike(h, begin, first[other[k:k + step]], other[k:k + step], least)
+        odd = np.unique(first[other[~close]])
+        odd = odd[ends[np.searchsorted(starts, odd + lo)] - lo - odd > 2]      # two lines: decided
+        plain = close & ~np.isin(first[other], odd)
+        a.append(ids[lo + first[other[plain]]])
+        b.append(ids[lo + other[plain]])
+        for s in odd.tolist():
+            e = ends[np.searchsorted(starts, s + lo)] - lo
+            stops = np.r_[begin[s + 1:e], begin[e] if e < len(begin) else len(h)]
+            edges = similar([np.unique(h[x:y]) for x, y in zip(begin[s:e], stops, strict=True)], least)
+            a.append(ids[lo + s + np.array([x for x, _ in edges], np.int64)])
+            b.append(ids[lo + s + np.array([y for _, y in edges], np.int64)])
+        g = stop
+    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(a)), pa.array(np.concatenate(b))], names=["a", "b"])
 
 
 def line_links(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:

@@ -138,3 +138,15 @@ def test_dedup_lines(spark):
     assert got.columns == df.columns
     assert sorted((tuple(r) for r in got.collect()), key=str) == [
         (1, "first line of text\nown", "s", 22), (2, "other things\n", "s", 13), (4, None, "s", None), (5, "", "s", 0)]
+
+
+def test_alike_is_exact():
+    rng = random.Random(6)
+    lines = ["".join(rng.choices("abc ", k=rng.randrange(1, 40))) for _ in range(60)]
+    lines += [x[:rng.randrange(1, len(x) + 1)] + rng.choice(["", "c", "zz"]) for x in lines]
+    h, begin = L.shingles(lines)
+    left, right = (np.array(x) for x in zip(*[(i, j) for i in range(120) for j in range(120) if i != j]))
+    got = L.alike(h, begin, left, right, 0.8)
+    sets = [grams(x) for x in lines]
+    want = [len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j]) for i, j in zip(left, right)]
+    assert got.tolist() == want and sum(want) > 20
