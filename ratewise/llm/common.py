@@ -57,6 +57,12 @@ def sampled(df: DataFrame, key: str, rows: int, total: int, seed: str) -> DataFr
     return df.where(F.pmod(F.xxhash64(F.lit(seed), F.col(key)), F.lit(1 << 30)) < cut)
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Arrow batches of at most 16 MB: with texts of any length, what is in
+    flight between the JVM and its Python workers stays small."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(16 << 20))
+
+
 def keep_documents(df: DataFrame, fn: Callable, setup: Callable | None = None) -> DataFrame:
     """The rows of ``df`` whose ``fn(text, state)`` is true, all columns kept."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -65,6 +71,7 @@ def keep_documents(df: DataFrame, fn: Callable, setup: Callable | None = None) -
             texts = batch.column(batch.schema.get_field_index("text"))
             yield batch.filter(pa.array([bool(fn(x.as_py(), state)) for x in texts], pa.bool_()))
 
+    small_batches(df.sparkSession)
     return df.mapInArrow(run, df.schema)
 
 
@@ -101,4 +108,5 @@ def by_document(df: DataFrame, fn: Callable, schema: str, setup: Callable | None
                 arrays += [pa.array(c, kind) for c, (_, kind) in zip(zip(*rows, strict=True), values, strict=True)]
                 yield pa.RecordBatch.from_arrays(arrays, names=keys + [n for n, _ in values])
 
+    small_batches(df.sparkSession)
     return df.mapInArrow(run, out)

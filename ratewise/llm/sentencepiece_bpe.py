@@ -34,7 +34,7 @@ from ratewise.llm.common import by_document, table
 
 MODEL = "piece_bpe_32k.model"
 MARK, UNKNOWN = "▁", " ⁇ "
-CACHE_WORDS, CACHE_CHARS = 600_000, 48
+CACHE_WORDS, CACHE_CHARS, CACHE_PAIRS = 75_000, 48, 150_000
 NORMAL, BYTE = 1, 6   # piece types of the model format
 
 
@@ -98,7 +98,7 @@ class Codec:
         for byte, i in self.bytes.items():
             self.raw[i] = bytes([byte])
         self.raw[0], self.raw[self.begin], self.raw[self.end] = UNKNOWN.encode(), b"", b""
-        self.fits, self.words, self.tails = {}, {}, {}
+        self.fits, self.words, self.older = {}, {}, {}
 
     def merged(self, text: str) -> list[int]:
         """The merge rule itself, for single pieces and pairs: join the
@@ -119,7 +119,7 @@ class Codec:
         key = left << 20 | right
         known = self.fits.get(key)
         if known is None:
-            if len(self.fits) > 2_000_000:
+            if len(self.fits) >= CACHE_PAIRS:
                 self.fits.clear()
             known = self.fits[key] = self.merged(self.pieces[left] + self.pieces[right]) == [left, right]
         return known
@@ -164,17 +164,21 @@ class Codec:
         """Packed ids of one space-free word with the mark before it."""
         if "\n" in word and "\n" not in self.chars:     # the parts recur, the whole rarely
             first, *rest = word.split("\n")
-            line = array("I", [self.bytes[10]]).tobytes()
-            return (self.words.get(first) or self.word(first)) + b"".join(
-                [line + (self.tails.get(x) or self._cached(self.tails, x, x)) for x in rest])
-        return self._cached(self.words, word, MARK + word)
-
-    def _cached(self, cache: dict, key: str, unit: str) -> bytes:
-        packed = self._unit(unit)
+            known = self.words                            # a space before what follows a line end
+            return (known.get(first) or self.word(first)) + b"".join(
+                [known.get(" " + x) or self._cached(" " + x, "\n" + x) for x in rest])
+        return self._cached(word, MARK + word)
+
+    def _cached(self, key: str, unit: str) -> bytes:
+        """From two generations of at most CACHE_WORDS short words each."""
+        packed = self.older.get(key)
+        if packed is None:
+            packed = self._unit(unit)
         if len(key) <= CACHE_CHARS:
-            if len(cache) >= CACHE_WORDS:
-                cache.clear()
-            cache[key] = packed
+            if len(self.words) >= CACHE_WORDS:
+                self.older = self.words.copy()
+                self.words.clear()             # the same dict: callers hold its get
+            self.words[key] = packed
         return packed
 
     def packed(self, text: str | None) -> bytes:

@@ -9,7 +9,7 @@ from ratewise.llm import sentencepiece_bpe as S
 
 SF = "/root/testdata/sf0.001"
 ODD = ["", " ", "  a  b ", " leading", "▁x ▁", "日本語テキスト 😀 \0 x", "a\n\nb\t c", "<s> </s> <0x41>", "ΩΩ ﬁ ａ", "\r\n", "x ",
-       "   def f(x):\n        return x  ", "a" * 300, " " * 50 + "x", "é" * 70, "the" * 40, "​  é", "\n" * 9]
+       "   def f(x):\n        return x  ", "a" * 300, " " * 50 + "x", "é" * 70, "the" * 40, "​  é", "\n" * 9, " \nThe \n\nx\n The\nThe", "\nThe The"]
 
 
 @pytest.fixture(scope="module")
@@ -42,8 +42,9 @@ def test_decoding_of_any_ids(codec, lib):
 def test_cache_bounds_change_nothing(lib, monkeypatch):
     monkeypatch.setattr(S, "CACHE_WORDS", 3)
     monkeypatch.setattr(S, "CACHE_CHARS", 4)
+    monkeypatch.setattr(S, "CACHE_PAIRS", 5)
     small = S.Codec(S.model_path())
-    text = "some words come back, some words\ndo not come back " * 5
+    text = "some words come back, some words\ndo not \ncome back " * 5
     assert small.encode(text) == [1, *lib.encode(text), 2]
 
 
