@@ -22,7 +22,7 @@ from functools import lru_cache
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ratewise.llm.common import by_document, table
+from ratewise.llm.common import by_document, store, table
 
 RANKS = "byte_bpe_50k.tiktoken"
 CHUNK = 1024
@@ -99,4 +99,5 @@ def quantiles(sums: DataFrame, shares: list[float]) -> DataFrame:
 
 
 def op10_token_counts(spark, sf_dir: str) -> DataFrame:
-    return suffix_sums(histogram(token_lengths(table(spark, sf_dir, "documents"))))
+    lengths = token_lengths(table(spark, sf_dir, "documents"))
+    return suffix_sums(store(histogram(lengths), "histogram"))    # read twice, encoded once
