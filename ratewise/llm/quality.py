@@ -99,10 +99,13 @@ def _add(c: np.ndarray, found: np.ndarray) -> None:
 
 
 def labelled(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """(doc_id, y, text) of the rows that may be learned from."""
+    """(doc_id, y, text) of the rows that may be learned from, written once: the
+    counts and the sample both read it.  The join is a shuffled one at every
+    size, with the labels (a row a document) as its hash tables."""
     y = (labels.where("quality is not null and doc_id is not null").groupBy("doc_id")
          .agg((F.avg("quality") >= 0.5).cast("int").alias("y")))
-    return docs.where(~held_out()).select("doc_id", "text").join(y, "doc_id").select("doc_id", "y", "text")
+    rows = docs.where(~held_out()).select("doc_id", "text").join(y.hint("shuffle_hash"), "doc_id")
+    return store(rows.select("doc_id", "y", "text"), "labelled")
 
 
 def class_counts(rows: DataFrame) -> np.ndarray:
