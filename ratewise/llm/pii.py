@@ -8,10 +8,11 @@ the positions.
 
 Method: the base matches, and hexadecimal keys, are seed entities.  Candidates
 are the other tokens with a digit or an @.  Every occurrence has two lexical
-patterns: the two words before it, and the words on both sides.  Patterns and
-values form a graph that is scored for ``ROUNDS`` rounds: a pattern's confidence
-in a kind is its values' summed score over the number of its values (plus
-``PRIOR``), and a value's score is one minus the product of its patterns'
+patterns: the two words before it, and the words on both sides, taken from the
+text around it by position, whatever stands there.  Patterns and values form a
+graph that is scored for ``ROUNDS`` rounds: a pattern's confidence in a kind is
+its values' summed score over the number of its values (plus ``PRIOR``), and a
+value's score is one minus the product of its patterns'
 doubts; seeds stay at one.  Patterns count from ``SUPPORT`` values of the kind
 and a confidence of ``CONFIDENCE`` on.  A candidate in such a pattern is reported
 as that kind; base matches stay as they are.
@@ -45,6 +46,8 @@ KINDS = [*BASE, KEY]
 NEEDS = {"email": "@", "ip": ".", "phone": "+"}
 CANDIDATE = r"(?<!\S)[^\s0-9@]*+[0-9@]\S*+"
 PUNCTUATION = "!\"#$%&'()*,-./:;<=>?@[\\]^_`{|}~"
+#: Before a value a label's end is kept.
+OPENING = PUNCTUATION.translate({ord(c): None for c in ":="})
 MIN_CHARS = 6
 ROUNDS, PRIOR, SUPPORT, CONFIDENCE = 3, 0.5, 3, 0.75
 CONTEXT_CHARS = 80
@@ -72,26 +75,65 @@ def _words(text: Column) -> Column:
     return F.filter(F.split(F.regexp_replace(F.lower(text), "[0-9]+", "0"), r"\s+"), lambda w: w != "")
 
 
-def _matches(kind: str, pattern: str) -> Column:
-    """Matches of one kind in ``_text`` as structs: kind, number, gap (length of
-    the text before it since the last match), value and the words around it."""
+def _let(value: Column, use) -> Column:
+    """``use(value)`` with the value computed once."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def _pieces(pieces: Column, first: Column, last: Column) -> Column:
+    """Some pieces as one text (``slice`` would copy all of them)."""
+    return F.array_join(F.transform(F.sequence(first, last), lambda j: F.get(pieces, j)), "")
+
+
+def _enough(text: Column, otherwise: Column) -> Column:
+    return F.when(F.length(text) >= CONTEXT_CHARS, text).otherwise(otherwise)
+
+
+def _before(tails: Column, i: Column) -> Column:
+    """The last ``CONTEXT_CHARS`` characters before match ``i``.  A match has a
+    character, and so has the text between two neighbours or else the match a
+    second one, so as many pieces hold them."""
+    def last(n):
+        return F.substring(_pieces(tails, F.greatest(2 * i + 1 - n, F.lit(0)), 2 * i), -CONTEXT_CHARS, CONTEXT_CHARS)
+
+    return _enough(F.get(tails, 2 * i), _let(last(5), lambda t: _enough(t, last(CONTEXT_CHARS))))
+
+
+def _after(heads: Column, i: Column) -> Column:
+    """The first ``CONTEXT_CHARS`` characters after match ``i``."""
+    def first(n):
+        end = F.least(2 * i + 1 + n, F.size(heads) - 1)
+        return F.substring(_pieces(heads, 2 * i + 2, end), 1, CONTEXT_CHARS)
+
+    return _enough(F.get(heads, 2 * i + 2), _let(first(5), lambda t: _enough(t, first(CONTEXT_CHARS))))
+
+
+def _marked(kind: str, pattern: str) -> Column:
+    """``_text`` split into its matches of one kind and what is between them."""
     marked = F.split(F.regexp_replace("_text", f"({pattern})", "\x01$1\x02"), "[\x01\x02]")
     if kind in NEEDS:
         marked = F.when(F.contains("_text", F.lit(NEEDS[kind])), marked).otherwise(F.array(F.lit("")))
+    return marked
+
+
+def _matches(kind: str) -> Column:
+    """Matches of one kind as structs: kind, number, gap (length of the text
+    before it since the last match), value and the words around it, without
+    the punctuation that touches it."""
+    marked, tails, heads = F.col(f"_{kind}"), F.col(f"_{kind}_tails"), F.col(f"_{kind}_heads")
 
     def one(i):
-        before, value, after = (F.get(marked_, 2 * i + k) for k in range(3))
-        left = _words(F.substring(before, -CONTEXT_CHARS, CONTEXT_CHARS))
-        right = _words(F.substring(after, 1, CONTEXT_CHARS))
-        return F.struct(
+        before, value = F.get(marked, 2 * i), F.get(marked, 2 * i + 1)
+        left = _words(F.rtrim(_before(tails, i), F.lit(OPENING)))
+        right = _words(F.ltrim(_after(heads, i), F.lit(PUNCTUATION)))
+        return _let(F.struct(left.alias("left"), F.get(right, F.lit(0)).alias("right")), lambda c: F.struct(
             F.lit(kind).alias("kind"), i.alias("number"), F.length(before).alias("gap"), value.alias("value"),
-            F.array_join(F.slice(left, F.greatest(F.size(left) - 1, F.lit(1)), 2), " ").alias("two_left"),
-            F.concat_ws(" ", F.coalesce(F.try_element_at(left, F.lit(-1)), F.lit("^")), F.lit("_"),
-                        F.coalesce(F.get(right, F.lit(0)), F.lit("$"))).alias("around"))
+            F.array_join(F.slice(c["left"], F.greatest(F.size(c["left"]) - 1, F.lit(1)), 2), " ").alias("two_left"),
+            F.concat_ws(" ", F.coalesce(F.try_element_at(c["left"], F.lit(-1)), F.lit("^")), F.lit("_"),
+                        F.coalesce(c["right"], F.lit("$"))).alias("around")))
 
-    marked_ = F.col(f"_{kind}")
-    n = (F.size(marked_) - 1) / 2
-    return marked, F.when(F.size(marked_) > 1, F.transform(F.sequence(F.lit(0), n.cast("int") - 1), one))
+    n = (F.size(marked) - 1) / 2
+    return F.when(F.size(marked) > 1, F.transform(F.sequence(F.lit(0), n.cast("int") - 1), one))
 
 
 def find(docs: DataFrame) -> DataFrame:
@@ -102,11 +144,13 @@ def find(docs: DataFrame) -> DataFrame:
                    F.translate(text, "\x01\x02", "\x03\x03")).otherwise(text)
     df = docs.select(F.xxhash64("doc_id", "text").alias("_doc"), clean.alias("_text"))
     patterns = {**BASE, "candidate": CANDIDATE}
-    columns = {kind: _matches(kind, pattern) for kind, pattern in patterns.items()}
-    df = df.select("_doc", *[marked.alias(f"_{kind}") for kind, (marked, _) in columns.items()])
+    df = df.select("_doc", *[_marked(kind, pattern).alias(f"_{kind}") for kind, pattern in patterns.items()])
     df = df.where(reduce(lambda a, b: a | b, [F.size(f"_{kind}") > 1 for kind in patterns]))
+    ends = {"tails": -CONTEXT_CHARS, "heads": 1}
+    df = df.select("*", *[F.transform(f"_{kind}", lambda piece: F.substring(piece, start, CONTEXT_CHARS))
+                          .alias(f"_{kind}_{name}") for kind in patterns for name, start in ends.items()])
     empty = F.array().cast("array<struct<kind:string,number:int,gap:int,value:string,two_left:string,around:string>>")
-    df = df.select("_doc", F.inline(F.concat(*[F.coalesce(m, empty) for _, m in columns.values()]))).distinct()
+    df = df.select("_doc", F.inline(F.concat(*[F.coalesce(m, empty) for m in map(_matches, patterns)]))).distinct()
     before = Window.partitionBy("_doc", "kind").orderBy("number")
     df = df.withColumn("end", F.sum(F.col("gap") + F.length("value")).over(before)) \
         .withColumn("start", F.col("end") - F.length("value"))

@@ -87,6 +87,30 @@ def test_patterns_discover_unseen_identifiers(spark):
     assert got[50] == f"phone:{at}:{at + 11}" and got[51] == ""
 
 
+def contexts(spark, text):
+    rows = P.find(spark.createDataFrame([(1, text)], "doc_id bigint, text string")).collect()
+    return {(r.kind, r.value): (r.two_left, r.around) for r in rows}
+
+
+def test_contexts_are_the_text_around_whatever_stands_there(spark):
+    got = contexts(spark, "room 12 phone: +1 555 100 2001 3 thanks")
+    assert got["phone", "+1 555 100 2001 3"] == ("0 phone:", "phone: _ thanks")
+    got = contexts(spark, "room 12 phone: 555-0199-77 3 thanks")
+    assert got["candidate", "555-0199-77"] == ("0 phone:", "phone: _ 0")
+    got = contexts(spark, 'a1 b2 "c3d4", e5 x@y.zz, q@w.ee ' + "1 " * 100 + "z9")
+    assert got["candidate", '"c3d4",'] == ("a0 b0", "b0 _ e0")
+    assert got["email", "q@w.ee"] == ("e0 x@y.zz,", "x@y.zz, _ 0")
+    assert got["candidate", "z9"] == ("0 0", "0 _ $")
+
+
+def test_candidates_with_numbers_on_either_side_are_found(spark):
+    rows = [(i, f"room {i} phone: +1 555 {100 + i} 200{i % 10} thanks w{i}") for i in range(12)]
+    rows += [(50, "room 12 phone: 555-0199-77 thanks all"), (51, "see 12 phone: 555-0199-78, 34 of 99")]
+    got = {r.doc_id: r.spans for r in run(spark, rows)}
+    for d, text in rows[12:]:
+        assert got[d] == f"phone:{text.index('555')}:{text.index('555') + 11}"
+
+
 def test_no_python_on_the_main_path(spark):
     df = spark.createDataFrame([(1, "a b")], "doc_id bigint, text string")
     for part in (P.find(df), P.report(df)):
