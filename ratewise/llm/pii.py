@@ -7,7 +7,9 @@ for one), the marked text is split, and running sums of the pieces' lengths give
 the positions.
 
 Method: the base matches, and hexadecimal keys, are seed entities.  Candidates
-are the other tokens with a digit or an @.  Every occurrence has two lexical
+are the other tokens with a digit or an @, and runs of neighbouring digit tokens
+(the shape of phones and cards without their checks); both have at least
+``MIN_CHARS`` characters.  A reported run covers its tokens.  Every occurrence has two lexical
 patterns: the two words before it, and the words on both sides, taken from the
 text around it by position, whatever stands there.  Patterns and values form a
 graph that is scored for ``ROUNDS`` rounds: a pattern's confidence in a kind is
@@ -49,6 +51,9 @@ PUNCTUATION = "!\"#$%&'()*,-./:;<=>?@[\\]^_`{|}~"
 #: Before a value a label's end is kept.
 OPENING = PUNCTUATION.translate({ord(c): None for c in ":="})
 MIN_CHARS = 6
+#: The shape of phones and cards without their checks, token by token: how
+#: a token that goes on ends, how one that follows begins, what is between them.
+GOES_ON, FOLLOWS, BETWEEN = r"[0-9][().-]*$", r"^[(.-]*[0-9]", r"^[\x20().-]+$"
 ROUNDS, PRIOR, SUPPORT, CONFIDENCE = 3, 0.5, 3, 0.75
 CONTEXT_CHARS = 80
 _PART = r"0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
@@ -130,15 +135,16 @@ def _matches(kind: str) -> Column:
             F.lit(kind).alias("kind"), i.alias("number"), F.length(before).alias("gap"), value.alias("value"),
             F.array_join(F.slice(c["left"], F.greatest(F.size(c["left"]) - 1, F.lit(1)), 2), " ").alias("two_left"),
             F.concat_ws(" ", F.coalesce(F.try_element_at(c["left"], F.lit(-1)), F.lit("^")), F.lit("_"),
-                        F.coalesce(c["right"], F.lit("$"))).alias("around")))
+                        F.coalesce(c["right"], F.lit("$"))).alias("around"), before.rlike(BETWEEN).alias("next_to")))
 
     n = (F.size(marked) - 1) / 2
     return F.when(F.size(marked) > 1, F.transform(F.sequence(F.lit(0), n.cast("int") - 1), one))
 
 
 def find(docs: DataFrame) -> DataFrame:
-    """(_doc, kind, start, end, value, two_left, around) of all base matches that
-    pass their check (and of all candidate tokens, as kind ``candidate``)."""
+    """(_doc, kind, start, end, value, two_left, around, next_to) of all base
+    matches that pass their check (and of all candidate tokens, as kind
+    ``candidate``; next_to: no other token is between it and the last one)."""
     text = F.coalesce("text", F.lit(""))
     clean = F.when(F.contains(text, F.lit("\x01")) | F.contains(text, F.lit("\x02")),
                    F.translate(text, "\x01\x02", "\x03\x03")).otherwise(text)
@@ -149,19 +155,21 @@ def find(docs: DataFrame) -> DataFrame:
     ends = {"tails": -CONTEXT_CHARS, "heads": 1}
     df = df.select("*", *[F.transform(f"_{kind}", lambda piece: F.substring(piece, start, CONTEXT_CHARS))
                           .alias(f"_{kind}_{name}") for kind in patterns for name, start in ends.items()])
-    empty = F.array().cast("array<struct<kind:string,number:int,gap:int,value:string,two_left:string,around:string>>")
+    empty = F.array().cast("array<struct<kind:string,number:int,gap:int,value:string,two_left:string,around:string,"
+                             "next_to:boolean>>")
     df = df.select("_doc", F.inline(F.concat(*[F.coalesce(m, empty) for m in map(_matches, patterns)]))).distinct()
     before = Window.partitionBy("_doc", "kind").orderBy("number")
     df = df.withColumn("end", F.sum(F.col("gap") + F.length("value")).over(before)) \
         .withColumn("start", F.col("end") - F.length("value"))
     checks = reduce(lambda c, kind: c.when(F.col("kind") == kind, _valid(kind, F.col("value"))),
                     ["card", "ip", "phone"], F.when(F.col("kind") == "email", F.lit(True)))
-    return df.where(checks.otherwise(F.lit(True))).select("_doc", "kind", "start", "end", "value", "two_left", "around")
+    return df.where(checks.otherwise(F.lit(True))).select(
+        "_doc", "kind", "start", "end", "value", "two_left", "around", "next_to")
 
 
 def candidates(found: DataFrame) -> DataFrame:
-    """Candidate tokens without punctuation around them that overlap no base
-    match; hexadecimal keys are kept wherever they stand, as kind ``key``."""
+    """Candidate tokens and runs without punctuation around them that overlap no
+    base match; hexadecimal keys are kept wherever they stand, as kind ``key``."""
     core = F.btrim("value", F.lit(PUNCTUATION))
     lead = F.length("value") - F.length(F.ltrim("value", F.lit(PUNCTUATION)))
     is_base = F.col("kind") != "candidate"
@@ -174,10 +182,36 @@ def candidates(found: DataFrame) -> DataFrame:
         .withColumn("next", F.min(F.when(is_base, F.col("start"))).over(on))
     key = F.col("core").rlike("^[0-9A-Fa-f]{32,}$") & F.col("core").rlike("[A-Fa-f]") & F.col("core").rlike("[0-9]")
     free = (F.coalesce("last", F.col("start")) <= F.col("start")) & (F.coalesce("next", F.col("end")) >= F.col("end"))
-    return df.where(~is_base & (F.length("core") >= MIN_CHARS)).withColumn("is_key", key) \
-        .where(free | F.col("is_key")) \
+    tokens = df.where(~is_base).withColumn("is_key", key).withColumn("free", free)
+    single = tokens.where((F.length("core") >= MIN_CHARS) & (F.col("free") | F.col("is_key"))) \
         .select("_doc", F.when(F.col("is_key"), KEY).otherwise("candidate").alias("kind"), "start", "end",
                 F.col("core").alias("value"), "two_left", "around")
+    return single.unionByName(_runs(tokens, lead))
+
+
+def _runs(tokens: DataFrame, lead: Column) -> DataFrame:
+    """Runs of two and more free digit tokens, as candidates.  A bracket that
+    opens before the run and closes in it belongs to it."""
+    order = Window.partitionBy("_doc").orderBy("start", "end")
+    digits = F.col("free") & F.col("core").rlike(r"^\+?[0-9][().0-9-]*$")
+    df = tokens.withColumn("digits", digits)
+    goes_on = F.lag(F.col("digits") & F.col("value").rlike(GOES_ON)).over(order)
+    joined = F.coalesce(F.col("next_to") & F.col("digits") & F.col("value").rlike(FOLLOWS) & goes_on, F.lit(False))
+    df = df.withColumn("joined", joined)
+    df = df.withColumn("run", F.sum(F.when(F.col("joined"), 0).otherwise(1)).over(order)) \
+        .withColumn("more", F.lead("joined").over(order)).where("joined or more")
+    part = F.struct("start", "value", "two_left", "around",
+                    F.substr("value", lead, F.lit(1)).alias("lead"))
+    df = df.groupBy("_doc", "run").agg(F.array_sort(F.collect_list(part)).alias("parts"), F.max("end").alias("end"))
+    head, tail = F.get("parts", F.lit(0)), F.element_at("parts", -1)
+    value = F.btrim(F.array_join(F.col("parts.value"), " "), F.lit(PUNCTUATION))
+    opened = (head["lead"] == "(") & value.rlike(r"^[^(]*\)")
+    return df.select(
+        "_doc", F.lit("candidate").alias("kind"), (head["start"] - opened.cast("int")).alias("start"), "end",
+        F.when(opened, F.concat(F.lit("("), value)).otherwise(value).alias("value"), head["two_left"].alias("two_left"),
+        F.concat_ws(" ", F.substring_index(head["around"], " ", 1), F.lit("_"),
+                    F.substring_index(tail["around"], " ", -1)).alias("around")) \
+        .where(F.length("value") >= MIN_CHARS)
 
 
 def graph(occurrences: DataFrame) -> DataFrame:
@@ -215,13 +249,15 @@ def spans(docs: DataFrame) -> DataFrame:
     """(_doc, kind, start, end, base) of every base match and of everything the
     method adds."""
     found = store(find(docs), "pii-matches")
-    base = found.where("kind <> 'candidate'")
+    base = found.where("kind <> 'candidate'").drop("next_to")
     cand = store(candidates(found), "pii-candidates")
     patterns = score_patterns(store(graph(base.unionByName(cand)), "pii-edges"))
     hit = cand.where("kind = 'candidate'").withColumn("pattern", F.explode(F.array(
         F.concat(F.lit("L "), F.col("two_left")), F.concat(F.lit("B "), F.col("around")))))
     added = hit.drop("kind").join(patterns, "pattern").groupBy("_doc", "start", "end").agg(
         F.max_by("kind", F.struct("confidence", "kind")).alias("kind"))
+    earlier = Window.partitionBy("_doc").orderBy("start", F.desc("end")).rowsBetween(Window.unboundedPreceding, -1)
+    added = added.withColumn("_upto", F.max("end").over(earlier)).where("_upto is null or _upto < end")
     keys = cand.where(F.col("kind") == KEY)
     one = ["_doc", "kind", "start", "end"]
     return base.select(*one, F.lit(True).alias("base")).unionByName(

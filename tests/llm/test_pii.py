@@ -111,6 +111,19 @@ def test_candidates_with_numbers_on_either_side_are_found(spark):
         assert got[d] == f"phone:{text.index('555')}:{text.index('555') + 11}"
 
 
+def test_runs_of_digit_tokens_are_found_whole(spark):
+    rows = [(i, f"some text . contact phone: +1 555 {100 + i} 200{i % 10} thanks w{i}") for i in range(40)]
+    found = {50: "030 1234 567", 51: "(555) 010-9977", 52: "030 (12) 34 - 56", 53: "555-0199-77"}
+    rows += [(d, f"other text . contact phone: {v} thanks all") for d, v in found.items()]
+    rows += [(60, "version 030 1234 568 of it"), (61, "contact phone: 1 2 thanks"),
+             (62, "contact phone: 030 1234 569 +1 555 300 4000 thanks")]
+    got = {r.doc_id: r.spans for r in run(spark, rows)}
+    for d, v in found.items():
+        at = dict(rows)[d].index(v)
+        assert got[d] == f"phone:{at}:{at + len(v)}"
+    assert got[60] == got[61] == "" and got[62] == "phone:15:27,phone:28:43"
+
+
 def test_no_python_on_the_main_path(spark):
     df = spark.createDataFrame([(1, "a b")], "doc_id bigint, text string")
     for part in (P.find(df), P.report(df)):
