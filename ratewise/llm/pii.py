@@ -9,14 +9,16 @@ the positions.
 Method: the base matches, and hexadecimal keys, are seed entities.  Candidates
 are the other tokens with a digit or an @, and runs of neighbouring digit tokens
 (the shape of phones and cards without their checks); both have at least
-``MIN_CHARS`` characters.  A reported run covers its tokens.  Every occurrence has two lexical
-patterns: the two words before it, and the words on both sides, taken from the
-text around it by position, whatever stands there.  Patterns and values form a
-graph that is scored for ``ROUNDS`` rounds: a pattern's confidence in a kind is
-its values' summed score over the number of its values (plus ``PRIOR``), and a
-value's score is one minus the product of its patterns'
-doubts; seeds stay at one.  Patterns count from ``SUPPORT`` values of the kind
-and a confidence of ``CONFIDENCE`` on.  A candidate in such a pattern is reported
+``MIN_CHARS`` characters.  A reported run covers its tokens.  Every occurrence
+has two lexical patterns: the two words before it, and the words on both sides,
+taken from the text around it by position, whatever stands there.  Patterns and
+values form a graph that is scored for ``ROUNDS`` rounds: a pattern's confidence
+in a kind is its values' summed score over the number of its values (plus
+``PRIOR``), where a value without any score counts ``FITS`` if it has the kind's
+shape and ``ODD`` if not, as it may be an unseen one.  A value's score is one
+minus the product of its patterns' doubts; seeds stay at one.  Patterns count
+from ``SUPPORT`` values of the kind and a confidence of ``CONFIDENCE`` on.  A
+candidate in such a pattern is reported
 as that kind; base matches stay as they are.
 
 Results: positions are code points, end exclusive.  NULL and empty texts have
@@ -56,6 +58,15 @@ MIN_CHARS = 6
 GOES_ON, FOLLOWS, BETWEEN = r"[0-9][().-]*$", r"^[(.-]*[0-9]", r"^[\x20().-]+$"
 ROUNDS, PRIOR, SUPPORT, CONFIDENCE = 3, 0.5, 3, 0.75
 CONTEXT_CHARS = 80
+#: What a value of no known kind counts against a kind: with the kind's shape, without.
+FITS, ODD = 0.1, 0.5
+SHAPES = {
+    "email": r"^[^@]+@[^@]+$",
+    "ip": r"^[0-9a-f]*[.:][0-9a-f.:]*(?:/[0-9]+)?$",
+    "card": r"^[0-9][0-9\x20-]{10,}[0-9]$",
+    "phone": r"^[+(]*[0-9][().0-9\x20-]*$",
+    KEY: r"^[0-9a-z+/=_-]{16,}$",
+}
 _PART = r"0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
 
 
@@ -227,13 +238,22 @@ def score_patterns(edges: DataFrame, rounds: int = ROUNDS) -> DataFrame:
     seeds = edges.where("seed is not null").select("value", F.col("seed").alias("kind"),
                                                    F.lit(1.0).alias("score")).distinct()
     links = edges.select("pattern", "value").distinct()
-    sizes = links.groupBy("pattern").agg(F.count("*").alias("n")).where(F.col("n") >= SUPPORT)
+    weight = {kind: F.when(F.col("value").rlike(SHAPES[kind]), FITS).otherwise(ODD) for kind in KINDS}
+    sizes = store(links.groupBy("pattern").agg(F.count("*").alias("n"), *[F.sum(weight[k]).alias(f"all_{k}") for k in KINDS])
+                  .where(F.col("n") >= SUPPORT), "pii-sizes")
     values, patterns = seeds, None
     for k in range(rounds):
-        sums = links.join(values, "value").groupBy("pattern", "kind").agg(
-            F.sum("score").alias("mass"), F.sum(F.when(F.col("score") >= 0.5, 1).otherwise(0)).alias("support"))
-        patterns = store(sums.join(sizes, "pattern")
-                         .withColumn("confidence", F.round(F.col("mass") / (F.col("n") + PRIOR), 9))
+        known = values.groupBy("value").agg(
+            *[F.max(F.when(F.col("kind") == kind, F.col("score"))).alias(f"is_{kind}") for kind in KINDS])
+        sums = links.join(known, "value").groupBy("pattern").agg(*[F.struct(
+            F.sum(F.coalesce(f"is_{kind}", F.lit(0.0))).alias("mass"),
+            F.sum(F.when(F.col(f"is_{kind}") >= 0.5, 1).otherwise(0)).alias("support"),
+            F.sum(1 - weight[kind]).alias("more")).alias(f"sum_{kind}") for kind in KINDS])
+        each = sums.join(sizes, "pattern").select("pattern", F.inline(F.array(*[F.struct(
+            F.lit(kind).alias("kind"), F.col(f"sum_{kind}.mass").alias("mass"),
+            F.col(f"sum_{kind}.support").alias("support"),
+            (F.col(f"all_{kind}") + F.col(f"sum_{kind}.more")).alias("n")) for kind in KINDS])))
+        patterns = store(each.withColumn("confidence", F.round(F.col("mass") / (F.col("n") + PRIOR), 9))
                          .where((F.col("support") >= SUPPORT) & (F.col("confidence") >= CONFIDENCE))
                          .select("pattern", "kind", "confidence"), "patterns")
         if k + 1 < rounds:

@@ -124,6 +124,21 @@ def test_runs_of_digit_tokens_are_found_whole(spark):
     assert got[60] == got[61] == "" and got[62] == "phone:15:27,phone:28:43"
 
 
+def test_unseen_values_are_no_proof_against_a_kind(spark):
+    def edges(pattern, seeds, unseen, kind="phone"):
+        return [(pattern, v, kind) for v in seeds] + [(pattern, v, None) for v in unseen]
+
+    phones = [f"+1 555 100 {i:04}" for i in range(600)]
+    local = [f"555-{i:04}" for i in range(300)]
+    rows = edges("L phone:", phones, local) + edges("L call", phones[:3], local[:1])
+    rows += edges("L on", phones[:3], [f"2019-01-{i:04}" for i in range(60)])
+    rows += edges("L by", phones[:9], [f"mr-x{i}" for i in range(20)])
+    rows += edges("L id", phones[:8], []) + edges("L id", ["a@b.cc", "d@e.ff", "g@h.ii", "j@k.ll"], [], "email")
+    df = spark.createDataFrame(rows, "pattern string, value string, seed string")
+    got = {(r.pattern, r.kind) for r in P.score_patterns(df, 1).collect()}
+    assert got == {("L phone:", "phone"), ("L call", "phone")}
+
+
 def test_no_python_on_the_main_path(spark):
     df = spark.createDataFrame([(1, "a b")], "doc_id bigint, text string")
     for part in (P.find(df), P.report(df)):
