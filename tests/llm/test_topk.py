@@ -1,0 +1,122 @@
+import math
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from ratewise.llm import topk as T
+
+SF = "/root/testdata/sf0.001"
+
+
+def brute(rows, is_query, k):
+    """(query id, list of (vec_id, score)) of each distinct query row."""
+    clean = []
+    for i, v in rows:
+        if i is None or v is None or any(x is None or not math.isfinite(x) for x in v):
+            continue
+        clean.append((i, tuple(max(-2 ** 63, min(2 ** 63 - 1, math.floor(x * 256) if abs(x) < 1e300 else int(x) * 256))
+                               for x in v)))
+    clean = sorted(set(clean))
+    out = []
+    for i, q in clean:
+        if not is_query(i):
+            continue
+        found = {(max(-2 ** 63, min(2 ** 63 - 1, sum(a * b for a, b in zip(q, v, strict=True)))), j)
+                 for j, v in clean if j != i and len(v) == len(q)}
+        out.append((i, [(j, s) for s, j in sorted(found, key=lambda x: (-x[0], x[1]))[:k]]))
+    return sorted(out)
+
+
+def got(df, condition, k=5):
+    out = {}
+    for r in df.collect():
+        out.setdefault(r.query_id, []).append((r["rank"], r.vec_id, r.score))
+    for rows in out.values():
+        rows.sort()
+    return sorted((i, [(v, s) for _, v, s in rows]) for i, rows in out.items())
+
+
+@pytest.fixture
+def small(monkeypatch):
+    """Many regions, blocks and shares."""
+    monkeypatch.setattr(T, "PIVOTS", 6)
+    monkeypatch.setattr(T, "BLOCK_ROWS", 16)
+    monkeypatch.setattr(T, "SHARE_ROWS", 3)
+
+
+def test_table_matches_brute_force(spark, small):
+    df = spark.read.parquet(f"{SF}/embeddings.parquet")
+    rows = [(r.vec_id, r.embedding) for r in df.collect()]
+    assert got(T.search(df, F.col("vec_id") % 50 == 0), None) == brute(rows, lambda i: i % 50 == 0, 5)
+
+
+def clusters(n, seed, dims=6):
+    rng = np.random.default_rng(seed)
+    centre = rng.normal(size=(5, dims)) * 3
+    return [(i, [float(x) for x in centre[i % 5] + rng.normal(size=dims) * 0.05]) for i in range(n)]
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_clusters_and_one_hot_vector(spark, small, seed):
+    """A third of the rows are one vector, so ties must go to the least ids."""
+    rows = clusters(160, seed) + [(1000 + i, [1.0] * 6) for i in range(80)]
+    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<float>")
+    rows = [(r.vec_id, r.embedding) for r in df.collect()]
+    assert got(T.search(df, F.col("vec_id") % 10 == 0, 4), None) == brute(rows, lambda i: i % 10 == 0, 4)
+
+
+def test_edges(spark, small):
+    nan, inf = float("nan"), float("inf")
+    rows = [(0, [1.0, 2.0]), (1, [2.0, 1.0]), (1, [2.0, 1.0]), (2, [0.5, -0.001]), (3, None), (4, [1.0, None]),
+            (5, [nan, 1.0]), (6, [inf, 1.0]), (None, [1.0, 1.0]), (50, [1.0, 2.0, 3.0]), (7, [4.0, 5.0, 6.0]),
+            (100, []), (8, []), (150, [1e30, 1.0]), (9, [1e200, -1e200]), (10, [3e12, 2e12]), (200, [3e12, 2e12]),
+            (250, [7.0] * 9), (11, [0.0, 0.0]), (12, [0.0, 0.0]), (13, [-3.0, -4.0]), (300, [-1.0, -1.0])]
+    df = spark.createDataFrame([(*r, "clash", 1.5, 2) for r in rows],
+                               "vec_id bigint, embedding array<double>, row string, norm double, v int")
+    want = [x for x in brute(rows, lambda i: i % 50 == 0, 3) if x[1]]      # 250 has no one to meet
+    assert got(T.search(df, F.col("vec_id") % 50 == 0, 3), None) == want
+
+
+def test_rows_of_one_id_with_different_vectors(spark):
+    df = spark.createDataFrame([(50, [1.0]), (50, [-1.0]), (1, [2.0]), (2, [3.0])], "vec_id bigint, embedding array<float>")
+    found = sorted((r.query_id, r["rank"], r.vec_id, r.score)
+                   for r in T.search(df, F.col("vec_id") == 50, 1).collect())
+    assert found == [(50, 1, 1, -131072), (50, 1, 2, 196608)]
+
+
+def test_empty_and_no_query(spark):
+    df = spark.createDataFrame([], "vec_id bigint, embedding array<float>")
+    out = T.search(df, F.col("vec_id") % 50 == 0)
+    assert out.collect() == []
+    assert [(f.name, f.dataType.simpleString()) for f in out.schema] == [
+        ("query_id", "bigint"), ("rank", "int"), ("vec_id", "bigint"), ("score", "bigint")]
+    some = spark.createDataFrame([(1, [1.0]), (2, [2.0])], df.schema)
+    assert T.search(some, F.col("vec_id") % 50 == 0).collect() == []
+
+
+def test_bounds_end_the_search_early():
+    """Of clustered candidates most are never evaluated."""
+    rng = np.random.default_rng(3)
+    centre = rng.normal(size=(20, 8)) * 500
+    ints = np.floor(centre[np.arange(4000) % 20] + rng.normal(size=(4000, 8)) * 5).astype(np.int64)
+    points = ints[:20].astype(np.float64)
+    norm = (ints.astype(np.float64) ** 2).sum(1)
+    dist = np.sqrt(((ints[:, None].astype(np.float64) - points) ** 2).sum(2))
+    block = T.Block(np.arange(4000), ints, norm, dist)
+    seen = []
+
+    class Counting(np.ndarray):
+        def __getitem__(self, key):
+            out = super().__getitem__(key)
+            seen.append(len(np.atleast_1d(key)))
+            return np.asarray(out)
+
+    block.floats = block.floats.view(Counting)
+    q = int(norm.argmax())                      # a far centre: its cluster alone has high products
+    ids, scores = block.top(q, ints[q], norm[q], dist[q], 5, None)
+    all_scores = ints @ ints[q]
+    all_scores[q] = -2 ** 62
+    best = np.lexsort((np.arange(4000), -all_scores))[:5]
+    assert ids.tolist() == best.tolist() and scores.tolist() == all_scores[best].tolist()
+    assert sum(seen) < 2000
