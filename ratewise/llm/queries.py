@@ -1,6 +1,7 @@
 """Registered queries of the training-data operators and their DuckDB SQL."""
 
-from ratewise.llm import chat, fuzzy_lines, language, line_rules, pii, quality, sentencepiece_bpe, simhash, token_counts, winnow
+from ratewise.llm import (alignment, chat, filter_audit, fuzzy_lines, language, line_rules, pii, quality, sentencepiece_bpe,
+                          simhash, token_counts, topk, winnow)
 
 QUERIES = {
     "op1_language": language.op1_language,
@@ -13,10 +14,15 @@ QUERIES = {
     "op8_winnow": winnow.op8_winnow,
     "op9_pii": pii.op9_pii,
     "op10_token_counts": token_counts.op10_token_counts,
+    "op11_topk": topk.op11_topk,
+    "op12_filter_audit": filter_audit.op12_filter_audit,
+    "op13_alignment": alignment.op13_alignment,
 }
 
 SQL: dict[str, str] = {
     "op4_chat": chat.SQL,
     "op7_line_rules": line_rules.SQL,
     "op8_winnow": winnow.SQL,
+    "op11_topk": topk.SQL,
+    "op12_filter_audit": filter_audit.SQL,
 }
