@@ -14,6 +14,9 @@ from pyspark.sql.types import StructType
 from ratewise.session import checkpoint_dir
 
 
+BATCH_CONF = "ratewise.llm.batchBytes"
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -42,6 +45,25 @@ def drop_scratch(spark: SparkSession) -> None:
     path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def spare(df: DataFrame, *names: str) -> list[str]:
+    """``names`` with as many underscores before them as keep them apart from the
+    columns of ``df``, in any case."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name = "_" + name
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
+def row_key(*cols: str):
+    """A text that stands for the values of ``cols``: which are NULL, and 128 bits
+    of hash (64 bits would meet by chance in tables of some 10^10 rows)."""
+    nulls = [F.when(F.col(c).isNull(), F.lit("0")).otherwise(F.lit("1")) for c in cols]
+    return F.concat(*nulls, F.hex(F.xxhash64(*cols)), F.lit("-"), F.hex(F.xxhash64(F.lit("again"), *cols)))
+
+
 def held_out(doc_id="doc_id"):
     """The contract's fold: crc32 of the id as text, modulo 3, is 1 (a NULL id
     is not held out)."""
@@ -58,9 +80,11 @@ def sampled(df: DataFrame, key: str, rows: int, total: int, seed: str) -> DataFr
 
 
 def small_batches(spark: SparkSession) -> None:
-    """Arrow batches of at most 16 MB: with texts of any length, what is in
-    flight between the JVM and its Python workers stays small."""
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(16 << 20))
+    """Arrow batches of at most 16 MB (or ``ratewise.llm.batchBytes``): with texts
+    of any length, what is in flight between the JVM and its Python workers stays
+    small."""
+    size = spark.conf.get(BATCH_CONF, str(16 << 20))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", size)
 
 
 def keep_documents(df: DataFrame, fn: Callable, setup: Callable | None = None) -> DataFrame:

@@ -29,8 +29,8 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ratewise.llm.buckets import shared, split, stream
-from ratewise.llm.common import store, table
+from ratewise.llm.buckets import split, stream
+from ratewise.llm.common import small_batches, spare, store, table
 from ratewise.llm.components import components
 
 SHINGLE, BANDS, ROWS = 8, 12, 3
@@ -39,6 +39,7 @@ BLANK = " \t\r\f"           # stripped from lines
 BLOCK_CHARS = 2_000_000
 CHUNK = 1 << 17            # characters hashed at a time
 TABLE_BITS = 1 << 22
+SEEN = 1 << 19             # line ids a task remembers
 
 _rng = np.random.default_rng(20240229)
 _MULTIPLY = _rng.integers(1, 1 << 31, BANDS * ROWS, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
@@ -99,23 +100,18 @@ def _line_texts(docs: DataFrame) -> DataFrame:
 
 
 def _new_rows(batches: Iterator[pa.RecordBatch], wanted=None) -> Iterator[tuple[np.ndarray, list[str]]]:
-    """Lines not seen before in this partition, some characters at a time."""
-    seen: set[int] = set()
+    """Lines not seen lately in this partition, some characters at a time."""
+    seen = np.zeros(SEEN, np.int64)           # by the id's last bits; a forgotten id is only worked on again
     for batch in batches:
-        ids = batch.column(0).to_numpy()
+        ids, first = np.unique(batch.column(0).to_numpy(), return_index=True)
+        new = seen[ids & (SEEN - 1)] != ids
         if wanted is not None:
-            hit = wanted[ids & (TABLE_BITS - 1)]
-            batch = batch.filter(pa.array(hit))
-            ids = ids[hit]
-        fresh = []
-        for k, i in enumerate(ids.tolist()):
-            if i not in seen:
-                seen.add(i)
-                fresh.append(k)
-        if not fresh:
+            new &= wanted[ids & (TABLE_BITS - 1)]
+        ids, fresh = ids[new], first[new]
+        seen[ids & (SEEN - 1)] = ids
+        if not len(fresh):
             continue
         texts = batch.column(1).take(pa.array(fresh))
-        ids = ids[fresh]
         total = np.cumsum(pc.utf8_length(texts).to_numpy().astype(np.int64))
         lo = 0
         while lo < len(fresh):
@@ -225,13 +221,43 @@ def _verify(cols, starts, least):
     yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(a)), pa.array(np.concatenate(b))], names=["a", "b"])
 
 
+def _buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(least id, id) of the keys that two or more ids have, from rows sorted by
+    key and id; of what came before only the last row and its bucket are known."""
+    last_key = last_id = low = None
+    told = False                              # whether the open bucket's least id is out
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        key, ids = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+        if last_key is not None:
+            key, ids = np.r_[last_key, key], np.r_[last_id, ids]
+        starts = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
+        lows = ids[starts]
+        if low is not None:
+            lows[0] = low
+        size = np.diff(np.r_[starts, len(ids)])
+        of = np.repeat(lows, size)
+        later = np.r_[last_key is None, (key[1:] != key[:-1]) | (ids[1:] != ids[:-1])] & (ids != of)
+        if last_key is not None:
+            later[0] = False                  # the row carried over was told before
+        has = np.add.reduceat(later, starts) > 0
+        open_has = bool(has[-1]) or (told and len(starts) == 1)
+        if told:
+            has[0] = False
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(np.r_[of[later], lows[has]]), pa.array(np.r_[ids[later], lows[has]])], names=["key", "id"])
+        last_key, last_id, low, told = key[-1], ids[-1], lows[-1], open_has
+
+
 def line_links(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
     """Edges (a, b) between line ids that connect what the similarity connects."""
     spark = docs.sparkSession
+    small_batches(spark)
     rows = _line_texts(docs).select("id", "line").mapInArrow(_sign, "key bigint, id bigint")
-    hit = store(rows.join(shared(rows).select("key"), "key").distinct(), "line-candidates")
-    least_id = hit.groupBy("key").agg(F.min("id").alias("lo"))
-    wanted = store(hit.join(least_id, "key").select(F.col("lo").alias("key"), "id").distinct(), "line-buckets")
+    # each signature is made and dealt out once; sorted rows show which keys are shared
+    wanted = store(rows.repartition("key").sortWithinPartitions("key", "id")
+                   .mapInArrow(_buckets, "key bigint, id bigint").distinct(), "line-buckets")
     set_bits = wanted.select(F.col("id").bitwiseAND(TABLE_BITS - 1).alias("bit")).distinct().toPandas()  # bounded
     flags = np.zeros(TABLE_BITS, bool)
     flags[set_bits["bit"].to_numpy(np.int64)] = True
@@ -251,7 +277,9 @@ def removals(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
     spots = (lines.where("lid is not null").join(roots, "lid", "left")
              .select("doc_id", "text_hash", "line_no", F.coalesce("root", "lid").alias("root")))
     place = F.struct("doc_id", "line_no", "text_hash")
-    first = spots.groupBy("root").agg(F.count("*").alias("n"), F.min(place).alias("first")).where("n > 1")
+    # written first: AQE can then split or broadcast the join of a class of any size
+    first = store(spots.groupBy("root").agg(F.count("*").alias("n"), F.min(place).alias("first")).where("n > 1")
+                  .select("root", "first"), "line-classes")
     gone = (spots.join(first, "root").where(~place.eqNullSafe(F.col("first")))
             .groupBy("doc_id", "text_hash").agg(F.sort_array(F.collect_list("line_no")).alias("removed")))
     all_docs = lines.groupBy("doc_id", "text_hash").agg(F.count("lid").alias("n_lines"))
@@ -264,10 +292,9 @@ def removals(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
 
 def _rebuild(batches):
     for batch in batches:
-        gone = batch.column(batch.schema.get_field_index("_removed"))
+        *cols, gone = batch.columns           # the removed line numbers come last
         hit = np.flatnonzero(gone.is_valid().to_numpy(zero_copy_only=False))
-        names = [n for n in batch.schema.names if n != "_removed"]
-        cols = [batch.column(batch.schema.get_field_index(n)) for n in names]
+        names = batch.schema.names[:-1]
         t = names.index("text")
         if len(hit):
             texts = cols[t].to_pylist()
@@ -281,11 +308,12 @@ def _rebuild(batches):
 def dedup_lines(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
     """``docs`` with the removed lines cut out of ``text`` (and ``n_chars``, if
     there, set anew); a document that lost all its lines goes."""
+    text_hash, removed = spare(docs, "line_hash", "removed_lines")
     gone = removals(docs, least).where("n_removed > 0")
-    left = docs.withColumn("_hash", F.xxhash64("text"))
-    same = left["doc_id"].eqNullSafe(gone["doc_id"]) & (left["_hash"] == gone["text_hash"])
-    joined = left.join(gone, same, "left").where("n_lines is null or n_removed < n_lines").select(
-        *[left[c] for c in docs.columns], gone["removed"].alias("_removed"))
+    left = docs.withColumn(text_hash, F.xxhash64("text"))
+    same = left["doc_id"].eqNullSafe(gone["doc_id"]) & (left[text_hash] == gone["text_hash"])
+    joined = left.join(gone, same, "left").where(gone["n_lines"].isNull() | (gone["n_removed"] < gone["n_lines"])) \
+        .select(*[left[c] for c in docs.columns], gone["removed"].alias(removed))
     out = joined.mapInArrow(_rebuild, docs.schema)
     if "n_chars" in docs.columns:
         kind = docs.schema["n_chars"].dataType

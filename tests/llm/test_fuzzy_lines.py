@@ -150,3 +150,31 @@ def test_alike_is_exact():
     sets = [grams(x) for x in lines]
     want = [len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j]) for i, j in zip(left, right)]
     assert got.tolist() == want and sum(want) > 20
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_buckets_of_sorted_rows_at_any_batch_size(seed):
+    """Streaming gives the least id and every other id of each shared key."""
+    import pyarrow as pa
+    rng = np.random.default_rng(seed)
+    key, ids = rng.integers(0, 12, 90), rng.integers(0, 5 if seed % 2 else 400, 90)
+    order = np.lexsort((ids, key))
+    key, ids = key[order], ids[order]
+    want = set()
+    for k in set(key.tolist()):
+        mine = set(ids[key == k].tolist())
+        if len(mine) > 1:
+            want |= {(min(mine), i) for i in mine}
+    for size in (1, 2, 7, 90):
+        batches = [pa.RecordBatch.from_arrays([pa.array(key[lo:lo + size]), pa.array(ids[lo:lo + size])], names=["key", "id"])
+                   for lo in range(0, 90, size)]
+        got = {(a, b) for out in L._buckets(iter(batches))
+               for a, b in zip(out.column(0).to_pylist(), out.column(1).to_pylist(), strict=True)}
+        assert got == want
+
+
+def test_forgotten_line_ids_only_repeat_work(spark, monkeypatch):
+    docs = [(k, f"a fairly common line of some length\nline number {k % 7} of a document") for k in range(40)]
+    whole = run(spark, docs)
+    monkeypatch.setattr(L, "SEEN", 1)
+    assert run(spark, docs) == whole
