@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ratewise.llm.common import store, table
+from ratewise.llm.common import spare, store, table
 
 WINDOW = 8
 MIN_WORDS, REPEAT_PERCENT = 20, 30
@@ -122,12 +122,13 @@ def verdicts(docs: DataFrame, max_docs: int = MAX_DOCS) -> DataFrame:
 def clean(docs: DataFrame, max_docs: int = MAX_DOCS) -> DataFrame:
     """The kept rows of ``docs``, with the lines above the limit cut out of
     ``text``."""
+    doc, keys = spare(docs, "document_key", "line_keys")
     removed = _removed(docs, max_docs)
-    judged = _judge(base_rules(docs), removed.drop("_keys")).where("kept").select("_doc").distinct()
-    rows = docs.withColumn("_doc", _document()).join(judged, "_doc", "left_semi").join(
-        removed.select("_doc", "_keys"), "_doc", "left")
-    lines = F.filter(F.split("text", "\n"), lambda x: ~F.array_contains("_keys", _line_key("source", x)))
-    return rows.withColumn("text", F.when(F.col("_keys").isNull(), F.col("text"))
+    judged = _judge(base_rules(docs), removed.drop("_keys")).where("kept").select(F.col("_doc").alias(doc)).distinct()
+    rows = docs.withColumn(doc, _document()).join(judged, doc, "left_semi").join(
+        removed.select(F.col("_doc").alias(doc), F.col("_keys").alias(keys)), doc, "left")
+    lines = F.filter(F.split("text", "\n"), lambda x: ~F.array_contains(keys, _line_key("source", x)))
+    return rows.withColumn("text", F.when(F.col(keys).isNull(), F.col("text"))
                            .otherwise(F.array_join(lines, "\n"))).select(*docs.columns)
 
 

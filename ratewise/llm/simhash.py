@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ratewise.llm.buckets import shared, split, stream
-from ratewise.llm.common import by_document, store, table
+from ratewise.llm.common import by_document, row_key, spare, store, table
 from ratewise.llm.components import components
 
 WORDS, DISTANCE = 3, 3
@@ -219,7 +219,7 @@ def links(fps: DataFrame, distance: int = DISTANCE) -> DataFrame:
 
 def _components(docs: DataFrame, words: int, distance: int) -> DataFrame:
     """(doc_id, key, fp, root) of every row; key stands for doc_id and text."""
-    rows = docs.select("doc_id", F.xxhash64("doc_id", "text").alias("key"), "text")
+    rows = docs.select("doc_id", row_key("doc_id", "text").alias("key"), "text")
     fps = store(by_document(rows, lambda text, _: (fingerprint(text, words),), "fp bigint"), "fingerprints")
     distinct = store(fps.select("fp").distinct(), "distinct")
     joined = components(links(distinct, distance)).withColumnRenamed("node", "fp")
@@ -229,7 +229,8 @@ def _components(docs: DataFrame, words: int, distance: int) -> DataFrame:
 def near_duplicates(docs: DataFrame, words: int = WORDS, distance: int = DISTANCE) -> DataFrame:
     """One row per row of ``docs``: doc_id, fingerprint, component_id."""
     found = _components(docs, words, distance)
-    least = found.groupBy("root").agg(F.min("doc_id").alias("component_id"))
+    # written first: AQE can then split or broadcast the join of a component of any size
+    least = store(found.groupBy("root").agg(F.min("doc_id").alias("component_id")), "least-ids")
     return found.join(least, "root").select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
@@ -238,10 +239,11 @@ def keep_one(docs: DataFrame, words: int = WORDS, distance: int = DISTANCE) -> D
     """``docs`` with one row of each component: that of the smallest doc_id, or
     any row where all ids are NULL."""
     first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "key"))
+    key, = spare(docs, "row_key")
     keep = _components(docs, words, distance).groupBy("root").agg(first.alias("first")).select(
-        F.col("first.key").alias("_key"))
-    return docs.withColumn("_key", F.xxhash64("doc_id", "text")).join(keep, "_key", "left_semi") \
-        .dropDuplicates(["_key"]).drop("_key")
+        F.col("first.key").alias(key))
+    return docs.withColumn(key, row_key("doc_id", "text")).join(keep, key, "left_semi") \
+        .dropDuplicates([key]).drop(key)
 
 
 def op3_simhash(spark, sf_dir: str) -> DataFrame:

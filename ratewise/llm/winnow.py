@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ratewise.llm.common import store, table
+from ratewise.llm.common import row_key, spare, store, table
 
 SIZE, GRAM = 13, 5
 LEAD = SIZE - GRAM
@@ -228,10 +228,10 @@ def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """``docs`` without the contaminated ones, whatever their doc_id."""
-    texts = docs.select(F.xxhash64("text").alias("doc_id"), "text")
-    bad = contamination(texts, benchmark).where("contaminated").select(F.col("doc_id").alias("_text")).distinct()
-    return docs.withColumn("_text", F.xxhash64("text")).join(bad, "_text", "left_anti").drop("_text") \
-        .select(*docs.columns)
+    key, = spare(docs, "text_key")
+    texts = docs.select(row_key("text").alias("doc_id"), "text")
+    bad = contamination(texts, benchmark).where("contaminated").select(F.col("doc_id").alias(key)).distinct()
+    return docs.withColumn(key, row_key("text")).join(bad, key, "left_anti").select(*docs.columns)
 
 
 def op8_winnow(spark, sf_dir: str) -> DataFrame:
