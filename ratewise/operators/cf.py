@@ -20,12 +20,14 @@ Plan shape (no collect, no Python):
 2. candidates: warm requests joined to the user's training rows;
 3. needed pairs: the distinct canonical ``(least, greatest)`` item pairs of
    the candidates, i.e. only the pairs some request needs;
-4. co-rating rows of the needed pairs: a user of at most
-   ``ratewise.cf.expandItems`` rated items lists the item pairs of their own
-   list, and those lists are matched with the needed pairs; the ratings of
-   heavier users are looked up from the pairs instead, so the work is linear
-   in the ratings either way.  A marker row per pair is unioned in, so pairs
-   with no co-rater survive the single aggregation without an outer join;
+4. co-rating rows of the needed pairs.  Ratings are first cut down to the items
+   of needed pairs.  One end of each pair is a requested item (a *hub*), so a
+   user lists only pairs of a hub and another item that they rated, and those
+   lists are matched with the needed pairs: what one request costs follows from
+   the raters of its item, not from all users.  Users whose list would exceed
+   ``ratewise.cf.expandItems`` squared are looked up from the pairs instead.  A
+   marker row per pair is unioned in, so pairs with no co-rater survive the
+   single aggregation without an outer join;
 5. top-k neighbours per request with ``row_number`` over a window filtered to
    ``<= k``; Spark plans this with a partial ``WindowGroupLimit`` before the
    shuffle, so even a user with millions of ratings sends at most k rows per
@@ -47,8 +49,10 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ratewise.functions.moments import scatter
 from ratewise.operators import ratings as R
 from ratewise.operators.skew import salted_join
+from ratewise.session import small_hash_joins, store
 
 USER, ITEM, STARS = R.USER, R.ITEM, R.STARS
 
@@ -66,6 +70,8 @@ class Prepared:
     user_means: DataFrame     # user_id, user_mean (all rows)
     item_means: DataFrame     # business_id, item_mean (all rows)
     lookup: DataFrame         # user_id, business_id, stars: one row per pair
+    degrees: DataFrame | None = None     # user_id, n: rows of lookup, if written
+    max_degree: int | None = None        # the highest n, if known
 
 
 def prepare(train: DataFrame, dedupe: bool = True) -> Prepared:
@@ -87,12 +93,14 @@ def request_status(requests: DataFrame, train: DataFrame | Prepared) -> DataFram
             .join(prep.item_means, ITEM, "left"))
 
 
-def candidates(warm: DataFrame, train: DataFrame, exclude_self: bool = False) -> DataFrame:
+def candidates(warm: DataFrame, train: DataFrame, exclude_self: bool = False,
+               degrees: DataFrame | None = None) -> DataFrame:
     """``(user_id, business_id, neighbour, rating)``: one row per item the
-    requesting user rated."""
+    requesting user rated.  ``degrees(user_id, n)`` are the rated items of each
+    user, if known."""
     rated = train.where(F.col(STARS).isNotNull()).select(
         USER, F.col(ITEM).alias("neighbour"), F.col(STARS).alias("rating"))
-    out = salted_join(warm.select(USER, ITEM), rated, USER).select(USER, ITEM, "neighbour", "rating")
+    out = salted_join(warm.select(USER, ITEM), rated, USER, degrees).select(USER, ITEM, "neighbour", "rating")
     if exclude_self:
         out = out.where(F.col("neighbour") != F.col(ITEM))
     return out
@@ -110,32 +118,57 @@ def needed_pairs(cands: DataFrame) -> DataFrame:
     return cands.select(i.alias("item_i"), j.alias("item_j")).distinct()
 
 
-def co_rating_rows(pairs: DataFrame, train: DataFrame) -> DataFrame:
-    """``(item_i, item_j, user_id, x, y)``: the ratings of every user who rated
-    both items of a pair.  ``pairs`` are distinct and canonical, ``train`` holds
-    one rating per (user, item)."""
-    limit = int(train.sparkSession.conf.get(EXPAND_CONF, str(DEFAULT_EXPAND_ITEMS)))
+def wanted_ratings(pairs: DataFrame, train: DataFrame, hubs: DataFrame | None = None) -> DataFrame:
+    """``(user_id, business_id, stars, _hub)``: the ratings of the items that
+    ``pairs`` name.  ``hubs(business_id)`` must hold an end of every pair;
+    ``_hub`` marks its items.  By default those of ``item_i``."""
     rated = train.where(F.col(STARS).isNotNull()).select(USER, ITEM, F.col(STARS).cast("double").alias(STARS))
-    degree = rated.groupBy(USER).agg(F.count(F.lit(1)).alias("_deg"))
+    hubs = (pairs.select(F.col("item_i").alias(ITEM)) if hubs is None else hubs.select(ITEM)).distinct()
+    ends = pairs.select(F.explode(F.array("item_i", "item_j")).alias(ITEM)).distinct()
+    items = ends.join(hubs.withColumn("_hub", F.lit(True)), ITEM, "left").select(
+        ITEM, F.coalesce("_hub", F.lit(False)).alias("_hub"))
+    return rated.join(items, ITEM)
 
-    def side(df, item, value):
-        return df.select(USER, F.col(ITEM).alias(item), F.col(STARS).alias(value))
 
-    light = rated.join(degree.where(F.col("_deg") <= limit).select(USER), USER, "left_semi")
-    own = side(light, "item_i", "x").join(side(light, "item_j", "y"), USER).where("item_i <= item_j")
-    # the needed pairs are one row per key, so a hash table on them is
-    # balanced and the longer list of own pairs needs no sort
-    rows = own.join(pairs.hint("shuffle_hash"), ["item_i", "item_j"]).select("item_i", "item_j", USER, "x", "y")
-    heavy_users = degree.where(F.col("_deg") > limit).select(USER)
+def co_rating_rows(pairs: DataFrame, train: DataFrame, hubs: DataFrame | None = None,
+                   max_degree: int | None = None) -> DataFrame:
+    """``(item_i, item_j, user_id, x, y)``: the ratings of every user who rated
+    both items of a pair.  ``pairs`` are distinct and canonical, ``train`` holds
+    one rating per (user, item).  ``hubs``: see ``wanted_ratings``; ``max_degree``
+    is the largest number of items of a user, if known: no user is then looked
+    for that cannot be there."""
+    limit = int(train.sparkSession.conf.get(EXPAND_CONF, str(DEFAULT_EXPAND_ITEMS)))
+    rated = wanted_ratings(pairs, train, hubs)
+    h, o = F.col("hub"), F.col("other")
+    # of two hubs the smaller one lists the pair, so every pair is listed once
+    once = ~F.col("other_hub") | (h <= o)
+
+    def listed(df):
+        left = df.where("_hub").select(USER, F.col(ITEM).alias("hub"), F.col(STARS).alias("_h"))
+        right = df.select(USER, F.col(ITEM).alias("other"), F.col(STARS).alias("_o"), F.col("_hub").alias("other_hub"))
+        i, j = pair_key(h, o)
+        return left.join(right, USER).where(once).select(
+            i.alias("item_i"), j.alias("item_j"), USER,
+            F.when(h <= o, F.col("_h")).otherwise(F.col("_o")).alias("x"),
+            F.when(h <= o, F.col("_o")).otherwise(F.col("_h")).alias("y")) \
+            .join(pairs, ["item_i", "item_j"]).select("item_i", "item_j", USER, "x", "y")
+
+    if max_degree is not None and max_degree <= limit:
+        return listed(rated)
+    work = rated.groupBy(USER).agg((F.count(F.lit(1)) * F.count_if("_hub")).alias("_work"))
+    heavy_users = work.where(F.col("_work") > limit * limit).select(USER)
     if heavy_users.isEmpty():
-        return rows
+        return listed(rated)
+    light = rated.join(work.where(F.col("_work") <= limit * limit).select(USER), USER, "left_semi")
     heavy = rated.join(heavy_users, USER, "left_semi")
-    probe = salted_join(pairs, side(heavy, "item_i", "x"), "item_i").join(
-        side(heavy, "item_j", "y"), ["item_j", USER])
-    return rows.unionByName(probe.select("item_i", "item_j", USER, "x", "y"))
+    sides = [heavy.select(USER, F.col(ITEM).alias(item), F.col(STARS).alias(value))
+             for item, value in (("item_i", "x"), ("item_j", "y"))]
+    probe = salted_join(pairs, sides[0], "item_i").join(sides[1], ["item_j", USER])
+    return listed(light).unionByName(probe.select("item_i", "item_j", USER, "x", "y"))
 
 
-def pair_stats(pairs: DataFrame, train: DataFrame, item_means: DataFrame | None = None) -> DataFrame:
+def pair_stats(pairs: DataFrame, train: DataFrame, item_means: DataFrame | None = None,
+               hubs: DataFrame | None = None, max_degree: int | None = None) -> DataFrame:
     """Co-rating sums per pair: ``n, sx, sy, sxy, sxx, syy, sad``.
 
     ``x`` is the rating of ``item_i``, ``y`` of ``item_j``; ``sad`` is
@@ -148,7 +181,8 @@ def pair_stats(pairs: DataFrame, train: DataFrame, item_means: DataFrame | None
     ci, cj = pair_key("item_i", "item_j")
     pairs = pairs.select(ci.alias("item_i"), cj.alias("item_j"))
     none = F.lit(None).cast("double")
-    rows = co_rating_rows(pairs, train).select("item_i", "item_j", "x", "y", F.lit(1).alias("c"))
+    rows = co_rating_rows(pairs, train, hubs, max_degree).select(
+        "item_i", "item_j", "x", "y", F.lit(1).alias("c"))
     if item_means is not None:
         means = [item_means.select(F.col(ITEM).alias(f"item_{s}"), F.col("item_mean").alias(f"mean_{s}"))
                  for s in "ij"]
@@ -173,12 +207,12 @@ def pair_stats(pairs: DataFrame, train: DataFrame, item_means: DataFrame | None
 def pearson(n: Column, sx: Column, sy: Column, sxy: Column, sxx: Column, syy: Column) -> Column:
     """Pearson from sums, 0 when either variance is 0.
 
-    ``n*sxx - sx^2`` is exact for ratings in whole or half stars, so the
-    zero-variance test needs no epsilon.
+    ``n*sxx - sx^2`` is exact for ratings in whole or half stars, however many
+    (``moments.scatter``), so the zero-variance test needs no epsilon.
     """
     n = n.cast("double")
-    vx = n * sxx - sx * sx
-    vy = n * syy - sy * sy
+    vx = scatter(n, sx, sxx)
+    vy = scatter(n, sy, syy)
     den = vx * vy
     return F.when(den <= 0, F.lit(0.0)).otherwise(
         (n * sxy - sx * sy) / F.sqrt(F.when(den > 0, den)))
@@ -205,7 +239,8 @@ def weight_expr() -> Column:
             .otherwise(mean_gap(F.col("mean_i"), F.col("mean_j"))))
 
 
-def item_similarity(pairs: DataFrame, train: DataFrame, item_means: DataFrame | None = None) -> DataFrame:
+def item_similarity(pairs: DataFrame, train: DataFrame, item_means: DataFrame | None = None,
+                    hubs: DataFrame | None = None, max_degree: int | None = None) -> DataFrame:
     """``(item_i, item_j, n, rule, weight)`` for every given canonical pair
     whose items both have training ratings.
 
@@ -214,19 +249,30 @@ def item_similarity(pairs: DataFrame, train: DataFrame, item_means: DataFrame |
     included, in ``predict``).
     """
     means = R.item_means(train) if item_means is None else item_means
-    st = pair_stats(pairs, train, item_means=means)
+    st = pair_stats(pairs, train, means, hubs, max_degree)
     return st.select("item_i", "item_j", "n", similarity_rule(F.col("n")).alias("rule"),
                      weight_expr().cast("double").alias("weight"))
 
 
+def item_similarity_by_counts(pairs: DataFrame, train: DataFrame, item_means: DataFrame | None = None) -> DataFrame:
+    """``item_similarity`` in two steps: co-raters are counted from rater sets
+    first, pairs with at most one are decided by their items' means, and ratings
+    are looked up for the other pairs alone.  It writes the sets and the counts.
+    """
+    rated = train.where(F.col(STARS).isNotNull())
+    means = (R.item_means(rated) if item_means is None else item_means).select(ITEM, "item_mean")
+    counts = store(R.rater_overlap(pairs, store(R.rater_chunks(rated), "rater-chunks")), "co-rater-counts")
+    sides = [means.select(F.col(ITEM).alias(f"item_{s}"), F.col("item_mean").alias(f"mean_{s}")) for s in "ij"]
+    few = counts.where("n <= 1").join(sides[0], "item_i").join(sides[1], "item_j")
+    gap = few.select("item_i", "item_j", "n", F.lit("mean_gap").alias("rule"),
+                     mean_gap(F.col("mean_i"), F.col("mean_j")).alias("weight"))
+    return gap.unionByName(item_similarity(counts.where("n >= 2").select("item_i", "item_j"), train, means))
+
+
 def weighted_candidates(cands: DataFrame, weights: DataFrame) -> DataFrame:
     i, j = pair_key(ITEM, "neighbour")
     c = cands.withColumn("item_i", i).withColumn("item_j", j)
-    # weights hold one row per pair, so hash partitions of them are balanced
-    # even when a pair is needed by many requests: build a hash table on
-    # them instead of sorting both sides
-    w = weights.select("item_i", "item_j", "weight").hint("shuffle_hash")
-    return c.join(w, ["item_i", "item_j"]).drop("item_i", "item_j")
+    return c.join(weights.select("item_i", "item_j", "weight"), ["item_i", "item_j"]).drop("item_i", "item_j")
 
 
 def top_neighbours(wc: DataFrame, k: int = TOP_K) -> DataFrame:
@@ -263,8 +309,12 @@ def predict(train: DataFrame | Prepared, requests: DataFrame, k: int = TOP_K,
     status = request_status(requests, prep)
     warm = (status.where(F.col("user_mean").isNotNull() & F.col("item_mean").isNotNull())
             .select(USER, ITEM).distinct())
-    cands = candidates(warm, prep.lookup, exclude_self=exclude_self)
-    weights = item_similarity(needed_pairs(cands), prep.lookup, item_means=prep.item_means)
+    small_hash_joins(warm.sparkSession)
+    cands = candidates(warm, prep.lookup, exclude_self, prep.degrees)
+    pairs = needed_pairs(cands)
+    if prep.degrees is not None:       # of written tables: three branches read the pairs, which are found once
+        pairs = store(pairs, "needed-pairs")
+    weights = item_similarity(pairs, prep.lookup, prep.item_means, hubs=warm.select(ITEM), max_degree=prep.max_degree)
     scores = weighted_mean(top_neighbours(weighted_candidates(cands, weights), k), cold_user_value)
     out = status.join(scores, [USER, ITEM], "left")
     um, im = F.col("user_mean"), F.col("item_mean")

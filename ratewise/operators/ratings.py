@@ -1,14 +1,21 @@
 """Rating-table algebra: de-duplication, per-entity means and degrees.
 
-A rating table is ``(user_id, business_id, stars)``.  Nothing here collects
-a rater set: the "inverted index" of the original jobs is the rating table
-itself, joined on its keys.
+A rating table is ``(user_id, business_id, stars)``.  The "inverted index" of
+the original jobs is the rating table itself, joined on its keys
+(``rater_sets``), or sets of bounded chunks (``rater_chunks``), from which
+``rater_overlap`` counts common raters.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
+
+from ratewise.operators.skew import salted_join
+from ratewise.session import store
+
+CHUNK_BITS = 16      # user numbers per chunk of a rater set: 65,536
 
 USER, ITEM, STARS = "user_id", "business_id", "stars"
 
@@ -35,6 +42,51 @@ def rater_sets(ratings: DataFrame) -> DataFrame:
     return ratings.select(ITEM, USER).distinct()
 
 
+def user_numbers(ratings: DataFrame) -> DataFrame:
+    """``(user_id, number)``: a bigint of its own for each user.  Integer ids are
+    their own numbers; for others distinct ids are numbered within each
+    partition and written, as the numbers would not be the same twice."""
+    ids = ratings.select(USER).where(F.col(USER).isNotNull()).distinct()
+    if isinstance(ids.schema[USER].dataType, IntegralType):
+        return ids.select(USER, F.col(USER).cast("bigint").alias("number"))
+    return store(ids.withColumn("number", F.monotonically_increasing_id()), "user-numbers")
+
+
+def rater_chunks(ratings: DataFrame, numbers: DataFrame | None = None) -> DataFrame:
+    """The item -> raters index in set form: ``(business_id, chunk, n, raters)``.
+
+    An item's raters are split by their numbers into chunks of ``2**CHUNK_BITS``;
+    ``raters`` is the sorted array of the numbers' low bits, so a row is bounded
+    however many raters an item has.  NULL ids are no raters.
+    """
+    numbers = user_numbers(ratings) if numbers is None else numbers
+    pairs = ratings.select(ITEM, USER).where(F.col(ITEM).isNotNull()).distinct().join(numbers, USER)
+    low = F.col("number").bitwiseAND((1 << CHUNK_BITS) - 1).cast("int")
+    return (pairs.groupBy(ITEM, F.shiftright("number", CHUNK_BITS).alias("chunk"))
+            .agg(F.count(F.lit(1)).alias("n"), F.sort_array(F.collect_list(low)).alias("raters")))
+
+
+def rater_overlap(pairs: DataFrame, chunks: DataFrame) -> DataFrame:
+    """``(item_i, item_j, n)``: how many users rated both items of each pair, 0
+    included, from ``chunks`` (best a written table).  No rating is moved: the
+    chunks of the item with fewer raters travel to those of the other.
+    ``pairs(item_i, item_j)`` are distinct."""
+    size = chunks.groupBy(ITEM).agg(F.sum("n").alias("_size"))
+    sized = pairs
+    for end in "ij":
+        sized = sized.join(size.select(F.col(ITEM).alias(f"item_{end}"), F.col("_size").alias(f"_{end}")), f"item_{end}")
+    i_less = F.col("_i") <= F.col("_j")
+    oriented = sized.select("item_i", "item_j",
+                            F.when(i_less, F.col("item_i")).otherwise(F.col("item_j")).alias("_few"),
+                            F.when(i_less, F.col("item_j")).otherwise(F.col("item_i")).alias("_many"))
+    few = chunks.select(F.col(ITEM).alias("_few"), "chunk", F.col("raters").alias("_a"))
+    many = chunks.select(F.col(ITEM).alias("_many"), "chunk", F.col("raters").alias("_b"))
+    common = salted_join(oriented, few, "_few").join(many, ["_many", "chunk"]).select(
+        "item_i", "item_j", F.size(F.array_intersect("_a", "_b")).alias("c"))
+    return common.unionByName(pairs.select("item_i", "item_j", F.lit(0).alias("c"))) \
+        .groupBy("item_i", "item_j").agg(F.sum("c").alias("n"))
+
+
 def item_degrees(ratings: DataFrame) -> DataFrame:
     """Distinct raters per item."""
     return (ratings.select(ITEM, USER).distinct().groupBy(ITEM)

@@ -21,11 +21,13 @@ from pyspark.sql import functions as F
 WORK_CONF, DEFAULT_HOT_WORK = "ratewise.skew.hotWork", 20_000_000
 
 
-def hot_keys(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
-    """``(key, _salts, _left_big)`` of the keys whose product is over the bound."""
+def hot_keys(left: DataFrame, right: DataFrame, key: str, right_counts: DataFrame | None = None) -> DataFrame:
+    """``(key, _salts, _left_big)`` of the keys whose product is over the bound.
+    ``right_counts(key, n)`` are the rows per key of the right side, if known."""
     bound = int(left.sparkSession.conf.get(WORK_CONF, str(DEFAULT_HOT_WORK)))
     count = lambda df, name: df.groupBy(key).agg(F.count(F.lit(1)).alias(name))
-    both = count(left, "_l").join(count(right, "_r"), key)
+    known = count(right, "_r") if right_counts is None else right_counts.select(key, F.col("n").alias("_r"))
+    both = count(left, "_l").join(known, key)
     work = F.col("_l").cast("double") * F.col("_r")
     return both.where(work > bound).select(
         key, F.ceil(work / bound).cast("long").alias("_salts"), (F.col("_l") >= F.col("_r")).alias("_left_big"))
@@ -40,7 +42,7 @@ def _salt(df: DataFrame, hot: DataFrame, key: str, left: bool) -> DataFrame:
     return joined.withColumn("_salt", F.explode(salts)).drop("_salts", "_left_big")
 
 
-def salted_join(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
+def salted_join(left: DataFrame, right: DataFrame, key: str, right_counts: DataFrame | None = None) -> DataFrame:
     """Inner join on ``key`` (the other columns have different names)."""
-    hot = hot_keys(left, right, key)
+    hot = hot_keys(left, right, key, right_counts)
     return _salt(left, hot, key, True).join(_salt(right, hot, key, False), [key, "_salt"]).drop("_salt")

@@ -19,8 +19,9 @@ from ratewise.operators import cf
 from ratewise.operators import evaluate as EV
 from ratewise.operators import features as FT
 from ratewise.operators import model as M
+from ratewise.operators.encode import named
 from ratewise.plans import feature_frames as FF
-from ratewise.session import release, store
+from ratewise.session import scratch_scope, store
 from ratewise.sources import files
 
 KEYS = ["user_id", "business_id"]
@@ -34,8 +35,11 @@ def item_cf(train: DataFrame, requests: DataFrame, **kw) -> DataFrame:
 
 def prepare_cf(train: DataFrame, dedupe: bool = True) -> cf.Prepared:
     prep = cf.prepare(store(train.select(*KEYS, "stars"), "train"), dedupe)
+    lookup = store(prep.lookup, "lookup")
+    degrees = store(lookup.groupBy("user_id").agg(F.count(F.lit(1)).alias("n")), "degrees")
+    top = degrees.agg(F.max("n")).first()[0] or 0
     return cf.Prepared(store(prep.user_means, "user-means"), store(prep.item_means, "item-means"),
-                       store(prep.lookup, "lookup"))
+                       lookup, degrees, top)
 
 
 def _narrow(df: DataFrame, cols) -> DataFrame:
@@ -80,9 +84,10 @@ def hybrid(train, requests, reviews, users, items, alpha: float = EV.ALPHA,
 
 def feature_model(inp: FF.Inputs, params: dict | None = None) -> DataFrame:
     frames = FF.build(inp)     # one request row per distinct pair
-    tr = store(frames.train.select("y", *frames.features), "model-b-frame")
+    wanted = [named(c) for c in frames.features]
+    tr = store(frames.train.select("y", *wanted), "model-b-frame")
     model = M.fit_gbt(tr, frames.features, "y", params or M.MODEL_B_PARAMS)
-    return M.predict_gbt(model, frames.requests.select(*KEYS, *frames.features), frames.features)
+    return M.predict_gbt(model, frames.requests.select(*KEYS, *wanted), frames.features)
 
 
 # ------------------------------------------------------------------ file jobs
@@ -106,25 +111,25 @@ def _folder_inputs(spark: SparkSession, folder: str, requests_path: str) -> FF.I
 
 
 def run_item_cf(spark: SparkSession, train_path: str, requests_path: str, out_path: str) -> None:
-    pred = item_cf(files.read_ratings(spark, train_path), files.read_requests(spark, requests_path))
-    files.write_predictions(pred, out_path)
-    release(spark)
+    with scratch_scope(spark):
+        pred = item_cf(files.read_ratings(spark, train_path), files.read_requests(spark, requests_path))
+        files.write_predictions(pred, out_path)
 
 
 def run_model_a(spark: SparkSession, folder: str, requests_path: str, out_path: str) -> None:
     inp = _folder_inputs(spark, folder, requests_path)
     reviews = files.read_reviews(spark, f"{folder.rstrip('/')}/review_train.json")
-    pred = model_a(inp.train, inp.requests, reviews, inp.users, inp.items)
-    files.write_predictions(per_request_row(inp.requests, pred), out_path)
-    release(spark)
+    with scratch_scope(spark):
+        pred = model_a(inp.train, inp.requests, reviews, inp.users, inp.items)
+        files.write_predictions(per_request_row(inp.requests, pred), out_path)
 
 
 def run_hybrid(spark: SparkSession, folder: str, requests_path: str, out_path: str) -> None:
     inp = _folder_inputs(spark, folder, requests_path)
     reviews = files.read_reviews(spark, f"{folder.rstrip('/')}/review_train.json")
-    pred = hybrid(inp.train, inp.requests, reviews, inp.users, inp.items)
-    files.write_predictions(per_request_row(inp.requests, pred), out_path)
-    release(spark)
+    with scratch_scope(spark):
+        pred = hybrid(inp.train, inp.requests, reviews, inp.users, inp.items)
+        files.write_predictions(per_request_row(inp.requests, pred), out_path)
 
 
 def run_feature_model(spark: SparkSession, folder: str, requests_path: str, out_path: str,
@@ -132,9 +137,9 @@ def run_feature_model(spark: SparkSession, folder: str, requests_path: str, out_
     """Writes the predictions and returns the one-row RMSE against the
     requests' ``stars`` (when the request file carries them)."""
     inp = _folder_inputs(spark, folder, requests_path)
-    pred = per_request_row(inp.requests, feature_model(inp, params))
-    files.write_predictions(pred, out_path)
-    release(spark)
+    with scratch_scope(spark):
+        pred = per_request_row(inp.requests, feature_model(inp, params))
+        files.write_predictions(pred, out_path)
     written = files.read_predictions(spark, out_path)
     truth = inp.requests.where(F.col("stars").isNotNull())
     return EV.rmse(written, truth)

@@ -11,6 +11,9 @@ import os
 import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -62,24 +65,57 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or path
 
 
+_scope: ContextVar[str] = ContextVar("ratewise_scope", default="open")
+
+
 def _folder(spark: SparkSession) -> str:
     return f"{checkpoint_dir(spark).rstrip('/')}/ratewise-{spark.sparkContext.applicationId}"
 
 
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A new path in the folder of the current scope."""
+    return f"{_folder(spark)}/{_scope.get()}/{name}-{uuid.uuid4().hex}"
+
+
 def store(df: DataFrame, name: str) -> DataFrame:
     """``df`` written as Parquet to the shared folder and read back: computed
     once, read (and pruned) by every branch of the plan that follows, and safe
     against the loss of the executors that computed it."""
-    path = f"{_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def remove_path(spark: SparkSession, path: str) -> None:
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[None]:
+    """What ``store`` writes inside the block goes to a folder of its own, which
+    is removed at its end: a job that writes its result inside leaves nothing
+    behind and touches no table of other jobs or of results still to be read."""
+    token = _scope.set(uuid.uuid4().hex)
+    try:
+        yield
+    finally:
+        remove_path(spark, f"{_folder(spark)}/{_scope.get()}")
+        _scope.reset(token)
+
+
 def release(spark: SparkSession) -> None:
-    """Remove what ``store`` wrote in this application, once the results that
-    read it are written."""
-    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_folder(spark))
-    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    """Remove everything that ``store`` wrote in this application: only when no
+    result that reads it is still to be computed."""
+    remove_path(spark, _folder(spark))
+
+
+def small_hash_joins(spark: SparkSession) -> None:
+    """Let AQE build a hash table instead of sorting where every partition of
+    the smaller side is measured to be small; all other joins sort and can spill."""
+    key = "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold"
+    if spark.conf.get(key, None) is None:
+        spark.conf.set(key, "16MB")
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8,

@@ -7,9 +7,10 @@ engine re-runs the last uncommitted epoch) overwrites its own folder, so the
 output is exactly once; progress is tracked in the checkpoint location,
 which defaults to the session's shared checkpoint folder.
 
-What depends on the training table alone (means, one rating per pair) is
-computed and written once, before the stream starts (``jobs.prepare_cf``); each
-micro-batch reads those tables.
+What depends on the training table alone (means, one rating per pair, rated
+items per user) is computed and written once, before the stream starts
+(``jobs.prepare_cf``); each micro-batch is written once and scored from those
+tables, and its plan lists only pairs with a requested item.
 """
 
 from __future__ import annotations
@@ -21,7 +22,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from ratewise.operators import cf
-from ratewise.session import checkpoint_dir
+from ratewise.session import checkpoint_dir, scratch_scope, store
 from ratewise.sources.files import RATINGS_SCHEMA
 
 
@@ -41,8 +42,9 @@ def score_stream(train: cf.Prepared, requests: DataFrame, sink_dir: str,
     sink = sink_dir.rstrip("/")
 
     def score_batch(batch: DataFrame, batch_id: int) -> None:
-        pred = cf.predict(train, batch, **predict_kw)
-        pred.write.mode("overwrite").parquet(f"{sink}/batch_id={batch_id}")
+        with scratch_scope(spark):          # the source is read once, the plan reads the written batch
+            pred = cf.predict(train, store(batch, "batch"), **predict_kw)
+            pred.write.mode("overwrite").parquet(f"{sink}/batch_id={batch_id}")
 
     w = requests.writeStream.foreachBatch(score_batch).option("checkpointLocation", checkpoint)
     if available_now:

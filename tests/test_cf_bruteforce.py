@@ -132,3 +132,81 @@ def test_hot_products_salted(spark, hot_fixture):
                 spark.conf.unset(k)
             else:
                 spark.conf.set(k, v)
+
+
+def _joined_rows(df):
+    """Rows that the joins on the user put out, from the executed plan's metrics."""
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan()
+    total, todo = 0, [plan]
+    while todo:
+        node = todo.pop()
+        name = node.nodeName()
+        if name == "AdaptiveSparkPlan":
+            todo.append(node.executedPlan())
+            continue
+        if name.endswith("QueryStage"):
+            todo.append(node.plan())
+            continue
+        if "Join" in name and "user_id" in node.toString().split("\n")[0]:
+            metric = node.metrics().get("numOutputRows")
+            total += metric.get().value() if metric.isDefined() else 0
+        kids = node.children()
+        todo += [kids.apply(k) for k in range(kids.size())]
+    return total
+
+
+@pytest.fixture(scope="module")
+def wide(spark):
+    """300 users rate 40 items each; item 0 has three raters, one of whom rated
+    items of their own."""
+    rows = [(u, 1 + (u * 7 + k * 3) % 120, float(1 + (u + k) % 5)) for u in range(300) for k in range(40)]
+    rows += [(u, 0, 4.0) for u in (1, 2, 3)]
+    rows = list({(u, b): (u, b, s) for u, b, s in rows}.values())
+    return spark.createDataFrame(rows, "user_id bigint, business_id bigint, stars double").cache()
+
+
+def test_one_request_costs_its_own_raters(spark, wide):
+    """A request for item 0 lists pairs for its three raters only, not the
+    40 * 40 pairs of each of 300 users."""
+    req = spark.createDataFrame([(9, 0)], "user_id bigint, business_id bigint")
+    assert _compare(spark, wide, req) == 1
+    mine = wide.where("user_id = 9").select(F.lit(0).cast("long").alias("item_i"), F.col("business_id").alias("item_j"))
+    rows = cf.co_rating_rows(mine, wide, hubs=req.select("business_id"), max_degree=100)
+    assert 0 < _joined_rows(rows) < 2000
+    everyone = wide.where("business_id <> 0").select("business_id").distinct()
+    others = everyone.select(F.col("business_id").alias("item_i")).crossJoin(
+        everyone.select(F.col("business_id").alias("item_j"))).where("item_i <= item_j")
+    assert _joined_rows(cf.co_rating_rows(others, wide, max_degree=100)) > 100_000
+
+
+def test_hubs_do_not_change_the_rows(spark, wide):
+    """Any choice of hubs that covers the pairs gives each co-rating once."""
+    picked = [(i, j) for i in range(0, 120, 7) for j in range(i, 121, 5)]
+    pairs = spark.createDataFrame(picked, "item_i bigint, item_j bigint")
+    rated = {(r.user_id, r.business_id): r.stars for r in wide.collect()}
+    by_item = {}
+    for u, b in rated:
+        by_item.setdefault(b, set()).add(u)
+    want = sorted((i, j, u, rated[u, i], rated[u, j]) for i, j in picked for u in by_item[i] & by_item[j])
+    both = pairs.select(F.col("item_j").alias("business_id"))
+    every = pairs.select(F.explode(F.array("item_i", "item_j")).alias("business_id"))
+    for hubs in (None, both, every):
+        assert sorted(map(tuple, cf.co_rating_rows(pairs, wide, hubs).collect())) == want
+    spark.conf.set("ratewise.cf.expandItems", "3")
+    try:
+        assert sorted(map(tuple, cf.co_rating_rows(pairs, wide, every).collect())) == want
+    finally:
+        spark.conf.unset("ratewise.cf.expandItems")
+
+
+def test_needed_items_alone_are_read(spark, wide):
+    """The plan cuts the ratings down to the items of the pairs before users
+    list theirs; no join has a hash table that cannot be checked for size."""
+    pairs = spark.createDataFrame([(0, 5)], "item_i bigint, item_j bigint")
+    plan = cf.co_rating_rows(pairs, wide, max_degree=1)._jdf.queryExecution().optimizedPlan().toString()
+    assert "shuffle_hash" not in plan
+    listing = next(line for line in plan.split("\n") if "Join Inner" in line and "user_id" in line)
+    below = plan[plan.index(listing):]
+    assert below.count("Aggregate [business_id") >= 2            # both sides meet the items of the pairs first
+    assert {r.business_id for r in cf.wanted_ratings(pairs, wide).select("business_id").distinct().collect()} == {0, 5}

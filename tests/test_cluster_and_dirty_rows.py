@@ -59,7 +59,21 @@ m.main(["item-cf", "a", "b", "c"])
 def test_jobs_remove_what_they_wrote(spark, tmp_path):
     good = _write(tmp_path, "good.csv", GOOD)
     req = _write(tmp_path, "req.csv", "user_id,business_id,stars\nu1,C,3\n")
+    folder = checkpoint_dir(spark).removeprefix("file:") + f"/ratewise-{spark.sparkContext.applicationId}"
+    train = FS.read_ratings(spark, good)
+    live = jobs.item_cf(train, FS.read_requests(spark, req))        # lazy: reads what it stored
+    before = set(os.listdir(folder)), set(os.listdir(f"{folder}/open"))
     jobs.run_item_cf(spark, good, req, str(tmp_path / "out"))
-    folder = checkpoint_dir(spark).removeprefix("file:")
-    assert not os.path.exists(f"{folder}/ratewise-{spark.sparkContext.applicationId}")
+    assert (set(os.listdir(folder)), set(os.listdir(f"{folder}/open"))) == before
     assert FS.read_predictions(spark, str(tmp_path / "out")).count() == 1
+    assert live.count() == 1                                         # another job has not removed its tables
+
+
+def test_a_failing_job_removes_what_it_wrote(spark, tmp_path):
+    good = _write(tmp_path, "good.csv", GOOD)
+    folder = checkpoint_dir(spark).removeprefix("file:") + f"/ratewise-{spark.sparkContext.applicationId}"
+    jobs.prepare_cf(FS.read_ratings(spark, good))
+    before = set(os.listdir(folder))
+    with pytest.raises(Exception, match="(?i)exist|bad stars"):
+        jobs.run_item_cf(spark, good, str(tmp_path / "nowhere.csv"), str(tmp_path / "out"))
+    assert set(os.listdir(folder)) == before
