@@ -114,32 +114,85 @@ def read_requests(spark: SparkSession, path: str, schema: T.StructType = RATINGS
     return read_csv(spark, path, schema)
 
 
-def read_json_lines(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    return spark.read.schema(schema).json(path)
+def _json_rows(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """``(record, row, bad)`` of every line that is not blank; ``row`` has the
+    schema's fields.
+
+    Each line is parsed once, as the one element of an array: what follows a
+    record on its line is then an error, as are a line that is no JSON object and
+    a value that its type cannot read.  The parsed value passes through a
+    generator, so filters on ``bad`` do not parse it again.
+    """
+    whole = T.StructType([T.StructField("r", T.ArrayType(schema)), T.StructField("_corrupt", T.StringType())])
+    parsed = F.from_json(F.concat(F.lit('{"r":['), "record", F.lit("]}")), whole, {
+        "mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt", "allowSingleQuotes": "false"})
+    lines = spark.read.text(path).select(F.col("value").alias("record")).where(F.trim("record") != "")
+    rows = lines.select("record", F.explode(F.array(parsed)).alias("p"))
+    bad = (F.col("p._corrupt").isNotNull() | (F.coalesce(F.size("p.r"), F.lit(0)) != 1) | F.col("p.r")[0].isNull())
+    return rows.select("record", F.col("p.r")[0].alias("row"), bad.alias("bad"))
+
+
+def read_json_lines(spark: SparkSession, path: str, schema: T.StructType, on_bad_rows: str = "fail") -> DataFrame:
+    """JSON lines; fields that a record lacks are NULL, others are ignored, and
+    blank lines are no records.
+
+    A line that is no JSON object, or has a value that its type cannot read,
+    stops the job (``on_bad_rows="fail"``, whatever columns are used) or is left
+    out (``"drop"``; ``bad_json_rows`` returns and ``count_bad_json_rows`` counts
+    those lines, ``quarantine_json`` writes them)."""
+    if on_bad_rows not in ("fail", "drop"):
+        raise ValueError(f"on_bad_rows must be 'fail' or 'drop', not {on_bad_rows!r}")
+    rows = _json_rows(spark, path, schema)
+    if on_bad_rows == "drop":
+        good = rows.where("not bad")
+    else:
+        message = F.concat(F.lit(f"{path}: bad record: "), F.substring("record", 1, 200))
+        good = rows.where(F.when(F.col("bad"), F.raise_error(message).cast("boolean")).otherwise(F.lit(True)))
+    return good.select("row.*")
+
+
+def bad_json_rows(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """``(record, reason)`` of the lines that ``read_json_lines(...,
+    on_bad_rows="drop")`` leaves out; reason is ``value`` where a JSON object has
+    a value of another type, and ``record`` for all other lines."""
+    bad = _json_rows(spark, path, schema).where("bad")
+    return bad.select("record", F.when(F.col("row").isNotNull(), F.lit("value")).otherwise(F.lit("record")).alias("reason"))
+
+
+def count_bad_json_rows(spark: SparkSession, path: str, schema: T.StructType) -> int:
+    return bad_json_rows(spark, path, schema).count()
+
+
+def quarantine_json(spark: SparkSession, path: str, schema: T.StructType, bad_path: str,
+                    mode: str = "overwrite") -> DataFrame:
+    """The good rows of ``path``; its bad lines are written to ``bad_path`` as they
+    are, so that they can be mended and read again."""
+    bad_json_rows(spark, path, schema).select("record").write.mode(mode).text(bad_path)
+    return read_json_lines(spark, path, schema, "drop")
 
 
-def read_items(spark, path):
-    return read_json_lines(spark, path, ITEM_SCHEMA)
+def read_items(spark, path, on_bad_rows="fail"):
+    return read_json_lines(spark, path, ITEM_SCHEMA, on_bad_rows)
 
 
-def read_users(spark, path):
-    return read_json_lines(spark, path, USER_SCHEMA)
+def read_users(spark, path, on_bad_rows="fail"):
+    return read_json_lines(spark, path, USER_SCHEMA, on_bad_rows)
 
 
-def read_reviews(spark, path):
-    return read_json_lines(spark, path, REVIEW_SCHEMA)
+def read_reviews(spark, path, on_bad_rows="fail"):
+    return read_json_lines(spark, path, REVIEW_SCHEMA, on_bad_rows)
 
 
-def read_tips(spark, path):
-    return read_json_lines(spark, path, TIP_SCHEMA)
+def read_tips(spark, path, on_bad_rows="fail"):
+    return read_json_lines(spark, path, TIP_SCHEMA, on_bad_rows)
 
 
-def read_photos(spark, path):
-    return read_json_lines(spark, path, PHOTO_SCHEMA)
+def read_photos(spark, path, on_bad_rows="fail"):
+    return read_json_lines(spark, path, PHOTO_SCHEMA, on_bad_rows)
 
 
-def read_checkins(spark, path):
-    return read_json_lines(spark, path, CHECKIN_SCHEMA)
+def read_checkins(spark, path, on_bad_rows="fail"):
+    return read_json_lines(spark, path, CHECKIN_SCHEMA, on_bad_rows)
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
