@@ -14,8 +14,10 @@ with central sums M2, M3, M4; skew and kurt are 0 when the variance is 0.
 These are the bias-corrected sample statistics (pandas ``std/skew/kurt``),
 not Spark's population ``skewness``/``kurtosis``.
 
-The zero-variance test uses ``n*s2 - s1^2``, which is exact whenever the
-values are small integers or halves (ratings), so no epsilon is needed.
+The zero-variance test uses ``n*s2 - s1^2`` without an epsilon.  For values in
+whole or half units (ratings) that is exact at any size: double precision
+holds it while ``n*s2`` stays under 2^53 (about 19 M ratings of one key on a 1-5
+scale), beyond that ``scatter`` takes integers of 38 digits.
 """
 
 from __future__ import annotations
@@ -26,6 +28,24 @@ from pyspark.sql import functions as F
 STATS = ("avg", "std", "kurt", "skew", "max", "min")
 
 
+EXACT = float(1 << 53)
+
+
+def scatter(n: Column, s1: Column, s2: Column) -> Column:
+    """``n * s2 - s1^2``, n squared times the variance, of ``n`` values (a double
+    or NULL) with sums ``s1`` and ``s2`` of themselves and their squares.  Sums of
+    half units whose product double precision cannot hold are multiplied as
+    integers, so the result is rounded once, and is 0 for equal values."""
+    twice, four = s1 * 2, s2 * 4
+    halves = (twice == F.floor(twice)) & (four == F.floor(four)) & (four < F.lit(EXACT))
+
+    def whole(c):
+        return c.try_cast("decimal(17,0)")
+
+    exact = (whole(n) * whole(four) - whole(twice) * whole(twice)).cast("double") / 4
+    return F.when((n * s2 >= F.lit(EXACT)) & halves, exact).otherwise(n * s2 - s1 * s1)
+
+
 def power_sum_aggs(value: Column | str, prefix: str = "") -> list[Column]:
     """Aggregates ``n, s1..s4`` of ``value`` (NULLs ignored)."""
     v = F.col(value) if isinstance(value, str) else value
@@ -43,7 +63,7 @@ def _central(n: Column, s1: Column, s2: Column, s3: Column, s4: Column):
     # NULL instead of 0 so that no division can raise under ANSI mode, even
     # if the optimizer hoists a guarded sub-expression out of its CASE.
     n = F.when(n > 0, n.cast("double"))
-    nm2 = n * s2 - s1 * s1  # n * M2, exact for rating data
+    nm2 = scatter(n, s1, s2)  # n * M2
     m2 = nm2 / n
     m3 = s3 - F.lit(3.0) * s1 * s2 / n + F.lit(2.0) * s1 * s1 * s1 / (n * n)
     m4 = (s4 - F.lit(4.0) * s1 * s3 / n + F.lit(6.0) * s1 * s1 * s2 / (n * n)

@@ -8,7 +8,9 @@ in integers, not by adding up 1/total.
 
 One-hot: a missing value is the category ``unk``; the categories seen in
 the training frame are sorted and the first one is dropped; the column for
-category v of attribute a is named ``a + v``.  Requests reuse the training
+category v of attribute a is named ``a + v``, or ``a=v`` where another column
+has that name in some case (``ab``, ``c`` and ``a``, ``bc`` would share one).
+Requests reuse the training
 columns: a category not seen in training (or the dropped first one) gives
 all zeros, and a training column absent from the requests is all zeros.
 
@@ -19,6 +21,8 @@ and at most ``MAX_VALUES + 1`` categories per selected key.
 
 from __future__ import annotations
 
+from collections import Counter
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -68,6 +72,11 @@ def item_attributes_wide(items: DataFrame, keys: list[str]) -> DataFrame:
     return has.select(ITEM, *[F.try_element_at("attributes", F.lit(k)).alias(k) for k in keys])
 
 
+def named(column: str) -> Column:
+    """The column of just that name, whatever characters it has."""
+    return F.col("`" + column.replace("`", "``") + "`")
+
+
 def fit_vocabulary(frame: DataFrame, columns: list[str]) -> dict[str, list[str]]:
     """Sorted categories per column (NULL -> ``unk``) seen in ``frame``.
 
@@ -76,26 +85,36 @@ def fit_vocabulary(frame: DataFrame, columns: list[str]) -> dict[str, list[str]]
     """
     if not columns:
         return {}
-    row = frame.agg(*[F.collect_set(F.coalesce(F.col(c), F.lit(MISSING))).alias(c)
+    row = frame.agg(*[F.collect_set(F.coalesce(named(c), F.lit(MISSING))).alias(c)
                       for c in columns]).first()
     return {c: sorted(row[c]) for c in columns}
 
 
-def onehot_names(vocab: dict[str, list[str]], drop_first: bool = True) -> list[tuple[str, str, str]]:
-    """``(column, category, output name)`` in output order."""
+def onehot_names(vocab: dict[str, list[str]], drop_first: bool = True,
+                 taken: tuple[str, ...] = ()) -> list[tuple[str, str, str]]:
+    """``(column, category, output name)`` in output order.  No two names, nor one
+    and a name of ``taken``, are alike in any case."""
+    cells = [(c, v) for c in sorted(vocab) for v in (vocab[c][1:] if drop_first else vocab[c])]
+    plain = Counter((c + v).lower() for c, v in cells)
+    used = {t.lower() for t in taken} | {n for n, k in plain.items() if k == 1}
     out = []
-    for c in sorted(vocab):
-        cats = vocab[c][1:] if drop_first else vocab[c]
-        out += [(c, v, c + v) for v in cats]
+    for c, v in cells:
+        name = c + v
+        if plain[name.lower()] > 1 or name.lower() in {t.lower() for t in taken}:
+            name = f"{c}={v}"
+            while name.lower() in used:
+                name = "=" + name
+            used.add(name.lower())
+        out.append((c, v, name))
     return out
 
 
-def onehot_columns(vocab: dict[str, list[str]]) -> list[Column]:
-    return [F.when(F.coalesce(F.col(c), F.lit(MISSING)) == F.lit(v), F.lit(1)).otherwise(F.lit(0))
-            .cast("int").alias(name) for c, v, name in onehot_names(vocab)]
+def onehot_columns(vocab: dict[str, list[str]], taken: tuple[str, ...] = ()) -> list[Column]:
+    return [F.when(F.coalesce(named(c), F.lit(MISSING)) == F.lit(v), F.lit(1)).otherwise(F.lit(0))
+            .cast("int").alias(name) for c, v, name in onehot_names(vocab, taken=taken)]
 
 
 def onehot_transform(frame: DataFrame, vocab: dict[str, list[str]]) -> DataFrame:
     """Replace each encoded column by its dummy columns (training names)."""
     keep = [c for c in frame.columns if c not in vocab]
-    return frame.select(*keep, *onehot_columns(vocab))
+    return frame.select(*map(named, keep), *onehot_columns(vocab, tuple(keep)))

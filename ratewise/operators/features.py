@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ratewise.functions.scalars import map_size, packed_list_len
+from ratewise.operators.encode import named
 
 USER, ITEM = "user_id", "business_id"
 
@@ -126,9 +127,9 @@ def fill_missing(df: DataFrame, fallback: DataFrame, user_fallback: bool = False
     out = []
     for c in df.columns:
         if c in exclude or c not in numeric:
-            out.append(F.col(c))
+            out.append(named(c))
         elif c in fb_cols:
             out.append(F.coalesce(F.col(c).cast("double"), F.col(f"_fb_{c}"), F.lit(0.0)).alias(c))
         else:
-            out.append(F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(c))
+            out.append(F.coalesce(named(c).cast("double"), F.lit(0.0)).alias(c))
     return joined.select(*out)
