@@ -18,6 +18,7 @@ from pyspark.sql import types as TY
 
 from ratewise.functions.scalars import json_field, packed_list_len, rounded
 from ratewise.operators import cf
+from ratewise.operators import content as CT
 from ratewise.operators import encode as E
 from ratewise.operators import evaluate as EV
 from ratewise.operators import features as FT
@@ -82,6 +83,19 @@ def rater_sets(spark, d):
     return R.rater_sets(T.train(spark, d))
 
 
+@register("rater_chunks")
+def rater_chunks(spark, d):
+    """Rater sets; the sorted array as a text."""
+    return R.rater_chunks(T.train(spark, d)).withColumn("raters", F.array_join(F.col("raters").cast("array<string>"), ","))
+
+
+@register("rater_overlap")
+def rater_overlap(spark, d):
+    """Common raters of every needed pair, none included."""
+    train, _, cands = _cf_inputs(spark, d)
+    return R.rater_overlap(store(cf.needed_pairs(cands), "pairs"), store(R.rater_chunks(train), "chunks"))
+
+
 @register("item_degrees")
 def item_degrees(spark, d):
     return R.item_degrees(T.train(spark, d)).select("business_id", F.col("n_raters").cast("long"))
@@ -152,6 +166,13 @@ def item_similarity(spark, d):
                                         rounded("weight").alias("weight"))
 
 
+@register("item_similarity_by_counts")
+def item_similarity_by_counts(spark, d):
+    train, _, cands = _cf_inputs(spark, d)
+    return cf.item_similarity_by_counts(store(cf.needed_pairs(cands), "pairs"), train).select(
+        "item_i", "item_j", "n", "rule", rounded("weight").alias("weight"))
+
+
 def _top(spark, d):
     train, _, cands = _cf_inputs(spark, d)
     weights = cf.item_similarity(cf.needed_pairs(cands), train)
@@ -441,6 +462,34 @@ def error_bands(spark, d):
     return EV.error_bands(_cf_pred(spark, d), T.requests(spark, d))
 
 
+@register("ranking_eval")
+def ranking_eval(spark, d):
+    """Precision, recall and NDCG of each user's ranked requests by item-CF."""
+    return _round_doubles(EV.ranking(_cf_pred(spark, d), T.requests(spark, d)))
+
+
+@register("ranking_summary")
+def ranking_summary(spark, d):
+    return _round_doubles(EV.ranking_summary(EV.ranking(_cf_pred(spark, d), T.requests(spark, d))))
+
+
+@register("item_terms")
+def item_terms(spark, d):
+    return _round_doubles(CT.item_terms(T.items(spark, d)))
+
+
+@register("content_predict")
+def content_predict(spark, d):
+    """Content-based prediction for every request."""
+    return _round_doubles(CT.predict(_train(spark, d), T.requests(spark, d), T.items(spark, d)))
+
+
+@register("content_rmse")
+def content_rmse(spark, d):
+    pred = CT.predict(_train(spark, d), T.requests(spark, d), T.items(spark, d))
+    return _round_doubles(EV.rmse(pred, T.requests(spark, d)))
+
+
 @register("hybrid_blend")
 def hybrid_blend(spark, d):
     """0.1 * item-CF + 0.9 * a second score that SQL can restate: the item's
@@ -578,6 +627,58 @@ def checkins_json_roundtrip(spark, d):
     return back.select("business_id", F.explode("time").alias("slot", "n"))
 
 
+def _dirty(spark, df: DataFrame, name: str) -> str:
+    """The rows as JSON lines of which some are spoilt: of the items (users) whose
+    number leaves 3 modulo 11 the line is cut short, with 5 modulo 13 it is
+    followed by a second record, and with 7 modulo 17 its first number field has
+    a text for a value (where it has such a field)."""
+    key = F.coalesce(F.col(df.columns[0]).cast("bigint"), F.lit(0))
+    line = F.to_json(F.struct(*df.columns))
+    number = next((f.name for f in df.schema.fields[1:] if f.dataType.typeName() in ("double", "long")), None)
+    text = F.regexp_replace(line, f'"{number}":[0-9.E-]+', f'"{number}":"?"') if number else line
+    spoilt = (F.when(key % 11 == 3, F.substr(line, F.lit(1), F.length(line) - 1))
+              .when(key % 13 == 5, F.concat(line, F.lit(" "), line))
+              .when(key % 17 == 7, text).otherwise(line))
+    path = _scratch(spark, name)
+    df.select(spoilt.alias("value")).write.text(path)
+    return path
+
+
+def _json_sources(spark, d):
+    """Name, rows and schema of every JSON source."""
+    return {"items": (T.items(spark, d), FS.ITEM_SCHEMA), "users": (T.users(spark, d), FS.USER_SCHEMA),
+            "reviews": (T.reviews(spark, d), FS.REVIEW_SCHEMA), "tips": (T.tips(spark, d), FS.TIP_SCHEMA),
+            "photos": (T.photos(spark, d), FS.PHOTO_SCHEMA), "checkins": (T.checkins(spark, d), FS.CHECKIN_SCHEMA)}
+
+
+def _dirty_read(name: str):
+    """The good rows of a spoilt file: all rows but those of broken lines."""
+    def query(spark, d):
+        df, schema = _json_sources(spark, d)[name]
+        got = FS.read_json_lines(spark, _dirty(spark, df, name), schema, on_bad_rows="drop")
+        if name == "items":
+            got = got.withColumn("attributes", _attributes_text())
+        if name == "checkins":
+            return got.select("business_id", F.explode("time").alias("slot", "n"))
+        return _round_doubles(got)
+    return query
+
+
+for _name in ("items", "users", "reviews", "tips", "photos", "checkins"):
+    register(f"{_name}_json_dirty")(_dirty_read(_name))
+
+
+@register("json_bad_rows")
+def json_bad_rows(spark, d):
+    """How many lines of each spoilt file are bad, by reason."""
+    out = None
+    for name, (df, schema) in _json_sources(spark, d).items():
+        bad = FS.bad_json_rows(spark, _dirty(spark, df, name), schema).groupBy("reason").agg(
+            F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("file"), "reason", "n")
+        out = bad if out is None else out.unionByName(bad)
+    return out
+
+
 @register("predictions_sink")
 def predictions_sink(spark, d):
     """Item-CF predictions written as CSV (header ``user_id,business_id,

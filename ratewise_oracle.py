@@ -523,6 +523,69 @@ q("hybrid_blend", f"""
   FROM cfpred p JOIN status s ON s.user_id = p.user_id AND s.business_id = p.business_id""")
 
 
+_DCG = "sum((power(2.0, truth) - 1) / log2(rank + 1))"
+VIEWS.update({
+    "judged": """
+  SELECT p.user_id, p.business_id, p.prediction, r.stars AS truth FROM cfpred p
+  JOIN requests r ON r.user_id = p.user_id AND r.business_id = p.business_id""",
+    "by_score": """
+  SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY round(prediction, 9) DESC, business_id) AS rank
+  FROM judged""",
+    "by_truth": "SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY truth DESC, business_id) AS rank FROM judged",
+    "ranking": f"""
+  SELECT e.user_id, e.n, e.n_relevant, g.hits, g.hits / least(10, e.n) AS precision,
+         CASE WHEN e.n_relevant > 0 THEN g.hits / e.n_relevant END AS recall, g.dcg / b.ideal AS ndcg
+  FROM (SELECT user_id, count(*) AS n, count(*) FILTER (truth >= 4) AS n_relevant FROM judged GROUP BY user_id) e
+  JOIN (SELECT user_id, count(*) FILTER (truth >= 4) AS hits, {_DCG} AS dcg FROM by_score WHERE rank <= 10
+        GROUP BY user_id) g ON g.user_id = e.user_id
+  JOIN (SELECT user_id, {_DCG} AS ideal FROM by_truth WHERE rank <= 10 GROUP BY user_id) b ON b.user_id = e.user_id""",
+    "idf": """
+  SELECT attr_key, attr_value, ln((SELECT CAST(count(*) AS DOUBLE) FROM items) / count(*)) AS idf
+  FROM attr_long GROUP BY attr_key, attr_value""",
+    "terms": """
+  SELECT business_id, attr_key, attr_value, idf / sqrt(sum(idf * idf) OVER (PARTITION BY business_id)) AS weight
+  FROM attr_long JOIN idf USING (attr_key, attr_value) WHERE idf > 0""",
+    "ct_cand": """
+  SELECT w.user_id, w.business_id, t.business_id AS neighbour, t.stars AS rating
+  FROM (SELECT DISTINCT r.user_id, r.business_id FROM requests r JOIN um ON um.user_id = r.user_id) w
+  JOIN train t ON t.user_id = w.user_id AND t.business_id <> w.business_id""",
+    "ct_pairs": "SELECT DISTINCT business_id, neighbour FROM ct_cand",
+    "ct_cos": """
+  SELECT p.business_id, p.neighbour, sum(a.weight * b.weight) AS weight FROM ct_pairs p
+  JOIN terms a ON a.business_id = p.business_id
+  JOIN terms b ON b.business_id = p.neighbour AND b.attr_key = a.attr_key AND b.attr_value = a.attr_value
+  GROUP BY p.business_id, p.neighbour""",
+    "ct_ranked": """
+  SELECT c.*, s.weight, row_number() OVER (PARTITION BY c.user_id, c.business_id
+                                           ORDER BY round(s.weight, 9) DESC, c.neighbour) AS rank
+  FROM ct_cand c JOIN ct_cos s ON s.business_id = c.business_id AND s.neighbour = c.neighbour""",
+    "ct_score": """
+  SELECT user_id, business_id, sum(weight * rating) / sum(abs(weight)) AS score
+  FROM ct_ranked WHERE rank <= 15 GROUP BY user_id, business_id""",
+    "ctpred": """
+  SELECT r.user_id, r.business_id, CAST(coalesce(s.score, um.user_mean, 3.75) AS DOUBLE) AS prediction,
+         CASE WHEN um.user_mean IS NULL THEN 'cold_user' WHEN s.score IS NULL THEN 'user_mean'
+              ELSE 'content' END AS source, r.stars AS truth
+  FROM requests r LEFT JOIN um ON um.user_id = r.user_id
+  LEFT JOIN ct_score s ON s.user_id = r.user_id AND s.business_id = r.business_id""",
+})
+_ORDER[:] = list(VIEWS)
+q("ranking_eval", f"""SELECT user_id, CAST(n AS BIGINT) AS n, CAST(n_relevant AS BIGINT) AS n_relevant,
+    CAST(hits AS BIGINT) AS hits, {r6('precision')} AS precision, {r6('recall')} AS recall, {r6('ndcg')} AS ndcg
+    FROM ranking""")
+q("ranking_summary", f"""SELECT CAST(count(*) AS BIGINT) AS users, {r6('avg(precision)')} AS precision,
+    {r6('avg(recall)')} AS recall, {r6('avg(ndcg)')} AS ndcg FROM ranking""")
+q("item_terms", f"SELECT business_id, attr_key, attr_value, {r6('weight')} AS weight FROM terms")
+q("content_predict", f"SELECT user_id, business_id, {r6('prediction')} AS prediction, source FROM ctpred")
+q("content_rmse", f"""SELECT CAST(count(*) AS BIGINT) AS n,
+    {r6('sqrt(avg((prediction - truth) * (prediction - truth)))')} AS rmse FROM ctpred""")
+q("rater_chunks", """SELECT business_id, user_id >> 16 AS chunk, CAST(count(DISTINCT user_id) AS BIGINT) AS n,
+    array_to_string(list_sort(list(DISTINCT user_id & 65535)), ',') AS raters FROM train GROUP BY 1, 2""")
+q("rater_overlap", """SELECT p.item_i, p.item_j, CAST(count(c.user_id) AS BIGINT) AS n FROM pairs p
+    LEFT JOIN corate c ON c.item_i = p.item_i AND c.item_j = p.item_j GROUP BY 1, 2""")
+q("item_similarity_by_counts", f"SELECT item_i, item_j, n, rule, {r6('weight')} AS weight FROM sim")
+
+
 # ---------------------------------------------------------------- sources and sinks
 VIEWS.update({
     "items_text": """
@@ -547,6 +610,42 @@ q("tips_json_roundtrip", "SELECT CAST(business_id AS VARCHAR) AS business_id FRO
 q("photos_json_roundtrip", "SELECT CAST(business_id AS VARCHAR) AS business_id, label FROM photos")
 q("checkins_json_roundtrip", """SELECT CAST(business_id AS VARCHAR) AS business_id, slot,
     CAST(n AS INTEGER) AS n FROM checkin_slots_long""")
+_KEY = "coalesce({0}, 0)"
+
+
+def _spoilt(key: str, number: bool = True) -> str:
+    k = _KEY.format(key)
+    return f"({k} % 11 = 3 OR {k} % 13 = 5" + (f" OR {k} % 17 = 7)" if number else ")")
+
+
+q("items_json_dirty", f"""SELECT CAST(business_id AS VARCHAR) AS business_id, stars, review_count,
+    latitude, attributes FROM items_text WHERE NOT {_spoilt('business_id')}""")
+q("users_json_dirty", f"""SELECT CAST(user_id AS VARCHAR) AS user_id, review_count, useful, funny, cool,
+    elite, friends, fans, average_stars, compliment_list, compliment_note FROM users WHERE NOT {_spoilt('user_id')}""")
+q("reviews_json_dirty", f"""SELECT CAST(business_id AS VARCHAR) AS business_id, useful,
+    {r6('funny')} AS funny, {r6('cool')} AS cool FROM reviews WHERE NOT {_spoilt('business_id')}""")
+q("tips_json_dirty", f"""SELECT CAST(business_id AS VARCHAR) AS business_id FROM tips
+    WHERE NOT {_spoilt('business_id', False)}""")
+q("photos_json_dirty", f"""SELECT CAST(business_id AS VARCHAR) AS business_id, label FROM photos
+    WHERE NOT {_spoilt('business_id', False)}""")
+q("checkins_json_dirty", f"""SELECT CAST(business_id AS VARCHAR) AS business_id, slot,
+    CAST(n AS INTEGER) AS n FROM checkin_slots_long WHERE NOT {_spoilt('business_id', False)}""")
+
+
+def _bad_rows(name: str, source: str, key: str, number: bool) -> str:
+    k = _KEY.format(key)
+    broken = f"({k} % 11 = 3 OR {k} % 13 = 5)"
+    # a value of another type is found where the record itself is whole
+    value = f"UNION ALL SELECT '{name}', 'value' FROM {source} WHERE NOT {broken} AND {k} % 17 = 7" if number else ""
+    return f"SELECT '{name}' AS file, 'record' AS reason FROM {source} WHERE {broken} {value}"
+
+
+q("json_bad_rows", "SELECT file, reason, CAST(count(*) AS BIGINT) AS n FROM (" + " UNION ALL ".join([
+    _bad_rows("items", "items", "business_id", True), _bad_rows("users", "users", "user_id", True),
+    _bad_rows("reviews", "reviews", "business_id", True), _bad_rows("tips", "tips", "business_id", False),
+    _bad_rows("photos", "photos", "business_id", False),
+    _bad_rows("checkins", "(SELECT DISTINCT business_id FROM checkin_slots_long) c", "business_id", False)])
+  + ") z GROUP BY file, reason")
 q("predictions_sink", f"SELECT user_id, business_id, {r6('prediction')} AS prediction FROM cfpred")
 q("fallback_roundtrip", f"SELECT {_r6_stats('usr')}, {_r6_stats('bns')} FROM gp")
 q("item_cf_stream", f"SELECT user_id, business_id, {r6('prediction')} AS prediction, source FROM cfpred")
