@@ -92,8 +92,8 @@ def rater_chunks(spark, d):
 @register("rater_overlap")
 def rater_overlap(spark, d):
     """Common raters of every needed pair, none included."""
-    train, _, cands = _cf_inputs(spark, d)
-    return R.rater_overlap(store(cf.needed_pairs(cands), "pairs"), store(R.rater_chunks(train), "chunks"))
+    train, pairs, _ = _pairs(spark, d)
+    return R.rater_overlap(pairs, store(R.rater_chunks(train), "chunks"))
 
 
 @register("item_degrees")
@@ -111,6 +111,13 @@ def _cf_inputs(spark, d):
     return train, status, cands
 
 
+def _pairs(spark, d):
+    """The training table, the needed pairs (written, as plans read them more than
+    once) and the candidates they are of."""
+    train, _, cands = _cf_inputs(spark, d)
+    return train, store(cf.needed_pairs(cands), "pairs"), cands
+
+
 @register("cold_requests")
 def cold_requests(spark, d):
     _, status, _ = _cf_inputs(spark, d)
@@ -132,20 +139,20 @@ def item_pairs_needed(spark, d):
 
 @register("co_raters")
 def co_raters(spark, d):
-    train, _, cands = _cf_inputs(spark, d)
-    return cf.co_rating_rows(cf.needed_pairs(cands), train)
+    train, pairs, _ = _pairs(spark, d)
+    return cf.co_rating_rows(pairs, train)
 
 
 @register("pair_stats")
 def pair_stats(spark, d):
-    train, _, cands = _cf_inputs(spark, d)
-    return cf.pair_stats(cf.needed_pairs(cands), train).select(
+    train, pairs, _ = _pairs(spark, d)
+    return cf.pair_stats(pairs, train).select(
         "item_i", "item_j", "n", "sx", "sy", "sxy", "sxx", "syy", "sad")
 
 
 def _similarity(spark, d):
-    train, _, cands = _cf_inputs(spark, d)
-    return cf.item_similarity(cf.needed_pairs(cands), train)
+    train, pairs, _ = _pairs(spark, d)
+    return cf.item_similarity(pairs, train)
 
 
 def _sim_rule(rule):
@@ -168,14 +175,14 @@ def item_similarity(spark, d):
 
 @register("item_similarity_by_counts")
 def item_similarity_by_counts(spark, d):
-    train, _, cands = _cf_inputs(spark, d)
-    return cf.item_similarity_by_counts(store(cf.needed_pairs(cands), "pairs"), train).select(
+    train, pairs, _ = _pairs(spark, d)
+    return cf.item_similarity_by_counts(pairs, train).select(
         "item_i", "item_j", "n", "rule", rounded("weight").alias("weight"))
 
 
 def _top(spark, d):
-    train, _, cands = _cf_inputs(spark, d)
-    weights = cf.item_similarity(cf.needed_pairs(cands), train)
+    train, pairs, cands = _pairs(spark, d)
+    weights = cf.item_similarity(pairs, train)
     return cf.top_neighbours(cf.weighted_candidates(cands, weights))
 
 
