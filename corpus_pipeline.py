@@ -9,26 +9,38 @@ operators' docstrings say; an empty table gives an empty result.
 from __future__ import annotations
 
 from ratewise.llm import fuzzy_lines, language, sentencepiece_bpe, simhash, winnow
-from ratewise.llm.common import scratch, table
+from ratewise.llm.common import BATCH_CONF, scratch, table
+
+
+def _lean(spark):
+    """Stages follow each other on the same executors: smaller Arrow batches and
+    Parquet row groups keep the texts in flight small."""
+    spark.conf.set(BATCH_CONF, str(4 << 20))
+    spark.conf.set("parquet.block.size", str(16 << 20))
 
 
 def language_id(spark, docs, sf_dir):
+    _lean(spark)
     return language.keep(docs, language.fit(docs))
 
 
 def line_dedup(spark, docs, sf_dir):
+    _lean(spark)
     return fuzzy_lines.dedup_lines(docs)
 
 
 def simhash_dedup(spark, docs, sf_dir):
+    _lean(spark)
     return simhash.keep_one(docs)
 
 
 def decontamination(spark, docs, sf_dir):
+    _lean(spark)
     return winnow.clean(docs, table(spark, sf_dir, "benchmark"))
 
 
 def sentencepiece(spark, docs, sf_dir):
+    _lean(spark)
     return sentencepiece_bpe.digests(docs)
 
 

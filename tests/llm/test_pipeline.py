@@ -3,6 +3,8 @@ import os
 import sys
 
 import numpy as np
+import pytest
+from pyspark.sql import functions as F
 
 sys.path.insert(0, os.path.dirname(__file__))
 
@@ -10,7 +12,8 @@ import corpus_pipeline as P
 import test_fuzzy_lines
 import test_simhash
 import test_winnow
-from ratewise.llm import language, sentencepiece_bpe
+from ratewise.llm import fuzzy_lines, language, line_rules, sentencepiece_bpe, simhash, winnow
+from ratewise.llm.common import row_key
 
 SF = "/root/testdata/sf0.001"
 
@@ -49,3 +52,30 @@ def test_stages_keep_the_columns_of_documents(spark):
             out = stage(spark, rows, SF)
             assert out.columns == docs.columns and out.dtypes == docs.dtypes
             out.collect()
+
+
+CLASH = ["_key", "_KEY", "_text", "_keys", "_doc", "_hash", "_removed", "n_lines", "n_removed", "removed", "text_hash", "key", "root",
+         "line_hash", "Removed_Lines", "row_key", "text_key", "document_key", "line_keys", "id", "fp", "component_id", "first"]
+
+
+@pytest.mark.parametrize("name", ["dedup_lines", "keep_one", "winnow", "line_rules", "language"])
+def test_extra_columns_of_any_name_stay_as_they_are(spark, name):
+    stage = dict(dedup_lines=fuzzy_lines.dedup_lines, keep_one=simhash.keep_one, line_rules=line_rules.clean,
+                 winnow=lambda d: winnow.clean(d, spark.read.parquet(f"{SF}/benchmark.parquet")),
+                 language=lambda d: language.keep(d, language.fit(d)))[name]
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    docs = docs.limit(40) if name == "line_rules" else docs
+    plain = sorted((r.doc_id, r.text) for r in stage(docs).collect())
+    names = list({c.lower(): c for c in CLASH}.values())
+    more = docs.select("*", *[F.lit(c).alias(c) for c in names])
+    out = stage(more)
+    assert out.columns == more.columns
+    got = out.collect()
+    assert sorted((r.doc_id, r.text) for r in got) == plain and 0 < len(got)
+    assert all(r[c] == c for r in got for c in names)
+
+
+def test_null_and_text_ids_are_told_apart(spark):
+    """64 bits of hash alone give NULL, 'a' and 'a', NULL the same value."""
+    df = spark.createDataFrame([(None, "a"), ("a", None), ("a", ""), ("", "a")], "doc_id string, text string")
+    assert df.select(row_key("doc_id", "text").alias("k")).distinct().count() == 4
