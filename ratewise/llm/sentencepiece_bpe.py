@@ -34,7 +34,7 @@ from ratewise.llm.common import by_document, table
 
 MODEL = "piece_bpe_32k.model"
 MARK, UNKNOWN = "▁", " ⁇ "
-CACHE_WORDS, CACHE_CHARS, CACHE_PAIRS = 75_000, 48, 150_000
+CACHE_WORDS, CACHE_CHARS, CACHE_PAIRS = 200_000, 48, 400_000
 NORMAL, BYTE = 1, 6   # piece types of the model format
 
 
