@@ -40,9 +40,9 @@ def test_bad_lines_are_dropped_counted_and_kept_apart(spark, tmp_path):
     path = _file(tmp_path, [x for k in range(3) for x in (*GOOD, *VALUES, *RECORDS)])
     kept = [r.business_id for r in FS.read_items(spark, path, "drop").collect()]
     assert kept == ["a", "b", "c", None, "e", "f"] * 3
-    bad = sorted((r.record, r.reason) for r in FS.bad_json_rows(spark, path, FS.ITEM_SCHEMA).collect())
-    assert bad == sorted([(x, "value") for x in VALUES] * 3 + [(x, "record") for x in RECORDS] * 3) or \
-        sorted(x for x, _ in bad) == sorted((VALUES + RECORDS) * 3)
+    bad = FS.bad_json_rows(spark, path, FS.ITEM_SCHEMA).collect()
+    assert sorted(r.record for r in bad) == sorted((VALUES + RECORDS) * 3)
+    assert {r.record for r in bad if r.reason == "value"} >= set(VALUES)
     out = str(tmp_path / "bad")
     assert FS.quarantine_json(spark, path, FS.ITEM_SCHEMA, out).count() == 18
     assert sorted(r.value for r in spark.read.text(out).collect()) == sorted((VALUES + RECORDS) * 3)
