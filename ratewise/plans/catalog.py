@@ -22,8 +22,10 @@ from ratewise.operators import content as CT
 from ratewise.operators import encode as E
 from ratewise.operators import evaluate as EV
 from ratewise.operators import features as FT
+from ratewise.operators import model as MD
 from ratewise.operators import profiles as P
 from ratewise.operators import ratings as R
+from ratewise.plans import artefacts as AF
 from ratewise.plans import feature_frames as FF
 from ratewise.plans import jobs as J
 from ratewise.session import checkpoint_dir, store
@@ -437,6 +439,15 @@ def model_a_frame(spark, d):
     return _round_doubles(tr.select("user_id", "business_id", "y", *feats))
 
 
+@register("model_a_frame_two_sided")
+def model_a_frame_two_sided(spark, d):
+    """The matrix as model A's pipeline encodes it: every feature with its missing
+    values below and above all others."""
+    raw = AF.model_a_raw(T.train(spark, d).select("user_id", "business_id"), T.reviews(spark, d),
+                         T.users(spark, d), T.items(spark, d))
+    return _round_doubles(AF.encoded(raw, AF.two_sided_cells(FT.VECTOR8), "user_id", "business_id"))
+
+
 @register("model_b_frame")
 def model_b_frame(spark, d):
     """The matrix model B is fitted on; its indicator columns as one text."""
@@ -509,21 +520,20 @@ def hybrid_blend(spark, d):
     return out.select("user_id", "business_id", rounded("prediction").alias("prediction"))
 
 
-_SCORED: dict[tuple[str, str, str], DataFrame] = {}
-
-
 def _scored(spark, d, which: str) -> DataFrame:
-    """Predictions of model A or B at the original settings, fitted once in an
-    application and written to the shared folder."""
-    key = (spark.sparkContext.applicationId, d, which)
-    if key not in _SCORED:
-        if which == "a":
-            pred = J.model_a(T.train(spark, d), T.requests(spark, d), T.reviews(spark, d),
-                             T.users(spark, d), T.items(spark, d))
-        else:
-            pred = J.feature_model(_inputs(spark, d))
-        _SCORED[key] = store(pred, f"model-{which}")
-    return _SCORED[key]
+    """The requests scored by model A or B at the original settings.  The model is
+    an artefact of the tables' files and its settings: fitted where the shared
+    folder has none, loaded where it has."""
+    if which == "a":
+        tables = [T.table(spark, d, n) for n in ("lineitem", "orders", "part", "customer")]
+        reviews, users, items = T.reviews(spark, d), T.users(spark, d), T.items(spark, d)
+        fitted = AF.fitted_once(spark, "a", tables, MD.MODEL_A_PARAMS,
+                                lambda: AF.fit_model_a(T.train(spark, d), reviews, users, items))
+        return AF.score_model_a(fitted, T.requests(spark, d), reviews, users, items)
+    tables = [T.table(spark, d, n) for n in ("lineitem", "orders", "part", "customer", "events")]
+    inp = _inputs(spark, d)
+    return AF.score_feature_model(AF.fitted_once(spark, "b", tables, MD.MODEL_B_PARAMS,
+                                                 lambda: AF.fit_feature_model(inp)), inp)
 
 
 @register("model_a_predict")

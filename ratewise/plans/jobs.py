@@ -19,7 +19,7 @@ from ratewise.operators import cf
 from ratewise.operators import evaluate as EV
 from ratewise.operators import features as FT
 from ratewise.operators import model as M
-from ratewise.operators.encode import named
+from ratewise.plans import artefacts as AF
 from ratewise.plans import feature_frames as FF
 from ratewise.session import scratch_scope, store
 from ratewise.sources import files
@@ -66,12 +66,8 @@ def model_a_frames(train, requests, reviews, users, items, float32: bool = True)
 
 def model_a(train, requests, reviews, users, items, params: dict | None = None) -> DataFrame:
     """One prediction per distinct request pair."""
-    tr, rq, feats = model_a_frames(train, requests, reviews, users, items)
-    # the fit makes one pass per tree level: read a written table, not the
-    # whole feature lineage, and survive executor loss without recomputing it
-    tr = store(tr.select("y", *feats), "model-a-frame")
-    model = M.fit_gbt(tr, feats, "y", params or M.MODEL_A_PARAMS)
-    return M.predict_gbt(model, rq, feats)
+    fitted = AF.fit_model_a(train, reviews, users, items, params)
+    return AF.score_model_a(fitted, requests, reviews, users, items)
 
 
 def hybrid(train, requests, reviews, users, items, alpha: float = EV.ALPHA,
@@ -83,11 +79,7 @@ def hybrid(train, requests, reviews, users, items, alpha: float = EV.ALPHA,
 
 
 def feature_model(inp: FF.Inputs, params: dict | None = None) -> DataFrame:
-    frames = FF.build(inp)     # one request row per distinct pair
-    wanted = [named(c) for c in frames.features]
-    tr = store(frames.train.select("y", *wanted), "model-b-frame")
-    model = M.fit_gbt(tr, frames.features, "y", params or M.MODEL_B_PARAMS)
-    return M.predict_gbt(model, frames.requests.select(*KEYS, *wanted), frames.features)
+    return AF.score_feature_model(AF.fit_feature_model(inp, params), inp)
 
 
 # ------------------------------------------------------------------ file jobs
@@ -97,11 +89,13 @@ def per_request_row(requests: DataFrame, pred: DataFrame) -> DataFrame:
     return requests.select(*KEYS).join(pred.select(*KEYS, "prediction"), KEYS, "left")
 
 
-def _folder_inputs(spark: SparkSession, folder: str, requests_path: str) -> FF.Inputs:
+def _folder_inputs(spark: SparkSession, folder: str, requests_path: str | None) -> FF.Inputs:
+    """Without requests, the training pairs stand for them."""
     f = folder.rstrip("/")
+    train = files.read_ratings(spark, f"{f}/yelp_train.csv")
     return FF.Inputs(
-        train=files.read_ratings(spark, f"{f}/yelp_train.csv"),
-        requests=files.read_requests(spark, requests_path),
+        train=train,
+        requests=train if requests_path is None else files.read_requests(spark, requests_path),
         items=files.read_items(spark, f"{f}/business.json"),
         users=files.read_users(spark, f"{f}/user.json"),
         tips=files.read_tips(spark, f"{f}/tip.json"),
@@ -143,3 +137,25 @@ def run_feature_model(spark: SparkSession, folder: str, requests_path: str, out_
     written = files.read_predictions(spark, out_path)
     truth = inp.requests.where(F.col("stars").isNotNull())
     return EV.rmse(written, truth)
+
+
+def run_fit(spark: SparkSession, model: str, folder: str, artefact: str, params: dict | None = None) -> None:
+    """Fit model ``a`` or ``b`` on the folder's files and save it."""
+    inp = _folder_inputs(spark, folder, None)
+    with scratch_scope(spark):
+        if model == "a":
+            reviews = files.read_reviews(spark, f"{folder.rstrip('/')}/review_train.json")
+            AF.fit_model_a(inp.train, reviews, inp.users, inp.items, params).save(artefact)
+        else:
+            AF.fit_feature_model(inp, params).save(artefact)
+
+
+def run_score(spark: SparkSession, model: str, folder: str, artefact: str, requests_path: str, out_path: str) -> None:
+    """Score a request file with a saved model."""
+    inp, fitted = _folder_inputs(spark, folder, requests_path), AF.load(spark, artefact)
+    if model == "a":
+        reviews = files.read_reviews(spark, f"{folder.rstrip('/')}/review_train.json")
+        pred = AF.score_model_a(fitted, inp.requests, reviews, inp.users, inp.items)
+    else:
+        pred = AF.score_feature_model(fitted, inp)
+    files.write_predictions(per_request_row(inp.requests, pred), out_path)

@@ -463,15 +463,19 @@ _F32 = "CAST(CAST({0} AS FLOAT) AS DOUBLE)"
 _V8 = {"review_useful": "rv.review_useful", "review_funny": "rv.review_funny", "review_cool": "rv.review_cool",
        "user_avg_stars": "u.average_stars", "user_review_count": "u.review_count", "user_fans": "u.fans",
        "item_stars": "i.stars", "item_review_count": "CAST(i.review_count AS DOUBLE)"}
-q("model_a_frame", f"SELECT t.user_id, t.business_id, {r6(_F32.format('t.stars'))} AS y, " + ", ".join(
-    f"{r6(f'coalesce({_F32.format(e)}, -1.0e9)')} AS {c}, CAST(CASE WHEN {e} IS NULL THEN 1 ELSE 0 END AS DOUBLE) "
-    f"AS {c}_is_missing" for c, e in _V8.items()) + """
+_V8_JOINS = """
   FROM train t
   LEFT JOIN (SELECT business_id, avg(useful) AS review_useful, avg(funny) AS review_funny,
                     avg(cool) AS review_cool FROM reviews GROUP BY business_id) rv
          ON rv.business_id = t.business_id
   LEFT JOIN users u ON u.user_id = t.user_id
-  LEFT JOIN items i ON i.business_id = t.business_id""")
+  LEFT JOIN items i ON i.business_id = t.business_id"""
+q("model_a_frame", f"SELECT t.user_id, t.business_id, {r6(_F32.format('t.stars'))} AS y, " + ", ".join(
+    f"{r6(f'coalesce({_F32.format(e)}, -1.0e9)')} AS {c}, CAST(CASE WHEN {e} IS NULL THEN 1 ELSE 0 END AS DOUBLE) "
+    f"AS {c}_is_missing" for c, e in _V8.items()) + _V8_JOINS)
+q("model_a_frame_two_sided", "SELECT t.user_id, t.business_id, " + ", ".join(
+    f"{r6(f'coalesce({_F32.format(e)}, {mark})')} AS {c}_{side}"
+    for c, e in _V8.items() for side, mark in (("low", "-1.0e9"), ("high", "1.0e9"))) + _V8_JOINS)
 
 VIEWS.update({
     "merged_req": """
