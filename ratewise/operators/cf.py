@@ -72,6 +72,7 @@ class Prepared:
     lookup: DataFrame         # user_id, business_id, stars: one row per pair
     degrees: DataFrame | None = None     # user_id, n: rows of lookup, if written
     max_degree: int | None = None        # the highest n, if known
+    by_item: DataFrame | None = None     # lookup laid out by item, if written
 
 
 def prepare(train: DataFrame, dedupe: bool = True) -> Prepared:
@@ -314,7 +315,8 @@ def predict(train: DataFrame | Prepared, requests: DataFrame, k: int = TOP_K,
     pairs = needed_pairs(cands)
     if prep.degrees is not None:       # of written tables: three branches read the pairs, which are found once
         pairs = store(pairs, "needed-pairs")
-    weights = item_similarity(pairs, prep.lookup, prep.item_means, hubs=warm.select(ITEM), max_degree=prep.max_degree)
+    rated = prep.lookup if prep.by_item is None else prep.by_item
+    weights = item_similarity(pairs, rated, prep.item_means, hubs=warm.select(ITEM), max_degree=prep.max_degree)
     scores = weighted_mean(top_neighbours(weighted_candidates(cands, weights), k), cold_user_value)
     out = status.join(scores, [USER, ITEM], "left")
     um, im = F.col("user_mean"), F.col("item_mean")

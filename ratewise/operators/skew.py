@@ -43,6 +43,11 @@ def _salt(df: DataFrame, hot: DataFrame, key: str, left: bool) -> DataFrame:
 
 
 def salted_join(left: DataFrame, right: DataFrame, key: str, right_counts: DataFrame | None = None) -> DataFrame:
-    """Inner join on ``key`` (the other columns have different names)."""
+    """Inner join on ``key`` (the other columns have different names).  With
+    ``right_counts`` it is looked first whether any key is hot (a count of the left
+    side's keys): if none is, the join is on the key alone, so that a right side
+    bucketed by it needs no exchange."""
     hot = hot_keys(left, right, key, right_counts)
+    if right_counts is not None and hot.isEmpty():
+        return left.join(right, key)
     return _salt(left, hot, key, True).join(_salt(right, hot, key, False), [key, "_salt"]).drop("_salt")

@@ -21,7 +21,7 @@ from ratewise.operators import features as FT
 from ratewise.operators import model as M
 from ratewise.plans import artefacts as AF
 from ratewise.plans import feature_frames as FF
-from ratewise.session import scratch_scope, store
+from ratewise.session import scratch_scope, store, store_bucketed
 from ratewise.sources import files
 
 KEYS = ["user_id", "business_id"]
@@ -34,12 +34,22 @@ def item_cf(train: DataFrame, requests: DataFrame, **kw) -> DataFrame:
 
 
 def prepare_cf(train: DataFrame, dedupe: bool = True) -> cf.Prepared:
+    """The training table's ratings bucketed and sorted by user and once more by
+    item, and the tables of users and items laid out alike: a batch of requests is
+    dealt to them, they are not moved.  A key with more than a bucket's share of the
+    ratings leaves that copy of them unbucketed (``store_bucketed``)."""
     prep = cf.prepare(store(train.select(*KEYS, "stars"), "train"), dedupe)
     lookup = store(prep.lookup, "lookup")
-    degrees = store(lookup.groupBy("user_id").agg(F.count(F.lit(1)).alias("n")), "degrees")
-    top = degrees.agg(F.max("n")).first()[0] or 0
-    return cf.Prepared(store(prep.user_means, "user-means"), store(prep.item_means, "item-means"),
-                       lookup, degrees, top)
+    shape = {}
+    for key in KEYS:
+        counts = store(lookup.groupBy(key).agg(F.count(F.lit(1)).alias("n")), f"count-{key}")
+        most, rows, keys = counts.agg(F.max("n"), F.sum("n"), F.count(F.lit(1))).first()
+        shape[key] = counts, most or 0, rows or 0, keys
+    by = {key: store_bucketed(lookup, f"lookup-{key}", key, shape[key][1], shape[key][2]) for key in KEYS}
+    one = {key: lambda df, name, key=key: store_bucketed(df, name, key, 1, shape[key][3]) for key in KEYS}
+    return cf.Prepared(one["user_id"](prep.user_means, "user-means"), one["business_id"](prep.item_means, "item-means"),
+                       by["user_id"], one["user_id"](shape["user_id"][0], "degrees"), shape["user_id"][1],
+                       by["business_id"])
 
 
 def _narrow(df: DataFrame, cols) -> DataFrame:

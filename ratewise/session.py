@@ -86,6 +86,32 @@ def store(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+_tables: dict[str, list[str]] = {}      # names of the bucketed tables of a scope
+
+
+def store_bucketed(df: DataFrame, name: str, key: str, most: int, rows: int) -> DataFrame:
+    """``df`` written bucketed and sorted by ``key``, a file a bucket, and read
+    back: joins and aggregations on the key take it as it lies, without an
+    exchange.  ``most`` and ``rows`` are the rows of the key that has most of them
+    and of all keys.  A bucket cannot be split, so where one key would fill more
+    than a bucket's even share the table is stored plainly, and a join's exchange
+    can be split by AQE."""
+    spark = df.sparkSession
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    if most * n > max(rows, 1):
+        return store(df, name)
+    table = f"ratewise_{uuid.uuid4().hex}"
+    _tables.setdefault(_scope.get(), []).append(table)
+    (df.repartition(n, key).write.bucketBy(n, key).sortBy(key).format("parquet")
+     .option("path", scratch_path(spark, name)).saveAsTable(table))
+    return spark.table(table)
+
+
+def _drop_tables(spark: SparkSession, scope: str) -> None:
+    for table in _tables.pop(scope, []):
+        spark.sql(f"DROP TABLE IF EXISTS {table}")
+
+
 def remove_path(spark: SparkSession, path: str) -> None:
     where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
@@ -100,6 +126,7 @@ def scratch_scope(spark: SparkSession) -> Iterator[None]:
     try:
         yield
     finally:
+        _drop_tables(spark, _scope.get())
         remove_path(spark, f"{_folder(spark)}/{_scope.get()}")
         _scope.reset(token)
 
@@ -107,6 +134,8 @@ def scratch_scope(spark: SparkSession) -> Iterator[None]:
 def release(spark: SparkSession) -> None:
     """Remove everything that ``store`` wrote in this application: only when no
     result that reads it is still to be computed."""
+    for scope in list(_tables):
+        _drop_tables(spark, scope)
     remove_path(spark, _folder(spark))
 
 

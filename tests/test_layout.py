@@ -1,0 +1,67 @@
+"""Prepared training tables are laid out by user and by item; hot keys are not."""
+import pytest
+from pyspark.sql import functions as F
+
+from conftest import SF_SMALL
+from ratewise.operators import cf
+from ratewise.plans import jobs as J
+from ratewise.session import scratch_scope, store, store_bucketed
+from ratewise.sources import testdata as T
+
+
+@pytest.fixture()
+def sorted_joins(spark):
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    old = spark.conf.get(key)
+    spark.conf.set(key, "-1")
+    yield
+    spark.conf.set(key, old)
+
+
+def exchanges(df, of="hashpartitioning"):
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return sum("Exchange " + of in line for line in plan.splitlines())
+
+
+def test_requests_move_and_the_ratings_do_not(spark, sorted_joins):
+    train = store(T.train(spark, SF_SMALL), "train")
+    req = store(T.requests(spark, SF_SMALL).select("user_id", "business_id"), "requests")
+    laid = J.prepare_cf(train)
+    plain = cf.prepare(train)
+    written = cf.Prepared(*[spark.createDataFrame(x.collect(), x.schema) for x in
+                            (plain.user_means, plain.item_means, plain.lookup)])
+    lookup = lambda p: req.join(p.lookup, "user_id")
+    assert (exchanges(lookup(written)), exchanges(lookup(laid))) == (2, 1)
+    assert exchanges(cf.request_status(req, written)) == 4 and exchanges(cf.request_status(req, laid)) == 2
+    cands = cf.candidates(req, laid.lookup, degrees=laid.degrees)
+    assert exchanges(cands) == 1
+    pairs = req.select(F.col("business_id").alias("item_i"), F.col("business_id").alias("item_j"))
+    assert exchanges(cf.wanted_ratings(pairs, written.lookup)) - exchanges(cf.wanted_ratings(pairs, laid.by_item)) == 1
+    assert laid.lookup.exceptAll(plain.lookup).isEmpty() and plain.lookup.exceptAll(laid.by_item).isEmpty()
+    got, want = cf.predict(laid, req), cf.predict(train, req)
+    key = lambda df: sorted((r.user_id, r.business_id, round(r.prediction, 9), r.source) for r in df.collect())
+    assert key(got) == key(want) and got.count() == req.count()
+
+
+def test_a_hot_key_leaves_its_table_unbucketed(spark, sorted_joins):
+    rows = [(1 if k % 3 == 0 else k, k, float(k % 5)) for k in range(300)]
+    train = spark.createDataFrame(rows, "user_id int, business_id int, stars double")
+    laid = J.prepare_cf(train)
+    req = train.select("user_id", "business_id")
+    assert exchanges(req.join(laid.lookup, "user_id")) == 2
+    assert exchanges(req.join(laid.by_item, "business_id")) == 1
+    assert laid.lookup.count() == laid.by_item.count() == 300
+
+
+def test_tables_of_a_job_go_with_its_scope(spark):
+    before = {t.name for t in spark.catalog.listTables()}
+    with scratch_scope(spark):
+        df = store_bucketed(spark.range(100), "t", "id", 1, 100)
+        assert df.count() == 100 and len({t.name for t in spark.catalog.listTables()} - before) == 1
+    assert {t.name for t in spark.catalog.listTables()} == before
+
+
+def test_empty_training_table(spark):
+    none = spark.createDataFrame([], "user_id int, business_id int, stars double")
+    req = spark.createDataFrame([(1, 2)], "user_id int, business_id int")
+    assert [r.prediction for r in cf.predict(J.prepare_cf(none), req).collect()] == [3.75]
