@@ -4,10 +4,10 @@ A text's features are indicators of hashed n-grams: runs of 1 to 3 characters,
 1 to 2 words, and 1 to 3 word shapes (case, digits, last character, length
 class, whether the word repeats the one before).  Every indicator is scaled by
 its log-count ratio between the two classes, counted over all labelled rows
-that may be learned from; vectors are scaled to length one and get a constant.
-A linear model of squared hinge loss is fitted on them by dual coordinate
+that may be learned from but a fifth; vectors are scaled to length one and get a
+constant.  A linear model of hinge loss is fitted on them by dual coordinate
 descent, over at most about ``PER_CLASS`` rows of each class, chosen by a hash.
-A fifth of those rows is left out of the fit and sets the sigmoid that turns
+The fifth that was neither counted nor fitted sets the sigmoid that turns
 margins into scores; its rows are weighted back to the classes' true sizes.
 
 Results: NULL and empty texts have no feature and are scored by the constant
@@ -30,7 +30,7 @@ from ratewise.llm.common import by_document, fit_in_one_task, held_out, store, t
 
 BUCKETS = 1 << 17
 PER_CLASS = 3000
-SMOOTH, COST, EPOCHS, BIAS = 1.0, 1.0, 20, 1.0
+SMOOTH, COST, EPOCHS, TOLERANCE, BIAS = 1.0, 1.0, 60, 1e-3, 1.0
 CHUNK = 1 << 20
 _M = np.uint64(0x9E3779B97F4A7C15)
 
@@ -134,24 +134,30 @@ def log_count_ratios(counts: np.ndarray) -> np.ndarray:
 
 
 def dual_coordinate_descent(rows, ratio: np.ndarray, seed: int = 42) -> np.ndarray:
-    """Weights (the constant's last) of least w.w/2 + COST * sum of squared
-    hinge losses; ``rows`` are (buckets, y in {0, 1}, weight)."""
+    """Weights (the constant's last) of least w.w/2 + COST * sum of weighted hinge
+    losses; ``rows`` are (buckets, y in {0, 1}, weight).  A row's dual variable
+    stays between 0 and COST times its weight.  The passes end when no slope that
+    may still move is steeper than TOLERANCE, or after EPOCHS."""
     w = np.zeros(BUCKETS + 1)
     data = []
     for at, y, weight in rows:
         x = ratio[at]
         norm = np.sqrt(x @ x)
-        data.append((np.r_[at, BUCKETS], np.r_[x / norm if norm else x, BIAS], 2 * y - 1, 0.5 / (COST * weight)))
+        data.append((np.r_[at, BUCKETS], np.r_[x / norm if norm else x, BIAS], 2 * y - 1, COST * weight))
     alpha = np.zeros(len(data))
     rng = np.random.default_rng(seed)
     for _ in range(EPOCHS):
+        steepest = 0.0
         for k in rng.permutation(len(data)):
-            at, x, s, d = data[k]
-            slope = s * (x @ w[at]) - 1 + d * alpha[k]
-            new = max(0.0, alpha[k] - slope / (x @ x + d))
+            at, x, s, cap = data[k]
+            slope = s * (x @ w[at]) - 1
+            new = min(max(0.0, alpha[k] - slope / (x @ x)), cap)
             if new != alpha[k]:
+                steepest = max(steepest, abs(slope))
                 w[at] += (new - alpha[k]) * s * x
                 alpha[k] = new
+        if steepest < TOLERANCE:
+            break
     return w
 
 
@@ -207,16 +213,21 @@ def load(data: bytes) -> Model:
 
 
 def fit(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> bytes | float:
-    """Model bytes, or the one score of all texts if there are not two classes."""
+    """Model bytes, or the one score of all texts if there are not two classes.
+    The late fifth of the rows, by a hash of the document, fits the sigmoid alone:
+    it is neither counted nor fitted, unless the other rows lack a class."""
     rows = labelled(docs, labels)
-    counts = class_counts(rows)
-    n0, n1 = (int(x) for x in counts[-1])
+    late = F.pmod(F.xxhash64(F.lit("late"), "doc_id"), F.lit(5)) == 0
+    sizes = {(r.late, r.y): r["count"] for r in rows.groupBy(late.alias("late"), "y").count().collect()}
+    n0, n1 = (sizes.get((False, y), 0) + sizes.get((True, y), 0) for y in (0, 1))
     if not n0 or not n1:
         return 1.0 if n1 else 0.0 if n0 else 0.5
+    if len([k for k in sizes if not k[0]]) < 2:
+        late = F.lit(False)
+    counts = class_counts(rows.where(~late))
     ratio = log_count_ratios(counts)
     rate = F.when(F.col("y") == 1, min(1.0, per_class / n1)).otherwise(min(1.0, per_class / n0))
     place = F.pmod(F.xxhash64(F.lit("sample"), "doc_id"), F.lit(1 << 30)) / float(1 << 30)
-    late = F.pmod(F.xxhash64(F.lit("late"), "doc_id"), F.lit(5)) == 0
     sample = store(by_document(
         rows.where(place < rate).select("doc_id", "y", late.alias("late"), "text"),
         lambda text, _: (features(text).tolist(),), "at array<int>"), "quality-sample")

@@ -30,7 +30,7 @@ def test_dual_coordinate_descent_reaches_the_optimum():
     rows = [r for r in rows if len(r[0])]
 
     def loss(w):
-        hinge = sum(max(0, 1 - (2 * y - 1) * Q.margin(at, ratio, w)) ** 2 for at, y, _ in rows)
+        hinge = sum(max(0, 1 - (2 * y - 1) * Q.margin(at, ratio, w)) for at, y, _ in rows)
         return w @ w / 2 + Q.COST * hinge
 
     w = Q.dual_coordinate_descent(rows, ratio)
@@ -42,6 +42,24 @@ def test_dual_coordinate_descent_reaches_the_optimum():
         assert loss(w + step) > best - 1e-3
 
 
+def test_late_rows_set_the_sigmoid_alone(spark):
+    """Ratios are those of the counted rows, restated; the late rows' texts change
+    neither them nor the weights."""
+    docs = spark.createDataFrame([(i, f"{'GOOD' if i % 2 else 'bad##'} words {i % 7}") for i in range(200)],
+                                 "doc_id bigint, text string")
+    labels = docs.selectExpr("doc_id", "CAST(doc_id % 2 AS INT) AS quality")
+    late = F.pmod(F.xxhash64(F.lit("late"), "doc_id"), F.lit(5)) == 0
+    other = docs.withColumn("text", F.when(late, F.lit("quite different")).otherwise(F.col("text")))
+    a, b = Q.load.__wrapped__(Q.fit(docs, labels)), Q.load.__wrapped__(Q.fit(other, labels))
+    assert (a.ratio == b.ratio).all() and (a.w == b.w).all() and (a.a, a.b) != (b.a, b.b)
+    counts = np.full((Q.BUCKETS, 2), Q.SMOOTH)
+    for r in docs.where(~late & ~Q.held_out()).collect():
+        for bucket in set(Q.features(r.text).tolist()):
+            counts[bucket, r.doc_id % 2] += 1
+    p = counts / counts.sum(0)
+    assert np.allclose(a.ratio, np.log(p[:, 1] / p[:, 0]))
+
+
 def test_edges(spark):
     rows = [(i, "GOOD words here" if i % 2 else "bad### words%%%", "clash") for i in range(60)]
     rows += [(100, None, "c"), (101, "", "c"), (102, " ", "c"), (None, "GOOD words", "c"), (1, "GOOD words here", "c"),
