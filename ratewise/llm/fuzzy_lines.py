@@ -48,9 +48,14 @@ _R = 0x9E3779B97F4A7C15
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
-    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
+    """Mixes the bits of ``x`` in place."""
+    t = x >> np.uint64(30)
+    x ^= t
+    x *= np.uint64(0xBF58476D1CE4E5B9)
+    x ^= np.right_shift(x, np.uint64(27), out=t)
+    x *= np.uint64(0x94D049BB133111EB)
+    x ^= np.right_shift(x, np.uint64(31), out=t)
+    return x
 
 
 def shingles(lines: list[str], size: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
@@ -64,22 +69,33 @@ def shingles(lines: list[str], size: int = SHINGLE) -> tuple[np.ndarray, np.ndar
     n = np.maximum(length - size + 1, 1)
     h, width = c.astype(np.uint64), 1
     while width < size:                       # size is a power of two
-        h = h[:-width] + h[width:] * np.uint64(pow(_R, width, 1 << 64))
+        far = h[width:] * np.uint64(pow(_R, width, 1 << 64))
+        far += h[:-width]
+        h = far
         width *= 2
     begin = np.cumsum(n) - n
-    take = np.arange(n.sum()) + np.repeat(at - begin, n)
+    take = np.repeat(at - begin, n)
+    take += np.arange(len(take))
     return _mix(h[take]), begin
 
 
 def band_keys(h: np.ndarray, begin: np.ndarray) -> np.ndarray:
     """One row of band keys per line."""
     x = (h >> np.uint64(32)).astype(np.uint32)
-    keys = np.zeros((len(begin), BANDS), np.uint64)
+    y = np.empty_like(x)
+    low = np.empty((BANDS * ROWS, len(begin)), np.uint64)
     for j, (m, a) in enumerate(zip(_MULTIPLY, _ADD, strict=True)):
-        low = np.minimum.reduceat(x * m + a, begin).astype(np.uint64)
-        b = j // ROWS
-        keys[:, b] = _mix(keys[:, b] * np.uint64(_R) + low + np.uint64(b + 1))
-    return keys.view(np.int64)
+        np.multiply(x, m, out=y)
+        y += a
+        low[j] = np.minimum.reduceat(y, begin)
+    low = low.reshape(BANDS, ROWS, len(begin))
+    keys = np.zeros((BANDS, len(begin)), np.uint64)
+    for r in range(ROWS):
+        keys *= np.uint64(_R)
+        keys += low[:, r]
+        keys += np.arange(1, BANDS + 1, dtype=np.uint64)[:, None]
+        _mix(keys)
+    return np.ascontiguousarray(keys.T).view(np.int64)
 
 
 def lines_of(docs: DataFrame) -> DataFrame:
@@ -168,16 +184,22 @@ def alike(h: np.ndarray, begin: np.ndarray, left: np.ndarray, right: np.ndarray,
     decided again by all 64."""
     ends = np.r_[begin[1:], len(h)]
     n = ends - begin
-    pair = np.repeat(np.arange(len(left), dtype=np.uint64), n[left] + n[right])
     start = np.stack([begin[left], begin[right]], 1).ravel()
     size = np.stack([n[left], n[right]], 1).ravel()
-    side = np.repeat(np.arange(len(size), dtype=np.uint64) & np.uint64(1), size)
-    at = np.arange(size.sum()) + np.repeat(start - (np.cumsum(size) - size), size)
-    x = np.sort(pair << np.uint64(44) | (h[at] & np.uint64((1 << 43) - 1)) << np.uint64(1) | side)
-    x = x[np.r_[True, x[1:] != x[:-1]]]
-    both = (x[1:] >> np.uint64(1)) == (x[:-1] >> np.uint64(1))
-    shared = np.bincount((x[1:][both] >> np.uint64(44)).astype(np.int64), minlength=len(left))
-    union = np.bincount((x >> np.uint64(44)).astype(np.int64), minlength=len(left)) - shared
+    mark = np.arange(len(size), dtype=np.uint64)                  # its last bit is the side
+    mark = mark >> np.uint64(1) << np.uint64(44) | mark & np.uint64(1)
+    at = np.repeat(start - (np.cumsum(size) - size), size)
+    at += np.arange(len(at))
+    x = h[at]
+    x &= np.uint64((1 << 43) - 1)
+    x <<= np.uint64(1)
+    x |= np.repeat(mark, size)
+    x.sort()
+    step = x[1:] ^ x[:-1]                     # 0: the same side again, 1: the other side
+    pairs = size[::2] + size[1::2]
+    first = np.cumsum(pairs) - pairs
+    union = np.add.reduceat(np.r_[True, step > 1], first, dtype=np.int64)
+    shared = np.add.reduceat(np.r_[True, step != 0], first, dtype=np.int64) - union
     over = shared - least * union
     out = over >= -1e-9
     for k in np.flatnonzero(np.abs(over) < 2):
@@ -197,7 +219,7 @@ def _verify(cols, starts, least):
     g = 0
     while g < len(starts):                    # some groups at a time
         done = length[starts[g] - 1] if starts[g] else 0
-        stop = max(g + 1, int(np.searchsorted(length[ends - 1], done + 4 * CHUNK, "right")))
+        stop = max(g + 1, int(np.searchsorted(length[ends - 1], done + CHUNK, "right")))
         lo, hi = starts[g], ends[stop - 1]
         h, begin = shingles(lines.slice(lo, hi - lo).to_pylist())
         first = np.repeat(starts[g:stop], ends[g:stop] - starts[g:stop]) - lo
