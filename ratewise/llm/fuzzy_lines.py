@@ -150,30 +150,43 @@ def _texts(batches, bits):
 
 
 def similar(sets: list[np.ndarray], least: float) -> list[tuple[int, int]]:
-    """Edges of a spanning forest of the pairs of sets (sorted, distinct
-    hashes) with a Jaccard similarity of at least ``least``."""
-    sizes = np.array([len(s) for s in sets])
+    """Edges of a spanning forest of the pairs of sets (hashes, repeats allowed)
+    with a Jaccard similarity of at least ``least``."""
+    m = len(sets)
     values = np.concatenate(sets)
-    owner = np.repeat(np.arange(len(sets)), sizes)
-    waiting = np.ones(len(sets), bool)
+    order = np.argsort(values)
+    values = values[order]
+    value = np.cumsum(np.r_[False, values[1:] != values[:-1]])       # numbered from 0
+    x = value * m + np.repeat(np.arange(m), [len(s) for s in sets])[order]
+    x.sort()
+    x = x[np.r_[True, x[1:] != x[:-1]]]
+    value = x // m
+    owner = x - value * m
+    sizes = np.bincount(owner, minlength=m)
+    many = np.bincount(value)[value] > 1                             # the others are in one set only
+    value, owner = value[many], owner[many]
+    by_set = np.argsort(owner, kind="stable")
+    of = np.split(value[by_set], np.searchsorted(owner[by_set], np.arange(1, m)))
+    mine = np.zeros(int(x[-1]) // m + 1, bool)
+    waiting = np.ones(m, bool)
     edges = []
-    for root in range(len(sets)):
+    for root in range(m):
         if not waiting[root]:
             continue
         waiting[root] = False
         queue = [root]
         while queue and waiting.any():
             at = queue.pop()
-            mine = sets[at]
-            open_ = waiting[owner]
-            spot = np.searchsorted(mine, v := values[open_])
-            equal = mine[np.minimum(spot, len(mine) - 1)] == v
-            both = np.bincount(owner[open_][equal], minlength=len(sets))
-            close = waiting & (both >= least * (sizes[at] + sizes - both) - 1e-9)
-            for k in np.flatnonzero(close).tolist():
-                edges.append((at, k))
-                queue.append(k)
-            waiting &= ~close
+            mine[of[at]] = True
+            both = np.bincount(owner[mine[value]], minlength=m)
+            mine[of[at]] = False
+            close = np.flatnonzero(waiting & (both >= least * (sizes[at] + sizes - both) - 1e-9))
+            if len(close):
+                edges += [(at, k) for k in close.tolist()]
+                queue += close.tolist()
+                waiting[close] = False
+                left = waiting[owner]
+                value, owner = value[left], owner[left]
     return edges
 
 
@@ -236,7 +249,7 @@ def _verify(cols, starts, least):
         for s in odd.tolist():
             e = ends[np.searchsorted(starts, s + lo)] - lo
             stops = np.r_[begin[s + 1:e], begin[e] if e < len(begin) else len(h)]
-            edges = similar([np.unique(h[x:y]) for x, y in zip(begin[s:e], stops, strict=True)], least)
+            edges = similar([h[x:y] for x, y in zip(begin[s:e], stops, strict=True)], least)
             a.append(ids[lo + s + np.array([x for x, _ in edges], np.int64)])
             b.append(ids[lo + s + np.array([y for _, y in edges], np.int64)])
         g = stop
