@@ -3,7 +3,9 @@
 Every partition first contracts its own edges to a forest with a local
 union-find; then large-star and small-star steps alternate until the forest is
 made of stars.  Nothing is collected: each step is a join and an aggregation,
-and its result is written to the shared folder.
+and their results are written to the shared folder.  The least neighbours are
+written before their join, so AQE can split or broadcast it and the centre of a
+large star does not put all its edges into one task.
 """
 
 from __future__ import annotations
@@ -45,12 +47,12 @@ def _contract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _large_star(e: DataFrame) -> DataFrame:
     both = e.select("a", "b").unionAll(e.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    low = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
+    low = store(both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m")), "large-low")
     return both.join(low, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
 
 
 def _small_star(e: DataFrame) -> DataFrame:
-    low = e.groupBy("a").agg(F.min("b").alias("m"))
+    low = store(e.groupBy("a").agg(F.min("b").alias("m")), "small-low")
     return (e.join(low, "a").where("b > m").select(F.col("b").alias("a"), F.col("m").alias("b"))
             .unionAll(low.select("a", F.col("m").alias("b"))).distinct())
 
@@ -66,4 +68,4 @@ def components(edges: DataFrame) -> DataFrame:
         if shape["n"] == shape["nodes"] and e.select("b").distinct().join(
                 e.select(F.col("a").alias("b")), "b", "left_semi").isEmpty():
             return e.select(F.col("a").alias("node"), F.col("b").alias("root"))
-        e = store(_small_star(_large_star(e)), "star")
+        e = store(_small_star(store(_large_star(e), "large-star")), "star")

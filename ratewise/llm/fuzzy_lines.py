@@ -300,7 +300,8 @@ def line_links(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
     texts = (_line_texts(docs).mapInArrow(partial(_texts, bits=bits), "id bigint, line string")
              .groupBy("id").agg(F.max("line").alias("line")))
     members = store(wanted.join(texts, "id"), "line-texts")
-    sizes = members.groupBy("key").agg(F.sum(F.length("line")).alias("n"))
+    # written first: AQE can then split or broadcast the join of a bucket of any size
+    sizes = store(members.groupBy("key").agg(F.sum(F.length("line")).alias("n")), "line-sizes")
     return stream(split(members, sizes, BLOCK_CHARS), partial(_verify, least=least), "a bigint, b bigint")
 
 
