@@ -22,7 +22,8 @@ from pyspark.sql import functions as F
 HOLDOUT_BUCKETS = 10          # (user*31 + item*17) % 10 = 0 -> held out
 COLD_USER_MOD, COLD_USER_REM = 50, 7   # these users have no training rows
 COLD_ITEM_MOD, COLD_ITEM_REM = 40, 9   # these items have no training rows
-RAW_ITEMS = 97                # items of the raw view: part key modulo this, so pairs repeat
+RAW_ITEMS = 97                # items a user can rate in the raw view: part key modulo this, so pairs repeat
+RAW_USERS, RAW_STEP = 150, 10 # each block of so many users rates items so many ids further on
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -62,11 +63,14 @@ def requests(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _raw_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One rating per line item, repeated pairs included; ``held`` marks a
-    tenth of the lines, whatever their pair."""
+    tenth of the lines, whatever their pair.  A user rates among ``RAW_ITEMS``
+    items, which overlap with those of neighbouring blocks of users, so pairs
+    repeat at every size and the number of items grows with that of the users."""
     li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_quantity")
     od = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
     return li.join(od, li.l_orderkey == od.o_orderkey).select(
-        F.col("o_custkey").alias("user_id"), (F.col("l_partkey") % RAW_ITEMS).alias("business_id"),
+        F.col("o_custkey").alias("user_id"),
+        F.expr(f"o_custkey div {RAW_USERS} * {RAW_STEP} + l_partkey % {RAW_ITEMS}").alias("business_id"),
         (F.floor((F.col("l_quantity") - 1) / 10) + 1).cast("double").alias("stars"),
         ((F.col("l_orderkey") * 7 + F.col("l_linenumber")) % 10 == 0).alias("held"))
 

@@ -21,7 +21,7 @@ VIEWS = {
     "train": f"SELECT * FROM ratings WHERE NOT {_REQ}",
     "requests": f"SELECT * FROM ratings WHERE {_REQ}",
     "raw_lines": """
-  SELECT o_custkey AS user_id, l_partkey % 97 AS business_id,
+  SELECT o_custkey AS user_id, o_custkey // 150 * 10 + l_partkey % 97 AS business_id,
          CAST(floor((l_quantity - 1) / 10) + 1 AS DOUBLE) AS stars,
          (l_orderkey * 7 + l_linenumber) % 10 = 0 AS held
   FROM lineitem JOIN orders ON l_orderkey = o_orderkey""",
