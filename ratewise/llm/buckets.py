@@ -69,3 +69,17 @@ def stream(rows: DataFrame, fn: Callable, schema: str) -> DataFrame:
             yield from flush(kept)
 
     return rows.repartition("grp").sortWithinPartitions("grp").mapInArrow(run, schema)
+
+
+def bit_table(rows: DataFrame, col: str, size: int) -> np.ndarray:
+    """``np.packbits`` of the table of ``size`` bits (a power of two) in which the
+    last bits of each value of bigint ``col`` set one.  Tasks put the bits together
+    to words of 64, so the driver gets ``size / 64`` rows at most."""
+    at = F.col(col).bitwiseAND(size - 1)
+    bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), at.bitwiseAND(63).cast("int"))
+    words = (rows.groupBy(F.shiftright(at, 6).cast("int").alias("word"))
+             .agg(F.bit_or(bit).alias("bits")).collect())
+    table = np.zeros(size // 64, "<u8")
+    for r in words:
+        table[r.word] = r.bits & 0xFFFFFFFFFFFFFFFF
+    return np.packbits(np.unpackbits(table.view(np.uint8), bitorder="little"))

@@ -29,7 +29,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ratewise.llm.buckets import split, stream
+from ratewise.llm.buckets import bit_table, split, stream
 from ratewise.llm.common import small_batches, spare, store, table
 from ratewise.llm.components import components
 
@@ -293,10 +293,7 @@ def line_links(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
     # each signature is made and dealt out once; sorted rows show which keys are shared
     wanted = store(rows.repartition("key").sortWithinPartitions("key", "id")
                    .mapInArrow(_buckets, "key bigint, id bigint").distinct(), "line-buckets")
-    set_bits = wanted.select(F.col("id").bitwiseAND(TABLE_BITS - 1).alias("bit")).distinct().toPandas()  # bounded
-    flags = np.zeros(TABLE_BITS, bool)
-    flags[set_bits["bit"].to_numpy(np.int64)] = True
-    bits = spark.sparkContext.broadcast(np.packbits(flags))
+    bits = spark.sparkContext.broadcast(bit_table(wanted, "id", TABLE_BITS))
     texts = (_line_texts(docs).mapInArrow(partial(_texts, bits=bits), "id bigint, line string")
              .groupBy("id").agg(F.max("line").alias("line")))
     members = store(wanted.join(texts, "id"), "line-texts")

@@ -28,6 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ratewise.llm.buckets import bit_table
 from ratewise.llm.common import row_key, spare, store, table
 
 SIZE, GRAM = 13, 5
@@ -190,11 +191,8 @@ def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     short = sorted(r.n_words for r in lengths.select("n_words").distinct().collect())   # 12 values at most
     tests = store(_scanned(benchmark, "item_id", short, True)
                   .select("id", F.inline("hits")).distinct(), "test-fingerprints")
-    set_bits = tests.select(F.col("fp").bitwiseAND(TABLE_BITS - 1).alias("bit")).distinct().toPandas()  # bounded
-    flags = np.zeros(TABLE_BITS, bool)
-    flags[set_bits["bit"].to_numpy(np.int64)] = True
-    found = store(_scanned(docs, "doc_id", short, False,
-                           spark.sparkContext.broadcast(np.packbits(flags))), "document-fingerprints")
+    bits = spark.sparkContext.broadcast(bit_table(tests, "fp", TABLE_BITS))
+    found = store(_scanned(docs, "doc_id", short, False, bits), "document-fingerprints")
 
     hits = found.where("text_key is not null").select("text_key", F.inline("hits")).distinct()
     windows = (

@@ -178,3 +178,29 @@ def test_forgotten_line_ids_only_repeat_work(spark, monkeypatch):
     whole = run(spark, docs)
     monkeypatch.setattr(L, "SEEN", 1)
     assert run(spark, docs) == whole
+
+
+def test_bit_table_comes_to_the_driver_in_words(spark, monkeypatch):
+    """A row of 64 bits, not a row a bit: the driver holds size / 64 rows at most."""
+    from pyspark.sql.classic.dataframe import DataFrame
+
+    from ratewise.llm.buckets import bit_table
+    got, collect = [], DataFrame.collect
+
+    def counted(self):
+        out = collect(self)
+        got.append(len(out))
+        return out
+
+    monkeypatch.setattr(DataFrame, "toPandas", lambda self: pytest.fail("a row a bit"))
+    monkeypatch.setattr(DataFrame, "collect", counted)
+    ids = [0, 1, 63, 64, -1, -64, 1 << 40, (1 << 63) - 1, -(1 << 63), 4095, 1000]
+    table = bit_table(spark.createDataFrame([(x,) for x in ids * 2], "id bigint"), "id", 1 << 12)
+    want = np.zeros(1 << 12, bool)
+    want[[x & 4095 for x in ids]] = True
+    assert np.array_equal(np.unpackbits(table).view(bool), want)
+    full = bit_table(spark.range(1 << 13), "id", 1 << 12)
+    assert np.unpackbits(full).all() and max(got) <= (1 << 12) // 64
+    assert not bit_table(spark.range(0), "id", 1 << 12).any()
+    docs = [(k, f"a fairly common line of some length\nline number {k % 7} of a document") for k in range(40)]
+    L.line_links(spark.createDataFrame(docs, "doc_id bigint, text string"))
