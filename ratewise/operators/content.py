@@ -21,7 +21,7 @@ smaller id, after rounding to 9 digits.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ratewise.operators import cf
@@ -29,6 +29,7 @@ from ratewise.operators import ratings as R
 from ratewise.operators.encode import attribute_pairs
 from ratewise.operators.ratings import ITEM, STARS, USER
 from ratewise.operators.skew import salted_join
+from ratewise.session import store
 
 
 def item_terms(items: DataFrame) -> DataFrame:
@@ -36,12 +37,16 @@ def item_terms(items: DataFrame) -> DataFrame:
     item; an item's squared weights add up to 1."""
     pairs = attribute_pairs(items).where("attr_value is not null").distinct()
     total = items.agg(F.count_distinct(ITEM).cast("double").alias("_total"))
-    idf = (pairs.groupBy("attr_key", "attr_value").agg(F.count(F.lit(1)).alias("_df"))
-           .crossJoin(F.broadcast(total))                       # one row
-           .select("attr_key", "attr_value", F.ln(F.col("_total") / F.col("_df")).alias("_idf")).where("_idf > 0"))
-    terms = pairs.join(idf, ["attr_key", "attr_value"])
-    norm = terms.groupBy(ITEM).agg(F.sqrt(F.sum(F.col("_idf") * F.col("_idf"))).alias("_norm"))
-    return terms.join(norm, ITEM).select(ITEM, "attr_key", "attr_value", (F.col("_idf") / F.col("_norm")).alias("weight"))
+    # written first: planned from file sizes before the maps are cut to rows, the
+    # join would broadcast the terms of all items rather than this table
+    idf = store(pairs.groupBy("attr_key", "attr_value").agg(F.count(F.lit(1)).alias("_df"))
+                .crossJoin(F.broadcast(total))                       # one row
+                .select("attr_key", "attr_value", F.ln(F.col("_total") / F.col("_df")).alias("_idf")).where("_idf > 0"),
+                "idf")
+    terms = pairs.where(F.col(ITEM).isNotNull()).join(idf, ["attr_key", "attr_value"])
+    # over a window: a table of the items' norms could be broadcast, and grows with the items
+    norm = F.sqrt(F.sum(F.col("_idf") * F.col("_idf")).over(Window.partitionBy(ITEM)))
+    return terms.select(ITEM, "attr_key", "attr_value", (F.col("_idf") / norm).alias("weight"))
 
 
 def content_similarity(pairs: DataFrame, terms: DataFrame) -> DataFrame:
