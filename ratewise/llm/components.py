@@ -61,7 +61,9 @@ def components(edges: DataFrame) -> DataFrame:
     """``edges(a, b)`` of bigint nodes, in any order, repeats and loops allowed
     -> ``(node, root)`` for every node that is not itself the smallest of its
     component.  Nodes without edges do not appear."""
-    e = edges.select(F.col("a").cast("bigint"), F.col("b").cast("bigint")).where("a <> b")
+    # written first: the edges mostly come out of Python, and two Python steps in a row would
+    # take twice the workers, which then stay for the stages that follow
+    e = store(edges.select(F.col("a").cast("bigint"), F.col("b").cast("bigint")).where("a <> b"), "edges")
     e = store(e.mapInArrow(_contract, "a bigint, b bigint"), "forest")
     while True:
         shape = e.agg(F.count("*").alias("n"), F.count_distinct("a").alias("nodes")).first()

@@ -225,10 +225,12 @@ def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 
 def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """``docs`` without the contaminated ones, whatever their doc_id."""
+    """``docs`` without the contaminated ones, whatever their doc_id.  Their keys are
+    written first: few as they mostly are, the texts then need not move to the join."""
     key, = spare(docs, "text_key")
     texts = docs.select(row_key("text").alias("doc_id"), "text")
-    bad = contamination(texts, benchmark).where("contaminated").select(F.col("doc_id").alias(key)).distinct()
+    bad = store(contamination(texts, benchmark).where("contaminated").select(F.col("doc_id").alias(key)).distinct(),
+                "contaminated")
     return docs.withColumn(key, row_key("text")).join(bad, key, "left_anti").select(*docs.columns)
 
 
