@@ -1,0 +1,31 @@
+"""Model A holds a column twice only where training rows lack it; the model is the same."""
+import pytest
+from pyspark.sql import functions as F
+
+from ratewise.operators import features as FT
+from ratewise.plans import artefacts as AF
+from ratewise.session import store
+
+PARAMS = {"maxIter": 4, "maxDepth": 5, "stepSize": 0.3, "maxBins": 256, "seed": 42}
+
+
+@pytest.mark.parametrize("lacking", [False, True])
+def test_one_copy_of_a_column_without_gaps_fits_the_same_model(spark, lacking):
+    users = spark.range(30).selectExpr("id AS user_id", "CAST(id * 7 % 11 AS DOUBLE) AS average_stars",
+                                       "CAST(id % 9 AS DOUBLE) AS review_count", "CAST(id % 4 AS DOUBLE) AS fans")
+    items = spark.range(25).selectExpr("id AS business_id", "CAST(id % 5 AS DOUBLE) AS stars",
+                                       "CAST(id * 3 % 8 AS DOUBLE) AS review_count")
+    reviews = spark.range(50).where("id % 25 < 22" if lacking else "true").selectExpr(
+        "id % 25 AS business_id", "id % 6 AS useful", "id % 7 AS funny", "id % 3 AS cool")
+    train = store(spark.range(600).selectExpr("id * 17 % 30 AS user_id", "id * 13 % 25 AS business_id",
+                                              "CAST(1 + (id * id + id * 7) % 5 AS DOUBLE) AS stars").coalesce(1), "train")
+    asked = spark.range(33).crossJoin(spark.range(28).select(F.col("id").alias("business_id"))).withColumnRenamed("id", "user_id")
+    one = AF.fit_model_a(train, reviews, users, items, PARAMS)
+    assert one.pipeline.stages[-1].numFeatures == (11 if lacking else 8)
+    label = F.col("stars").cast("float").cast("double").alias("label")
+    frame = AF.model_a_raw(train.select(*AF.KEYS, label), reviews, users, items)
+    both = AF.Fitted(AF._fit(frame, AF.two_sided_cells(FT.VECTOR8), PARAMS, "both"))
+    got, want = ({(r.user_id, r.business_id): r.prediction for r in AF.score_model_a(m, asked, reviews, users, items).collect()}
+                 for m in (one, both))
+    assert len(got) == 33 * 28 and got.keys() == want.keys()
+    assert all(abs(got[k] - want[k]) < 1e-9 for k in got)
