@@ -181,7 +181,8 @@ def found_rows(pairs: DataFrame, train: DataFrame, hubs: DataFrame | None = None
     go to each of their hubs as marks, the hub keeps the marks of the items it is
     paired with, and only for those are the user's ratings looked up.  A row of
     another pair is left where two items share a mark.  A hub paired with items of
-    more than ``NEAR_MARKS`` marks keeps all.  ``pairs`` may be repeated."""
+    more than ``NEAR_MARKS`` marks keeps all.  ``pairs`` may be repeated, and may hold
+    ``_first``: true only where ``item_i`` is a hub, which then lists the pair."""
     limit = int(train.sparkSession.conf.get(EXPAND_CONF, str(DEFAULT_EXPAND_ITEMS)))
     if max_degree is None:
         max_degree = train.groupBy(USER).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] or 0
@@ -194,14 +195,15 @@ def found_rows(pairs: DataFrame, train: DataFrame, hubs: DataFrame | None = None
             heavy = rated.join(heavy_users, USER, "left_semi")
             sides = [heavy.select(USER, F.col(ITEM).alias(item), F.col(STARS).alias(value))
                      for item, value in (("item_i", "x"), ("item_j", "y"))]
-            probe = (salted_join(pairs.distinct(), sides[0], "item_i").join(sides[1], ["item_j", USER])
+            probe = (salted_join(pairs.select("item_i", "item_j").distinct(), sides[0], "item_i").join(sides[1], ["item_j", USER])
                      .select("item_i", "item_j", USER, "x", "y"))
         rated = rated.join(work.where((F.col("_work") > 0) & (F.col("_work") <= limit * limit)).select(USER),
                            USER, "left_semi")
     i, j = F.col("item_i"), F.col("item_j")
     near = pairs.select(i.alias("_h"), mark(j).alias("_m"))
     if hubs is not None:       # either end may be the hub
-        near = near.unionByName(pairs.select(j.alias("_h"), mark(i).alias("_m")))
+        unknown = pairs.where("not _first") if "_first" in pairs.columns else pairs
+        near = near.unionByName(unknown.select(j.alias("_h"), mark(i).alias("_m")))
     near = near.groupBy("_h").agg(F.collect_set("_m").alias("_near"))
     rated = rated.select(USER, ITEM, STARS, "_hub").repartition(USER)      # moved once for both uses
     # hubs first and by id: behind a hub lie itself, the larger hubs and all items that are none, so that every
@@ -381,7 +383,7 @@ def weighted_requests(warm: DataFrame, prep: Prepared, rated: DataFrame, exclude
                          F.when(F.col("neighbour").isNull(), F.col("item_mean")).otherwise(F.col("neighbour_mean"))
                          .alias("neighbour_mean"))
     i, j = pair_key(ITEM, "neighbour")
-    wanted = cands.select(i.alias("item_i"), j.alias("item_j"))
+    wanted = cands.select(i.alias("item_i"), j.alias("item_j"), (F.col(ITEM) <= F.col("neighbour")).alias("_first"))
     st = co_rated(wanted, rated, warm.select(ITEM), prep.max_degree).where("n >= 2")
     weights = st.select("item_i", "item_j", weight_of_two().alias("weight"))
     asked = cands.select(USER, ITEM, "neighbour")

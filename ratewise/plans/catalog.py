@@ -229,7 +229,7 @@ def item_means_raw(spark, d):
 @register("item_cf_predict")
 def item_cf_predict(spark, d):
     """Flagship: item-CF prediction for every request."""
-    pred = J.item_cf(*_split(spark, d))
+    pred = J.item_cf(*_split(spark, d), written=True)
     return pred.select("user_id", "business_id", rounded("prediction").alias("prediction"), "source")
 
 
@@ -481,7 +481,7 @@ def model_b_request_frame(spark, d):
 def _cf_pred(spark, d):
     """Item-CF predictions, and the requests with their true ratings."""
     train, requests = _split(spark, d)
-    return J.item_cf(train, requests), requests
+    return J.item_cf(train, requests, written=True), requests
 
 
 @register("rmse_eval")
@@ -532,7 +532,7 @@ def hybrid_blend(spark, d):
     st = cf.request_status(req, train)
     second = st.select("user_id", "business_id",
                        F.coalesce("item_mean", "user_mean", F.lit(cf.COLD_USER_VALUE)).alias("prediction"))
-    out = EV.blend(J.item_cf(train, req), second)
+    out = EV.blend(J.item_cf(train, req, written=True), second)
     return out.select("user_id", "business_id", rounded("prediction").alias("prediction"))
 
 
@@ -717,7 +717,7 @@ def predictions_sink(spark, d):
     """Item-CF predictions written as CSV (header ``user_id,business_id,
     prediction``) and read back."""
     path = _scratch(spark, "predictions")
-    pred = J.item_cf(*_split(spark, d))
+    pred = J.item_cf(*_split(spark, d), written=True)
     FS.write_predictions(pred.select("user_id", "business_id", rounded("prediction").alias("prediction")),
                          path)
     schema = TY.StructType([TY.StructField("user_id", TY.LongType()),

@@ -27,18 +27,20 @@ from ratewise.sources import files
 KEYS = ["user_id", "business_id"]
 
 
-def item_cf(train: DataFrame, requests: DataFrame, **kw) -> DataFrame:
+def item_cf(train: DataFrame, requests: DataFrame, written: bool = False, **kw) -> DataFrame:
     """Predictions from a training table that is written once, with its means,
-    so that every branch of the plan reads the written tables."""
-    return cf.predict(prepare_cf(train, dedupe=kw.get("dedupe", True)), requests, **kw)
+    so that every branch of the plan reads the written tables.  ``written``: ``train``
+    reads a written table already."""
+    return cf.predict(prepare_cf(train, dedupe=kw.get("dedupe", True), written=written), requests, **kw)
 
 
-def prepare_cf(train: DataFrame, dedupe: bool = True) -> cf.Prepared:
+def prepare_cf(train: DataFrame, dedupe: bool = True, written: bool = False) -> cf.Prepared:
     """The training table's ratings bucketed and sorted by user and once more by
     item, and the tables of users and items laid out alike: a batch of requests is
     dealt to them, they are not moved.  A key with more than a bucket's share of the
     ratings leaves that copy of them unbucketed (``store_bucketed``)."""
-    prep = cf.prepare(store(train.select(*KEYS, "stars"), "train"), dedupe)
+    train = train.select(*KEYS, "stars")
+    prep = cf.prepare(train if written else store(train, "train"), dedupe)
     lookup = store(prep.lookup, "lookup")
     shape = {}
     for key in KEYS:
