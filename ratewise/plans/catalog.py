@@ -28,7 +28,7 @@ from ratewise.operators import ratings as R
 from ratewise.plans import artefacts as AF
 from ratewise.plans import feature_frames as FF
 from ratewise.plans import jobs as J
-from ratewise.session import checkpoint_dir, store
+from ratewise.session import checkpoint_dir, small_hash_joins, store, store_bucketed
 from ratewise.sources import files as FS
 from ratewise.sources import testdata as T
 from ratewise.streaming import scoring as ST
@@ -195,9 +195,15 @@ def item_similarity_by_counts(spark, d):
 
 
 def _top(spark, d):
-    train, pairs, cands = _pairs(spark, d)
-    weights = cf.item_similarity(pairs, train)
-    return cf.top_neighbours(cf.weighted_candidates(cands, weights))
+    """The heaviest neighbours of the warm requests.  Candidates stay with their user and
+    get the weights that ``item_similarity`` gives their pairs (``cf.weighted_requests``)."""
+    train, requests = _split(spark, d)
+    prep = J.prepare_cf(train, written=True)
+    status = store(cf.request_status(requests, prep), "request-status")
+    warm = (status.where(F.col("user_mean").isNotNull() & F.col("item_mean").isNotNull())
+            .groupBy("user_id", "business_id").agg(F.first("item_mean").alias("item_mean")))
+    small_hash_joins(spark)
+    return cf.top_neighbours(cf.weighted_requests(warm, prep, prep.by_item))
 
 
 @register("top_neighbours")

@@ -60,3 +60,20 @@ def test_known_weights_move_once_to_their_candidates(spark):
     rows = [sorted((r.user_id, r.business_id, round(r.prediction, 9), r.source) for r in x.collect())
             for x in (cf.predict(laid, req), plain)]
     assert rows[0] == rows[1] and len(rows[0]) == 14 * 13
+
+
+def test_neighbours_stay_with_their_user(spark, tmp_path):
+    lines = [(u * 100 + k, 1 + (u * 7 + k * 3) % 60, float(1 + (u * 11 + k * k * 7) % 50)) for u in range(1, 45) for k in range(14)]
+    spark.createDataFrame(lines, "l_orderkey bigint, l_partkey bigint, l_quantity double").write.parquet(f"{tmp_path}/lineitem.parquet")
+    spark.createDataFrame([(o, o // 100) for o, _, _ in lines], "o_orderkey bigint, o_custkey bigint").write.parquet(
+        f"{tmp_path}/orders.parquet")
+    d = str(tmp_path)
+    plan = _without_broadcast(spark, lambda: _plan(C._top(spark, d)))
+    ranked = plan[plan.index("Window [row_number"):]
+    assert "Exchange" not in ranked[:ranked.index("Join")], plan
+    train, _, cands = C._cf_inputs(spark, d)
+    weights = cf.item_similarity(cf.needed_pairs(cands), train)
+    want = cf.top_neighbours(cf.weighted_candidates(cands, weights))
+    key = lambda df: sorted((r.user_id, r.business_id, r.neighbour, r.rating, round(r.weight, 9), r["rank"])
+                            for r in df.collect())
+    assert key(C._top(spark, d)) == key(want) and want.count() > 100
