@@ -42,6 +42,7 @@ alone, for callers that score many batches.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
@@ -118,10 +119,12 @@ def pair_key(a: Column | str, b: Column | str) -> tuple[Column, Column]:
     return F.least(a, b), F.greatest(a, b)
 
 
-def needed_pairs(cands: DataFrame) -> DataFrame:
-    """Distinct canonical item pairs ``(item_i <= item_j)`` the requests need."""
+def needed_pairs(cands: DataFrame, parts: int | None = None) -> DataFrame:
+    """Distinct canonical item pairs ``(item_i <= item_j)`` the requests need; with
+    ``parts`` dealt by ``item_i`` to so many partitions, as ``store_bucketed`` lays them."""
     i, j = pair_key(ITEM, "neighbour")
-    return cands.select(i.alias("item_i"), j.alias("item_j")).distinct()
+    pairs = cands.select(i.alias("item_i"), j.alias("item_j"))
+    return (pairs if parts is None else pairs.repartition(parts, "item_i")).distinct()
 
 
 def wanted_ratings(pairs: DataFrame, train: DataFrame, hubs: DataFrame | None = None) -> DataFrame:
@@ -176,13 +179,14 @@ def mark(item: Column | str) -> Column:
 
 
 def found_rows(pairs: DataFrame, train: DataFrame, hubs: DataFrame | None = None,
-               max_degree: int | None = None) -> DataFrame:
+               max_degree: int | None = None, common: Callable = F.array_intersect) -> DataFrame:
     """What ``listed_rows`` gives, with far fewer rows of other pairs: a user's items
     go to each of their hubs as marks, the hub keeps the marks of the items it is
     paired with, and only for those are the user's ratings looked up.  A row of
     another pair is left where two items share a mark.  A hub paired with items of
     more than ``NEAR_MARKS`` marks keeps all.  ``pairs`` may be repeated, and may hold
-    ``_first``: true only where ``item_i`` is a hub, which then lists the pair."""
+    ``_first``: true only where ``item_i`` is a hub, which then lists the pair.
+    ``common`` gives the marks that two sets share."""
     limit = int(train.sparkSession.conf.get(EXPAND_CONF, str(DEFAULT_EXPAND_ITEMS)))
     if max_degree is None:
         max_degree = train.groupBy(USER).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] or 0
@@ -215,7 +219,7 @@ def found_rows(pairs: DataFrame, train: DataFrame, hubs: DataFrame | None = None
         USER, F.col("_e.item").alias("_h"), F.col("_e.stars").alias("_x"),
         F.slice("_marks", F.array_position(F.col("_r.item"), F.col("_e.item")).cast("int"),
                 F.size("_marks")).alias("_marks"))
-    hits = F.when(F.size("_near") > NEAR_MARKS, F.col("_marks")).otherwise(F.array_intersect("_near", "_marks"))
+    hits = F.when(F.size("_near") > NEAR_MARKS, F.col("_marks")).otherwise(common("_near", "_marks"))
     asked = sent.join(near, "_h").select(USER, "_h", "_x", hits.alias("_hits")).where(F.size("_hits") > 0)
     other = rated.select(USER, F.col(ITEM).alias("_o"), F.col(STARS).alias("_y"),
                          (~F.col("_hub")).alias("_late"), mark(ITEM).alias("_mark"))

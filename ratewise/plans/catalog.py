@@ -106,7 +106,7 @@ def rater_chunks(spark, d):
 @register("rater_overlap")
 def rater_overlap(spark, d):
     """Common raters of every needed pair, none included."""
-    train, pairs, _ = _pairs(spark, d)
+    train, pairs = _pairs(spark, d)
     return R.rater_overlap(pairs, store(R.rater_chunks(train), "chunks"))
 
 
@@ -126,10 +126,12 @@ def _cf_inputs(spark, d):
 
 
 def _pairs(spark, d):
-    """The training table, the needed pairs (written, as plans read them more than
-    once) and the candidates they are of."""
+    """The training table and the needed pairs: written, as plans read them more than
+    once, and laid out by their first item, of which there is a row for each other item
+    at most."""
     train, _, cands = _cf_inputs(spark, d)
-    return train, store(cf.needed_pairs(cands), "pairs"), cands
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return train, store_bucketed(cf.needed_pairs(cands, parts), "pairs", "item_i", 0, 0)
 
 
 @register("cold_requests")
@@ -153,19 +155,19 @@ def item_pairs_needed(spark, d):
 
 @register("co_raters")
 def co_raters(spark, d):
-    train, pairs, _ = _pairs(spark, d)
+    train, pairs = _pairs(spark, d)
     return cf.co_rating_rows(pairs, train)
 
 
 @register("pair_stats")
 def pair_stats(spark, d):
-    train, pairs, _ = _pairs(spark, d)
+    train, pairs = _pairs(spark, d)
     return cf.pair_stats(pairs, train).select(
         "item_i", "item_j", "n", "sx", "sy", "sxy", "sxx", "syy", "sad")
 
 
 def _similarity(spark, d):
-    train, pairs, _ = _pairs(spark, d)
+    train, pairs = _pairs(spark, d)
     return cf.item_similarity(pairs, train)
 
 
@@ -189,7 +191,7 @@ def item_similarity(spark, d):
 
 @register("item_similarity_by_counts")
 def item_similarity_by_counts(spark, d):
-    train, pairs, _ = _pairs(spark, d)
+    train, pairs = _pairs(spark, d)
     return cf.item_similarity_by_counts(pairs, train).select(
         "item_i", "item_j", "n", "rule", rounded("weight").alias("weight"))
 

@@ -77,3 +77,16 @@ def test_neighbours_stay_with_their_user(spark, tmp_path):
     key = lambda df: sorted((r.user_id, r.business_id, r.neighbour, r.rating, round(r.weight, 9), r["rank"])
                             for r in df.collect())
     assert key(C._top(spark, d)) == key(want) and want.count() > 100
+
+
+def test_common_raters_are_counted_of_needed_pairs_alone(spark):
+    rated, pairs = store(_ratings(spark), "rated"), _laid(spark)
+    got = R.rater_overlap(pairs, store(R.rater_chunks(rated), "chunks"))
+    by = {}
+    for r in rated.collect():
+        by.setdefault(r.business_id, set()).add(r.user_id)
+    found = {(r.item_i, r.item_j): r.n for r in got.collect()}
+    assert found == {(r.item_i, r.item_j): len(by.get(r.item_i, set()) & by.get(r.item_j, set())) for r in pairs.collect()}
+    assert _joined_rows(got) <= 2_000          # every two of a user's items before
+    assert _bucketed_scans(_without_broadcast(spark, lambda: _plan(R.rater_overlap(pairs, store(R.rater_chunks(rated), "chunks")))),
+                       "item_i") >= 1
