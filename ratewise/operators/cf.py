@@ -51,7 +51,7 @@ from pyspark.sql import functions as F
 from ratewise.functions.moments import scatter
 from ratewise.operators import ratings as R
 from ratewise.operators.skew import salted_join
-from ratewise.session import by_first_key, small_hash_joins, store
+from ratewise.session import by_first_key, small_hash_joins, store, store_bucketed
 
 USER, ITEM, STARS = R.USER, R.ITEM, R.STARS
 
@@ -254,6 +254,15 @@ def co_rated(pairs: DataFrame, train: DataFrame, hubs: DataFrame | None = None,
         F.count("x").alias("n"), *[F.coalesce(F.sum(v), F.lit(0.0)).alias(name) for name, v in sums.items()])
 
 
+def with_means(pairs: DataFrame, found: DataFrame, item_means: DataFrame) -> DataFrame:
+    """``pairs`` of items that both have a mean, with their ``mean_i`` and ``mean_j`` and,
+    as one field ``_s`` that is empty for most, what ``found`` holds of them."""
+    means = [item_means.select(F.col(ITEM).alias(f"item_{s}"), F.col("item_mean").alias(f"mean_{s}"))
+             .where(F.col(f"mean_{s}").isNotNull()) for s in "ij"]
+    packed = found.select("item_i", "item_j", F.struct(*[c for c in found.columns if c not in ("item_i", "item_j")]).alias("_s"))
+    return pairs.join(means[0], "item_i").join(packed, ["item_i", "item_j"], "left").join(means[1], "item_j")
+
+
 def pair_stats(pairs: DataFrame, train: DataFrame, item_means: DataFrame | None = None,
                hubs: DataFrame | None = None, max_degree: int | None = None) -> DataFrame:
     """Co-rating sums per pair: ``n, sx, sy, sxy, sxx, syy, sad``.
@@ -271,11 +280,7 @@ def pair_stats(pairs: DataFrame, train: DataFrame, item_means: DataFrame | None
     sums = co_rated(pairs, train, hubs, max_degree)
     if item_means is None:
         return pairs.join(sums, ["item_i", "item_j"])
-    means = [item_means.select(F.col(ITEM).alias(f"item_{s}"), F.col("item_mean").alias(f"mean_{s}"))
-             .where(F.col(f"mean_{s}").isNotNull()) for s in "ij"]
-    # the sums of a pair travel as one field, empty for most pairs
-    packed = sums.select("item_i", "item_j", F.struct(*SUMS).alias("_s"))
-    rows = (pairs.join(means[0], "item_i").join(packed, ["item_i", "item_j"], "left").join(means[1], "item_j"))
+    rows = with_means(pairs, sums, item_means)
     return rows.select("item_i", "item_j", *[F.coalesce(f"_s.{name}", F.lit(0).cast("long" if name == "n" else "double"))
                                              .alias(name) for name in SUMS], "mean_i", "mean_j")
 
@@ -322,16 +327,21 @@ def weight_expr() -> Column:
 def item_similarity(pairs: DataFrame, train: DataFrame, item_means: DataFrame | None = None,
                     hubs: DataFrame | None = None, max_degree: int | None = None) -> DataFrame:
     """``(item_i, item_j, n, rule, weight)`` for every given canonical pair
-    whose items both have training ratings.
+    whose items both have training ratings.  Pairs that are laid out by ``item_i``
+    move once, to the mean of ``item_j``; of co-ratings their number and weight moves.
 
     ``train`` holds one rating per (user, item); ``item_means`` of the mean-gap
     rule are those of ``train`` unless given (those of all rows, duplicates
     included, in ``predict``).
     """
     means = R.item_means(train) if item_means is None else item_means
-    st = pair_stats(pairs, train, means, hubs, max_degree)
-    return st.select("item_i", "item_j", "n", similarity_rule(F.col("n")).alias("rule"),
-                     weight_expr().cast("double").alias("weight"))
+    by_first_key(pairs.sparkSession)
+    found = co_rated(pairs, train, hubs, max_degree).select("item_i", "item_j", "n", weight_of_two().alias("weight"))
+    rows = with_means(pairs.select("item_i", "item_j"), found, means).withColumn(
+        "n", F.coalesce("_s.n", F.lit(0).cast("long")))
+    weight = F.when(F.col("n") >= 2, F.col("_s.weight")).otherwise(mean_gap(F.col("mean_i"), F.col("mean_j")))
+    return rows.select("item_i", "item_j", "n", similarity_rule(F.col("n")).alias("rule"),
+                       weight.cast("double").alias("weight"))
 
 
 def item_similarity_by_counts(pairs: DataFrame, train: DataFrame, item_means: DataFrame | None = None) -> DataFrame:
@@ -341,7 +351,10 @@ def item_similarity_by_counts(pairs: DataFrame, train: DataFrame, item_means: Da
     """
     rated = train.where(F.col(STARS).isNotNull())
     means = (R.item_means(rated) if item_means is None else item_means).select(ITEM, "item_mean")
-    counts = store(R.rater_overlap(pairs, store(R.rater_chunks(rated), "rater-chunks")), "co-rater-counts")
+    by_first_key(pairs.sparkSession)
+    # an item has at most as many rows as there are items
+    counts = store_bucketed(R.rater_overlap(pairs, store(R.rater_chunks(rated), "rater-chunks")), "co-rater-counts",
+                            "item_i", 0, 0)
     sides = [means.select(F.col(ITEM).alias(f"item_{s}"), F.col("item_mean").alias(f"mean_{s}")) for s in "ij"]
     few = counts.where("n <= 1").join(sides[0], "item_i").join(sides[1], "item_j")
     gap = few.select("item_i", "item_j", "n", F.lit("mean_gap").alias("rule"),

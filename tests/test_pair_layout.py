@@ -90,3 +90,16 @@ def test_common_raters_are_counted_of_needed_pairs_alone(spark):
     assert _joined_rows(got) <= 2_000          # every two of a user's items before
     assert _bucketed_scans(_without_broadcast(spark, lambda: _plan(R.rater_overlap(pairs, store(R.rater_chunks(rated), "chunks")))),
                        "item_i") >= 1
+
+
+@pytest.mark.parametrize("by_counts", [False, True])
+def test_laid_out_pairs_move_to_one_end_alone(spark, by_counts):
+    rated, pairs = store(_ratings(spark), "rated"), _laid(spark)
+    fn = cf.item_similarity_by_counts if by_counts else cf.item_similarity
+    plan = _without_broadcast(spark, lambda: _plan(fn(pairs, rated)))
+    assert _bucketed_scans(plan, "item_i") >= 1, plan
+    st = cf.pair_stats(pairs, rated, R.item_means(rated))
+    want = {(r.item_i, r.item_j): (r.n, r["rule"], round(r.w, 9)) for r in st.select(
+        "item_i", "item_j", "n", cf.similarity_rule(F.col("n")).alias("rule"), cf.weight_expr().alias("w")).collect()}
+    got = {(r.item_i, r.item_j): (r.n, r["rule"], round(r.weight, 9)) for r in fn(pairs, rated).collect()}
+    assert got == want and {x[1] for x in want.values()} == {"mean_gap", "agreement", "pearson"}
