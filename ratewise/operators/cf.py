@@ -325,19 +325,23 @@ def weight_expr() -> Column:
 
 
 def item_similarity(pairs: DataFrame, train: DataFrame, item_means: DataFrame | None = None,
-                    hubs: DataFrame | None = None, max_degree: int | None = None) -> DataFrame:
-    """``(item_i, item_j, n, rule, weight)`` for every given canonical pair
-    whose items both have training ratings.  Pairs that are laid out by ``item_i``
-    move once, to the mean of ``item_j``; of co-ratings their number and weight moves.
+                    hubs: DataFrame | None = None, max_degree: int | None = None,
+                    canonical: bool = False) -> DataFrame:
+    """``(item_i, item_j, n, rule, weight)`` for every given pair whose items both have
+    training ratings, put in canonical order; ``canonical``: they are in it already.  Such
+    pairs laid out by ``item_i`` move once, to the mean of ``item_j``; of co-ratings their
+    number and weight moves.
 
     ``train`` holds one rating per (user, item); ``item_means`` of the mean-gap
     rule are those of ``train`` unless given (those of all rows, duplicates
     included, in ``predict``).
     """
     means = R.item_means(train) if item_means is None else item_means
+    i, j = (F.col("item_i"), F.col("item_j")) if canonical else pair_key("item_i", "item_j")
+    pairs = pairs.select(i.alias("item_i"), j.alias("item_j"))
     by_first_key(pairs.sparkSession)
     found = co_rated(pairs, train, hubs, max_degree).select("item_i", "item_j", "n", weight_of_two().alias("weight"))
-    rows = with_means(pairs.select("item_i", "item_j"), found, means).withColumn(
+    rows = with_means(pairs, found, means).withColumn(
         "n", F.coalesce("_s.n", F.lit(0).cast("long")))
     weight = F.when(F.col("n") >= 2, F.col("_s.weight")).otherwise(mean_gap(F.col("mean_i"), F.col("mean_j")))
     return rows.select("item_i", "item_j", "n", similarity_rule(F.col("n")).alias("rule"),

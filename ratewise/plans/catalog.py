@@ -168,7 +168,7 @@ def pair_stats(spark, d):
 
 def _similarity(spark, d):
     train, pairs = _pairs(spark, d)
-    return cf.item_similarity(pairs, train)
+    return cf.item_similarity(pairs, train, canonical=True)
 
 
 def _sim_rule(rule):

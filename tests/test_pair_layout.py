@@ -1,6 +1,7 @@
 """What item-CF moves and leaves on disk: pairs laid out by their first item stay there,
 candidates stay with their user, a written table leaves no shuffle files."""
 import time
+from functools import partial
 
 import pytest
 from pyspark.sql import functions as F
@@ -95,7 +96,7 @@ def test_common_raters_are_counted_of_needed_pairs_alone(spark):
 @pytest.mark.parametrize("by_counts", [False, True])
 def test_laid_out_pairs_move_to_one_end_alone(spark, by_counts):
     rated, pairs = store(_ratings(spark), "rated"), _laid(spark)
-    fn = cf.item_similarity_by_counts if by_counts else cf.item_similarity
+    fn = cf.item_similarity_by_counts if by_counts else partial(cf.item_similarity, canonical=True)
     plan = _without_broadcast(spark, lambda: _plan(fn(pairs, rated)))
     assert _bucketed_scans(plan, "item_i") >= 1, plan
     st = cf.pair_stats(pairs, rated, R.item_means(rated))
